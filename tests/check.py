@@ -1,0 +1,43 @@
+"""Runs registered queries next to their SQL and compares whole results."""
+
+from __future__ import annotations
+
+import duckdb
+import pandas as pd
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events "
+    "documents embeddings pages benchmark labels conversations"
+).split()
+
+
+def expected(sql: str, data_dir: str) -> pd.DataFrame:
+    with duckdb.connect() as con:
+        con.sql("SET TimeZone = 'UTC'")
+        for name in TABLES:
+            con.sql(f"CREATE VIEW {name} AS SELECT * FROM '{data_dir}/{name}.parquet'")
+        return con.sql(sql).df()
+
+
+def cells(df: pd.DataFrame) -> list[tuple]:
+    """Rows in column-name order, sorted, with one spelling per value."""
+
+    def spell(value):
+        if pd.isna(value):
+            return ""
+        if isinstance(value, bool | str):
+            return str(value)
+        if isinstance(value, int | float):
+            return repr(float(value))
+        return str(value)
+
+    names = sorted(df.columns)
+    columns = [df[n].astype(object) for n in names]
+    return sorted(tuple(spell(v) for v in row) for row in zip(*columns, strict=True))
+
+
+def assert_same(actual: pd.DataFrame, wanted: pd.DataFrame) -> None:
+    assert sorted(actual.columns) == sorted(wanted.columns)
+    assert len(actual) == len(wanted)
+    for mine, theirs in zip(cells(actual), cells(wanted), strict=True):
+        assert mine == theirs
