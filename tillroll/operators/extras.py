@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions.money import MONEY, percent, two_places
-from tillroll.operators.kpis import TOP_K, monthly_revenue, top_products, valid_sales
+from tillroll.operators.kpis import TOP_K, kpi_groups, valid_sales
 
 # An amount in ten-thousandths has at most 60 bits. Each pass settles 20 of them,
 # so its running count spans at most 2^20 rows per quantile.
@@ -111,7 +111,7 @@ def top_products_per_category(df: DataFrame, k: int = TOP_K) -> DataFrame:
     """The `k` best products of each category by revenue; the product settles ties."""
     best = Window.partitionBy("category").orderBy(F.desc("total_revenue"), "asin", "style")
     return (
-        top_products(df)
+        kpi_groups(df, "top_products")
         .withColumn("place", F.row_number().over(best))
         .filter(F.col("place") <= k)
         .select("category", "place", "asin", "style", "total_revenue")
@@ -122,7 +122,7 @@ def revenue_mom_growth(df: DataFrame) -> DataFrame:
     """Revenue against the month before that had any; the window spans months, not orders."""
     before = F.lag("total_revenue").over(Window.orderBy("year", "month"))
     return (
-        monthly_revenue(df)
+        kpi_groups(df, "monthly_revenue")
         .select("year", "month", "total_revenue", before.alias("previous_revenue"))
         .withColumn(
             "growth_pct",

@@ -1,144 +1,178 @@
 """The ten business KPIs over enriched orders.
 
-All but the status distribution read valid sales only. Each is one aggregate
-with partial sums before the shuffle, so a dominant group (`Unknown` states,
+All but the status distribution read valid sales only. Each is an aggregate
+with partial results before the shuffle, so a dominant group (`Unknown` states,
 one best seller) costs one row per task. Rankings are whole; `top` cuts one.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.functions.money import money_avg, money_sum, percent, two_places, units_sum
+from tillroll.functions.money import (
+    MONEY,
+    money_avg,
+    money_sum,
+    percent,
+    two_places,
+    units_sum,
+)
 from tillroll.schema import DELIVERED
 
 TOP_K = 10
 
 
-def valid_sales(df: DataFrame) -> DataFrame:
-    return df.filter("is_valid_sale")
+@dataclass(frozen=True)
+class Kpi:
+    keys: tuple[str, ...]
+    measures: tuple[str, ...]
+    ranked_by: str | None = None
+    sorted_by: tuple[str, ...] = ()
+
+    def order(self, df: DataFrame) -> DataFrame:
+        """Largest first with the keys for ties, or by keys, or as it comes."""
+        if self.ranked_by:
+            return df.orderBy(F.desc(self.ranked_by), *self.keys)
+        return df.orderBy(*self.sorted_by) if self.sorted_by else df
+
+
+def _margin(df: DataFrame) -> Column:
+    return percent(F.sum(F.col("profit").cast(MONEY)), F.sum(F.col("amount").cast(MONEY)))
+
+
+def _delivery_rate(df: DataFrame) -> Column:
+    """Share of sales whose status text has ``Delivered`` in it."""
+    return percent(F.count_if(F.col("status").contains(DELIVERED)), F.count("*"))
+
+
+MEASURES: dict[str, Callable[[DataFrame], Column]] = {
+    "total_revenue": lambda df: money_sum("amount"),
+    "total_profit": lambda df: money_sum("profit"),
+    "profit_margin_pct": _margin,
+    "order_count": lambda df: F.count("order_id"),
+    "total_units": lambda df: units_sum(df, "qty"),
+    "total_units_sold": lambda df: units_sum(df, "qty"),
+    "avg_order_value": lambda df: money_avg("amount"),
+    "average_order_value": lambda df: money_avg("amount"),
+    "max_order_value": lambda df: two_places(F.max("amount")),
+    "min_order_value": lambda df: two_places(F.min("amount")),
+    "std_dev": lambda df: two_places(F.stddev_samp("amount")),
+    "delivery_success_rate": _delivery_rate,
+}
+
+VALID_SALE_KPIS = {
+    "monthly_revenue": Kpi(
+        ("year", "month", "month_name"),
+        ("total_revenue", "order_count", "total_units_sold"),
+        sorted_by=("year", "month", "month_name"),
+    ),
+    "profit_margin": Kpi((), ("total_revenue", "total_profit", "profit_margin_pct")),
+    "region_sales": Kpi(
+        ("ship_state",),
+        ("total_revenue", "order_count", "total_units", "avg_order_value"),
+        ranked_by="total_revenue",
+    ),
+    "aov": Kpi((), ("average_order_value", "max_order_value", "min_order_value", "std_dev")),
+    "category_performance": Kpi(
+        ("category",),
+        ("total_revenue", "order_count", "total_units", "avg_order_value", "total_profit"),
+        ranked_by="total_revenue",
+    ),
+    "fulfillment_performance": Kpi(
+        ("fulfilled_by",),
+        ("total_revenue", "order_count", "avg_order_value", "delivery_success_rate"),
+        ranked_by="total_revenue",
+    ),
+    "b2b_analysis": Kpi(
+        ("b2b",),
+        ("total_revenue", "order_count", "avg_order_value", "total_units"),
+        ranked_by="total_revenue",
+    ),
+    "promotion_impact": Kpi(
+        ("has_promotion",), ("total_revenue", "order_count", "avg_order_value")
+    ),
+    "top_products": Kpi(
+        ("asin", "category", "style"),
+        ("total_revenue", "total_units_sold", "order_count"),
+        ranked_by="total_revenue",
+    ),
+}
 
+STATUS_DISTRIBUTION = Kpi(
+    ("status",), ("order_count", "total_amount", "percentage"), ranked_by="order_count"
+)
 
-def _revenue() -> Column:
-    return money_sum("amount").alias("total_revenue")
+
+def valid_sales(df: DataFrame) -> DataFrame:
+    return df.filter("is_valid_sale")
 
 
-def _orders() -> Column:
-    return F.count("order_id").alias("order_count")
+def _measured(df: DataFrame, names: tuple[str, ...]) -> list[Column]:
+    return [MEASURES[m](df).alias(m) for m in names]
 
 
-def _average() -> Column:
-    return money_avg("amount").alias("avg_order_value")
+def kpi_groups(df: DataFrame, name: str) -> DataFrame:
+    """One KPI over valid sales, not yet in order."""
+    kpi = VALID_SALE_KPIS[name]
+    return valid_sales(df).groupBy(*kpi.keys).agg(*_measured(df, kpi.measures))
 
 
-def _ranked(df: DataFrame, measure: str, *keys: str) -> DataFrame:
-    return df.orderBy(F.desc(measure), *keys)
+def _ordered(df: DataFrame, name: str) -> DataFrame:
+    return VALID_SALE_KPIS[name].order(kpi_groups(df, name))
 
 
-def top(ranking: DataFrame, measure: str, *keys: str, k: int = TOP_K) -> DataFrame:
-    """The first `k` of a ranking; the keys settle ties."""
-    return _ranked(ranking, measure, *keys).limit(k)
+def _top(df: DataFrame, name: str, k: int) -> DataFrame:
+    return _ordered(df, name).limit(k)
 
 
 def monthly_revenue(df: DataFrame) -> DataFrame:
-    return (
-        valid_sales(df)
-        .groupBy("year", "month", "month_name")
-        .agg(_revenue(), _orders(), units_sum(df, "qty").alias("total_units_sold"))
-        .orderBy("year", "month", "month_name")
-    )
+    return _ordered(df, "monthly_revenue")
 
 
 def profit_margin(df: DataFrame) -> DataFrame:
-    profit, amount = (F.sum(F.col(c).cast("decimal(18,4)")) for c in ("profit", "amount"))
-    return valid_sales(df).agg(
-        _revenue(),
-        money_sum("profit").alias("total_profit"),
-        percent(profit, amount).alias("profit_margin_pct"),
-    )
+    return _ordered(df, "profit_margin")
 
 
 def region_sales(df: DataFrame) -> DataFrame:
-    regions = (
-        valid_sales(df)
-        .groupBy("ship_state")
-        .agg(_revenue(), _orders(), units_sum(df, "qty").alias("total_units"), _average())
-    )
-    return _ranked(regions, "total_revenue", "ship_state")
+    return _ordered(df, "region_sales")
 
 
 def top_states(df: DataFrame, k: int = TOP_K) -> DataFrame:
-    return top(region_sales(df), "total_revenue", "ship_state", k=k)
+    return _top(df, "region_sales", k)
 
 
 def aov(df: DataFrame) -> DataFrame:
     """Average, largest, smallest and spread (sample) of order values."""
-    return valid_sales(df).agg(
-        money_avg("amount").alias("average_order_value"),
-        two_places(F.max("amount")).alias("max_order_value"),
-        two_places(F.min("amount")).alias("min_order_value"),
-        two_places(F.stddev_samp("amount")).alias("std_dev"),
-    )
+    return _ordered(df, "aov")
 
 
 def category_performance(df: DataFrame) -> DataFrame:
-    categories = (
-        valid_sales(df)
-        .groupBy("category")
-        .agg(
-            _revenue(),
-            _orders(),
-            units_sum(df, "qty").alias("total_units"),
-            _average(),
-            money_sum("profit").alias("total_profit"),
-        )
-    )
-    return _ranked(categories, "total_revenue", "category")
+    return _ordered(df, "category_performance")
 
 
 def fulfillment_performance(df: DataFrame) -> DataFrame:
-    """Delivery rate: share of valid sales whose status text has ``Delivered`` in it."""
-    delivered = F.count_if(F.col("status").contains(DELIVERED))
-    channels = (
-        valid_sales(df)
-        .groupBy("fulfilled_by")
-        .agg(
-            _revenue(),
-            _orders(),
-            _average(),
-            percent(delivered, F.count("*")).alias("delivery_success_rate"),
-        )
-    )
-    return _ranked(channels, "total_revenue", "fulfilled_by")
+    return _ordered(df, "fulfillment_performance")
 
 
 def b2b_analysis(df: DataFrame) -> DataFrame:
-    segments = (
-        valid_sales(df)
-        .groupBy("b2b")
-        .agg(_revenue(), _orders(), _average(), units_sum(df, "qty").alias("total_units"))
-    )
-    return _ranked(segments, "total_revenue", "b2b")
+    return _ordered(df, "b2b_analysis")
 
 
 def promotion_impact(df: DataFrame) -> DataFrame:
-    return valid_sales(df).groupBy("has_promotion").agg(_revenue(), _orders(), _average())
+    return _ordered(df, "promotion_impact")
 
 
 def top_products(df: DataFrame) -> DataFrame:
-    products = (
-        valid_sales(df)
-        .groupBy("asin", "category", "style")
-        .agg(_revenue(), units_sum(df, "qty").alias("total_units_sold"), _orders())
-    )
-    return _ranked(products, "total_revenue", "asin", "category", "style")
+    return _ordered(df, "top_products")
 
 
 def top_products_10(df: DataFrame, k: int = TOP_K) -> DataFrame:
-    return top(top_products(df), "total_revenue", "asin", "category", "style", k=k)
+    return _top(df, "top_products", k)
 
 
 def status_distribution(df: DataFrame) -> DataFrame:
@@ -148,10 +182,12 @@ def status_distribution(df: DataFrame) -> DataFrame:
     so the total costs neither a second scan nor a second job.
     """
     statuses = df.groupBy("status").agg(
-        _orders(), money_sum("amount").alias("total_amount"), F.count("*").alias("_rows")
+        F.count("order_id").alias("order_count"),
+        money_sum("amount").alias("total_amount"),
+        F.count("*").alias("_rows"),
     )
     share = percent(F.col("_rows"), F.sum("_rows").over(Window.partitionBy()))
-    return _ranked(statuses.withColumn("percentage", share).drop("_rows"), "order_count", "status")
+    return STATUS_DISTRIBUTION.order(statuses.withColumn("percentage", share).drop("_rows"))
 
 
 KPIS = {
@@ -168,36 +204,62 @@ KPIS = {
 }
 
 
-# The grouping columns of each KPI.
-KPI_KEYS = {
-    "monthly_revenue": ("year", "month", "month_name"),
-    "profit_margin": (),
-    "region_sales": ("ship_state",),
-    "aov": (),
-    "category_performance": ("category",),
-    "fulfillment_performance": ("fulfilled_by",),
-    "b2b_analysis": ("b2b",),
-    "promotion_impact": ("has_promotion",),
-    "top_products": ("asin", "category", "style"),
-    "status_distribution": ("status",),
-}
-
-
 def calculate_kpis(df: DataFrame) -> dict[str, DataFrame]:
     """All ten, unevaluated. `df` should be stored, as each one scans it."""
     return {name: kpi(df) for name, kpi in KPIS.items()}
 
 
+# ---- several KPIs in one scan ----------------------------------------------
+
+GROUPED_KPIS = {name: kpi for name, kpi in VALID_SALE_KPIS.items() if kpi.keys}
+
+
+def grouped_kpis(df: DataFrame) -> DataFrame:
+    """The groups of all KPIs with keys, by grouping sets: one scan for seven KPIs.
+
+    A row has the name of its KPI, its keys and all measures; `pick_kpi` takes
+    one KPI out. The KPI name comes from the grouping id, since a null key can
+    also be a group of its own.
+    """
+    keys = sorted({k for kpi in GROUPED_KPIS.values() for k in kpi.keys})
+    measures = {m for kpi in GROUPED_KPIS.values() for m in kpi.measures}
+    sets = [[F.col(k) for k in kpi.keys] for kpi in GROUPED_KPIS.values()]
+    name = reduce(
+        lambda named, item: F.when(F.col("_id") == _grouping_id(item[1], keys), item[0]).otherwise(
+            named
+        ),
+        GROUPED_KPIS.items(),
+        F.lit(None).cast("string"),
+    )
+    groups = (
+        valid_sales(df)
+        .groupingSets(sets, *keys)
+        .agg(F.grouping_id().alias("_id"), *_measured(df, tuple(sorted(measures))))
+    )
+    return groups.withColumn("kpi", name).drop("_id")
+
+
+def _grouping_id(kpi: Kpi, keys: list[str]) -> int:
+    """The bit of a key is set when the grouping set lacks it; the last key has bit 0."""
+    return sum(1 << bit for bit, k in enumerate(reversed(keys)) if k not in kpi.keys)
+
+
+def pick_kpi(groups: DataFrame, name: str) -> DataFrame:
+    """One KPI out of `grouped_kpis`, as its own function returns it."""
+    kpi = GROUPED_KPIS[name]
+    return kpi.order(groups.filter(F.col("kpi") == name).select(*kpi.keys, *kpi.measures))
+
+
 def as_measures(kpis: dict[str, DataFrame]) -> DataFrame:
     """KPIs as one long frame: (kpi, grp, measure, value), the keys joined with ``|``."""
     longs = []
     for name, df in kpis.items():
-        keys = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in KPI_KEYS[name]]
-        measures = [c for c in df.columns if c not in KPI_KEYS[name]]
+        kpi = {**VALID_SALE_KPIS, "status_distribution": STATUS_DISTRIBUTION}[name]
+        keys = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in kpi.keys]
         wide = df.select(
             F.lit(name).alias("kpi"),
             F.concat_ws("|", *keys).alias("grp"),
-            *[F.col(m).cast("double") for m in measures],
+            *[F.col(m).cast("double") for m in kpi.measures],
         )
-        longs.append(wide.unpivot(["kpi", "grp"], measures, "measure", "value"))
+        longs.append(wide.unpivot(["kpi", "grp"], list(kpi.measures), "measure", "value"))
     return reduce(DataFrame.unionAll, longs)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,20 +49,25 @@ def missing_profile(df: DataFrame) -> DataFrame:
 
 
 def dedup_orders(
-    df: DataFrame, key: str = "order_id", order_by: Sequence[str] | None = None
+    df: DataFrame,
+    key: str = "order_id",
+    order_by: Sequence[str] = (),
+    copies: str | None = None,
 ) -> DataFrame:
-    """Keep one row per `key`: the first by `order_by`, by default all other columns.
+    """Keep one row per `key`: the smallest by `order_by`, ties by all other columns.
 
-    The order must be total for the survivor not to depend on partitioning;
-    over all columns it is, because rows that still tie are equal. Spark limits
-    each key to one row before the shuffle, so a key that holds a large part of
-    the input sends one row per task. Rows without a key count as one order.
+    Rows that tie on everything are equal, so the survivor depends on neither
+    partitioning nor arrival. As an aggregate this keeps one row per key and
+    task before the shuffle: a key that holds a large part of the input costs
+    no more than others. Rows without a key count as one order. `copies` names
+    a column for the number of rows that each survivor stands for.
     """
-    ranking = order_by or [c for c in df.columns if c != key]
-    first = Window.partitionBy(key).orderBy(*[F.col(f"`{c}`").asc_nulls_first() for c in ranking])
-    return (
-        df.withColumn("_place", F.row_number().over(first)).filter("_place = 1").drop("_place")
-    )
+    others = [c for c in df.columns if c != key]
+    ranking = [*order_by, *(c for c in others if c not in order_by)]
+    smallest = F.min(F.struct(*[F.col(f"`{c}`") for c in ranking])).alias("_row")
+    counted = [F.count("*").alias(copies)] if copies else []
+    kept = [F.col(c) if c == key else F.col(f"_row.`{c}`") for c in df.columns]
+    return df.groupBy(key).agg(smallest, *counted).select(*kept, *([copies] if copies else []))
 
 
 def dedup_report(df: DataFrame, key: str = "order_id") -> DataFrame:
@@ -96,7 +101,10 @@ def settle(df: DataFrame) -> DataFrame:
 
 
 def clean_sales(
-    df: DataFrame, key: str = "order_id", order_by: Sequence[str] | None = None
+    df: DataFrame,
+    key: str = "order_id",
+    order_by: Sequence[str] = (),
+    copies: str | None = None,
 ) -> DataFrame:
     """One settled row per order."""
-    return settle(dedup_orders(df, key, order_by))
+    return settle(dedup_orders(df, key, order_by, copies))

@@ -1,4 +1,4 @@
-"""The summary report."""
+"""Reports over enriched orders."""
 
 from __future__ import annotations
 
@@ -22,3 +22,11 @@ def summary_report(df: DataFrame) -> DataFrame:
         two_places(lost * 100).alias("Cancellation_Rate_Pct"),
     )
     return metrics.unpivot([], metrics.columns, "metric", "value")
+
+
+def ingest_report(enriched: DataFrame) -> DataFrame:
+    """One row: input rows, orders kept and duplicates removed, from stored orders."""
+    return enriched.agg(
+        F.coalesce(F.sum("source_rows"), F.lit(0)).alias("row_count"),
+        F.count("*").alias("order_rows"),
+    ).withColumn("duplicates_removed", F.col("row_count") - F.col("order_rows"))

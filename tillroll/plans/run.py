@@ -3,45 +3,63 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.operators.enrich import MARGIN, PLATFORM_LABEL, enrich_sales
-from tillroll.operators.kpis import calculate_kpis
-from tillroll.operators.quality import dedup_orders, settle
-from tillroll.plans.report import summary_report
+from tillroll.operators.kpis import GROUPED_KPIS, KPIS, grouped_kpis, pick_kpi
+from tillroll.operators.quality import clean_sales
+from tillroll.plans.report import ingest_report, summary_report
 from tillroll.sinks.tables import write_enriched, write_kpis, write_summary
 from tillroll.sources.orders import read_orders_parquet
+from tillroll.staging import new_folder
+
+
+@dataclass(frozen=True)
+class Results:
+    """Frames over what the job stored; they stay usable after it."""
+
+    enriched: DataFrame
+    kpis: dict[str, DataFrame]
+    summary: DataFrame
+    ingest: DataFrame
 
 
 def run(
     orders: DataFrame,
     output: str,
     key: str = "order_id",
-    order_by: Sequence[str] | None = None,
+    order_by: Sequence[str] = (),
     margin: float = MARGIN,
     platform_label: str = PLATFORM_LABEL,
-) -> tuple[DataFrame, dict[str, DataFrame], dict[str, int]]:
-    """Returns the stored enriched orders, the stored KPIs and the row counts.
+) -> Results:
+    """Clean and enrich `orders` into `output`, then compute the KPIs from there.
 
-    `orders` is read once: counting, duplicates, defaults and derived columns
-    end in one Parquet write, and the KPIs read only their columns of that. The
-    files outlive lost executors, so no KPI goes back to the raw input.
+    `orders` is read once. The enriched rows keep how many input rows each one
+    stands for, so the input size needs neither a second read nor counters that
+    a retried task would advance twice. The KPIs with keys come from one scan of
+    the stored rows; the other three read two or three of its columns.
     """
     spark = orders.sparkSession
-    raw, kept = Observation(), Observation()
-
-    counted = orders.observe(raw, F.count(F.lit(1)).alias("rows"))
-    unique = dedup_orders(counted, key, order_by).observe(kept, F.count(F.lit(1)).alias("rows"))
+    clean = clean_sales(orders, key, order_by, copies="source_rows")
     enriched_path = f"{output}/enriched_sales_data"
-    write_enriched(enrich_sales(settle(unique), margin, platform_label), enriched_path)
-
+    write_enriched(enrich_sales(clean, margin, platform_label), enriched_path)
     enriched = read_orders_parquet(spark, enriched_path)
-    paths = write_kpis(calculate_kpis(enriched), output)
-    write_summary(summary_report(enriched), output)
 
-    kpis = {name: read_orders_parquet(spark, path) for name, path in paths.items()}
-    rows = {"raw": raw.get["rows"], "unique": kept.get["rows"]}
-    rows["duplicates_removed"] = rows["raw"] - rows["unique"]
-    return enriched, kpis, rows
+    staged = new_folder(spark, "kpi-groups")
+    grouped_kpis(enriched).write.partitionBy("kpi").parquet(staged)
+    groups = spark.read.parquet(staged)
+    kpis = {
+        name: pick_kpi(groups, name) if name in GROUPED_KPIS else kpi(enriched)
+        for name, kpi in KPIS.items()
+    }
+    paths = write_kpis(kpis, output)
+    summary_path = write_summary(summary_report(enriched), output)
+    return Results(
+        enriched=enriched,
+        kpis={name: read_orders_parquet(spark, path) for name, path in paths.items()},
+        summary=read_orders_parquet(spark, summary_path),
+        ingest=ingest_report(enriched),
+    )

@@ -31,6 +31,7 @@ INPUT_HEADERS = {
 
 # Headers of derived columns and of KPI measures.
 DERIVED_HEADERS = {
+    "source_rows": "Source_Rows",
     "is_valid_sale": "Is_Valid_Sale",
     "cost": "Cost",
     "profit": "Profit",
