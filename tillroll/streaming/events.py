@@ -36,12 +36,25 @@ def daily_revenue(purchases: DataFrame, delay: str = DELAY) -> DataFrame:
     )
 
 
-def drop_repeats(events: DataFrame, key: Sequence[str], delay: str = DELAY) -> DataFrame:
+def drop_repeats(
+    events: DataFrame, key: Sequence[str], delay: str = DELAY, salts: int = 1
+) -> DataFrame:
     """One row per key among those that arrive within `delay` of each other.
 
     Keys are forgotten after `delay`, so the state does not grow with the stream.
+    With `salts` the copies of a key are first thinned out by that many tasks,
+    for streams where one key can be repeated without end; the second pass then
+    sees at most `salts` rows of it. Which task a copy goes to does not matter.
     """
-    return events.withWatermark("ts", delay).dropDuplicatesWithinWatermark(list(key))
+    timed = events.withWatermark("ts", delay)
+    if salts > 1:
+        salt = F.floor(F.rand() * salts).cast("int")
+        timed = (
+            timed.withColumn("_salt", salt)
+            .dropDuplicatesWithinWatermark([*key, "_salt"])
+            .drop("_salt")
+        )
+    return timed.dropDuplicatesWithinWatermark(list(key))
 
 
 def purchase_sessions(
