@@ -39,21 +39,21 @@ def test_status_distribution_covers_all_orders(enriched):
     assert abs(total(shares, "percentage") - 100) < 0.05
 
 
-@pytest.mark.parametrize("name", sorted(kpis.GROUPED_KPIS))
-def test_one_scan_gives_the_same_kpis(enriched, name):
-    together = kpis.pick_kpi(kpis.grouped_kpis(enriched), name)
+@pytest.mark.parametrize("name", kpis.ROLLUP_KPIS)
+def test_the_rollup_gives_the_same_kpis(enriched, name):
+    rolled = kpis.KPIS[name](kpis.sales_rollup(enriched))
     alone = kpis.KPIS[name](enriched)
-    assert together.columns == alone.columns
-    assert_same(together.toPandas(), alone.toPandas())
+    assert rolled.dtypes == alone.dtypes
+    assert_same(rolled.toPandas(), alone.toPandas())
 
 
 def test_null_keys_are_groups_of_their_own(spark):
     df = enrich(spark, {"fulfilled_by": None, "b2b": None}, {"order_id": "O2"})
     for name, key in [("fulfillment_performance", "fulfilled_by"), ("b2b_analysis", "b2b")]:
         alone = values(kpis.KPIS[name](df), key, "order_count")
-        together = values(kpis.pick_kpi(kpis.grouped_kpis(df), name), key, "order_count")
+        rolled = values(kpis.KPIS[name](kpis.sales_rollup(df)), key, "order_count")
         assert len(alone) == 2 and (None, 1) in alone
-        assert sorted(alone, key=str) == sorted(together, key=str)
+        assert sorted(alone, key=str) == sorted(rolled, key=str)
 
 
 def test_orders_without_id_count_in_the_share_only(spark):
@@ -86,7 +86,7 @@ def test_no_valid_sales(spark):
     df = enrich(spark, {"status": "Cancelled"})
     assert values(kpis.profit_margin(df), "total_revenue", "profit_margin_pct") == [(None, None)]
     assert kpis.monthly_revenue(df).count() == 0
-    assert kpis.grouped_kpis(df).count() == 0
+    assert kpis.monthly_revenue(kpis.sales_rollup(df)).count() == 0
     assert kpis.status_distribution(df).first().percentage == 100.0
 
 
@@ -94,6 +94,8 @@ def test_no_orders_at_all(spark):
     df = enrich(spark, {}).limit(0)
     for name, kpi in kpis.KPIS.items():
         assert kpi(df).count() == (1 if name in ("profit_margin", "aov") else 0)
+        if name in kpis.ROLLUP_KPIS:
+            assert kpi(kpis.sales_rollup(df)).collect() == kpi(df).collect()
     assert values(summary_report(df), "metric", "value") == [
         ("Total_Orders", 0.0),
         ("Valid_Sales", 0.0),
@@ -124,7 +126,8 @@ def test_monthly_revenue_is_in_calendar_order(spark):
 
 def test_fractional_units_are_kept(spark):
     df = enrich(spark, {"qty": "1.5"}, {"qty": "2"}, types={"qty": "string"})
-    assert kpis.monthly_revenue(df).first().total_units_sold == 3.5
+    for source in (df, kpis.sales_rollup(df)):
+        assert kpis.monthly_revenue(source).first().total_units_sold == 3.5
 
 
 def test_cents_do_not_depend_on_partitioning(spark):

@@ -25,12 +25,13 @@ def two_places(value: Column) -> Column:
     return F.round(value.cast(WIDE), 2).cast("double")
 
 
-def money_sum(name: str) -> Column:
-    return F.round(F.sum(F.col(name).cast(MONEY)), 2).cast("double")
+def cents(total: Column) -> Column:
+    """An exact decimal sum as a double with two decimals."""
+    return F.round(total, 2).cast("double")
 
 
-def money_avg(name: str) -> Column:
-    return two_places(F.avg(F.col(name).cast(MONEY)))
+def money_sum(name: str) -> Column:
+    return cents(F.sum(F.col(name).cast(MONEY)))
 
 
 def percent(part: Column, whole: Column) -> Column:
@@ -38,13 +39,6 @@ def percent(part: Column, whole: Column) -> Column:
     return two_places(F.try_divide(part.cast("double"), whole.cast("double")) * 100)
 
 
-def units_sum(df: DataFrame, name: str) -> Column:
-    """Whole units stay integers; fractional ones are summed like money."""
-    if isinstance(df.schema[name].dataType, T.IntegralType):
-        return F.sum(name)
-    return money_sum(name)
-
-
 def number_from_text(text: Column) -> Column:
     """The number in a money text such as ``INR 1,234.50``.
 

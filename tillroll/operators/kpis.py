@@ -1,8 +1,12 @@
-"""The ten business KPIs over enriched orders.
+"""The ten business KPIs over enriched orders, or over a rollup of them.
 
 All but the status distribution read valid sales only. Each is an aggregate
 with partial results before the shuffle, so a dominant group (`Unknown` states,
 one best seller) costs one row per task. Rankings are whole; `top` cuts one.
+
+The measures are sums of a few facts per order, or quotients of such sums. So
+the same KPI comes out of the orders and out of `sales_rollup`, which has the
+facts summed up by all the small keys in one scan.
 """
 
 from __future__ import annotations
@@ -13,15 +17,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tillroll.functions.money import (
-    MONEY,
-    money_avg,
-    money_sum,
-    percent,
-    two_places,
-    units_sum,
-)
+from tillroll.functions.money import MONEY, cents, percent, two_places
 from tillroll.schema import DELIVERED
 
 TOP_K = 10
@@ -41,28 +39,60 @@ class Kpi:
         return df.orderBy(*self.sorted_by) if self.sorted_by else df
 
 
-def _margin(df: DataFrame) -> Column:
-    return percent(F.sum(F.col("profit").cast(MONEY)), F.sum(F.col("amount").cast(MONEY)))
+# ---- facts: what an order adds to the sums ---------------------------------
+
+# Name -> (column it comes from, its value in one order). Money is decimal, so
+# the sums are exact in whatever order and in however many steps they are made.
+FACTS: dict[str, tuple[str, Callable[[DataFrame], Column]]] = {
+    "fact_revenue": ("amount", lambda df: F.col("amount").cast(MONEY)),
+    "fact_profit": ("profit", lambda df: F.col("profit").cast(MONEY)),
+    "fact_units": ("qty", lambda df: F.col("qty").cast(_units_type(df))),
+    "fact_orders": ("order_id", lambda df: F.col("order_id").isNotNull().cast("bigint")),
+    "fact_delivered": ("status", lambda df: F.when(_delivered(), 1).otherwise(0).cast("bigint")),
+    "fact_rows": ("is_valid_sale", lambda df: F.lit(1).cast("bigint")),
+}
+
+
+def _units_type(df: DataFrame) -> str:
+    """Whole units stay integers; fractional ones are summed like money."""
+    return "bigint" if isinstance(df.schema["qty"].dataType, T.IntegralType) else MONEY
+
+
+def _delivered() -> Column:
+    return F.col("status").contains(DELIVERED)
+
+
+def with_facts(df: DataFrame) -> DataFrame:
+    """Facts for the columns that `df` has; a rollup has its facts already."""
+    if "fact_rows" in df.columns:
+        return df
+    known = set(df.columns)
+    return df.withColumns({n: fact(df) for n, (source, fact) in FACTS.items() if source in known})
+
+
+def _units(df: DataFrame) -> Column:
+    whole = isinstance(df.schema["fact_units"].dataType, T.IntegralType)
+    return F.sum("fact_units") if whole else cents(F.sum("fact_units"))
 
 
-def _delivery_rate(df: DataFrame) -> Column:
-    """Share of sales whose status text has ``Delivered`` in it."""
-    return percent(F.count_if(F.col("status").contains(DELIVERED)), F.count("*"))
+def _average(df: DataFrame) -> Column:
+    return two_places(F.sum("fact_revenue").cast("double") / F.sum("fact_rows"))
 
 
 MEASURES: dict[str, Callable[[DataFrame], Column]] = {
-    "total_revenue": lambda df: money_sum("amount"),
-    "total_profit": lambda df: money_sum("profit"),
-    "profit_margin_pct": _margin,
-    "order_count": lambda df: F.count("order_id"),
-    "total_units": lambda df: units_sum(df, "qty"),
-    "total_units_sold": lambda df: units_sum(df, "qty"),
-    "avg_order_value": lambda df: money_avg("amount"),
-    "average_order_value": lambda df: money_avg("amount"),
+    "total_revenue": lambda df: cents(F.sum("fact_revenue")),
+    "total_profit": lambda df: cents(F.sum("fact_profit")),
+    "profit_margin_pct": lambda df: percent(F.sum("fact_profit"), F.sum("fact_revenue")),
+    "order_count": lambda df: F.sum("fact_orders"),
+    "total_units": _units,
+    "total_units_sold": _units,
+    "avg_order_value": _average,
+    "delivery_success_rate": lambda df: percent(F.sum("fact_delivered"), F.sum("fact_rows")),
+    "average_order_value": _average,
+    # The last three need the orders themselves.
     "max_order_value": lambda df: two_places(F.max("amount")),
     "min_order_value": lambda df: two_places(F.min("amount")),
     "std_dev": lambda df: two_places(F.stddev_samp("amount")),
-    "delivery_success_rate": _delivery_rate,
 }
 
 VALID_SALE_KPIS = {
@@ -112,14 +142,11 @@ def valid_sales(df: DataFrame) -> DataFrame:
     return df.filter("is_valid_sale")
 
 
-def _measured(df: DataFrame, names: tuple[str, ...]) -> list[Column]:
-    return [MEASURES[m](df).alias(m) for m in names]
-
-
 def kpi_groups(df: DataFrame, name: str) -> DataFrame:
     """One KPI over valid sales, not yet in order."""
     kpi = VALID_SALE_KPIS[name]
-    return valid_sales(df).groupBy(*kpi.keys).agg(*_measured(df, kpi.measures))
+    sales = with_facts(valid_sales(df))
+    return sales.groupBy(*kpi.keys).agg(*[MEASURES[m](sales).alias(m) for m in kpi.measures])
 
 
 def _ordered(df: DataFrame, name: str) -> DataFrame:
@@ -181,10 +208,14 @@ def status_distribution(df: DataFrame) -> DataFrame:
     The share divides by a window sum over the aggregated rows, one per status,
     so the total costs neither a second scan nor a second job.
     """
-    statuses = df.groupBy("status").agg(
-        F.count("order_id").alias("order_count"),
-        money_sum("amount").alias("total_amount"),
-        F.count("*").alias("_rows"),
+    statuses = (
+        with_facts(df)
+        .groupBy("status")
+        .agg(
+            F.sum("fact_orders").alias("order_count"),
+            cents(F.sum("fact_revenue")).alias("total_amount"),
+            F.sum("fact_rows").alias("_rows"),
+        )
     )
     share = percent(F.col("_rows"), F.sum("_rows").over(Window.partitionBy()))
     return STATUS_DISTRIBUTION.order(statuses.withColumn("percentage", share).drop("_rows"))
@@ -209,45 +240,31 @@ def calculate_kpis(df: DataFrame) -> dict[str, DataFrame]:
     return {name: kpi(df) for name, kpi in KPIS.items()}
 
 
-# ---- several KPIs in one scan ----------------------------------------------
-
-GROUPED_KPIS = {name: kpi for name, kpi in VALID_SALE_KPIS.items() if kpi.keys}
+# ---- several KPIs from one scan --------------------------------------------
+
+# Keys with few values each. Products have many and are left to their own scan.
+ROLLUP_KEYS = (
+    "year",
+    "month",
+    "month_name",
+    "ship_state",
+    "category",
+    "fulfilled_by",
+    "b2b",
+    "has_promotion",
+    "status",
+    "is_valid_sale",
+)
+ROLLUP_KPIS = tuple(n for n in KPIS if n not in ("aov", "top_products"))
 
 
-def grouped_kpis(df: DataFrame) -> DataFrame:
-    """The groups of all KPIs with keys, by grouping sets: one scan for seven KPIs.
+def sales_rollup(df: DataFrame) -> DataFrame:
+    """Facts of all orders by `ROLLUP_KEYS`; the KPIs in `ROLLUP_KPIS` can be taken of it.
 
-    A row has the name of its KPI, its keys and all measures; `pick_kpi` takes
-    one KPI out. The KPI name comes from the grouping id, since a null key can
-    also be a group of its own.
+    Each order is aggregated once, in its task, for eight KPIs together.
     """
-    keys = sorted({k for kpi in GROUPED_KPIS.values() for k in kpi.keys})
-    measures = {m for kpi in GROUPED_KPIS.values() for m in kpi.measures}
-    sets = [[F.col(k) for k in kpi.keys] for kpi in GROUPED_KPIS.values()]
-    name = reduce(
-        lambda named, item: F.when(F.col("_id") == _grouping_id(item[1], keys), item[0]).otherwise(
-            named
-        ),
-        GROUPED_KPIS.items(),
-        F.lit(None).cast("string"),
-    )
-    groups = (
-        valid_sales(df)
-        .groupingSets(sets, *keys)
-        .agg(F.grouping_id().alias("_id"), *_measured(df, tuple(sorted(measures))))
-    )
-    return groups.withColumn("kpi", name).drop("_id")
-
-
-def _grouping_id(kpi: Kpi, keys: list[str]) -> int:
-    """The bit of a key is set when the grouping set lacks it; the last key has bit 0."""
-    return sum(1 << bit for bit, k in enumerate(reversed(keys)) if k not in kpi.keys)
-
-
-def pick_kpi(groups: DataFrame, name: str) -> DataFrame:
-    """One KPI out of `grouped_kpis`, as its own function returns it."""
-    kpi = GROUPED_KPIS[name]
-    return kpi.order(groups.filter(F.col("kpi") == name).select(*kpi.keys, *kpi.measures))
+    orders = with_facts(df)
+    return orders.groupBy(*ROLLUP_KEYS).agg(*[F.sum(fact).alias(fact) for fact in FACTS])
 
 
 def as_measures(kpis: dict[str, DataFrame]) -> DataFrame:

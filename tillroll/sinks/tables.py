@@ -6,6 +6,8 @@ commit them as a whole, so nothing is prepared on the driver.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.schema import headed
@@ -33,11 +35,18 @@ def write_enriched(df: DataFrame, path: str) -> None:
 def write_kpis(kpis: dict[str, DataFrame], base: str) -> dict[str, str]:
     """Each KPI to ``{base}/kpis/{name}``; returns the paths.
 
-    The number of files is left to Spark: a KPI per product can be large.
+    The writes do not depend on each other, so they are submitted together and
+    share the cluster. The number of files is left to Spark: a KPI per product
+    can be large.
     """
     paths = {name: f"{base}/kpis/{name}" for name in kpis}
-    for name, kpi in kpis.items():
-        headed(kpi).write.mode("overwrite").parquet(paths[name])
+
+    def write(name: str) -> None:
+        headed(kpis[name]).write.mode("overwrite").parquet(paths[name])
+
+    with ThreadPoolExecutor(max_workers=len(kpis)) as pool:
+        for done in [pool.submit(write, name) for name in kpis]:
+            done.result()
     return paths
 
 
