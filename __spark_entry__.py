@@ -16,7 +16,7 @@ from tillroll.functions.money import normalise_numeric
 from tillroll.operators import extras, kpis, quality
 from tillroll.operators.enrich import enrich_sales
 from tillroll.plans.report import summary_report
-from tillroll.plans.run import run
+from tillroll.plans.run import run, stored_rollup
 from tillroll.schema import canonical, headed
 from tillroll.sinks.tables import register_external, save_managed, write_enriched, write_summary
 from tillroll.sources.orders import read_orders_csv, read_orders_parquet
@@ -175,6 +175,12 @@ def stream_ingest_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _drained(spark, "enriched-stream", order_stream.enrich_stream(orders))
 
 
+def stream_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """KPIs over what the order stream has stored, as (kpi, grp, measure, value) rows."""
+    rollup = stored_rollup(stream_ingest_parquet(spark, sf_dir))
+    return kpis.as_measures({name: kpis.KPIS[name](rollup) for name in kpis.ROLLUP_KPIS})
+
+
 def stream_daily_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     purchases = events.read_purchases(stream_session(spark), sf_dir)
     return _drained(spark, "daily-revenue", events.daily_revenue(purchases))
@@ -232,6 +238,7 @@ def queries() -> dict[str, Query]:
         "json_parse": json_parse,
         "stream_json_ingest": stream_json_ingest,
         "stream_ingest_parquet": stream_ingest_parquet,
+        "stream_kpis": stream_kpis,
         "stream_daily_revenue": stream_daily_revenue,
         "stream_dedup": stream_dedup,
         "stream_sessions": stream_sessions,

@@ -128,6 +128,7 @@ JOB_STAGES = (
     stages(f"{LINES}, {FIRST_BY_ALL}", "firsts")
     + ", valid AS (SELECT * FROM enriched WHERE is_valid_sale)"
 )
+LINE_STAGES = stages(LINES) + ", valid AS (SELECT * FROM enriched WHERE is_valid_sale)"
 ENRICHED_NAMES = f"""{NAMES}, is_valid_sale, cost, profit, profit_margin_pct, price_per_item,
     is_b2b, is_platform_fulfilled, has_promotion"""
 
@@ -260,6 +261,8 @@ ORACLES = {
     "json_parse": "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",
     "stream_json_ingest": f"{LINES} SELECT {NAMES} FROM flat",
     "stream_ingest_parquet": f"{stages(LINES)} SELECT {ENRICHED_NAMES} FROM enriched",
+    "stream_kpis": f"{LINE_STAGES} "
+    + " UNION ALL ".join(kpi_measures(n) for n in KPIS if n not in ("aov", "top_products")),
     "stream_daily_revenue": f"""WITH {PURCHASES}
         SELECT date_trunc('day', ts)::TIMESTAMP AS day, count(*) AS purchases,
             {money_sum('value')} AS revenue

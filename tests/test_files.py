@@ -7,6 +7,7 @@ from check import assert_same
 from pyspark.sql import functions as F
 from rows import ORDER_TYPES, orders, values
 
+import job
 from tillroll import staging
 from tillroll.operators import kpis
 from tillroll.operators.enrich import enrich_sales
@@ -178,3 +179,34 @@ def test_staging_follows_the_session(spark, monkeypatch):
 def test_types_of_the_flat_table(spark, sf_dir):
     assert dict(sales_lines(spark, sf_dir).dtypes) == ORDER_TYPES
     assert sales_lines(spark, sf_dir).filter(F.col("qty").isNull()).count() > 0
+
+
+def test_a_large_month_is_split_over_files(spark, tmp_path):
+    """Two thirds of the orders in one month: several files there, one for each other month."""
+    path = str(tmp_path / "enriched")
+    df = spark.range(0, 60_000, 1, 8).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("order_id"),
+        F.lit(2022).alias("year"),
+        F.greatest(F.lit(1), F.col("id") % 36 - 23).cast("int").alias("month"),
+    )
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "512k")
+    try:
+        write_enriched(df, path)
+    finally:
+        spark.conf.set(size, before)
+    files = {
+        m: sum(f.endswith(".parquet") for f in os.listdir(f"{path}/Year=2022/Month={m}"))
+        for m in range(1, 13)
+    }
+    assert files[1] > 1 and set(list(files.values())[1:]) == {1}
+    assert spark.read.parquet(path).count() == 60_000
+
+
+def test_job_from_the_command_line(spark, csv_dir, tmp_path):
+    done = job.main([csv_dir, str(tmp_path / "out"), "--margin", "0.5", "--platform-label", "Own"])
+    assert values(done.kpis["profit_margin"], "total_profit", "profit_margin_pct") == [
+        (600.25, 50.0)
+    ]
+    assert done.enriched.agg(F.sum("is_platform_fulfilled")).first()[0] == 2

@@ -1,0 +1,121 @@
+"""Operators against plain Python on generated rows."""
+
+import math
+import re
+from collections import defaultdict
+from decimal import ROUND_HALF_UP, Decimal
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from rows import orders, text, values
+
+from tillroll.functions.money import normalise_numeric
+from tillroll.operators import extras, kpis
+from tillroll.operators.enrich import enrich_sales
+from tillroll.operators.quality import dedup_orders, missing_profile, settle
+
+FEW = settings(
+    max_examples=8,
+    deadline=None,
+    derandomize=True,
+    suppress_health_check=[HealthCheck.function_scoped_fixture],
+)
+
+CELLS = st.one_of(
+    st.none(),
+    st.text(alphabet="0123456789.,- INRabceE+$\t", max_size=12),
+    st.decimals(-10**6, 10**6, places=2).map(lambda d: f"INR {d:,}"),
+)
+AMOUNTS = st.integers(-500, 10**7).map(lambda n: n / 100)
+ORDERS = st.lists(
+    st.fixed_dictionaries(
+        {
+            "order_id": st.sampled_from(["O1", "O2", "O3", "O4", None]),
+            "amount": st.one_of(st.none(), AMOUNTS),
+            "qty": st.one_of(st.none(), st.integers(-1, 9)),
+            "status": st.sampled_from(["Shipped", "Cancelled", "Delivered", None]),
+            "ship_state": st.sampled_from(["A", "B", " ", "", None]),
+        }
+    ),
+    min_size=1,
+    max_size=30,
+)
+
+
+def number(cell):
+    """The normaliser in plain Python."""
+    if cell is None or not cell.strip(" "):
+        return None
+    bare = cell.strip(" ")
+    if re.fullmatch(r"[+-]?[0-9]+(\.[0-9]*)?[eE][+-]?[0-9]+", bare):
+        return float(bare)
+    try:
+        return float(re.sub(r"[^0-9.-]", "", cell))
+    except ValueError:
+        return None
+
+
+def cents(x):
+    return float(x.quantize(Decimal("0.01"), ROUND_HALF_UP))
+
+
+@FEW
+@given(cells=st.lists(CELLS, min_size=1, max_size=60))
+def test_numbers_in_text(spark, cells):
+    got = [r.amount for r in normalise_numeric(text(spark, "amount", *cells), ["amount"]).collect()]
+    assert got == [number(c) for c in cells]
+
+
+@FEW
+@given(changes=ORDERS)
+def test_dedup_keeps_the_smallest_row(spark, changes):
+    df = orders(spark, *changes)
+    groups = defaultdict(list)
+    for row in df.collect():
+        groups[row.order_id].append(tuple((v is not None, v) for v in row[1:]))
+    kept = dedup_orders(df, copies="n").collect()
+    got = {r.order_id: tuple((v is not None, v) for v in r[1:-1]) for r in kept}
+    assert {r.order_id: r.n for r in kept} == {k: len(rows) for k, rows in groups.items()}
+    assert got == {k: min(rows) for k, rows in groups.items()}
+
+
+@FEW
+@given(changes=ORDERS)
+def test_profile_counts(spark, changes):
+    df = orders(spark, *changes)
+    rows = df.collect()
+    for line in missing_profile(df).collect():
+        cells = [r[line.column_name] for r in rows]
+        blank = [c for c in cells if isinstance(c, str) and not c.strip(" ")]
+        assert (line.null_count, line.blank_count) == (cells.count(None), len(blank))
+
+
+@FEW
+@given(changes=ORDERS)
+def test_region_sales(spark, changes):
+    df = enrich_sales(settle(orders(spark, *changes)))
+    wanted = defaultdict(list)
+    for c in changes:
+        if c["status"] != "Cancelled" and (c["amount"] or 0) > 0:
+            state = "Unknown" if c["ship_state"] is None else c["ship_state"]
+            wanted[state].append(c)
+    for source in (df, kpis.sales_rollup(df)):
+        got = kpis.region_sales(source)
+        assert {r[0]: tuple(r[1:4]) for r in got.collect()} == {
+            state: (
+                cents(sum(Decimal(str(c["amount"])) for c in sales)),
+                sum(c["order_id"] is not None for c in sales),
+                sum(c["qty"] or 0 for c in sales),
+            )
+            for state, sales in wanted.items()
+        }
+
+
+@FEW
+@given(amounts=st.lists(st.integers(1, 10**9), min_size=1, max_size=40), share=st.floats(0, 1))
+def test_exact_quantile(spark, amounts, share):
+    df = enrich_sales(settle(orders(spark, *[{"amount": a / 100} for a in amounts])))
+    place = max(1, math.ceil(share * len(amounts)))
+    assert values(extras.aov_percentiles(df, [share]), "amount") == [
+        (sorted(amounts)[place - 1] / 100,)
+    ]

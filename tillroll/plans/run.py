@@ -27,6 +27,14 @@ class Results:
     ingest: DataFrame
 
 
+def stored_rollup(enriched: DataFrame) -> DataFrame:
+    """`sales_rollup`, written once so that no KPI goes back to the orders."""
+    spark = enriched.sparkSession
+    path = new_folder(spark, "sales-rollup")
+    sales_rollup(enriched).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def run(
     orders: DataFrame,
     output: str,
@@ -48,9 +56,7 @@ def run(
     write_enriched(enrich_sales(clean, margin, platform_label), enriched_path)
     enriched = read_orders_parquet(spark, enriched_path)
 
-    rollup_path = new_folder(spark, "sales-rollup")
-    sales_rollup(enriched).write.parquet(rollup_path)
-    rollup = spark.read.parquet(rollup_path)
+    rollup = stored_rollup(enriched)
     kpis = {n: kpi(rollup if n in ROLLUP_KPIS else enriched) for n, kpi in KPIS.items()}
     paths = write_kpis(kpis, output)
     summary_path = write_summary(summary_report(enriched), output)
