@@ -1,0 +1,89 @@
+"""Physical plans: what is read, moved and broadcast."""
+
+import re
+
+import pytest
+
+from __spark_entry__ import queries
+from tillroll.sources.star import sales_lines, unique_orders
+
+TINY = "/root/testdata/sf0.001"
+WRITERS = {"csv_roundtrip", "external_table_query", "managed_table_roundtrip", "stream_kpis"} | {
+    n for n in queries() if n.endswith("_roundtrip") or n.startswith("stream_")
+}
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    """Plans as they are when no side is small enough to be broadcast."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    yield
+    spark.conf.set(name, before)
+
+
+@pytest.mark.parametrize("name", sorted(set(queries()) - WRITERS))
+def test_no_pairs_and_no_python(spark, no_broadcast, name):
+    text = plan(queries()[name](spark, TINY))
+    for bad in ("CartesianProduct", "BroadcastNestedLoop", "EvalPython", "MapInPandas"):
+        assert bad not in text
+    assert ("BroadcastExchange" in text) == (name == "aov_percentiles")
+
+
+def test_lines_shuffle_once_for_dedup_and_orders(spark, no_broadcast):
+    """The join with the orders finds the lines where the dedup left them."""
+    text = plan(unique_orders(spark, TINY, ["order_id", "status", "amount"]))
+    assert len(re.findall(r"Exchange hashpartitioning\(l_orderkey", text)) == 1
+    assert text.count("Exchange hashpartitioning") == 2
+
+
+def test_small_sides_are_broadcast_by_size(spark):
+    """Joins of joins are over the estimate; their size is known when they have run."""
+    df = sales_lines(spark, TINY)
+    assert plan(df).count("BroadcastHashJoin") == 3
+    df.collect()
+    final = plan(df).split("== Initial Plan ==")[0]
+    assert final.count("BroadcastHashJoin") == 4 and "SortMergeJoin" not in final
+
+
+@pytest.mark.parametrize(
+    "name, columns",
+    [
+        ("dedup_report", {"l_orderkey"}),
+        ("ingest_profile", set()),
+        ("normalise_amount", {"l_orderkey", "l_partkey", "l_extendedprice"}),
+        ("json_parse", {"event_id", "props"}),
+    ],
+)
+def test_only_needed_columns_are_read(spark, name, columns):
+    text = plan(queries()[name](spark, TINY))
+    read = re.findall(r"ReadSchema: struct<(.*?)>", text)
+    assert {c.split(":")[0] for schema in read for c in schema.split(",") if c} == columns
+
+
+def test_cleaning_text_moves_nothing(spark):
+    assert "Exchange" not in plan(queries()["normalise_amount"](spark, TINY))
+
+
+def test_ranks_are_limited_before_the_shuffle(spark):
+    text = plan(queries()["top_products_per_category"](spark, TINY))
+    assert text.count("WindowGroupLimit") == 2 and "rangepartitioning" not in text
+
+
+def test_sales_filter_goes_below_the_joins(spark):
+    """Worthless lines are gone before they meet the orders."""
+    text = plan(queries()["region_sales"](spark, TINY))
+    lines = text.split("SortAggregate")[0]
+    assert re.search(r"Filter .*l_extendedprice.* > 0\.0", lines)
+
+
+def test_counts_for_quantiles_are_made_once(spark):
+    df = queries()["aov_percentiles"](spark, TINY)
+    df.collect()
+    final = plan(df).split("== Initial Plan ==")[0]
+    assert len(re.findall(r"FileScan parquet \[l_", final)) == 1

@@ -72,38 +72,38 @@ def aov_percentiles(df: DataFrame, shares: Sequence[float]) -> DataFrame:
     units = (F.col("amount").cast(MONEY) * 10_000).cast("bigint")
     counts = valid_sales(df).groupBy(units.alias("units")).agg(F.count("*").alias("n"))
 
-    wanted = F.explode(F.array(*[F.lit(float(s)) for s in shares])).alias("share")
+    # The first digit is the same question for all quantiles, over one running count.
+    wanted = F.explode(F.array(*[F.lit(float(s)) for s in dict.fromkeys(shares)]))
     place = F.greatest(F.ceil(F.col("share") * F.col("orders")), F.lit(1).cast("bigint"))
-    found = (
-        counts.agg(F.sum("n").alias("orders"))
-        .filter("orders > 0")
-        .select(wanted, "orders")
-        .select("share", place.alias("place"), F.lit(0).cast("bigint").alias("prefix"))
+    first = (
+        _count_by_digit(counts, _DIGITS - 1)
+        .withColumn("reached", F.sum("n").over(Window.orderBy("prefix")))
+        .withColumn("orders", F.sum("n").over(Window.partitionBy()))
+        .withColumn("share", wanted)
+        .withColumn("place", place)
     )
-    for digit in reversed(range(_DIGITS)):
-        found = _settle_digit(counts, found, digit * _DIGIT_BITS)
+    found = _reached(first)
+    for digit in reversed(range(_DIGITS - 1)):
+        # One row per quantile asked for, hence the broadcast.
+        known = found.withColumnRenamed("prefix", "known")
+        higher = F.shiftright("units", (digit + 1) * _DIGIT_BITS) == F.col("known")
+        longer = _count_by_digit(counts.join(F.broadcast(known), higher), digit, "share", "place")
+        upward = Window.partitionBy("share").orderBy("prefix")
+        found = _reached(longer.withColumn("reached", F.sum("n").over(upward)))
     return found.select("share", (F.col("prefix") / 10_000).cast("double").alias("amount"))
 
 
-def _settle_digit(counts: DataFrame, found: DataFrame, shift: int) -> DataFrame:
-    """Lengthen each `prefix` by the digit at `shift`; `place` becomes the rank below it.
+def _count_by_digit(counts: DataFrame, digit: int, *keys: str) -> DataFrame:
+    """Orders by the leading bits of their amount, down to `digit`."""
+    prefix = F.shiftright("units", digit * _DIGIT_BITS).alias("prefix")
+    return counts.groupBy(*keys, prefix).agg(F.sum("n").alias("n"))
 
-    `found` has one row per quantile asked for, hence the broadcast.
-    """
-    known = F.shiftright("units", shift + _DIGIT_BITS) == F.col("prefix")
-    per_digit = (
-        counts.join(F.broadcast(found), known)
-        .groupBy("share", "place", F.shiftright("units", shift).alias("longer"))
-        .agg(F.sum("n").alias("n"))
-    )
-    upward = Window.partitionBy("share").orderBy("longer")
-    return (
-        per_digit.withColumn("reached", F.sum("n").over(upward))
-        .filter("reached >= place")
-        .groupBy("share", "place")
-        .agg(F.min(F.struct("longer", (F.col("reached") - F.col("n")).alias("below"))).alias("hit"))
-        .select("share", (F.col("place") - F.col("hit.below")).alias("place"), "hit.longer")
-        .withColumnRenamed("longer", "prefix")
+
+def _reached(counts: DataFrame) -> DataFrame:
+    """Where the running count gets to each `place`, which becomes the place in there."""
+    below = F.col("reached") - F.col("n")
+    return counts.filter((below < F.col("place")) & (F.col("place") <= F.col("reached"))).select(
+        "share", (F.col("place") - below).alias("place"), "prefix"
     )
 
 
