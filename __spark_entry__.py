@@ -190,8 +190,8 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every purchase is delivered twice and kept once."""
     session = stream_session(spark)
     twice = events.read_purchases(session, sf_dir).union(events.read_purchases(session, sf_dir))
-    kept = _drained(spark, "purchases", events.drop_repeats(twice, ["event_id"], salts=4))
-    return kept.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    kept = events.drop_repeats(twice, ["event_id"], salts=4)
+    return _drained(spark, "purchases", kept.withColumn("ts", F.col("ts").cast("timestamp_ntz")))
 
 
 def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:

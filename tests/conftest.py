@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import sys
 from pathlib import Path
 
@@ -9,7 +10,7 @@ from pyspark.sql import SparkSession
 ROOT = Path(__file__).resolve().parents[1]
 sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 
-SF_DIR = "/root/testdata/sf0.01"
+SF_DIR = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
 
 
 @pytest.fixture(scope="session")

@@ -194,3 +194,10 @@ def test_growth_against_the_month_before(spark):
         (5, 50.0),
         (7, -50.0),
     ]
+
+
+def test_a_garbled_amount_does_not_stop_the_job(spark):
+    df = enrich(spark, {"amount": "9" * 30}, {"amount": "2.5"}, types={"amount": "string"})
+    for name, kpi in kpis.KPIS.items():
+        assert kpi(df).count() == 1, name
+    assert kpis.profit_margin(df).first().total_revenue == 1e30

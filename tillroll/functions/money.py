@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Four decimals hold amount * margin exactly; 18 digits stay in a long.
-MONEY = "decimal(18,4)"
+# Four decimals hold amount * margin exactly, and a garbled amount of thirty digits still fits.
+MONEY = "decimal(38,4)"
 WIDE = "decimal(38,6)"
 
 _EXPONENT_NUMBER = r"^[+-]?[0-9]+(\.[0-9]*)?[eE][+-]?[0-9]+$"

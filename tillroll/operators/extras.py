@@ -7,11 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.functions.money import MONEY, percent, two_places
+from tillroll.functions.money import percent, two_places
 from tillroll.operators.kpis import TOP_K, kpi_groups, valid_sales
 
-# An amount in ten-thousandths has at most 60 bits. Each pass settles 20 of them,
-# so its running count spans at most 2^20 rows per quantile.
+# An amount below 10^14 has at most 60 bits in ten-thousandths. Each pass settles
+# 20 of them, so its running count spans at most 2^20 rows per quantile.
 _DIGIT_BITS = 20
 _DIGITS = 3
 
@@ -69,7 +69,7 @@ def aov_percentiles(df: DataFrame, shares: Sequence[float]) -> DataFrame:
     orders are counted per amount, and each of three passes over those counts
     settles, per quantile, the next 20 bits of the answer.
     """
-    units = (F.col("amount").cast(MONEY) * 10_000).cast("bigint")
+    units = (F.col("amount").cast("decimal(18,4)") * 10_000).cast("bigint")
     counts = valid_sales(df).groupBy(units.alias("units")).agg(F.count("*").alias("n"))
 
     # The first digit is the same question for all quantiles, over one running count.

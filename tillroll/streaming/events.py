@@ -19,7 +19,7 @@ SESSION_GAP = "4 hours"
 
 
 def read_purchases(spark: SparkSession, data_dir: str) -> DataFrame:
-    """Purchases as a stream; sessions are expected to run in UTC, as the event times are."""
+    """Purchases as a stream, for a `stream_session`."""
     return (
         table_stream(spark, data_dir, "events")
         .filter("event_type = 'purchase'")

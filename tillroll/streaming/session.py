@@ -12,17 +12,16 @@ STREAM_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     # One busy user's events become sessions in each task before they are shuffled.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+    # Event times are UTC, and so are the days that windows make of them.
+    "spark.sql.session.timeZone": "UTC",
 }
 
-# Set at run time in the caller's session, so a new session would not see them.
-_CARRIED = ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone")
-
 
 def stream_session(spark: SparkSession) -> SparkSession:
     """A session on the same cluster with stream settings; the caller's stays as it is."""
     session = spark.newSession()
-    for name in _CARRIED:
-        session.conf.set(name, spark.conf.get(name))
+    partitions = "spark.sql.shuffle.partitions"  # may be set at run time, so not inherited
+    session.conf.set(partitions, spark.conf.get(partitions))
     for name, value in STREAM_CONF.items():
         session.conf.set(name, value)
     return session
