@@ -281,7 +281,8 @@ ORACLES = {
         HAVING max(ts) + INTERVAL 4 HOUR <= {CLOSED}""",
     "period_columns": f"{UNIQUE} SELECT order_id, order_date, year, month, month_name FROM flat",
     "distinct_buyers_by_month": f"""{ALL_STAGES}
-        SELECT year, month, count(DISTINCT customer_id) AS buyers FROM valid GROUP BY year, month""",
+        SELECT year, month, count(DISTINCT customer_id) AS buyers
+        FROM valid GROUP BY year, month""",
     "ship_lag": f"""{ALL_STAGES}
         SELECT year, month, count(*) AS orders,
             {two_places("avg(date_diff('day', order_date, ship_date))")} AS avg_ship_days

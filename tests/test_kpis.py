@@ -120,7 +120,8 @@ def test_ranking_and_top_settle_ties_by_key(spark):
 
 def test_monthly_revenue_is_in_calendar_order(spark):
     months = [(2023, 1, "Jan"), (2022, 12, "Dec"), (2022, 2, "Feb")]
-    df = enrich(spark, *[dict(zip(("year", "month", "month_name"), m, strict=True)) for m in months])
+    names = ("year", "month", "month_name")
+    df = enrich(spark, *[dict(zip(names, m, strict=True)) for m in months])
     assert values(kpis.monthly_revenue(df), "year", "month") == [(2022, 2), (2022, 12), (2023, 1)]
 
 

@@ -175,7 +175,8 @@ def test_defaults_come_before_number_cleaning(spark):
 
 
 def test_unknown_columns_pass_through(spark):
-    df = orders(spark, {"index": 7, "currency": "INR"}, types={"index": "int", "currency": "string"})
+    more = {"index": "int", "currency": "string"}
+    df = orders(spark, {"index": 7, "currency": "INR"}, types=more)
     row = enrich_sales(clean_sales(df)).first()
     assert (row["index"], row["currency"]) == (7, "INR")
 

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tillroll.operators.enrich import MARGIN, PLATFORM_LABEL, enrich_sales
 from tillroll.operators.kpis import KPIS, ROLLUP_KPIS, sales_rollup
