@@ -33,6 +33,18 @@ from tillroll.streaming import events
 from tillroll.streaming import orders as order_stream
 from tillroll.streaming.session import drain_to_parquet, stream_session
 
+try:  # the package `llm` may be left out
+    from corpus_pipeline import ORACLE_SQL as PIPELINE_SQL
+    from corpus_pipeline import run as run_pipeline
+    from tillroll.llm.queries import QUERIES as LLM_QUERIES
+    from tillroll.llm.sql import ORACLES as LLM_ORACLES
+except ImportError:
+    LLM_QUERIES, LLM_ORACLES = {}, {}
+else:
+    LLM_QUERIES = {**LLM_QUERIES, "pipeline": run_pipeline}
+    if PIPELINE_SQL:
+        LLM_ORACLES = {**LLM_ORACLES, "pipeline": PIPELINE_SQL}
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -242,8 +254,9 @@ def queries() -> dict[str, Query]:
         "stream_daily_revenue": stream_daily_revenue,
         "stream_dedup": stream_dedup,
         "stream_sessions": stream_sessions,
+        **LLM_QUERIES,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    return {**ORACLES, **LLM_ORACLES}
