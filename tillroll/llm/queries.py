@@ -2,16 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import exact_dedup, simhash
+from tillroll.llm import bpe, exact_dedup, packing, secret_scan, simhash
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def vocabulary() -> str:
+    """The file of the public vocabulary that the queries encode with."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(documents(spark, sf_dir), vocabulary())
+    crc = F.crc32("ids").alias("ids_crc32")
+    names = ("doc_tokens", "sequence_id", "offset", "continues")
+    return pieces.select("doc_id", "start", "length", crc, *names)
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = exact_dedup.duplicate_report(documents(spark, sf_dir))
     return report.select(
@@ -19,10 +33,32 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.roundtrip_digests(documents(spark, sf_dir), vocabulary())
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir))
     mark = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return found.select("doc_id", mark.alias("fingerprint"), "component_id")
 
 
-QUERIES = {"op4_exact_dedup": op4_exact_dedup, "op8_simhash": op8_simhash}
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(documents(spark, sf_dir))
+
+    def count(kind: str) -> Column:
+        of_kind = F.filter("base", lambda s: s["kind"] == kind)
+        return F.size(of_kind).cast("bigint").alias(f"n_{kind}")
+
+    counts = [count(k.name) for k in secret_scan.KINDS]
+    digest = F.sha2(secret_scan.spelt(F.col("base")), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, secret_scan.spelt(F.col("spans")).alias("spans"))
+
+
+QUERIES = {
+    "op3_packing": op3_packing,
+    "op4_exact_dedup": op4_exact_dedup,
+    "op5_bpe": op5_bpe,
+    "op8_simhash": op8_simhash,
+    "op10_secret_scan": op10_secret_scan,
+}

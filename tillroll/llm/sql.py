@@ -1,7 +1,9 @@
-"""DuckDB SQL for the queries that SQL can express."""
+"""DuckDB SQL for the queries that SQL can express, by plainer ways than the operators'."""
 
 from __future__ import annotations
 
+from tillroll.llm import secret_scan
+
 OP4 = r"""
 WITH texts AS (
     SELECT doc_id, length(coalesce(text, '')) AS points,
@@ -16,4 +18,74 @@ FROM texts
 WINDOW best AS (PARTITION BY text_sha256 ORDER BY points DESC, doc_id)
 """
 
-ORACLES = {"op4_exact_dedup": OP4}
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\\"", '"').replace("'", "''") + "'"
+
+
+def _matches(pattern: str, group: int) -> str:
+    """(row, start, hit, part) of every match."""
+    p = _quoted(pattern)
+    return f"""
+        SELECT row, hits[i] AS hit, parts[i] AS part,
+            list_sum(list_transform(gaps[1:i], lambda x: length(x)))
+                + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0) AS start
+        FROM (
+            SELECT row, gaps, hits, parts, unnest(range(1, len(hits) + 1)) AS i
+            FROM (
+                SELECT row, string_split_regex(t, {p}) AS gaps,
+                    regexp_extract_all(t, {p}) AS hits,
+                    regexp_extract_all(t, {p}, {group}) AS parts
+                FROM texts))"""
+
+
+def secret_scan_sql() -> str:
+    window = secret_scan.WINDOW
+    base = " UNION ALL ".join(
+        f"""SELECT row, '{k.name}' AS kind, {i} AS rank, start, start + length(hit) AS stop
+        FROM ({_matches(k.pattern, k.group)}) WHERE length(part) >= {k.least}"""
+        for i, k in enumerate(secret_scan.KINDS)
+    )
+    limits = " ".join(
+        f"WHEN regexp_matches(hit, {_quoted(form)}) THEN {secret_scan.limit(bits, window)}"
+        for _, form, bits in secret_scan.CLASSES
+    )
+    allowed = " OR ".join(
+        f"regexp_matches(hit, {_quoted(form)})" for form in secret_scan.ALLOWED
+    )
+    weights = [secret_scan.weight(c) for c in range(window + 1)]
+    counts = "".join(
+        f", count(kind) FILTER (kind = '{k.name}') AS n_{k.name}" for k in secret_scan.KINDS
+    )
+    joined = "coalesce(string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank){}, '')"
+    return f"""
+WITH texts AS (
+    SELECT doc_id, row_number() OVER () AS row, coalesce(text, '') AS t FROM documents),
+base AS ({base}),
+candidates AS (
+    SELECT row, start, hit, CASE {limits} ELSE -1 END AS most
+    FROM ({_matches(secret_scan.CANDIDATE, 0)})
+    WHERE length(hit) >= {window} AND NOT ({allowed})),
+windows AS (
+    SELECT row, start, most, pos, string_split(substr(hit, pos + 1, {window}), '') AS letters
+    FROM (SELECT *, unnest(range(0, length(hit) - {window} + 1)) AS pos FROM candidates)),
+heavy AS (
+    SELECT row, start, most, pos,
+        list_sum(list_transform(list_distinct(letters),
+            lambda c: {weights}[len(list_filter(letters, lambda x: x = c)) + 1])) AS total
+    FROM windows),
+stretches AS (
+    SELECT row, 'entropy' AS kind, {len(secret_scan.KINDS)} AS rank,
+        start + min(pos) AS start, start + max(pos) + {window} AS stop
+    FROM heavy WHERE total <= most GROUP BY row, heavy.start),
+added AS (
+    SELECT * FROM stretches s WHERE NOT EXISTS (
+        SELECT 1 FROM base b WHERE b.row = s.row AND b.start <= s.start AND b.stop >= s.stop)),
+spans AS (SELECT * FROM base UNION ALL SELECT * FROM added)
+SELECT doc_id{counts},
+    sha256({joined.format(" FILTER (kind <> 'entropy')")}) AS base_sha256,
+    {joined.format('')} AS spans
+FROM texts LEFT JOIN spans USING (row) GROUP BY row, doc_id"""
+
+
+ORACLES = {"op4_exact_dedup": OP4, "op10_secret_scan": secret_scan_sql()}
