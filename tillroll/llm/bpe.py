@@ -31,10 +31,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import raw_texts
+from tillroll.llm.common import BLOCK, blocks, raw_texts
 
 TABLE_WORDS = 250_000
-_BLOCK = 1 << 22
 _END = "</w>"
 
 # Latin letters, then ASCII punctuation. The two C3 bytes left out are the signs for times and
@@ -45,18 +44,6 @@ _LETTERS_PUNCTUATION = re.compile(
 _SPECIAL = b"<|"
 
 
-def blocks(raw: bytes, size: int = _BLOCK) -> Iterator[bytes]:
-    """`raw` in parts of about `size` bytes, cut behind a space."""
-    lo = 0
-    while len(raw) - lo > size:
-        cut = raw.find(b" ", lo + size)
-        if cut < 0:
-            break
-        yield raw[lo : cut + 1]
-        lo = cut + 1
-    yield raw[lo:] if lo else raw
-
-
 def split_words(raw: bytes) -> list[bytes]:
     """Words, lower-cased (A-Z) unless they could hold a special token."""
     if _SPECIAL not in raw:
@@ -128,13 +115,13 @@ class WordTable:
         for text in texts:
             held.append(text)
             size += len(text)
-            if size > _BLOCK:
+            if size > BLOCK:
                 yield from self._encode(held)
                 held, size = [], 0
         yield from self._encode(held)
 
     def _encode(self, texts: list[bytes]) -> Iterator[bytes]:
-        if sum(map(len, texts)) <= 2 * _BLOCK:
+        if sum(map(len, texts)) <= 2 * BLOCK:
             split = [split_words(t) for t in texts]
             self.learn(set().union(*split))
             for words in split:

@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from tillroll.staging import new_folder
 
 
+# Long texts are worked on in parts of about so many bytes.
+BLOCK = 1 << 22
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """`df` written to the shared folder and read back.
 
@@ -26,6 +30,18 @@ def raw_texts(column: pa.Array) -> list[bytes]:
     return [b"" if t is None else t for t in column.cast(pa.binary()).to_pylist()]
 
 
+def blocks(raw: bytes, size: int = BLOCK) -> Iterator[bytes]:
+    """`raw` in parts of about `size` bytes, cut behind a space."""
+    lo = 0
+    while len(raw) - lo > size:
+        cut = raw.find(b" ", lo + size)
+        if cut < 0:
+            break
+        yield raw[lo : cut + 1]
+        lo = cut + 1
+    yield raw[lo:] if lo else raw
+
+
 def rows(batch: pa.RecordBatch, *names: str) -> Iterator[tuple]:
     return zip(*[batch.column(n).to_pylist() for n in names], strict=True)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bpe, exact_dedup, packing, secret_scan, simhash
+from tillroll.llm import bpe, exact_dedup, language, packing, secret_scan, simhash
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +19,13 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    model = language.learn(docs.filter(~language.held_out()))
+    marked = docs.select("doc_id", language.held_out().alias("held_out"), "text")
+    return language.identify(marked, model).drop("text")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(documents(spark, sf_dir), vocabulary())
     crc = F.crc32("ids").alias("ids_crc32")
@@ -56,6 +63,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_language": op2_language,
     "op3_packing": op3_packing,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_bpe": op5_bpe,
