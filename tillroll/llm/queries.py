@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bpe, exact_dedup, language, packing, secret_scan, simhash
+from tillroll.llm import bpe, exact_dedup, language, packing, quality, secret_scan, simhash
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,6 +44,12 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.roundtrip_digests(documents(spark, sf_dir), vocabulary())
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(documents(spark, sf_dir).select("doc_id", "text", "lang", "source"))
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return judged.select("doc_id", *counts, "base_failed", "kept", "distance")
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir))
     mark = F.lower(F.lpad(F.hex("fp"), 16, "0"))
@@ -67,6 +73,7 @@ QUERIES = {
     "op3_packing": op3_packing,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_bpe": op5_bpe,
+    "op6_quality": op6_quality,
     "op8_simhash": op8_simhash,
     "op10_secret_scan": op10_secret_scan,
 }
