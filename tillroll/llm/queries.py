@@ -5,7 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bpe, exact_dedup, language, packing, quality, secret_scan, simhash
+from tillroll.llm import (
+    bpe,
+    exact_dedup,
+    language,
+    packing,
+    quality,
+    secret_scan,
+    simhash,
+    toxicity,
+)
+from tillroll.llm.common import held_out
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,8 +31,8 @@ def vocabulary() -> str:
 
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
-    model = language.learn(docs.filter(~language.held_out()))
-    marked = docs.select("doc_id", language.held_out().alias("held_out"), "text")
+    model = language.learn(docs.filter(~held_out()))
+    marked = docs.select("doc_id", held_out().alias("held_out"), "text")
     return language.identify(marked, model).drop("text")
 
 
@@ -56,6 +66,14 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", mark.alias("fingerprint"), "component_id")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    model = toxicity.learn(docs, labels.filter(~held_out()))
+    scored = toxicity.score(docs.withColumn("held_out", held_out()), model)
+    return scored.select("doc_id", "held_out", "score", "predicted", "evidence")
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(documents(spark, sf_dir))
 
@@ -75,5 +93,6 @@ QUERIES = {
     "op5_bpe": op5_bpe,
     "op6_quality": op6_quality,
     "op8_simhash": op8_simhash,
+    "op9_toxicity": op9_toxicity,
     "op10_secret_scan": op10_secret_scan,
 }
