@@ -22,7 +22,9 @@ is installed there or a file shipped with the job.
 
 from __future__ import annotations
 
+import os
 import re
+import string
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -31,19 +33,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import BLOCK, blocks, raw_texts
+from tillroll.llm.common import blocks, raw_texts
 
-TABLE_WORDS = 250_000
-_END = "</w>"
-
-# Latin letters, then ASCII punctuation. The two C3 bytes left out are the signs for times and
-# division.
-_LETTERS_PUNCTUATION = re.compile(
-    rb"((?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-/:-@\[-`{-~]*)\Z"
-)
+TABLE_WORDS = 500_000
+_PUNCTUATION = string.punctuation.encode()
+# Small Latin letters beyond ASCII too; C3 B7, left out, is the sign for division.
+_LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+\Z")
 _SPECIAL = b"<|"
 
 
+def _byte_characters() -> dict[int, str]:
+    """The character by which byte-level vocabularies write each byte."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
 def split_words(raw: bytes) -> list[bytes]:
     """Words, lower-cased (A-Z) unless they could hold a special token."""
     if _SPECIAL not in raw:
@@ -51,89 +56,54 @@ def split_words(raw: bytes) -> list[bytes]:
     return [w if _SPECIAL in w else w.lower() for w in raw.split()]
 
 
-class WordTable:
-    """Ids by distinct word, for one vocabulary file."""
+class WordTable(dict):
+    """Ids by distinct word, as little-endian unsigned 32-bit numbers, for one vocabulary file."""
 
     def __init__(self, path: str, most_words: int = TABLE_WORDS):
+        # One process per core encodes already.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         names = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
         self.pieces = [n.encode() for n in names]
-        self.ends = np.array([n.endswith(_END) for n in names])
+        self.numbers = [i.to_bytes(4, "little") for i in range(size)]
+        # The merges alone, for pieces that need no more normalising or splitting.
+        self.model = Tokenizer.from_file(path).model
+        self.written = str.maketrans(_byte_characters())
         self.most_words = most_words
-        self.words: dict[bytes, bytes] = {}
-
-    def _library(self, words: list[bytes]) -> None:
-        texts = [w.decode(errors="replace") for w in words]
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        for word, code in zip(words, found, strict=True):
-            self.words[word] = np.array(code.ids, dtype="<u4").tobytes()
-
-    def _joined(self, pieces: list[bytes]) -> None:
-        """Pieces that the tokenizer does not split end at the end-of-word ids."""
-        text = b" ".join(pieces).decode()
-        ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
-        raw, at = ids.tobytes(), 0
-        ends = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
-        for piece, end in zip(pieces, ends, strict=True):
-            self.words[piece] = raw[at:end]
-            at = end
-
-    def learn(self, words: set[bytes]) -> None:
-        """Encodes the words that the table lacks, each once."""
-        table = self.words
-        if len(table) > self.most_words:
-            table.clear()
-        new = words - table.keys()
-        if not new:
-            return
-        two, other, pieces = [], [], set()
-        for word in new:
-            found = _LETTERS_PUNCTUATION.match(word)
-            if found is None:
-                other.append(word)
-                continue
-            pieces.add(found[1])
-            if found[2]:
-                pieces.add(found[2])
-                two.append((word, found[1], found[2]))
-        missing = list(pieces - table.keys())
-        if missing:
-            self._joined(missing)
-        if other:
-            self._library(other)
-        for word, letters, punctuation in two:
-            table[word] = table[letters] + table[punctuation]
-
-    def encode(self, texts: list[bytes]) -> Iterator[bytes]:
-        """The ids of each text, as little-endian unsigned 32-bit numbers."""
-        held, size = [], 0
-        for text in texts:
-            held.append(text)
-            size += len(text)
-            if size > BLOCK:
-                yield from self._encode(held)
-                held, size = [], 0
-        yield from self._encode(held)
-
-    def _encode(self, texts: list[bytes]) -> Iterator[bytes]:
-        if sum(map(len, texts)) <= 2 * BLOCK:
-            split = [split_words(t) for t in texts]
-            self.learn(set().union(*split))
-            for words in split:
-                yield b"".join(map(self.words.__getitem__, words))
-            return
-        for text in texts:
-            parts = []
-            for block in blocks(text):
-                words = split_words(block)
-                self.learn(set(words))
-                parts.append(b"".join(map(self.words.__getitem__, words)))
-            yield b"".join(parts)
+
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) > self.most_words:
+            self.clear()
+        letters = word.rstrip(_PUNCTUATION)
+        if not letters.isascii():
+            letters = letters.decode(errors="replace").lower().encode()
+        if letters.isalpha() or _LETTERS.match(letters):
+            punctuation = word[len(word.rstrip(_PUNCTUATION)) :]
+            if letters != word:
+                ids = self[letters] + (self._merged(punctuation) if punctuation else b"")
+            else:
+                ids = self._merged(letters)
+        else:
+            text = word.decode(errors="replace")
+            code = self.tokenizer.encode(text, add_special_tokens=False)
+            ids = b"".join(map(self.numbers.__getitem__, code.ids))
+        self[word] = ids
+        return ids
+
+    def _merged(self, piece: bytes) -> bytes:
+        tokens = self.model.tokenize(piece.decode("latin-1").translate(self.written))
+        return b"".join([self.numbers[t.id] for t in tokens])
+
+    def encode(self, raw: bytes) -> bytes:
+        """The ids of a text."""
+        spell = self.__getitem__
+        return b"".join([b"".join(map(spell, split_words(block))) for block in blocks(raw)])
 
     def decode(self, ids: bytes) -> bytes:
         """The pieces of the ids with a space between, as a vocabulary without decoder has it."""
@@ -158,7 +128,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = list(word_table(path).encode(raw_texts(batch.column("text"))))
+            ids = [word_table(path).encode(t) for t in raw_texts(batch.column("text"))]
             counts = pa.array([len(i) // 4 for i in ids], pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), counts, pa.array(ids, pa.binary())],
@@ -198,7 +168,8 @@ def roundtrip_digests(docs: DataFrame, path: str) -> DataFrame:
             table = word_table(path)
             decimals = [b"%d" % i for i in range(len(table.pieces))]
             out = []
-            for ids in table.encode(raw_texts(batch.column("text"))):
+            for text in raw_texts(batch.column("text")):
+                ids = table.encode(text)
                 numbers = np.frombuffer(ids, dtype="<u4").tolist()
                 spelt = b" ".join(map(decimals.__getitem__, numbers))
                 out.append(

@@ -44,7 +44,8 @@ def encoded_partitions(docs: DataFrame, path: str, end_id: int = END_ID) -> Data
         end = np.array([end_id], dtype=narrow).tobytes()
         for batch in batches:
             first, count, ids = [], [], []
-            for code in table.encode(raw_texts(batch.column("text"))):
+            for text in raw_texts(batch.column("text")):
+                code = table.encode(text)
                 ids.append(np.frombuffer(code, dtype="<u4").astype(narrow).tobytes() + end)
                 first.append(at)
                 count.append(len(code) // 4 + 1)
