@@ -13,6 +13,7 @@ from tillroll.llm import (
     quality,
     secret_scan,
     simhash,
+    suffix_dedup,
     toxicity,
 )
 from tillroll.llm.common import held_out
@@ -60,6 +61,18 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *counts, "base_failed", "kept", "distance")
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(documents(spark, sf_dir))
+    removed = F.col("n_bytes") - F.length("kept")
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        removed.cast("bigint").alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir))
     mark = F.lower(F.lpad(F.hex("fp"), 16, "0"))
@@ -92,6 +105,7 @@ QUERIES = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_bpe": op5_bpe,
     "op6_quality": op6_quality,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_simhash": op8_simhash,
     "op9_toxicity": op9_toxicity,
     "op10_secret_scan": op10_secret_scan,
