@@ -35,20 +35,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import raw_texts
+from tillroll.llm.repeats import (
+    CROWDED,
+    MOST_BITS,
+    blobs,
+    by_value,
+    integer_ids,
+    repeated_hashes,
+)
 from tillroll.llm.suffix_sort import IN_MEMORY, suffix_array
 
 LENGTH = 50
 GRAM = 16
-# Bits of the bitmap: eight for each segment, at most 64 MB.
-MOST_BITS = 29
-# A hash in more documents than this is cut into single strings.
-CROWDED = 50_000
 _PIECE = 1 << 21
 _SHARD_BYTES = 1 << 24
 _BUCKET_BYTES = 1 << 22
 _SORT_BYTES = 1 << 20
 _AT_ONCE = 1 << 19
-_LAST = np.iinfo(np.int64).max
 _BASE = 1099511628211
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -138,94 +141,17 @@ def _parts(rows: list[bytes], length: int) -> Iterator[list[tuple[int, int, byte
         yield held
 
 
-def _ids(batch: pa.RecordBatch) -> np.ndarray:
-    ids = batch.column("doc_id").cast(pa.int64())
-    return ids.fill_null(_LAST).to_numpy(zero_copy_only=False)
+def _hashes(length: int):
+    def extract(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        ids = integer_ids(batch)
+        for parts in _parts(raw_texts(batch.column("text")), length):
+            found = Batch(parts, length)
+            yield found.hash, ids[found.row]
 
+    return extract
 
-def _blobs(names: list[str], rows: list[tuple]) -> pa.RecordBatch:
-    """One Arrow row per tuple: numbers as they are, arrays as bytes."""
-    columns = list(zip(*rows, strict=True)) or [[] for _ in names]
-    out = []
-    for name, column in zip(names, columns, strict=True):
-        if name in ("shard", "kind", "bucket"):
-            out.append(pa.array(list(column), pa.int32()))
-        else:
-            raw = [c if isinstance(c, bytes) else np.ascontiguousarray(c).tobytes() for c in column]
-            out.append(pa.array(raw, pa.binary()))
-    return pa.RecordBatch.from_arrays(out, names=names)
 
-
-def _by(values: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    order = np.argsort(values, kind="stable")
-    cuts = np.flatnonzero(np.diff(values[order])) + 1
-    for group in np.split(order, cuts):
-        if len(group):
-            yield int(values[group[0]]), group
-
-
-# ---- first pass: hashes that occur in several documents ----------------------
-
-_HASHES = ["shard", "once", "more", "docs"]
-
-
-def _document_hashes(length: int, bits: int):
-    """Hashes by shard, the top bits, each once per batch: of one id, of several and of how many."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = _ids(batch)
-            for parts in _parts(raw_texts(batch.column("text")), length):
-                found = Batch(parts, length)
-                value, doc = found.hash, ids[found.row]
-                order = np.lexsort((doc, value))
-                value, doc = value[order], doc[order]
-                new = np.r_[True, value[1:] != value[:-1]]
-                first = np.flatnonzero(new)
-                other = new | np.r_[True, doc[1:] != doc[:-1]]
-                docs = np.add.reduceat(other, first, dtype=np.uint32)
-                value, several = value[first], docs > 1
-                shard = (value >> np.uint64(64 - bits)).astype(np.int32)
-                rest = ((value << np.uint64(bits)) >> np.uint64(32)).astype(np.uint32)
-                out = []
-                for s, g in _by(shard):
-                    one, many = g[~several[g]], g[several[g]]
-                    out.append((s, rest[one], rest[many], docs[many]))
-                yield _blobs(_HASHES, out)
-
-    return run
-
-
-def _repeated(shard_bits: int, bits: int, crowded: int):
-    """Bits of hashes of several documents; hashes of very many. Rows come sorted by shard."""
-
-    def settle(shard: int, held: list[tuple[bytes, bytes, bytes]]):
-        single, several, docs = (
-            np.frombuffer(b"".join(column), dtype=np.uint32) for column in zip(*held, strict=True)
-        )
-        value, back = np.unique(np.concatenate([single, several]), return_inverse=True)
-        weight = np.concatenate([np.ones(len(single)), docs])
-        count = np.bincount(back, weights=weight, minlength=len(value))
-        flags = np.zeros(1 << (bits - shard_bits), dtype=bool)
-        flags[value[count > 1] >> np.uint32(32 - (bits - shard_bits))] = True
-        return shard, np.packbits(flags, bitorder="little"), value[count > crowded]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, shard, held = ["shard", "bits", "crowded"], None, []
-        for batch in batches:
-            for s, *blobs in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                if s != shard:
-                    if held:
-                        yield _blobs(names, [settle(shard, held)])
-                    shard, held = s, []
-                held.append(tuple(blobs))
-        if held:
-            yield _blobs(names, [settle(shard, held)])
-
-    return run
-
-
-# ---- second pass: segments that may be repeated ------------------------------
+# ---- segments that may be repeated --------------------------------------------
 
 _SEGMENTS = ["shard", "kind", "hash", "digest", "doc", "key", "place", "count", "size", "text"]
 _PENDING, _SETTLED = 0, 1
@@ -248,19 +174,16 @@ def _runs(key: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarr
 
 def _take_segments(length: int, shards: int, held):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flags, bits, cut, crowded = held.value
-        flags = np.frombuffer(flags, dtype=np.uint8)
+        repeated = held.value
         for batch in batches:
-            ids = _ids(batch)
+            ids = integer_ids(batch)
             keys = batch.column("key").to_numpy(zero_copy_only=False)
             for parts in _parts(raw_texts(batch.column("text")), length):
                 found = Batch(parts, length)
-                spot = found.hash >> np.uint64(64 - bits)
-                hit = (flags[spot >> np.uint64(3)] >> (spot & np.uint64(7)).astype(np.uint8)) & 1
-                some = np.flatnonzero(hit)
-                yield _blobs(_SEGMENTS, list(_sort_out(found, some, ids, keys, cut, crowded)))
+                some = np.flatnonzero(repeated(found.hash))
+                yield blobs(_SEGMENTS, list(_sort_out(found, some, ids, keys, repeated)))
 
-    def _sort_out(found, some, ids, keys, cut, crowded):
+    def _sort_out(found, some, ids, keys, repeated):
         start, count = found.start[some], found.count[some]
         value, place = found.hash[some], found.place[some]
         doc, key = ids[found.row[some]], keys[found.row[some]]
@@ -282,11 +205,11 @@ def _take_segments(length: int, shards: int, held):
             yield int(k[0] % shards), _SETTLED, b"", b"", b"", k, a, b"", b - a, b""
 
         kept, first = order[i == least], new[i == least]
-        many = np.isin((value[kept] >> cut) << cut, crowded)
+        many = repeated.in_very_many(value[kept])
         yield from _single(found, some, kept[many], doc, key, place, count, start)
         kept, first = kept[~many], first[~many]
         shard = (value[kept] % np.uint64(shards)).astype(np.int32)
-        for s, g in _by(shard):
+        for s, g in by_value(shard):
             mine, lead = kept[g], first[g]
             # Equal segments lie together, and only the first brings its bytes.
             size = np.where(lead, count[mine] + length - 1, 0).astype(np.int32)
@@ -311,7 +234,7 @@ def _take_segments(length: int, shards: int, held):
             [xxhash.xxh3_64_intdigest(data[a : a + length]) for a in at], dtype=np.uint64
         )
         ones = np.ones(len(which), dtype=np.int32)
-        for s, g in _by((value % np.uint64(shards)).astype(np.int32)):
+        for s, g in by_value((value % np.uint64(shards)).astype(np.int32)):
             g = g[np.lexsort((doc[which[g]], check[g], value[g]))]
             numbers = (value[g], check[g], doc[which[g]], key[which[g]], (place[which] + step)[g])
             yield s, _PENDING, *numbers, ones[g], ones[g] * 0, b""
@@ -374,8 +297,8 @@ def _resolve(length: int, buckets: int, in_memory: int):
 
     def spread(key, start, end):
         key, start, end = _runs(key, start, end)
-        rows = [(s, key[g], start[g], end[g]) for s, g in _by((key % buckets).astype(np.int32))]
-        return _blobs(["bucket", "key", "start", "end"], rows)
+        rows = [(s, key[g], start[g], end[g]) for s, g in by_value((key % buckets).astype(np.int32))]
+        return blobs(["bucket", "key", "start", "end"], rows)
 
     def settle(held: list[list[bytes]], texts: list[bytes]):
         value, digest, doc, key, place, count, size = (
@@ -484,35 +407,13 @@ def remove_repeats(
 
     `kept` is binary, as a span may end within a character.
     """
-    spark = docs.sparkSession
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select("doc_id", text.alias("text"))
     rows = rows.withColumn("key", F.xxhash64("doc_id", "text"))
     total = rows.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
 
-    bits = int(min(most_bits, max(16, total // 2).bit_length()))
-    bits = max(bits, 12)
-    shard_bits = int(min(bits - 8, max(1, (total // shard_bytes).bit_length())))
-    hashes = (
-        rows.select("doc_id", "text")
-        .mapInArrow(
-            _document_hashes(length, shard_bits),
-            "shard int, once binary, more binary, docs binary",
-        )
-        .repartition("shard")
-        .sortWithinPartitions("shard")
-        .mapInArrow(_repeated(shard_bits, bits, crowded), "shard int, bits binary, crowded binary")
-    )
-    flags = np.zeros((1 << shard_bits, (1 << (bits - shard_bits)) // 8), dtype=np.uint8)
-    many = [np.empty(0, np.uint64)]
-    # The bitmap has a bounded size, and the crowded hashes are few by their definition.
-    cut = np.uint64(32 - shard_bits)
-    for r in hashes.collect():
-        flags[r.shard] = np.frombuffer(r.bits, dtype=np.uint8)
-        rest = np.frombuffer(r.crowded, dtype=np.uint32).astype(np.uint64)
-        many.append((np.uint64(r.shard) << np.uint64(64 - shard_bits)) | (rest << cut))
-    held = spark.sparkContext.broadcast((flags.tobytes(), bits, cut, np.concatenate(many)))
-
+    expected = total // ((length - GRAM + 2) // 2)
+    held = repeated_hashes(rows, _hashes(length), expected, most_bits, crowded)
     shards = max(1, -(-total // shard_bytes))
     buckets = max(1, -(-total // bucket_bytes))
     numbers = ", ".join(f"{n} binary" for n in _SEGMENTS[2:])
