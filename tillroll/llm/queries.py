@@ -10,6 +10,7 @@ from tillroll.llm import (
     exact_dedup,
     language,
     packing,
+    passages,
     quality,
     secret_scan,
     simhash,
@@ -30,6 +31,10 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.passage_classes(documents(spark, sf_dir))
+
+
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
     model = language.learn(docs.filter(~held_out()))
@@ -100,6 +105,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_passages": op1_passages,
     "op2_language": op2_language,
     "op3_packing": op3_packing,
     "op4_exact_dedup": op4_exact_dedup,
