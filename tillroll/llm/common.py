@@ -5,12 +5,23 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.staging import new_folder
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def vocabulary() -> str:
+    """The file of the public vocabulary that the queries encode with."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 # Long texts are worked on in parts of about so many bytes.
 BLOCK = 1 << 22
 
@@ -25,6 +36,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def set_aside(docs: DataFrame, *own: str) -> DataFrame:
+    """`docs` with all columns but `own` renamed, so that none can clash with an operator's.
+
+    The order stays, so ``.toDF(*docs.columns)`` gives the names back.
+    """
+    return docs.toDF(*[n if n in own else f"_c{i}" for i, n in enumerate(docs.columns)])
+
+
 def raw_texts(column: pa.Array) -> list[bytes]:
     """The UTF-8 bytes of each text, null as empty."""
     return [b"" if t is None else t for t in column.cast(pa.binary()).to_pylist()]

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import raw_texts, stored
+from tillroll.llm.common import raw_texts, set_aside, stored
 
 # The white space that does not count.
 WHITE = b" \t\n\x0b\x0c\r"
@@ -232,9 +232,7 @@ def deduplicate(docs: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
     of their other columns' values stay is not defined.
     """
     hashes = stored(text_digests(docs).select("hash"), "hashes")
-    # Names of the columns beside id and text are set aside, so that none can clash.
-    aside = {n: n if n in ("doc_id", "text") else f"_c{i}" for i, n in enumerate(docs.columns)}
-    named = docs.toDF(*aside.values())
+    named = set_aside(docs, "doc_id", "text")
     digested = named.mapInArrow(
         _append_digest, _with(named, digest="binary", points="bigint", hash="bigint")
     )

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import blocks, raw_texts
+from tillroll.llm.common import blocks, raw_texts, set_aside
 
 UNKNOWN = "und"
 BUCKETS = 1 << 14
@@ -234,3 +234,11 @@ def identify(docs: DataFrame, model: Model, lead: float = LEAD) -> DataFrame:
     ddl = "lang_pred string, score double, second string, ambiguous boolean"
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     return docs.mapInArrow(run, f"{fields}, {ddl}")
+
+
+def keep_clear(docs: DataFrame, model: Model, lead: float = LEAD) -> DataFrame:
+    """The rows of `docs` whose language is known and not ambiguous, with all their columns."""
+    named = set_aside(docs, "text")
+    found = identify(named, model, lead)
+    clear = (F.col("lang_pred") != UNKNOWN) & ~F.col("ambiguous")
+    return found.filter(clear).select(*named.columns).toDF(*docs.columns)

@@ -17,18 +17,7 @@ from tillroll.llm import (
     suffix_dedup,
     toxicity,
 )
-from tillroll.llm.common import held_out
-
-
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
-
-
-def vocabulary() -> str:
-    """The file of the public vocabulary that the queries encode with."""
-    import public_tokenizers
-
-    return public_tokenizers.path("word_bpe_49k.json")
+from tillroll.llm.common import documents, held_out, vocabulary
 
 
 def op1_passages(spark: SparkSession, sf_dir: str) -> DataFrame:

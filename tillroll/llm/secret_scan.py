@@ -24,6 +24,8 @@ from math import floor, log2
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.llm.common import set_aside
+
 
 @dataclass(frozen=True)
 class Kind:
@@ -275,10 +277,9 @@ def redact(docs: DataFrame, marker: str = "[secret]") -> DataFrame:
 
     `n_chars` becomes the new length where there is such a column and a secret.
     """
-    names = [f"_c{i}" for i in range(len(docs.columns))]
-    place = dict(zip(docs.columns, names, strict=True))
-    text = F.col(place["text"])
-    found = with_spans(docs.toDF(*names), place["text"], "_base", "_spans").drop("_base")
+    named = set_aside(docs, "text", "n_chars")
+    text = F.col("text")
+    found = with_spans(named, "text", "_base", "_spans").drop("_base")
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def cut(state: Column, s: Column) -> Column:
@@ -298,10 +299,8 @@ def redact(docs: DataFrame, marker: str = "[secret]") -> DataFrame:
         lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))),
     )
     found = found.withColumn("_hit", F.size("_spans") > 0)
-    found = found.withColumn(place["text"], F.when(F.col("_hit"), clean).otherwise(text))
-    if "n_chars" in place:
-        kind = docs.schema["n_chars"].dataType
-        length = F.length(F.col(place["text"])).cast(kind)
-        n = F.col(place["n_chars"])
-        found = found.withColumn(place["n_chars"], F.when(F.col("_hit"), length).otherwise(n))
-    return found.select(*names).toDF(*docs.columns)
+    found = found.withColumn("text", F.when(F.col("_hit"), clean).otherwise(text))
+    if "n_chars" in docs.columns:
+        length = F.length("text").cast(docs.schema["n_chars"].dataType)
+        found = found.withColumn("n_chars", F.when(F.col("_hit"), length).otherwise(F.col("n_chars")))
+    return found.select(*named.columns).toDF(*docs.columns)
