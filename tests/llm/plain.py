@@ -1,0 +1,84 @@
+"""Small document tables, and plain Python for what the operators compute."""
+
+from __future__ import annotations
+
+import re
+from collections import Counter
+
+import xxhash
+
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+WHITE = "\x20\x09\x0a\x0b\x0c\x0d"
+
+
+def table(spark, rows, extra=None):
+    """Rows of (doc_id, text) or (doc_id, text, lang, source); `extra` are more columns."""
+    full = [(*r, *(("en", "s0")[len(r) - 2 :] if len(r) < 4 else ()))[:4] for r in rows]
+    extra = extra or {}
+    data = [
+        (d, t, la, s, None if t is None else len(t), *extra.values()) for d, t, la, s in full
+    ]
+    more = "".join(f", `{n}` string" for n in extra)
+    return spark.createDataFrame(data, SCHEMA + more)
+
+
+def sf_rows(spark, sf_dir, *names):
+    names = names or ("doc_id", "text")
+    return [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select(*names).collect()]
+
+
+def words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def lower(text):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+
+
+def fingerprint(text, length=3):
+    w = words(lower(text))
+    grams = [" ".join(w[i : i + length]) for i in range(max(1, len(w) - length + 1))] if w else []
+    hashes = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def classes(ids, pairs):
+    """Smallest id reachable from each."""
+    parent = {i: i for i in ids}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in pairs:
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    return {i: find(i) for i in ids}
+
+
+def repeat_words(w):
+    seen = Counter(zip(w, w[1:], w[2:], strict=False))
+    hit = {i + k for i, g in enumerate(zip(w, w[1:], w[2:], strict=False)) if seen[g] > 1 for k in range(3)}
+    return len(hit)
+
+
+def removed(rows, length):
+    """What suffix dedup does: doc_id -> (bytes, spans, kept)."""
+    first = {}
+    for d, t in rows:
+        raw = (t or "").encode()
+        for i in range(len(raw) - length + 1):
+            gram = raw[i : i + length]
+            first[gram] = min(d, first.get(gram, d))
+    out = []
+    for d, t in rows:
+        raw = (t or "").encode()
+        gone = bytearray(len(raw))
+        for i in range(len(raw) - length + 1):
+            if first[raw[i : i + length]] < d:
+                gone[i : i + length] = b"\1" * length
+        marks = [0, *gone, 0]
+        spans = sum(1 for x, y in zip(marks, marks[1:], strict=False) if y and not x)
+        out.append((d, len(raw), spans, bytes(c for c, g in zip(raw, gone, strict=True) if not g)))
+    return sorted(out)

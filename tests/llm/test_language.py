@@ -1,0 +1,104 @@
+import numpy as np
+import pytest
+from plain import sf_rows, table
+
+from tillroll.llm import language
+from tillroll.llm.common import held_out
+
+
+@pytest.fixture(scope="module")
+def model(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return language.learn(docs.filter(~held_out()))
+
+
+def test_held_out_accuracy(spark, sf_dir, model):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").filter(held_out())
+    got = language.identify(docs, model).collect()
+    assert len(got) > 100
+    assert sum(r.lang_pred == r.lang for r in got) >= 0.98 * len(got)
+    assert all(0 <= r.score <= 1 for r in got)
+
+
+def test_what_learning_gathers(spark, model):
+    """n-gram counts by language equal those of one pass in plain Python."""
+    rows = [(1, "the cat é", "en", "s"), (2, "THE  cat", "en", "s"), (3, "le chat", "fr", "s")]
+    counts = language.ngram_counts("the cat é".encode()) + language.ngram_counts(b"THE  cat")
+    plain = b" the cat "
+    assert language.ngram_counts(b"THE\n cat").sum() == sum(
+        len(plain) - n + 1 for n in language.LENGTHS
+    )
+    small = language.learn(table(spark, rows))
+    assert small.languages == ["en", "fr"] and small.codes.shape == (2, 1)
+    sign = np.sign(counts @ small.weights)[0]
+    assert sign == small.codes[0, 0]
+
+
+def test_prediction_sees_the_text_alone(spark, sf_dir, model):
+    rows = sf_rows(spark, sf_dir)[:60]
+    plain = table(spark, [(d, t, "en", "s") for d, t in rows])
+    other = table(spark, [(d + 9, t, None, None) for d, t in rows])
+    first = [(r.lang_pred, r.score) for r in language.identify(plain, model).collect()]
+    assert first == [(r.lang_pred, r.score) for r in language.identify(other, model).collect()]
+
+
+ODD = [(1, None), (2, ""), (3, " 12 !?"), (4, "é"), (4, "漢"), (None, "the and of the"), (6, "the " * 200_000)]
+
+
+def test_odd_texts(spark, model):
+    docs = table(spark, ODD, {"score": "x", "second": "y", "lang_pred": "z"})
+    got = {(r.doc_id, r.text): r for r in language.identify(docs, model).collect()}
+    assert len(got) == len(ODD)
+    for key in ODD[:3]:
+        assert (got[key].lang_pred, got[key].score, got[key].ambiguous) == ("und", 0.0, True)
+    assert got[ODD[5]].lang_pred == got[ODD[6]].lang_pred == "en"
+    assert all(got[k].lang_pred in model.languages for k in ODD[3:])
+
+
+def test_rows_that_are_clear_keep_their_columns(spark, model):
+    docs = table(spark, ODD, {"score": "x", "ambiguous": "y", "lang_pred": "z"})
+    kept = language.keep_clear(docs, model)
+    assert kept.columns == docs.columns
+    rows = kept.collect()
+    assert {r.doc_id for r in rows} >= {None, 6} and not {r.doc_id for r in rows} & {1, 2, 3}
+    assert all((r.score, r.lang_pred) == ("x", "z") for r in rows)
+    assert language.identify(table(spark, []), model).count() == 0
+
+
+def test_little_to_learn(spark):
+    none = language.learn(table(spark, [(1, "the", None, "s"), (2, None, "en", "s")]))
+    assert [r.lang_pred for r in language.identify(table(spark, [(1, "the")]), none).collect()] == ["und"]
+    one = language.learn(table(spark, [(1, "the", "en", "s")]))
+    rows = language.identify(table(spark, [(1, "le"), (2, "7")]), one).collect()
+    assert [(r.lang_pred, r.score) for r in rows] == [("en", 1.0), ("und", 0.0)]
+
+
+def test_a_mixed_text_is_flagged(spark, sf_dir, model):
+    by_lang = {}
+    for text, lang in sf_rows(spark, sf_dir, "text", "lang"):
+        by_lang.setdefault(lang, []).append(text)
+    half = [" ".join(by_lang[c])[:4000] for c in ("de", "fr")]
+    counts = [np.array([language.ngram_counts(h.encode())], dtype=np.float32) for h in half]
+    raw = [(c @ model.weights)[0] for c in counts]
+    assert (np.sign(raw[0]) != np.sign(raw[1])).any()
+    rows = language.identify(table(spark, [(1, half[0]), (2, half[1])]), model).collect()
+    assert [r.lang_pred for r in rows] == ["de", "fr"] and not any(r.ambiguous for r in rows)
+
+
+@pytest.mark.parametrize("languages", [1, 2, 4, 5, 9, 40])
+def test_codewords_differ(languages):
+    codes = language.codewords(languages)
+    apart = [
+        (codes[i] != codes[j]).sum() for i in range(languages) for j in range(i + 1, languages)
+    ]
+    assert codes.shape[0] == languages and (not apart or min(apart) >= max(1, codes.shape[1] // 4))
+    assert all(len(set(codes[:, b])) == 2 for b in range(codes.shape[1]))
+
+
+def test_wrong_bits_are_corrected(model):
+    """One wrong answer out of seven does not change the language."""
+    for i, code in enumerate(model.codes):
+        for bit in range(len(code)):
+            margins = code.astype(float) * 2
+            margins[bit] *= -1
+            assert model.losses(margins[None, :])[0].argmin() == i

@@ -6,9 +6,9 @@ the root of its count times its inverse document frequency, at unit length.
 
 Examples lie in an inverted index whose postings are cut into blocks of
 examples, with the largest weight of each term in each block. A search adds up
-the block's largest weights into a bound, takes blocks by falling bound and ends
-when no block left can reach the k nearest so far, so the k nearest are exact;
-ties go to the example that comes first. Neighbours vote with weights that grow
+each block's largest weights into a bound, scores the blocks with the largest
+bounds and then those others whose bound is above the k nearest so far. So the k
+nearest are exact; ties go to the example that comes first. Neighbours vote with weights that grow
 as their distance falls, each class in proportion to its share of all labelled
 rows; a monotone fit to the examples' own votes, each without itself, turns
 votes into probabilities. The neighbours' ids are the evidence.
@@ -43,7 +43,7 @@ _SIZE = 5
 _BITS = 22
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BLOCK = 64
-_AT_ONCE = 8
+_OPENING = 6
 _LEAST_DOCS = 4
 _LEAST_CHI = 24.0
 _KNOWN_QUERIES = 20_000
@@ -108,39 +108,38 @@ class Model:
         weights = np.sqrt(counts) * self.idf[terms]
         return weights / np.sqrt((weights * weights).sum())
 
+    def _cosines(self, terms: np.ndarray, weights: np.ndarray, part: np.ndarray) -> np.ndarray:
+        """Cosines of all examples, right for those in the blocks of `part`, else 0."""
+        lo, hi = self.starts[np.ix_(terms, part)], self.starts[np.ix_(terms, part + 1)]
+        sizes = (hi - lo).ravel()
+        ends = np.cumsum(sizes)
+        at = np.repeat(lo.ravel() - ends + sizes, sizes) + np.arange(ends[-1])
+        adds = self.weights[at] * np.repeat(np.repeat(weights, len(part)), sizes)
+        return np.bincount(self.postings[at], weights=adds, minlength=len(self.ids))
+
     def nearest(
         self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1
     ) -> tuple[np.ndarray, np.ndarray]:
         """The k examples with the largest cosine above 0, and the cosines."""
         bounds = weights @ self.largest[terms]
         order = np.argsort(-bounds, kind="stable")
-        best, scores = np.empty(0, np.int64), np.empty(0)
-        floor = 0.0
-        for lo in range(0, len(order), _AT_ONCE):
-            part = order[lo : lo + _AT_ONCE]
-            # Rounding must not end a search early.
-            part = part[(bounds[part] > 0) & (bounds[part] >= floor - 1e-9)]
-            if not len(part):
-                break
-            at, adds = [], []
-            for term, weight in zip(terms, weights, strict=True):
-                row = self.starts[term]
-                for b in part:
-                    if row[b] < row[b + 1]:
-                        at.append(self.postings[row[b] : row[b + 1]])
-                        adds.append(self.weights[row[b] : row[b + 1]] * weight)
-            if not at:
-                continue
-            members, back = np.unique(np.concatenate(at), return_inverse=True)
-            sums = np.bincount(back, weights=np.concatenate(adds))
-            some = members != without
-            best = np.concatenate([best, members[some]])
-            scores = np.concatenate([scores, np.round(sums[some], 9)])
-            keep = np.lexsort((best, -scores))[:k]
-            best, scores = best[keep], scores[keep]
-            if len(best) == k:
-                floor = scores[-1]
-        return best, scores
+        # The first blocks tell how near a neighbour must be; of the others only those count
+        # whose bound is above that. Rounding must not leave one out.
+        opening, rest = order[:_OPENING], order[_OPENING:]
+        cosines = self._cosines(terms, weights, opening)
+        if without >= 0:
+            cosines[without] = 0.0
+        floor = np.partition(cosines, -k)[-k] if len(cosines) >= k else 0.0
+        rest = rest[(bounds[rest] > 0) & (bounds[rest] >= floor - 1e-9)]
+        if len(rest):
+            cosines += self._cosines(terms, weights, rest)
+            if without >= 0:
+                cosines[without] = 0.0
+        cosines = np.round(cosines, 9)
+        floor = np.partition(cosines, -k)[-k] if len(cosines) >= k else 0.0
+        found = np.flatnonzero((cosines >= floor) & (cosines > 0))
+        found = found[np.lexsort((found, -cosines[found]))[:k]]
+        return found, cosines[found]
 
     def vote(self, found: np.ndarray, cosines: np.ndarray) -> float:
         """The toxic share of the votes; near neighbours weigh more."""
