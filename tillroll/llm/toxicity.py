@@ -13,8 +13,8 @@ as their distance falls, each class in proportion to its share of all labelled
 rows; a monotone fit to the examples' own votes, each without itself, turns
 votes into probabilities. The neighbours' ids are the evidence.
 
-The index holds at most `PER_CLASS` examples of each label, those with the
-smallest hash of the id. Document frequencies are counted over all documents.
+The index holds at most `MOST_TOXIC` toxic examples and `MOST_OTHERS` others,
+those with the smallest hash of the id. Document frequencies are counted over all documents.
 
 Null and empty texts, and texts without a term, get the share of toxic examples
 among those without a term. A document labelled twice counts as toxic if one of
@@ -34,7 +34,8 @@ from pyspark.sql import functions as F
 
 from tillroll.llm.common import blocks, raw_texts, stored
 
-PER_CLASS = 4096
+MOST_TOXIC = 2048
+MOST_OTHERS = 8192
 MOST_TERMS = 2048
 NEIGHBOURS = 15
 THRESHOLD = 0.3
@@ -76,7 +77,7 @@ class Model:
     prior: float  # share of toxic rows among all labelled ones
     ids: list = field(default_factory=list)
     toxic: np.ndarray | None = None
-    starts: np.ndarray | None = None  # term x block -> first posting
+    starts: np.ndarray | None = None  # first posting of each term and block, and the end
     postings: np.ndarray | None = None  # example of each posting, by term, then example
     weights: np.ndarray | None = None
     largest: np.ndarray | None = None  # term x block -> largest weight
@@ -99,7 +100,7 @@ class Model:
     def counts(self, raw: bytes) -> tuple[np.ndarray, np.ndarray]:
         """The text's terms and how often it has them."""
         found = self.place[term_hashes(raw)]
-        found = found[found >= 0]
+        found = found[found >= 0].astype(np.int64)
         if not len(found):
             return found, found
         return np.unique(found, return_counts=True)
@@ -108,14 +109,22 @@ class Model:
         weights = np.sqrt(counts) * self.idf[terms]
         return weights / np.sqrt((weights * weights).sum())
 
-    def _cosines(self, terms: np.ndarray, weights: np.ndarray, part: np.ndarray) -> np.ndarray:
-        """Cosines of all examples, right for those in the blocks of `part`, else 0."""
-        lo, hi = self.starts[np.ix_(terms, part)], self.starts[np.ix_(terms, part + 1)]
-        sizes = (hi - lo).ravel()
+    def _cosines(
+        self, terms: np.ndarray, weights: np.ndarray, part: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Examples of the blocks of `part` that share a term, and their cosines."""
+        cells = terms[:, None] * self.largest.shape[1] + part[None, :]
+        lo = self.starts[cells]
+        sizes = (self.starts[cells + 1] - lo).ravel()
         ends = np.cumsum(sizes)
         at = np.repeat(lo.ravel() - ends + sizes, sizes) + np.arange(ends[-1])
+        # Members are counted from the first one of the first block taken.
+        base = np.tile(np.arange(len(part)) * _BLOCK - part * _BLOCK, len(terms))
+        members = self.postings[at] + np.repeat(base, sizes)
         adds = self.weights[at] * np.repeat(np.repeat(weights, len(part)), sizes)
-        return np.bincount(self.postings[at], weights=adds, minlength=len(self.ids))
+        sums = np.bincount(members, weights=adds)
+        some = np.flatnonzero(sums)
+        return part[some // _BLOCK] * _BLOCK + some % _BLOCK, np.round(sums[some], 9)
 
     def nearest(
         self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1
@@ -125,21 +134,18 @@ class Model:
         order = np.argsort(-bounds, kind="stable")
         # The first blocks tell how near a neighbour must be; of the others only those count
         # whose bound is above that. Rounding must not leave one out.
-        opening, rest = order[:_OPENING], order[_OPENING:]
-        cosines = self._cosines(terms, weights, opening)
-        if without >= 0:
-            cosines[without] = 0.0
+        found, cosines = self._cosines(terms, weights, order[:_OPENING])
+        found, cosines = found[found != without], cosines[found != without]
         floor = np.partition(cosines, -k)[-k] if len(cosines) >= k else 0.0
-        rest = rest[(bounds[rest] > 0) & (bounds[rest] >= floor - 1e-9)]
+        rest = order[_OPENING:]
+        rest = rest[(bounds[rest] > 0) & (bounds[rest] >= floor - 1e-8)]
         if len(rest):
-            cosines += self._cosines(terms, weights, rest)
-            if without >= 0:
-                cosines[without] = 0.0
-        cosines = np.round(cosines, 9)
-        floor = np.partition(cosines, -k)[-k] if len(cosines) >= k else 0.0
-        found = np.flatnonzero((cosines >= floor) & (cosines > 0))
-        found = found[np.lexsort((found, -cosines[found]))[:k]]
-        return found, cosines[found]
+            more, others = self._cosines(terms, weights, rest)
+            near = (others >= floor) & (more != without)
+            found = np.concatenate([found, more[near]])
+            cosines = np.concatenate([cosines, others[near]])
+        best = np.lexsort((found, -cosines))[:k]
+        return found[best], cosines[best]
 
     def vote(self, found: np.ndarray, cosines: np.ndarray) -> float:
         """The toxic share of the votes; near neighbours weigh more."""
@@ -169,16 +175,18 @@ def monotone(values: np.ndarray, labels: np.ndarray, weights: np.ndarray, bins:
     )
 
 
-def sample(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> tuple[DataFrame, dict]:
+def sample(
+    docs: DataFrame, labels: DataFrame, most: tuple[int, int] = (MOST_OTHERS, MOST_TOXIC)
+) -> tuple[DataFrame, dict]:
     """(doc_id, text, toxic) of the chosen examples, stored; labelled rows by label."""
     known = labels.filter("doc_id is not null and toxic is not null")
     each = stored(known.groupBy("doc_id").agg((F.max("toxic") > 0).alias("toxic")), "labels")
     sizes = {r.toxic: r.n for r in each.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     some = [
-        each.filter(F.col("toxic") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
-        for value in (False, True)
+        each.filter(F.col("toxic") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
+        for value, n in zip((False, True), most, strict=True)
     ]
-    # At most `per_class` ids of each label.
+    # A bounded number of ids.
     chosen = F.broadcast(some[0].union(some[1]))
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     return stored(texts.join(chosen, "doc_id"), "examples"), sizes
@@ -254,9 +262,7 @@ def _index(model: Model, examples: list, sizes: dict, k: int) -> Model:
     cell = terms * n_blocks + members // _BLOCK
     model.largest = np.zeros((len(model.terms), n_blocks))
     np.maximum.at(model.largest.reshape(-1), cell, weights)
-    edges = np.searchsorted(cell, np.arange(len(model.terms) * n_blocks + 1))
-    rows = np.arange(len(model.terms))[:, None] * n_blocks + np.arange(n_blocks + 1)[None, :]
-    model.starts = edges[rows]
+    model.starts = np.searchsorted(cell, np.arange(len(model.terms) * n_blocks + 1))
     model.postings, model.weights = members, weights
     model.ids = [e[0] for e in with_terms]
     model.toxic = np.array([e[1] for e in with_terms], dtype=bool)
@@ -286,13 +292,13 @@ def _index(model: Model, examples: list, sizes: dict, k: int) -> Model:
 def learn(
     docs: DataFrame,
     labels: DataFrame,
-    per_class: int = PER_CLASS,
+    most: tuple[int, int] = (MOST_OTHERS, MOST_TOXIC),
     most_terms: int = MOST_TERMS,
     neighbours: int = NEIGHBOURS,
 ) -> Model:
     """A model from `docs` (doc_id, text) and the rows of `labels` (doc_id, toxic)."""
     spark = docs.sparkSession
-    examples, sizes = sample(docs, labels, per_class)
+    examples, sizes = sample(docs, labels, most)
     found = {r.toxic: r.n for r in examples.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(found) < 2:
         only = float(next(iter(found))) if found else 0.0
@@ -326,7 +332,7 @@ def learn(
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    # Two labels' worth of examples at most, each with its terms alone.
+    # The bounded number of examples, each with its terms alone.
     rows = examples.select("doc_id", "toxic", "text").mapInArrow(
         vectors, f"doc_id {kind}, toxic boolean, terms array<int>, counts array<int>"
     )
