@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 MOST_BITS = 29
 # A hash in more documents than this is reported apart.
 CROWDED = 50_000
-_LAST = np.iinfo(np.int64).max
+LAST_ID = int(np.iinfo(np.int64).max)
 _PER_SHARD = 1 << 20
 _HASHES = ["shard", "once", "more", "docs"]
 
@@ -30,7 +30,7 @@ Extract = Callable[[pa.RecordBatch], Iterator[tuple[np.ndarray, np.ndarray]]]
 def integer_ids(batch: pa.RecordBatch) -> np.ndarray:
     """Ids as numbers; a row without one comes after all others."""
     ids = batch.column("doc_id").cast(pa.int64())
-    return ids.fill_null(_LAST).to_numpy(zero_copy_only=False)
+    return ids.fill_null(LAST_ID).to_numpy(zero_copy_only=False)
 
 
 def blobs(names: list[str], rows: list[tuple]) -> pa.RecordBatch:

@@ -26,17 +26,19 @@ gives one row. Columns besides doc_id and text are ignored.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import raw_texts
 from tillroll.llm.repeats import (
     CROWDED,
+    LAST_ID,
     MOST_BITS,
     blobs,
     by_value,
@@ -153,23 +155,35 @@ def _hashes(length: int):
 
 # ---- segments that may be repeated --------------------------------------------
 
-_SEGMENTS = ["shard", "kind", "hash", "digest", "doc", "key", "place", "count", "size", "text"]
+# A pending row: hash, id, tag and place of segments, how many strings start in each, and the bytes
+# of those that lead. A settled row: spans as id, tag, start and end.
+_SEGMENTS = ["shard", "kind", "a", "b", "c", "d", "e", "text"]
 _PENDING, _SETTLED = 0, 1
-
-
-def _runs(key: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Spans of each key, those that touch as one."""
-    if not len(key):
-        return key, start, end
-    order = np.lexsort((start, key))
-    key, start, end = key[order], start[order], end[order]
-    # The furthest end so far within a key, by one running maximum over all keys.
-    level = np.r_[0, np.cumsum(key[1:] != key[:-1])].astype(np.int64)
+# A segment with the same bytes as the one before it does not lead.
+_LEADS = 128
+
+
+def _runs(doc: np.ndarray, tag: np.ndarray, start: np.ndarray, end: np.ndarray):
+    """(doc, tag, start, end) of the spans of each row, those that touch as one."""
+    if not len(doc):
+        return doc, tag, start, end
+    order = np.lexsort((start, tag, doc))
+    doc, tag, start, end = doc[order], tag[order], start[order], end[order]
+    other = (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1])
+    # The furthest end so far within a row, by one running maximum over all rows.
+    level = np.r_[0, np.cumsum(other)].astype(np.int64)
     span = int(end.max()) + 1
     reach = np.maximum.accumulate(level * span + end) - level * span
-    new = np.r_[True, (key[1:] != key[:-1]) | (start[1:] > reach[:-1])]
-    first = np.flatnonzero(new)
-    return key[first], start[first], reach[np.r_[first[1:], len(key)] - 1]
+    first = np.flatnonzero(np.r_[True, other | (start[1:] > reach[:-1])])
+    last = np.r_[first[1:], len(doc)] - 1
+    return doc[first], tag[first], start[first], reach[last]
+
+
+_SPAN = (np.int64, np.int32, np.int64, np.int64)
+
+
+def _joined(parts: list[tuple]) -> list[np.ndarray]:
+    return [np.concatenate(x).astype(k, copy=False) for x, k in zip(zip(*parts, strict=True), _SPAN, strict=True)]
 
 
 def _take_segments(length: int, shards: int, held):
@@ -177,16 +191,16 @@ def _take_segments(length: int, shards: int, held):
         repeated = held.value
         for batch in batches:
             ids = integer_ids(batch)
-            keys = batch.column("key").to_numpy(zero_copy_only=False)
+            tags = batch.column("tag").to_numpy(zero_copy_only=False)
             for parts in _parts(raw_texts(batch.column("text")), length):
                 found = Batch(parts, length)
                 some = np.flatnonzero(repeated(found.hash))
-                yield blobs(_SEGMENTS, list(_sort_out(found, some, ids, keys, repeated)))
+                yield blobs(_SEGMENTS, list(_sort_out(found, some, ids, tags, repeated)))
 
-    def _sort_out(found, some, ids, keys, repeated):
+    def _sort_out(found, some, ids, tags, repeated):
         start, count = found.start[some], found.count[some]
         value, place = found.hash[some], found.place[some]
-        doc, key = ids[found.row[some]], keys[found.row[some]]
+        doc, tag = ids[found.row[some]], tags[found.row[some]]
         ends = (start + count + length - 1).tolist()
         data = memoryview(found.data)
         texts = [data[a:b] for a, b in zip(start.tolist(), ends, strict=True)]
@@ -194,50 +208,44 @@ def _take_segments(length: int, shards: int, held):
 
         order = np.lexsort((doc, digest, value))
         v, d, i = value[order], digest[order], doc[order]
-        new = np.r_[True, (v[1:] != v[:-1]) | (d[1:] != d[:-1])][: len(order)]
-        group = np.cumsum(new) - 1
-        least = i[np.flatnonzero(new)][group] if len(order) else i
+        new = np.ones(len(order), dtype=bool)
+        new[1:] = (v[1:] != v[:-1]) | (d[1:] != d[:-1])
+        least = i[new][np.cumsum(new) - 1]
         later = order[i > least]
-        spans = _runs(key[later], place[later], place[later] + count[later] + length - 1)
+        spans = _runs(doc[later], tag[later], place[later], place[later] + count[later] + length - 1)
         if len(spans[0]):
             # They only pass through the shard.
-            k, a, b = spans
-            yield int(k[0] % shards), _SETTLED, b"", b"", b"", k, a, b"", b - a, b""
+            yield int(spans[0][0] % shards), _SETTLED, *_joined([spans]), b"", b""
 
-        kept, first = order[i == least], new[i == least]
+        kept, leads = order[i == least], new[i == least]
         many = repeated.in_very_many(value[kept])
-        yield from _single(found, some, kept[many], doc, key, place, count, start)
-        kept, first = kept[~many], first[~many]
-        shard = (value[kept] % np.uint64(shards)).astype(np.int32)
-        for s, g in by_value(shard):
-            mine, lead = kept[g], first[g]
-            # Equal segments lie together, and only the first brings its bytes.
-            size = np.where(lead, count[mine] + length - 1, 0).astype(np.int32)
+        if many.any():
+            yield from _single(found, start, count, doc, tag, place, kept[many])
+        kept, leads = kept[~many], leads[~many]
+        for s, g in by_value((value[kept] % np.uint64(shards)).astype(np.int32)):
+            mine, lead = kept[g], leads[g]
             text = b"".join([texts[j] for j in mine[lead].tolist()])
-            numbers = (value[mine], digest[mine], doc[mine], key[mine], place[mine])
-            yield s, _PENDING, *numbers, count[mine].astype(np.int32), size, text
+            yield s, *_packed(value[mine], doc[mine], tag[mine], place[mine], count[mine], lead, text)
 
-    def _single(found, some, crowd, doc, key, place, count, start):
+    def _single(found, start, count, doc, tag, place, crowd):
         """Segments as their single strings, whose hash is their own."""
-        if not len(crowd):
-            return
-        which = np.repeat(crowd, count[crowd])
-        step = np.arange(len(which)) - np.repeat(
-            np.cumsum(count[crowd]) - count[crowd], count[crowd]
-        )
-        at = (start[which] + step).tolist()
+        sizes = count[crowd]
+        which = np.repeat(crowd, sizes)
+        step = np.arange(len(which)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         data = memoryview(found.data)
-        value = np.array(
-            [xxhash.xxh3_64_intdigest(data[a : a + length], 1) for a in at], dtype=np.uint64
-        )
-        check = np.array(
-            [xxhash.xxh3_64_intdigest(data[a : a + length]) for a in at], dtype=np.uint64
-        )
-        ones = np.ones(len(which), dtype=np.int32)
+        texts = [data[a : a + length] for a in (start[which] + step).tolist()]
+        value = np.array([xxhash.xxh3_64_intdigest(t) for t in texts], dtype=np.uint64)
+        ones = np.ones(len(which), dtype=np.int64)
         for s, g in by_value((value % np.uint64(shards)).astype(np.int32)):
-            g = g[np.lexsort((doc[which[g]], check[g], value[g]))]
-            numbers = (value[g], check[g], doc[which[g]], key[which[g]], (place[which] + step)[g])
-            yield s, _PENDING, *numbers, ones[g], ones[g] * 0, b""
+            j = which[g]
+            text = b"".join([texts[k] for k in g.tolist()])
+            numbers = (value[g], doc[j], tag[j], place[j] + step[g], ones[g])
+            yield s, *_packed(*numbers, ones[g] > 0, text)
+
+    def _packed(value, doc, tag, place, count, lead, text):
+        flags = (count + _LEADS * lead).astype(np.uint8)
+        numbers = (value, doc.astype(np.int64), tag.astype(np.int32), place.astype(np.int64), flags)
+        return _PENDING, *numbers, zlib.compress(text, 1)
 
     return run
 
@@ -293,74 +301,83 @@ def repeated_strings(
 
 def _resolve(length: int, buckets: int, in_memory: int):
     """Spans to remove by bucket of texts. Rows come sorted by shard."""
-    kinds = (np.uint64, np.uint64, np.int64, np.int64, np.int64, np.int32, np.int32)
 
-    def spread(key, start, end):
-        key, start, end = _runs(key, start, end)
-        rows = [(s, key[g], start[g], end[g]) for s, g in by_value((key % buckets).astype(np.int32))]
-        return blobs(["bucket", "key", "start", "end"], rows)
+    def spread(parts):
+        spans = _runs(*_joined(parts))
+        place = bucket_of(spans[0], buckets).astype(np.int32)
+        rows = [(s, *[x[g] for x in spans]) for s, g in by_value(place)]
+        return blobs(_SPANS, rows)
 
-    def settle(held: list[list[bytes]], texts: list[bytes]):
-        value, digest, doc, key, place, count, size = (
+    def settle(held: list[tuple[bytes, ...]]):
+        kinds = (np.uint64, np.int64, np.int32, np.int64, np.uint8)
+        value, doc, tag, place, flags = (
             np.frombuffer(b"".join(column), dtype=kind)
-            for column, kind in zip(zip(*held, strict=True), kinds, strict=True)
+            for column, kind in zip(list(zip(*held, strict=True))[:5], kinds, strict=True)
         )
-        data = b"".join(texts)
-        at = np.cumsum(size.astype(np.int64)) - size
-        order = np.lexsort((size == 0, doc, digest, value))
+        data = memoryview(b"".join([zlib.decompress(row[5]) for row in held]))
+        leads, count = flags >= _LEADS, (flags % _LEADS).astype(np.int64)
+        size = np.where(leads, count + length - 1, 0)
+        at = np.cumsum(size) - size
+        ends = (at + size)[leads].tolist()
+        texts = [data[a:b] for a, b in zip(at[leads].tolist(), ends, strict=True)]
+        each = np.array([xxhash.xxh3_64_intdigest(t) for t in texts], dtype=np.uint64)
+        digest = each[np.cumsum(leads) - 1]
+
+        order = np.lexsort((~leads, doc, digest, value))
         v, d, i = value[order], digest[order], doc[order]
-        new_hash = np.r_[True, v[1:] != v[:-1]]
-        new = new_hash | np.r_[True, d[1:] != d[:-1]]
+        new_hash = np.ones(len(order), dtype=bool)
+        new_hash[1:] = v[1:] != v[:-1]
+        new = new_hash.copy()
+        new[1:] |= d[1:] != d[:-1]
         first = np.flatnonzero(new)
-        group = np.cumsum(new) - 1
         least = i[first]
-        later = order[i > least[group]]
-        spans = [(key[later], place[later], place[later] + count[later] + length - 1)]
+        later = order[i > least[np.cumsum(new) - 1]]
+        spans = [(doc[later], tag[later], place[later], place[later] + count[later] + length - 1)]
 
-        # Different segments of one hash: what strings do they share? Those of crowded hashes are
-        # a string each, and bring no bytes, as they share none.
+        # Different segments of one hash: what strings do they share?
         hash_of = (np.cumsum(new_hash) - 1)[first]
         lead = order[first]
-        odd = np.flatnonzero((np.bincount(hash_of)[hash_of] > 1) & (size[lead] > 0))
+        odd = np.flatnonzero(np.bincount(hash_of)[hash_of] > 1)
         stops = np.r_[first[1:], len(order)]
         for part in _together(odd, hash_of[odd], size[lead[odd]]):
             mine = lead[part]
-            parts = [data[a : a + n] for a, n in zip(at[mine].tolist(), size[mine].tolist(), strict=True)]
-            flags = repeated_strings(parts, least[part], count[mine], length, in_memory)
-            for g, hit in zip(part.tolist(), flags, strict=True):
+            parts = [bytes(data[a : a + n]) for a, n in zip(at[mine].tolist(), size[mine].tolist(), strict=True)]
+            shared = repeated_strings(parts, least[part], count[mine], length, in_memory)
+            for g, hit in zip(part.tolist(), shared, strict=True):
                 if not hit.any():
                     continue
                 change = np.flatnonzero(np.diff(np.r_[False, hit, False].astype(np.int8)))
                 lo, hi = change[::2], change[1::2]
                 members = order[first[g] : stops[g]]
                 members = members[doc[members] == least[g]]
-                k, base = np.repeat(key[members], len(lo)), np.repeat(place[members], len(lo))
+                base = np.repeat(place[members], len(lo))
                 start, end = np.tile(lo, len(members)), np.tile(hi, len(members))
-                spans.append((k, base + start, base + end + length - 1))
-        return spread(*[np.concatenate(x) for x in zip(*spans, strict=True)])
+                row = (np.repeat(doc[members], len(lo)), np.repeat(tag[members], len(lo)))
+                spans.append((*row, base + start, base + end + length - 1))
+        return spread(spans)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, held, texts, passing, size = None, [], [], [], 0
+        shard, held, passing, size = None, [], [], 0
         for batch in batches:
-            for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                if row[1] == _SETTLED:
-                    key, start, long = (np.frombuffer(row[i], dtype=np.int64) for i in (5, 6, 8))
-                    passing.append((key, start, start + long))
-                    size += len(key)
+            for s, kind, *columns in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if kind == _SETTLED:
+                    passing.append(
+                        tuple(np.frombuffer(c, dtype=k) for c, k in zip(columns, _SPAN, strict=False))
+                    )
+                    size += len(passing[-1][0])
                     if size > _AT_ONCE:
-                        yield spread(*[np.concatenate(x) for x in zip(*passing, strict=True)])
+                        yield spread(passing)
                         passing, size = [], 0
                     continue
-                if row[0] != shard:
+                if s != shard:
                     if held:
-                        yield settle(held, texts)
-                    shard, held, texts = row[0], [], []
-                held.append(row[2:9])
-                texts.append(row[9])
+                        yield settle(held)
+                    shard, held = s, []
+                held.append(tuple(columns))
         if held:
-            yield settle(held, texts)
+            yield settle(held)
         if passing:
-            yield spread(*[np.concatenate(x) for x in zip(*passing, strict=True)])
+            yield spread(passing)
 
     return run
 
@@ -368,30 +385,37 @@ def _resolve(length: int, buckets: int, in_memory: int):
 # ---- texts --------------------------------------------------------------------
 
 
+_SPANS = ["bucket", "doc", "tag", "start", "end"]
+
+
+def bucket_of(doc, buckets: int):
+    """The bucket of an id, for arrays and for columns alike."""
+    if isinstance(doc, Column):
+        return F.pmod(doc.bitwiseXOR(F.shiftright(doc, 20)), F.lit(buckets))
+    return (doc ^ (doc >> 20)) % buckets
+
+
 def _remove(docs: pa.Table, found: pa.Table) -> pa.Table:
     columns = [
-        np.frombuffer(b"".join(found.column(n).to_pylist()), dtype=np.int64)
-        for n in ("key", "start", "end")
+        np.frombuffer(b"".join(found.column(n).to_pylist()), dtype=k)
+        for n, k in zip(_SPANS[1:], _SPAN, strict=True)
     ]
-    key, start, end = _runs(*columns)
-    ids = docs.column("doc_id")
+    doc, tag, start, end = (x.tolist() for x in _runs(*columns))
+    own: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    for d, t, a, b in zip(doc, tag, start, end, strict=True):
+        own.setdefault((d, t), []).append((a, b))
+    texts = raw_texts(docs.column("text").combine_chunks())
+    rows = zip(docs.column("doc").to_pylist(), docs.column("tag").to_pylist(), strict=True)
     sizes, spans, left = [], [], []
-    for mine, raw in zip(
-        docs.column("key").to_pylist(),
-        raw_texts(docs.column("text").combine_chunks()),
-        strict=True,
-    ):
-        lo, hi = np.searchsorted(key, mine, side="left"), np.searchsorted(key, mine, side="right")
-        own = list(zip(start[lo:hi].tolist(), end[lo:hi].tolist(), strict=True))
-        edges = [0, *[x for span in own for x in span], len(raw)]
+    for row, raw in zip(rows, texts, strict=True):
+        mine = own.get(row, [])
+        edges = [0, *[x for span in mine for x in span], len(raw)]
         left.append(b"".join([raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)]))
-        spans.append([{"start": a, "end": b} for a, b in own])
+        spans.append([{"start": a, "end": b} for a, b in mine])
         sizes.append(len(raw))
     span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
-    return pa.table(
-        [ids, pa.array(sizes, pa.int64()), pa.array(spans, pa.list_(span)), pa.array(left, pa.binary())],
-        names=["doc_id", "n_bytes", "spans", "kept"],
-    )
+    columns = [pa.array(sizes, pa.int64()), pa.array(spans, pa.list_(span)), pa.array(left, pa.binary())]
+    return pa.table([docs.column("doc_id"), *columns], names=["doc_id", "n_bytes", "spans", "kept"])
 
 
 def remove_repeats(
@@ -408,32 +432,34 @@ def remove_repeats(
     `kept` is binary, as a span may end within a character.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select("doc_id", text.alias("text"))
-    rows = rows.withColumn("key", F.xxhash64("doc_id", "text"))
+    # Rows of one id are told apart by a hash of their text.
+    rows = docs.select("doc_id", text.alias("text")).withColumn("tag", F.hash("text"))
     total = rows.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
 
     expected = total // ((length - GRAM + 2) // 2)
     held = repeated_hashes(rows, _hashes(length), expected, most_bits, crowded)
     shards = max(1, -(-total // shard_bytes))
-    buckets = max(1, -(-total // bucket_bytes))
-    numbers = ", ".join(f"{n} binary" for n in _SEGMENTS[2:])
+    buckets = max(1, -(-total // bucket_bytes)) | 1
+    binary = ", ".join(f"`{n}` binary" for n in _SEGMENTS[2:])
     spans = (
-        rows.mapInArrow(_take_segments(length, shards, held), f"shard int, kind int, {numbers}")
+        rows.mapInArrow(_take_segments(length, shards, held), f"shard int, kind int, {binary}")
         .repartition("shard")
         .sortWithinPartitions("shard")
         .mapInArrow(
             _resolve(length, buckets, in_memory),
-            "bucket int, `key` binary, `start` binary, `end` binary",
+            "bucket int, " + ", ".join(f"`{n}` binary" for n in _SPANS[1:]),
         )
     )
-    placed = rows.withColumn("bucket", F.pmod("key", F.lit(buckets)).cast("int"))
-    kind = docs.schema["doc_id"].dataType
+    doc = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST_ID))
+    placed = rows.withColumn("doc", doc)
+    placed = placed.withColumn("bucket", bucket_of(F.col("doc"), buckets).cast("int"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
     return (
         placed.groupBy("bucket")
         .cogroup(spans.groupBy("bucket"))
         .applyInArrow(
             _remove,
-            f"doc_id {kind.simpleString()}, n_bytes bigint, "
+            f"doc_id {kind}, n_bytes bigint, "
             "spans array<struct<start:bigint,end:bigint>>, kept binary",
         )
     )
