@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from tillroll.llm.common import blocks, raw_texts
 
-TABLE_WORDS = 500_000
+TABLE_WORDS = 300_000
 _PUNCTUATION = string.punctuation.encode()
 # Small Latin letters beyond ASCII too; C3 B7, left out, is the sign for division.
 _LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+\Z")

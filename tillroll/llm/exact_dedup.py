@@ -216,12 +216,18 @@ def duplicate_report(docs: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
     return one.unionByName(told)
 
 
-def _append_digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        more = next(_digest_batches(iter([batch])))
-        for name in ("digest", "points", "hash"):
-            batch = batch.append_column(name, more.column(name))
-        yield batch
+def _digest_and_flag(shards: int, filters):
+    """Whole rows with digest, points and maybe, in one pass."""
+    flag = _flag(shards, filters)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            more = next(flag(_digest_batches(iter([batch]))))
+            for name in ("digest", "points", "maybe"):
+                batch = batch.append_column(name, more.column(name))
+            yield batch
+
+    return run
 
 
 def deduplicate(docs: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
@@ -233,10 +239,10 @@ def deduplicate(docs: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
     """
     hashes = stored(text_digests(docs).select("hash"), "hashes")
     named = set_aside(docs, "doc_id", "text")
-    digested = named.mapInArrow(
-        _append_digest, _with(named, digest="binary", points="bigint", hash="bigint")
+    flagged = named.mapInArrow(
+        _digest_and_flag(*second_filter(hashes, most_bits)),
+        _with(named, digest="binary", points="bigint", maybe="boolean"),
     )
-    flagged = flag_repeats(digested, *second_filter(hashes, most_bits))
     whole = F.struct(*[F.col(c) for c in named.columns])
     best = F.min_by(whole, _order("text")).alias("best")
     several = flagged.filter("maybe").groupBy("digest").agg(best).select("best.*")
