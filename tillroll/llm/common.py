@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -24,6 +25,7 @@ def vocabulary() -> str:
 
 # Long texts are worked on in parts of about so many bytes.
 BLOCK = 1 << 22
+_WHITE = re.compile(rb"[\x20\x09-\x0D]")
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -50,14 +52,14 @@ def raw_texts(column: pa.Array) -> list[bytes]:
 
 
 def blocks(raw: bytes, size: int = BLOCK) -> Iterator[bytes]:
-    """`raw` in parts of about `size` bytes, cut behind a space."""
+    """`raw` in parts of about `size` bytes, cut behind ASCII white space."""
     lo = 0
     while len(raw) - lo > size:
-        cut = raw.find(b" ", lo + size)
-        if cut < 0:
+        cut = _WHITE.search(raw, lo + size)
+        if cut is None:
             break
-        yield raw[lo : cut + 1]
-        lo = cut + 1
+        yield raw[lo : cut.end()]
+        lo = cut.end()
     yield raw[lo:] if lo else raw
 
 

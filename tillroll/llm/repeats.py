@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-# Bits of the bitmap: eight for each expected hash, at most 64 MB. When it fills up, more hashes
+# Bits of the bitmap: four to eight for each expected hash, at most 64 MB. When it fills up, more hashes
 # seem repeated than are; none that is goes missing.
 MOST_BITS = 29
 # A hash in more documents than this is reported apart.
@@ -133,7 +133,7 @@ def repeated_hashes(
     crowded: int = CROWDED,
 ):
     """A broadcast `Repeated` over the hashes that `extract` finds; `expected` is their number."""
-    bits = max(12, min(most_bits, max(1, expected * 8).bit_length()))
+    bits = max(12, min(most_bits, max(1, expected * 4).bit_length()))
     shard_bits = max(1, min(bits - 8, (expected // _PER_SHARD).bit_length()))
     found = (
         rows.mapInArrow(
@@ -146,7 +146,7 @@ def repeated_hashes(
     flags = np.zeros((1 << shard_bits, (1 << (bits - shard_bits)) // 8), dtype=np.uint8)
     many, cut = [np.empty(0, np.uint64)], np.uint64(32 - shard_bits)
     # The bitmap has a bounded size, and hashes of very many documents are few by definition.
-    for r in found.collect():
+    for r in found.toLocalIterator():
         flags[r.shard] = np.frombuffer(r.bits, dtype=np.uint8)
         rest = np.frombuffer(r.crowded, dtype=np.uint32).astype(np.uint64)
         many.append((np.uint64(r.shard) << np.uint64(64 - shard_bits)) | (rest << cut))
