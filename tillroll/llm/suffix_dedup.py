@@ -224,6 +224,9 @@ def _take_segments(length: int, shards: int, held):
         kept, leads = kept[~many], leads[~many]
         for s, g in by_value((value[kept] % np.uint64(shards)).astype(np.int32)):
             mine, lead = kept[g], leads[g]
+            # By document, which compresses well and keeps equal segments together.
+            by_doc = np.lexsort((~lead, digest[mine], value[mine], doc[mine]))
+            mine, lead = mine[by_doc], lead[by_doc]
             text = b"".join([texts[j] for j in mine[lead].tolist()])
             yield s, *_packed(value[mine], doc[mine], tag[mine], place[mine], count[mine], lead, text)
 
@@ -243,9 +246,11 @@ def _take_segments(length: int, shards: int, held):
             yield s, *_packed(*numbers, ones[g] > 0, text)
 
     def _packed(value, doc, tag, place, count, lead, text):
+        """Some bits of the hash are enough, as different segments are compared by their bytes."""
+        some_bits = ((value // np.uint64(shards)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
         flags = (count + _LEADS * lead).astype(np.uint8)
-        numbers = (value, doc.astype(np.int64), tag.astype(np.int32), place.astype(np.int64), flags)
-        return _PENDING, *numbers, zlib.compress(text, 1)
+        numbers = (doc.astype(np.int64), tag.astype(np.int32), place.astype(np.int64), flags)
+        return _PENDING, some_bits, *[zlib.compress(x.tobytes(), 1) for x in numbers], zlib.compress(text, 1)
 
     return run
 
@@ -266,8 +271,8 @@ def _together(groups: np.ndarray, hashes: np.ndarray, sizes: np.ndarray) -> Iter
 
 def repeated_strings(
     texts: list[bytes], docs: np.ndarray, counts: np.ndarray, length: int, in_memory: int
-) -> list[np.ndarray]:
-    """For each segment, which of its strings also start in a segment of a smaller id.
+) -> np.ndarray:
+    """For each string of each segment, whether it also starts in a segment of a smaller id.
 
     `counts` strings start in each segment, at its first bytes.
     """
@@ -281,22 +286,26 @@ def repeated_strings(
     order = suffix_array(text, 256, in_memory)
 
     starts = ends - sizes - 1
-    segment = np.searchsorted(ends, order, side="right")
-    segment = np.minimum(segment, len(texts) - 1)
-    whole = (order - starts[segment] < counts[segment]) & (order < ends[-1])
+    owner = np.repeat(np.arange(len(texts)), sizes + 1)
+    order = order[order < ends[-1]]
+    segment = owner[order]
+    whole = order - starts[segment] < counts[segment]
     order, segment = order[whole], segment[whole]
-    same = np.zeros(len(order), dtype=bool)
-    for lo in range(0, len(order) - 1, 1 << 16):
-        a, b = order[lo : lo + (1 << 16)][:, None], order[lo + 1 : lo + 1 + (1 << 16)][:, None]
-        a = a[: len(b)]
-        offsets = np.arange(length)[None, :]
-        same[lo + 1 : lo + 1 + len(b)] = (text[a + offsets] == text[b + offsets]).all(axis=1)
+    # Eight bytes as one number; the last one of a string may overlap the one before.
+    packed = np.zeros(len(text), dtype=np.uint64)
+    for i in range(8):
+        packed[: len(text) - i] |= (text[i:].astype(np.uint64) & np.uint64(255)) << np.uint64(8 * i)
+    same = np.ones(len(order), dtype=bool)
+    same[:1] = False
+    for offset in [*range(0, length - 8, 8), length - 8]:
+        part = packed[order + offset]
+        same[1:] &= part[1:] == part[:-1]
     first = np.flatnonzero(~same)
     least = np.minimum.reduceat(docs[segment], first) if len(first) else docs[:0]
     least = np.repeat(least, np.diff(np.r_[first, len(order)]))
     flags = np.zeros(len(text), dtype=bool)
     flags[order[least < docs[segment]]] = True
-    return [flags[s : s + c] for s, c in zip(starts.tolist(), counts.tolist(), strict=True)]
+    return flags[np.repeat(starts - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())]
 
 
 def _resolve(length: int, buckets: int, in_memory: int):
@@ -309,10 +318,11 @@ def _resolve(length: int, buckets: int, in_memory: int):
         return blobs(_SPANS, rows)
 
     def settle(held: list[tuple[bytes, ...]]):
-        kinds = (np.uint64, np.int64, np.int32, np.int64, np.uint8)
-        value, doc, tag, place, flags = (
-            np.frombuffer(b"".join(column), dtype=kind)
-            for column, kind in zip(list(zip(*held, strict=True))[:5], kinds, strict=True)
+        kinds = (np.int64, np.int32, np.int64, np.uint8)
+        value = np.frombuffer(b"".join([row[0] for row in held]), dtype=np.uint32)
+        doc, tag, place, flags = (
+            np.frombuffer(b"".join([zlib.decompress(row[i]) for row in held]), dtype=kind)
+            for i, kind in enumerate(kinds, 1)
         )
         data = memoryview(b"".join([zlib.decompress(row[5]) for row in held]))
         leads, count = flags >= _LEADS, (flags % _LEADS).astype(np.int64)
@@ -338,22 +348,24 @@ def _resolve(length: int, buckets: int, in_memory: int):
         hash_of = (np.cumsum(new_hash) - 1)[first]
         lead = order[first]
         odd = np.flatnonzero(np.bincount(hash_of)[hash_of] > 1)
-        stops = np.r_[first[1:], len(order)]
+        # The rows of the smallest id come first in their group.
+        same_id = i == least[np.cumsum(new) - 1]
+        members = np.add.reduceat(same_id, first, dtype=np.int64)
         for part in _together(odd, hash_of[odd], size[lead[odd]]):
             mine = lead[part]
             parts = [bytes(data[a : a + n]) for a, n in zip(at[mine].tolist(), size[mine].tolist(), strict=True)]
-            shared = repeated_strings(parts, least[part], count[mine], length, in_memory)
-            for g, hit in zip(part.tolist(), shared, strict=True):
-                if not hit.any():
-                    continue
-                change = np.flatnonzero(np.diff(np.r_[False, hit, False].astype(np.int8)))
-                lo, hi = change[::2], change[1::2]
-                members = order[first[g] : stops[g]]
-                members = members[doc[members] == least[g]]
-                base = np.repeat(place[members], len(lo))
-                start, end = np.tile(lo, len(members)), np.tile(hi, len(members))
-                row = (np.repeat(doc[members], len(lo)), np.repeat(tag[members], len(lo)))
-                spans.append((*row, base + start, base + end + length - 1))
+            sizes = count[mine]
+            shared = repeated_strings(parts, least[part], sizes, length, in_memory)
+            which = np.repeat(np.arange(len(part)), sizes)
+            step = np.arange(len(which)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            opens = shared & ~(np.r_[False, shared[:-1]] & (step > 0))
+            closes = shared & ~(np.r_[shared[1:], False] & np.r_[step[1:] > 0, False])
+            group, lo, hi = part[which[opens]], step[opens], step[closes] + length
+            copies = members[group]
+            nth = np.arange(copies.sum()) - np.repeat(np.cumsum(copies) - copies, copies)
+            row = order[np.repeat(first[group], copies) + nth]
+            start, end = place[row] + np.repeat(lo, copies), place[row] + np.repeat(hi, copies)
+            spans.append((doc[row], tag[row], start, end))
         return spread(spans)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

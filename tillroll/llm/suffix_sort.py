@@ -139,18 +139,36 @@ def _induce(
 
 
 def ranks_by_doubling(names: np.ndarray) -> np.ndarray:
-    """The order of the suffixes of a string that fits in memory."""
-    rank, span, n = names.astype(np.int64), 1, len(names)
-    while True:
-        second = np.full(n, -1, dtype=np.int64)
-        second[: max(0, n - span)] = rank[span:]
-        order = np.lexsort((second, rank))
-        new = (np.diff(rank[order]) != 0) | (np.diff(second[order]) != 0)
-        rank = np.empty(n, dtype=np.int64)
-        rank[order] = np.r_[0, np.cumsum(new)]
-        if n == 0 or rank[order[-1]] == n - 1:
-            return order
+    """The order of the suffixes of a string that fits in memory.
+
+    A rank is the number of smaller suffixes as far as is known; each round
+    sorts those that still share one by the ranks `span` further on.
+    """
+    n, span = len(names), 1
+    order = np.argsort(names, kind="stable")
+    new = np.ones(n, dtype=bool)
+    new[1:] = names[order][1:] != names[order][:-1]
+    rank = np.empty(n + 1, dtype=np.int64)
+    rank[order] = np.flatnonzero(new)[np.cumsum(new) - 1]
+    rank[n] = -1
+    alone = new & np.append(new[1:], True)[:n]
+    left = order[~alone]
+    while len(left):
+        key = rank[left] * (n + 1) + rank[np.minimum(left + span, n)] + 1
+        by_key = np.argsort(key)
+        left, key = left[by_key], key[by_key]
+        old = rank[left]
+        group = np.ones(len(left), dtype=bool)
+        group[1:] = old[1:] != old[:-1]
+        new = np.ones(len(left), dtype=bool)
+        new[1:] = key[1:] != key[:-1]
+        first = np.flatnonzero(new)[np.cumsum(new) - 1]
+        rank[left] = old + first - np.flatnonzero(group)[np.cumsum(group) - 1]
+        left = left[~(new & np.append(new[1:], True))]
         span *= 2
+    order = np.empty(n, dtype=np.int64)
+    order[rank[:n]] = np.arange(n)
+    return order
 
 
 def _names(text: np.ndarray, sorted_starts: np.ndarray, starts: np.ndarray) -> np.ndarray:
