@@ -6,7 +6,7 @@ from __future__ import annotations
 
 
 def money_sum(x: str) -> str:
-    return f"CAST(round(sum(CAST({x} AS DECIMAL(18,4))), 2) AS DOUBLE)"
+    return f"CAST(round(sum(CAST({x} AS DECIMAL(18,6))), 2) AS DOUBLE)"
 
 
 def two_places(x: str) -> str:
@@ -29,6 +29,7 @@ LINE_ORDER = (
     "l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity, "
     "l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate"
 )
+PRICE = "CAST(l_extendedprice AS DECIMAL(18,2))"
 
 UNIQUE_LINES = f"""(
     SELECT * FROM lineitem
@@ -36,7 +37,7 @@ UNIQUE_LINES = f"""(
 )"""
 
 FLAT_COLUMNS = {
-    "order_id": "'O' || l_orderkey",
+    "order_id": "CASE WHEN NOT (l_linenumber = 7 AND l_tax = 0.06) THEN 'O' || l_orderkey END",
     "status": """CASE WHEN o_orderstatus = 'P' THEN 'Cancelled'
         WHEN l_returnflag = 'A' THEN 'Shipped - Delivered to Buyer'
         WHEN l_returnflag = 'R' THEN 'Shipped' END""",
@@ -47,9 +48,10 @@ FLAT_COLUMNS = {
     "fulfilled_by": """CASE WHEN l_linestatus = 'F' THEN 'Platform'
         WHEN l_returnflag <> 'N' THEN 'Merchant' END""",
     "b2b": "CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 'True' ELSE 'False' END",
-    "promotion_ids": """CASE WHEN l_discount > 0
-        THEN 'PROMO-' || CAST(round(l_discount * 100) AS INTEGER) END""",
-    "ship_city": "CASE WHEN c_nationkey % 10 <> 0 THEN 'CITY-' || (c_nationkey % 10) END",
+    "promotion_ids": """CASE WHEN CAST(round(l_discount * 100) AS INTEGER) = 2 THEN ' '
+        WHEN l_discount > 0 THEN 'PROMO-' || CAST(round(l_discount * 100) AS INTEGER) END""",
+    "ship_city": """CASE c_nationkey % 10 WHEN 0 THEN NULL WHEN 3 THEN '' WHEN 7 THEN '   '
+        ELSE 'CITY-' || (c_nationkey % 10) END""",
     "ship_state": "CASE WHEN n_name <> 'NATION_0' THEN n_name END",
     "courier_status": "CASE WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN o_orderpriority END",
     "category": "p_type",
@@ -63,7 +65,10 @@ EXTRA_COLUMNS = {
     "customer_id": "o_custkey",
     "order_date": "o_orderdate",
     "ship_date": "l_shipdate",
-    "amount_text": "'INR ' || CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR)",
+    "amount_text": f"""CASE l_partkey % 20 WHEN 0 THEN 'abc' WHEN 1 THEN '1-2' WHEN 2 THEN ''
+        WHEN 3 THEN '   ' WHEN 4 THEN CAST(l_quantity AS INTEGER) || 'e2'
+        WHEN 5 THEN 'Rs ' || format('{{:,.2f}}', CAST({PRICE} AS DOUBLE))
+        ELSE 'INR ' || CAST({PRICE} AS VARCHAR) END""",
 }
 NAMES = ", ".join(FLAT_COLUMNS)
 
@@ -216,7 +221,7 @@ TEXT = set(FLAT_COLUMNS) - {"amount", "qty", "year", "month"}
 
 
 def missing(name: str) -> str:
-    blank = f"count(*) FILTER (trim({name}) = '')" if name in TEXT else "CAST(0 AS BIGINT)"
+    blank = f"count(*) FILTER (trim({name}, ' ') = '')" if name in TEXT else "CAST(0 AS BIGINT)"
     null = f"count(*) FILTER ({name} IS NULL)"
     return f"""SELECT '{name}' AS column_name, {null} AS null_count, {blank} AS blank_count,
         {percent(blank, 'count(*)')} AS blank_pct,
@@ -233,13 +238,17 @@ ORACLES = {
         SELECT count(*) AS row_count, {len(FLAT_COLUMNS)} AS column_count FROM flat""",
     "missing_profile": f"{LINES} " + " UNION ALL ".join(missing(n) for n in FLAT_COLUMNS),
     "dedup_orders": f"{UNIQUE} SELECT {NAMES} FROM flat",
-    "dedup_report": """
-        SELECT count(*) AS row_count, count(DISTINCT l_orderkey) AS order_rows,
-            count(*) - count(DISTINCT l_orderkey) AS duplicates_removed FROM lineitem""",
+    "dedup_report": f"""{LINES}, ids AS (SELECT DISTINCT order_id FROM flat)
+        SELECT (SELECT count(*) FROM flat) AS row_count, (SELECT count(*) FROM ids) AS order_rows,
+            (SELECT count(*) FROM flat) - (SELECT count(*) FROM ids) AS duplicates_removed""",
     "filled_sales": f"{UNIQUE}, {FILLED.format(source='flat')} SELECT {NAMES} FROM filled",
     "normalise_amount": f"""{LINES}
         SELECT order_id, asin, amount_text,
-            CAST(regexp_replace(amount_text, '[^0-9.-]', '', 'g') AS DOUBLE) AS amount
+            CASE WHEN trim(amount_text, ' ') = '' THEN NULL
+                WHEN regexp_full_match(amount_text, '[0-9]+e[0-9]+')
+                    THEN CAST(amount_text AS DOUBLE)
+                ELSE TRY_CAST(regexp_replace(amount_text, '[^0-9.-]', '', 'g') AS DOUBLE)
+            END AS amount
         FROM flat""",
     "clean_sales": f"""{LINES}, {FIRST_BY_ALL}, {FILLED.format(source='firsts')}, {SETTLED}
         SELECT {NAMES}, is_valid_sale FROM settled""",
@@ -294,6 +303,8 @@ ORACLES = {
                 count(*) OVER () AS orders FROM valid)
         SELECT share, min(amount) AS amount FROM shares, placed
         WHERE place >= share * orders GROUP BY share""",
+    "approximate_aov_percentiles": """
+        SELECT unnest([0.1, 0.25, 0.5, 0.75, 0.9, 0.99])::DOUBLE AS share, true AS within_bound""",
     "top_products_per_category": f"""{ALL_STAGES}, products AS ({kpi_select('top_products')}),
         ranked AS (
             SELECT category, row_number() OVER (

@@ -1,10 +1,13 @@
 """KPI semantics, invariants and agreement of the one-scan form."""
 
+import math
+
 import pytest
 from check import assert_same
 from pyspark.sql import functions as F
 from rows import orders, values
 
+from tillroll.functions import money
 from tillroll.operators import extras, kpis
 from tillroll.operators.enrich import enrich_sales
 from tillroll.operators.quality import settle
@@ -202,3 +205,64 @@ def test_a_garbled_amount_does_not_stop_the_job(spark):
     for name, kpi in kpis.KPIS.items():
         assert kpi(df).count() == 1, name
     assert kpis.profit_margin(df).first().total_revenue == 1e30
+
+
+LARGE = ("0.123456", "0.00001", "5.5", "1e14", "1e33", "9" * 36, "1e300", "1e400")
+
+
+def test_amounts_of_any_size_are_in_the_sums(spark):
+    df = enrich(spark, *[{"amount": a} for a in LARGE], types={"amount": "string"})
+    finite = [float(a) for a in LARGE[:-1]]
+    for source in (df, kpis.sales_rollup(df)):
+        row = kpis.b2b_analysis(source).first()
+        assert row.order_count == 7 and row.total_revenue == pytest.approx(sum(finite))
+    small = df.filter("amount < 10 or amount is null")
+    assert kpis.profit_margin(small).first().total_revenue == 5.62
+    row = kpis.aov(df).first()
+    assert row.max_order_value == 1e300 and row.min_order_value == 0.0
+
+
+def test_a_sum_beyond_the_decimals_goes_on_as_doubles(spark):
+    df = spark.range(30).selectExpr(
+        "1e19 * 9 AS amount", "'S' AS ship_state", "1 AS qty", "'O' AS order_id", "true AS is_valid_sale"
+    )
+    assert kpis.region_sales(df).first().total_revenue == pytest.approx(30 * 9e19)
+    exact = df.selectExpr("amount", "CAST(9e27 AS decimal(38,10)) AS e", "CAST(null AS double) AS r")
+    assert exact.agg(money.total(F.col("e"), F.col("r"))).first()[0] == pytest.approx(30 * 9e27)
+
+
+def test_quantiles_are_amounts_of_the_data(spark):
+    df = enrich(spark, *[{"amount": a} for a in LARGE], types={"amount": "string"})
+    shares = [0.0, 0.2, 0.4, 0.5, 0.7, 0.85, 1.0]
+    got = dict(values(extras.aov_percentiles(df, shares), "share", "amount"))
+    finite = sorted(float(a) for a in LARGE[:-1])
+    assert got == {s: finite[max(1, math.ceil(s * 7)) - 1] for s in shares}
+
+
+def test_profit_is_not_rounded_per_order(spark):
+    cheap = [{"order_id": f"O{i}", "amount": 0.01} for i in range(1000)]
+    df = enrich_sales(settle(orders(spark, *cheap)), margin=0.125)
+    for source in (df, kpis.sales_rollup(df)):
+        assert tuple(kpis.profit_margin(source).first()) == (10.0, 1.25, 12.5)
+
+
+def test_a_month_with_two_spellings_is_one_month(spark):
+    df = enrich(spark, {"month_name": "Apr"}, {"month_name": "April"}, {"month": 5, "amount": 100.0})
+    assert values(extras.revenue_mom_growth(df), "month", "total_revenue", "growth_pct") == [
+        (4, 200.0, None),
+        (5, 100.0, -50.0),
+    ]
+
+
+def test_sketch_error_tells_right_from_wrong(spark):
+    df = enrich(spark, *[{"amount": float(a)} for a in range(1, 1001)])
+    asked = spark.createDataFrame([(0.5, 500.0), (0.9, 930.0), (0.1, 101.5)], "share double, amount double")
+    got = dict(values(extras.sketch_error(df, asked, accuracy=100), "share", "within_bound"))
+    assert got == {0.5: True, 0.9: False, 0.1: True}
+
+
+def test_shares_come_from_one_total(spark):
+    df = enrich(spark, *[{"order_id": f"O{i}", "status": f"S{i % 7}"} for i in range(70)])
+    plan = kpis.status_distribution(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+    assert {r.percentage for r in kpis.status_distribution(df).collect()} == {14.29}

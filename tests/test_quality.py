@@ -119,6 +119,9 @@ def test_fill_leaves_other_columns_and_absent_ones(spark):
         ("-7", -7.0),
         ("1.23456789E7", 12345678.9),
         ("NaN", None),
+        ("1e400", None),
+        ("-1e400", None),
+        ("1e300", 1e300),
     ],
 )
 def test_numbers_in_text(spark, cell, number):
@@ -219,3 +222,4 @@ def test_cost_and_profit_make_the_amount(spark):
     rows = enrich_sales(orders(spark, {"amount": 33.33}, {"amount": 0.07})).collect()
     assert all(math.isclose(r.cost + r.profit, r.amount) for r in rows)
     assert {r.profit_margin_pct for r in rows} == {30.0}
+    assert enrich_sales(orders(spark, {}), margin=0.07).first().profit_margin_pct == 7.0

@@ -31,7 +31,7 @@ def enrich_sales(
     rules = {
         "cost": ({"amount"}, amount * (1 - margin)),
         "profit": ({"amount"}, amount * margin),
-        "profit_margin_pct": (set(), F.lit(margin * 100)),
+        "profit_margin_pct": (set(), F.lit(round(margin * 100, 10))),
         "price_per_item": ({"amount", "qty"}, F.when(qty > 0, amount / qty).otherwise(amount)),
         "is_b2b": ({"b2b"}, flag(F.col("b2b") == "True")),
         "is_platform_fulfilled": ({"fulfilled_by"}, flag(F.col("fulfilled_by") == platform_label)),

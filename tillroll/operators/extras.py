@@ -8,13 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions.money import percent, two_places
-from tillroll.operators.kpis import TOP_K, kpi_groups, valid_sales
-
-# An amount below 10^14 has at most 60 bits in ten-thousandths. Each pass settles
-# 20 of them, so its running count spans at most 2^20 rows per quantile.
-_DIGIT_BITS = 20
-_DIGITS = 3
-
+from tillroll.operators.kpis import MEASURES, TOP_K, kpi_groups, valid_sales, with_facts
+from tillroll.staging import new_folder
 
 def period_columns(df: DataFrame, date: str = "order_date") -> DataFrame:
     """Year, month and short month name, for input that has only a date."""
@@ -62,48 +57,71 @@ def approximate_aov_percentiles(
     )
 
 
+def sketch_error(df: DataFrame, quantiles: DataFrame, accuracy: int = 10_000) -> DataFrame:
+    """(share, within_bound): whether each of `quantiles` (share, amount) keeps its bound.
+
+    Exact counts: an amount has the ranks from the orders below it, plus one, to
+    those up to it. One of them must be within 1/`accuracy` of all orders from
+    the share's own.
+    """
+    # One row per quantile asked for.
+    asked = F.broadcast(quantiles.withColumnRenamed("amount", "quantile"))
+    ranks = (
+        valid_sales(df)
+        .groupBy("amount")
+        .agg(F.count("*").alias("n"))
+        .join(asked)
+        .groupBy("share")
+        .agg(
+            F.sum(F.when(F.col("amount") < F.col("quantile"), F.col("n")).otherwise(0)).alias("below"),
+            F.sum(F.when(F.col("amount") <= F.col("quantile"), F.col("n")).otherwise(0)).alias("upto"),
+            F.sum("n").alias("orders"),
+        )
+    )
+    own, slack = F.col("share") * F.col("orders"), F.col("orders") / accuracy + 1
+    within = (F.col("below") + 1 <= own + slack) & (F.col("upto") >= own - slack)
+    return ranks.select("share", within.alias("within_bound"))
+
+
 def aov_percentiles(df: DataFrame, shares: Sequence[float]) -> DataFrame:
     """Exact order-value quantiles: the smallest amount that `share` of the orders reach.
 
-    Spark's exact percentiles hold every distinct value in one buffer. Here
-    orders are counted per amount, and each of three passes over those counts
-    settles, per quantile, the next 20 bits of the answer.
+    Orders are counted per amount, and the counts stored in ranges of amounts.
+    The totals of the ranges tell in which one each quantile lies; there the
+    running count finds it. Amounts stay doubles of any size. Spark's own exact
+    percentiles hold all distinct values in one buffer.
     """
-    units = (F.col("amount").cast("decimal(18,4)") * 10_000).cast("bigint")
-    counts = valid_sales(df).groupBy(units.alias("units")).agg(F.count("*").alias("n"))
-
-    # The first digit is the same question for all quantiles, over one running count.
+    spark = df.sparkSession
+    counts = valid_sales(df).groupBy("amount").agg(F.count("*").alias("n"))
+    ranged = counts.repartitionByRange("amount").withColumn("part", F.spark_partition_id())
+    path = new_folder(spark, "amounts")
+    ranged.write.parquet(path)
+    stored = spark.read.parquet(path)
+
+    # One row per range.
+    totals = stored.groupBy("part").agg(F.sum("n").alias("n"))
     wanted = F.explode(F.array(*[F.lit(float(s)) for s in dict.fromkeys(shares)]))
     place = F.greatest(F.ceil(F.col("share") * F.col("orders")), F.lit(1).cast("bigint"))
-    first = (
-        _count_by_digit(counts, _DIGITS - 1)
-        .withColumn("reached", F.sum("n").over(Window.orderBy("prefix")))
+    parts = (
+        totals.withColumn("reached", F.sum("n").over(Window.orderBy("part")))
         .withColumn("orders", F.sum("n").over(Window.partitionBy()))
         .withColumn("share", wanted)
         .withColumn("place", place)
     )
-    found = _reached(first)
-    for digit in reversed(range(_DIGITS - 1)):
-        # One row per quantile asked for, hence the broadcast.
-        known = found.withColumnRenamed("prefix", "known")
-        higher = F.shiftright("units", (digit + 1) * _DIGIT_BITS) == F.col("known")
-        longer = _count_by_digit(counts.join(F.broadcast(known), higher), digit, "share", "place")
-        upward = Window.partitionBy("share").orderBy("prefix")
-        found = _reached(longer.withColumn("reached", F.sum("n").over(upward)))
-    return found.select("share", (F.col("prefix") / 10_000).cast("double").alias("amount"))
-
-
-def _count_by_digit(counts: DataFrame, digit: int, *keys: str) -> DataFrame:
-    """Orders by the leading bits of their amount, down to `digit`."""
-    prefix = F.shiftright("units", digit * _DIGIT_BITS).alias("prefix")
-    return counts.groupBy(*keys, prefix).agg(F.sum("n").alias("n"))
+    # One row per quantile asked for, hence the broadcast.
+    found = F.broadcast(_reached(parts, "part"))
+    inside = stored.join(found, "part")
+    upward = Window.partitionBy("share").orderBy("amount")
+    return _reached(inside.withColumn("reached", F.sum("n").over(upward)), "amount").select(
+        "share", "amount"
+    )
 
 
-def _reached(counts: DataFrame) -> DataFrame:
+def _reached(counts: DataFrame, at: str) -> DataFrame:
     """Where the running count gets to each `place`, which becomes the place in there."""
     below = F.col("reached") - F.col("n")
     return counts.filter((below < F.col("place")) & (F.col("place") <= F.col("reached"))).select(
-        "share", (F.col("place") - below).alias("place"), "prefix"
+        "share", (F.col("place") - below).alias("place"), at
     )
 
 
@@ -119,13 +137,17 @@ def top_products_per_category(df: DataFrame, k: int = TOP_K) -> DataFrame:
 
 
 def revenue_mom_growth(df: DataFrame) -> DataFrame:
-    """Revenue against the month before that had any; the window spans months, not orders."""
+    """Revenue against the month before that had any; the window spans months, not orders.
+
+    A month is a year and a number, however its name is spelt.
+    """
     before = F.lag("total_revenue").over(Window.orderBy("year", "month"))
+    sales = with_facts(valid_sales(df))
+    revenue = MEASURES["total_revenue"](sales).alias("total_revenue")
+    change = F.col("total_revenue") - F.col("previous_revenue")
     return (
-        kpi_groups(df, "monthly_revenue")
-        .select("year", "month", "total_revenue", before.alias("previous_revenue"))
-        .withColumn(
-            "growth_pct",
-            percent(F.col("total_revenue") - F.col("previous_revenue"), F.col("previous_revenue")),
-        )
+        sales.groupBy("year", "month")
+        .agg(revenue)
+        .withColumn("previous_revenue", before)
+        .withColumn("growth_pct", percent(change, F.col("previous_revenue")))
     )

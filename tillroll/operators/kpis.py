@@ -15,11 +15,11 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.functions.money import MONEY, cents, percent, two_places
+from tillroll.functions.money import cents, exact_part, percent, rest_part, total, two_places
 from tillroll.schema import DELIVERED
 
 TOP_K = 10
@@ -42,20 +42,32 @@ class Kpi:
 # ---- facts: what an order adds to the sums ---------------------------------
 
 # Name -> (column it comes from, its value in one order). Money is decimal, so
-# the sums are exact in whatever order and in however many steps they are made.
+# the sums are exact in whatever order and in however many steps they are made;
+# the facts named rest hold what no decimal does.
 FACTS: dict[str, tuple[str, Callable[[DataFrame], Column]]] = {
-    "fact_revenue": ("amount", lambda df: F.col("amount").cast(MONEY)),
-    "fact_profit": ("profit", lambda df: F.col("profit").cast(MONEY)),
-    "fact_units": ("qty", lambda df: F.col("qty").cast(_units_type(df))),
+    "fact_revenue": ("amount", lambda df: exact_part(F.col("amount"))),
+    "fact_revenue_rest": ("amount", lambda df: rest_part(F.col("amount"))),
+    "fact_profit": ("profit", lambda df: exact_part(F.col("profit"))),
+    "fact_profit_rest": ("profit", lambda df: rest_part(F.col("profit"))),
+    "fact_units": ("qty", lambda df: _units_fact(df)),
+    "fact_units_rest": ("qty", lambda df: _units_rest(df)),
     "fact_orders": ("order_id", lambda df: F.col("order_id").isNotNull().cast("bigint")),
     "fact_delivered": ("status", lambda df: F.when(_delivered(), 1).otherwise(0).cast("bigint")),
     "fact_rows": ("is_valid_sale", lambda df: F.lit(1).cast("bigint")),
 }
 
 
-def _units_type(df: DataFrame) -> str:
+def _whole_units(df: DataFrame, name: str = "qty") -> bool:
+    return isinstance(df.schema[name].dataType, T.IntegralType)
+
+
+def _units_fact(df: DataFrame) -> Column:
     """Whole units stay integers; fractional ones are summed like money."""
-    return "bigint" if isinstance(df.schema["qty"].dataType, T.IntegralType) else MONEY
+    return F.col("qty").cast("bigint") if _whole_units(df) else exact_part(F.col("qty"))
+
+
+def _units_rest(df: DataFrame) -> Column:
+    return F.lit(None).cast("double") if _whole_units(df) else rest_part(F.col("qty"))
 
 
 def _delivered() -> Column:
@@ -70,19 +82,23 @@ def with_facts(df: DataFrame) -> DataFrame:
     return df.withColumns({n: fact(df) for n, (source, fact) in FACTS.items() if source in known})
 
 
+def _sum_of(fact: str) -> Column:
+    return total(F.col(fact), F.col(f"{fact}_rest"))
+
+
 def _units(df: DataFrame) -> Column:
-    whole = isinstance(df.schema["fact_units"].dataType, T.IntegralType)
-    return F.sum("fact_units") if whole else cents(F.sum("fact_units"))
+    whole = _whole_units(df, "fact_units")
+    return F.sum("fact_units") if whole else cents(_sum_of("fact_units"))
 
 
 def _average(df: DataFrame) -> Column:
-    return two_places(F.sum("fact_revenue").cast("double") / F.sum("fact_rows"))
+    return two_places(_sum_of("fact_revenue") / F.sum("fact_rows"))
 
 
 MEASURES: dict[str, Callable[[DataFrame], Column]] = {
-    "total_revenue": lambda df: cents(F.sum("fact_revenue")),
-    "total_profit": lambda df: cents(F.sum("fact_profit")),
-    "profit_margin_pct": lambda df: percent(F.sum("fact_profit"), F.sum("fact_revenue")),
+    "total_revenue": lambda df: cents(_sum_of("fact_revenue")),
+    "total_profit": lambda df: cents(_sum_of("fact_profit")),
+    "profit_margin_pct": lambda df: percent(_sum_of("fact_profit"), _sum_of("fact_revenue")),
     "order_count": lambda df: F.sum("fact_orders"),
     "total_units": _units,
     "total_units_sold": _units,
@@ -205,20 +221,25 @@ def top_products_10(df: DataFrame, k: int = TOP_K) -> DataFrame:
 def status_distribution(df: DataFrame) -> DataFrame:
     """All orders by status. Orders without an id count in the percentage only.
 
-    The share divides by a window sum over the aggregated rows, one per status,
-    so the total costs neither a second scan nor a second job.
+    The total is an aggregate of the aggregated rows, one per status, joined back:
+    however many different statuses there are, no task sees all of them.
     """
     statuses = (
         with_facts(df)
         .groupBy("status")
         .agg(
             F.sum("fact_orders").alias("order_count"),
-            cents(F.sum("fact_revenue")).alias("total_amount"),
+            cents(_sum_of("fact_revenue")).alias("total_amount"),
             F.sum("fact_rows").alias("_rows"),
         )
     )
-    share = percent(F.col("_rows"), F.sum("_rows").over(Window.partitionBy()))
-    return STATUS_DISTRIBUTION.order(statuses.withColumn("percentage", share).drop("_rows"))
+    # One row.
+    whole = F.broadcast(statuses.agg(F.sum("_rows").alias("_all")))
+    shared = statuses.join(whole, F.col("_all").isNotNull())
+    share = percent(F.col("_rows"), F.col("_all"))
+    return STATUS_DISTRIBUTION.order(
+        shared.withColumn("percentage", share).drop("_rows", "_all")
+    )
 
 
 KPIS = {
@@ -258,13 +279,32 @@ ROLLUP_KEYS = (
 ROLLUP_KPIS = tuple(n for n in KPIS if n not in ("aov", "top_products"))
 
 
+def _summed(orders: DataFrame) -> list[Column]:
+    """The facts added up. A decimal sum that is too large moves to the rest."""
+    sums = []
+    for fact in FACTS:
+        if f"{fact}_rest" in FACTS and not (fact == "fact_units" and _whole_units(orders, fact)):
+            exact, rest = F.col(fact), F.sum(f"{fact}_rest")
+            held = F.try_sum(exact).try_cast("decimal(38,10)")
+            lost = F.when(held.isNull(), F.sum(exact.cast("double")))
+            both = F.when(lost.isNull(), rest).otherwise(F.coalesce(rest, F.lit(0.0)) + lost)
+            sums += [held.alias(fact), both.alias(f"{fact}_rest")]
+        elif fact == "fact_units_rest":
+            if _whole_units(orders, "fact_units"):
+                sums.append(F.lit(None).cast("double").alias(fact))
+        elif not fact.endswith("_rest"):
+            sums.append(F.sum(fact).alias(fact))
+    return sums
+
+
 def sales_rollup(df: DataFrame) -> DataFrame:
     """Facts of all orders by `ROLLUP_KEYS`; the KPIs in `ROLLUP_KPIS` can be taken of it.
 
     Each order is aggregated once, in its task, for eight KPIs together.
     """
     orders = with_facts(df)
-    return orders.groupBy(*ROLLUP_KEYS).agg(*[F.sum(fact).alias(fact) for fact in FACTS])
+    more = [F.sum("source_rows").alias("source_rows")] if "source_rows" in df.columns else []
+    return orders.groupBy(*ROLLUP_KEYS).agg(*_summed(orders), *more)
 
 
 def as_measures(kpis: dict[str, DataFrame]) -> DataFrame:

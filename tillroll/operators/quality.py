@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,7 +20,7 @@ def ingest_profile(df: DataFrame) -> DataFrame:
 
 
 def missing_profile(df: DataFrame) -> DataFrame:
-    """Per column, null cells and blank (whitespace-only) text cells.
+    """Per column, null cells and blank text cells, which are empty or of spaces alone.
 
     `blank_pct` counts blank cells alone, `missing_pct` null and blank ones.
     One aggregate over one scan, whatever the number of columns.
@@ -57,17 +57,22 @@ def dedup_orders(
     """Keep one row per `key`: the smallest by `order_by`, ties by all other columns.
 
     Rows that tie on everything are equal, so the survivor depends on neither
-    partitioning nor arrival. As an aggregate this keeps one row per key and
-    task before the shuffle: a key that holds a large part of the input costs
-    no more than others. Rows without a key count as one order. `copies` names
-    a column for the number of rows that each survivor stands for.
+    partitioning nor arrival. Either way one row per key and task is kept before
+    the shuffle: a key that holds a large part of the input costs no more than
+    others. Rows without a key count as one order. `copies` names a column for
+    the number of rows that each survivor stands for; that takes an aggregate of
+    whole rows, where a rank over a window moves wide rows faster.
     """
     others = [c for c in df.columns if c != key]
     ranking = [*order_by, *(c for c in others if c not in order_by)]
-    smallest = F.min(F.struct(*[F.col(f"`{c}`") for c in ranking])).alias("_row")
-    counted = [F.count("*").alias(copies)] if copies else []
-    kept = [F.col(c) if c == key else F.col(f"_row.`{c}`") for c in df.columns]
-    return df.groupBy(key).agg(smallest, *counted).select(*kept, *([copies] if copies else []))
+    columns = [F.col(f"`{c}`") for c in ranking]
+    if copies is None:
+        first = Window.partitionBy(f"`{key}`").orderBy(*(columns or [F.lit(0)]))
+        return df.withColumn("_place", F.row_number().over(first)).filter("_place = 1").drop("_place")
+    smallest = F.min(F.struct(*columns)).alias("_row")
+    kept = [F.col(f"`{c}`") if c == key else F.col(f"_row.`{c}`") for c in df.columns]
+    counted = df.groupBy(f"`{key}`").agg(smallest, F.count("*").alias(copies))
+    return counted.select(*kept, copies)
 
 
 def dedup_report(df: DataFrame, key: str = "order_id") -> DataFrame:

@@ -28,66 +28,104 @@ def _unless(lost: str, column: str) -> Column:
     return F.when(F.col(column) != lost, F.col(column))
 
 
-def _columns() -> dict[str, tuple[str, Column]]:
-    """Name -> (outermost table it needs, expression).
+def _price_text() -> Column:
+    """The price as money text in several spellings, some of them no number, by product."""
+    kind, price = F.col("l_partkey") % 20, F.col("l_extendedprice").cast("decimal(18,2)")
+    return (
+        F.when(kind == 0, "abc")
+        .when(kind == 1, "1-2")
+        .when(kind == 2, "")
+        .when(kind == 3, "   ")
+        .when(kind == 4, F.concat(F.col("l_quantity").cast("int").cast("string"), F.lit("e2")))
+        .when(kind == 5, F.concat(F.lit("Rs "), F.format_number(price, 2)))
+        .otherwise(F.concat(F.lit("INR "), price.cast("string")))
+    )
 
-    The tables hold no gaps, so some cells are emptied or zeroed by rule, to
-    give cleaning something to do.
+
+_PERCENT_OFF = F.round(F.col("l_discount") * 100).cast("int")
+
+
+def _columns() -> dict[str, tuple[str, Column, tuple[str, ...]]]:
+    """Name -> (outermost table it needs, expression, columns of the lines it needs).
+
+    The tables hold no gaps, so some cells are emptied, blanked, zeroed or
+    garbled by rule, to give cleaning something to do.
     """
     city = F.col("c_nationkey") % 10
-    percent_off = F.round(F.col("l_discount") * 100).cast("int").cast("string")
+    edge = ("l_linenumber", "l_tax")
     return {
-        "order_id": ("lineitem", F.concat(F.lit("O"), F.col("l_orderkey").cast("string"))),
+        "order_id": (
+            "lineitem",
+            F.when(~_line(7, 0.06), F.concat(F.lit("O"), F.col("l_orderkey").cast("string"))),
+            edge,
+        ),
         "status": (
             "orders",
             F.when(F.col("o_orderstatus") == "P", "Cancelled")
             .when(F.col("l_returnflag") == "A", "Shipped - Delivered to Buyer")
             .when(F.col("l_returnflag") == "R", "Shipped"),
+            ("l_returnflag",),
         ),
         "amount": (
             "lineitem",
             F.when(_line(7, 0.08), None)
             .when(_line(7, 0.07), 0.0)
             .otherwise(F.col("l_extendedprice")),
+            (*edge, "l_extendedprice"),
         ),
         "qty": (
             "lineitem",
             F.when(_line(6, 0.08), 0)
             .when(_line(5, 0.08), None)
             .otherwise(F.col("l_quantity").cast("int")),
+            (*edge, "l_quantity"),
         ),
         "fulfilled_by": (
             "lineitem",
             F.when(F.col("l_linestatus") == "F", "Platform").when(
                 F.col("l_returnflag") != "N", "Merchant"
             ),
+            ("l_linestatus", "l_returnflag"),
         ),
         "b2b": (
             "customer",
             F.when(F.col("c_mktsegment").isin("BUILDING", "MACHINERY"), "True").otherwise("False"),
+            (),
         ),
         "promotion_ids": (
             "lineitem",
-            F.when(F.col("l_discount") > 0, F.concat(F.lit("PROMO-"), percent_off)),
+            F.when(_PERCENT_OFF == 2, " ").when(
+                F.col("l_discount") > 0,
+                F.concat(F.lit("PROMO-"), _PERCENT_OFF.cast("string")),
+            ),
+            ("l_discount",),
         ),
         "ship_city": (
             "customer",
-            F.when(city != 0, F.concat(F.lit("CITY-"), city.cast("string"))),
+            F.when(city == 3, "")
+            .when(city == 7, "   ")
+            .when(city != 0, F.concat(F.lit("CITY-"), city.cast("string"))),
+            (),
         ),
-        "ship_state": ("nation", _unless("NATION_0", "n_name")),
-        "courier_status": ("orders", _unless("4-NOT SPECIFIED", "o_orderpriority")),
-        "category": ("part", F.col("p_type")),
-        "style": ("part", F.col("p_brand")),
-        "asin": ("lineitem", F.concat(F.lit("P"), F.col("l_partkey").cast("string"))),
-        "year": ("orders", F.year("o_orderdate")),
-        "month": ("orders", F.month("o_orderdate")),
-        "month_name": ("orders", F.date_format("o_orderdate", "MMM")),
-        "customer_id": ("orders", F.col("o_custkey")),
-        "order_date": ("orders", F.col("o_orderdate")),
-        "ship_date": ("lineitem", F.col("l_shipdate")),
+        "ship_state": ("nation", _unless("NATION_0", "n_name"), ()),
+        "courier_status": ("orders", _unless("4-NOT SPECIFIED", "o_orderpriority"), ()),
+        "category": ("part", F.col("p_type"), ("l_partkey",)),
+        "style": ("part", F.col("p_brand"), ("l_partkey",)),
+        "asin": (
+            "lineitem",
+            F.concat(F.lit("P"), F.col("l_partkey").cast("string")),
+            ("l_partkey",),
+        ),
+        "year": ("orders", F.year("o_orderdate"), ()),
+        "month": ("orders", F.month("o_orderdate"), ()),
+        "month_name": ("orders", F.date_format("o_orderdate", "MMM"), ()),
+        "customer_id": ("orders", F.col("o_custkey"), ()),
+        "order_date": ("orders", F.col("o_orderdate"), ()),
+        "ship_date": ("lineitem", F.col("l_shipdate"), ("l_shipdate",)),
         "amount_text": (
             "lineitem",
-            F.concat(F.lit("INR "), F.col("l_extendedprice").cast("decimal(18,2)").cast("string")),
+            _price_text(),
+            ("l_partkey", "l_quantity", "l_extendedprice"),
         ),
     }
 
@@ -117,13 +155,18 @@ def table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{data_dir}/{name}.parquet")
 
 
-def table_stream(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
+def table_stream(
+    spark: SparkSession, data_dir: str, name: str, files_per_batch: int = 1000
+) -> DataFrame:
     """The table as a file stream, be it one file or a folder of files.
 
-    The braces make the path a pattern, as a stream takes no plain file path.
+    A micro-batch takes `files_per_batch` files at most, so a backlog is worked
+    off in bounded steps. The braces make the path a pattern, as a stream takes
+    no plain file path.
     """
     schema = table(spark, data_dir, name).schema
-    return spark.readStream.schema(schema).parquet(f"{data_dir}/{{{name}}}.parquet")
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(f"{data_dir}/{{{name}}}.parquet")
 
 
 def flatten(
@@ -164,6 +207,12 @@ def sales_lines(
 def unique_orders(
     spark: SparkSession, data_dir: str, columns: Sequence[str] = ORDER_COLUMNS
 ) -> DataFrame:
-    """`dedup_orders` of `sales_lines`, with the duplicates gone before the joins."""
-    lines = dedup_orders(table(spark, data_dir, "lineitem"), "l_orderkey", LINE_ORDER)
-    return flatten(spark, data_dir, lines, columns)
+    """One row per order key of the lines, with the duplicates gone before the joins.
+
+    Only the ranking and what `columns` are made of is read and ranked: lines
+    that tie on that are equal in the result.
+    """
+    known = _columns()
+    needed = {n for c in columns for n in known[c][2]} - {"l_orderkey", *LINE_ORDER}
+    lines = table(spark, data_dir, "lineitem").select("l_orderkey", *LINE_ORDER, *sorted(needed))
+    return flatten(spark, data_dir, dedup_orders(lines, "l_orderkey", LINE_ORDER), columns)
