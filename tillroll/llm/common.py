@@ -38,6 +38,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# A table of no more rows than this is sent to every executor.
+SMALL_ROWS = 100_000
+
+
+def small(table: DataFrame) -> DataFrame:
+    """A stored table for the small side of a join: broadcast if it is, else left to the planner."""
+    return F.broadcast(table) if table.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else table
+
+
 def set_aside(docs: DataFrame, *own: str) -> DataFrame:
     """`docs` with all columns but `own` renamed, so that none can clash with an operator's.
 
@@ -51,6 +60,13 @@ def raw_texts(column: pa.Array) -> list[bytes]:
     return [b"" if t is None else t for t in column.cast(pa.binary()).to_pylist()]
 
 
+def slices(batches: Iterator[pa.RecordBatch], size: int = 1024) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of `size` rows, so that few texts are held as Python objects."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, size):
+            yield batch.slice(lo, size)
+
+
 def blocks(raw: bytes, size: int = BLOCK) -> Iterator[bytes]:
     """`raw` in parts of about `size` bytes, cut behind ASCII white space."""
     lo = 0

@@ -13,6 +13,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tillroll.llm.common import slices
+
 # Bits of the bitmap: four to eight for each expected hash, at most 64 MB. When it fills up, more hashes
 # seem repeated than are; none that is goes missing.
 MOST_BITS = 29
@@ -58,7 +60,7 @@ def _by_shard(extract: Extract, bits: int):
     """Hashes by shard, the top bits, each once per batch: of one id, of several and of how many."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             for value, doc in extract(batch):
                 order = np.lexsort((doc, value))
                 value, doc = value[order], doc[order]

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import raw_texts
+from tillroll.llm.common import raw_texts, slices
 from tillroll.llm.repeats import (
     CROWDED,
     LAST_ID,
@@ -189,7 +189,7 @@ def _joined(parts: list[tuple]) -> list[np.ndarray]:
 def _take_segments(length: int, shards: int, held):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         repeated = held.value
-        for batch in batches:
+        for batch in slices(batches):
             ids = integer_ids(batch)
             tags = batch.column("tag").to_numpy(zero_copy_only=False)
             for parts in _parts(raw_texts(batch.column("text")), length):
