@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import raw_texts, set_aside, stored
+from tillroll.llm.common import raw_texts, set_aside, slices, stored
 
 # The white space that does not count.
 WHITE = b" \t\n\x0b\x0c\r"
@@ -52,7 +52,7 @@ def digest(raw: bytes) -> bytes:
 
 
 def _digest_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         text = batch.column("text")
         digests = [digest(t) for t in raw_texts(text)]
         points = pc.fill_null(pc.utf8_length(text.cast(pa.large_string())), 0).cast(pa.int64())
@@ -203,9 +203,11 @@ def duplicate_report(docs: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
         "digest",
     )
     several = flagged.filter("maybe")
-    best = several.groupBy("digest").agg(
+    heads = several.groupBy("digest").agg(
         F.min(_order("row")).alias("best"), F.count("*").alias("group_size")
     )
+    # Stored, so that the join has a shuffle of its own on this side and can be split.
+    best = stored(heads, "group-heads")
     told = several.join(best, "digest").select(
         "doc_id",
         F.col("best.doc_id").alias("keep_id"),
@@ -221,7 +223,7 @@ def _digest_and_flag(shards: int, filters):
     flag = _flag(shards, filters)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             more = next(flag(_digest_batches(iter([batch]))))
             for name in ("digest", "points", "maybe"):
                 batch = batch.append_column(name, more.column(name))
