@@ -15,7 +15,8 @@ number is added to the scatter, as in many groups most texts have no symbols or
 repeats at all and the scatter would be singular. Sums are of whole numbers, so
 they do not depend on the order in which partitions are merged.
 
-Groups with too few rows are pooled by language, what is then still too small in
+The table of groups is broadcast if it is small enough, and joined by shuffle
+beyond that. Groups with too few rows are pooled by language, what is then still too small in
 one group. Null language and source are values of their own. Null and empty
 texts have zeros and fail the base rules. With no row at all nothing is estimated.
 Each row gives one row, whatever its id. Everything is a column expression.
@@ -29,7 +30,7 @@ from math import exp
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import stored
+from tillroll.llm.common import small, stored
 
 # What a word, a symbol and white space are, and the base rules.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -143,8 +144,8 @@ def with_groups(stats: DataFrame, least_rows: int = LEAST_ROWS) -> DataFrame:
         .when(rest >= least_rows, F.col("coarse"))
         .otherwise("rest")
     )
-    named = sizes.select("fine", group.alias("grp"))
-    return stats.withColumn("fine", fine).join(named, "fine").drop("fine")
+    named = stored(sizes.select("fine", group.alias("grp")), "group-names")
+    return stats.withColumn("fine", fine).join(small(named), "fine").drop("fine")
 
 
 def _decimal_sum(value: Column) -> Column:
@@ -259,7 +260,7 @@ def covariance_determinant(
     keys = ("start", "grp")
     for _ in range(steps):
         now = stored(now, "estimates")
-        ranked = points.join(now, "grp").withColumn(
+        ranked = points.join(small(now), "grp").withColumn(
             "rank",
             F.floor(F.log2(F.greatest(_distance(), F.lit(1e-9))) * _PER_OCTAVE).cast("int"),
         )
@@ -299,7 +300,7 @@ def judge(
     stats = stored(counted.select("*", *features()), "statistics")
     grouped = stored(with_groups(stats, least_rows), "groups")
     points = grouped.filter("not base_failed").select("grp", *FEATURES)
-    found = covariance_determinant(points, share, steps)
+    found = small(stored(covariance_determinant(points, share, steps), "estimates"))
     distance = F.when(~F.col("base_failed"), _distance())
     judged = grouped.join(found, "grp", "left").withColumn("distance", distance)
     names = [c for c in grouped.columns if c not in FEATURES]
