@@ -33,9 +33,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import blocks, raw_texts
+from tillroll.llm.common import blocks, raw_texts, slices
 
-TABLE_WORDS = 300_000
+TABLE_WORDS = 200_000
 _PUNCTUATION = string.punctuation.encode()
 # Small Latin letters beyond ASCII too; C3 B7, left out, is the sign for division.
 _LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+\Z")
@@ -73,7 +73,7 @@ class WordTable(dict):
         self.pieces = [n.encode() for n in names]
         self.numbers = [i.to_bytes(4, "little") for i in range(size)]
         # The merges alone, for pieces that need no more normalising or splitting.
-        self.model = Tokenizer.from_file(path).model
+        self.model = self.tokenizer.model
         self.written = str.maketrans(_byte_characters())
         self.most_words = most_words
 
@@ -127,7 +127,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     texts, doc_id = _texts(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             ids = [word_table(path).encode(t) for t in raw_texts(batch.column("text"))]
             counts = pa.array([len(i) // 4 for i in ids], pa.int64())
             yield pa.RecordBatch.from_arrays(
@@ -146,7 +146,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     kind = encoded.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             table = word_table(path)
             texts = [table.decode(i or b"") for i in batch.column("ids").to_pylist()]
             decoded = pa.array(texts, pa.binary()).cast(pa.string())
@@ -164,7 +164,7 @@ def roundtrip_digests(docs: DataFrame, path: str) -> DataFrame:
     texts, doc_id = _texts(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             table = word_table(path)
             decimals = [b"%d" % i for i in range(len(table.pieces))]
             out = []

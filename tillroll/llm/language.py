@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import blocks, raw_texts, set_aside
+from tillroll.llm.common import blocks, raw_texts, set_aside, slices
 
 UNKNOWN = "und"
 BUCKETS = 1 << 14
@@ -111,7 +111,7 @@ class Model:
 def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """n-gram counts by language of one task."""
     sums: dict[str, np.ndarray] = {}
-    for batch in batches:
+    for batch in slices(batches):
         texts = raw_texts(batch.column("text"))
         for lang, raw in zip(batch.column("lang").to_pylist(), texts, strict=True):
             if lang not in sums:
@@ -133,7 +133,7 @@ def _answers(model):
         place = {lang: i for i, lang in enumerate(known.languages)}
         right = np.zeros(known.codes.shape, dtype=np.int64)
         seen = np.zeros(len(known.languages), dtype=np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             texts = raw_texts(batch.column("text"))
             langs = np.array([place[lang] for lang in batch.column("lang").to_pylist()])
             for lo in range(0, len(texts), 64):
@@ -202,7 +202,7 @@ def identify(docs: DataFrame, model: Model, lead: float = LEAD) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = held.value
-        for batch in batches:
+        for batch in slices(batches):
             texts = raw_texts(batch.column("text"))
             names = [UNKNOWN] * len(texts)
             score, second = [0.0] * len(texts), [None] * len(texts)

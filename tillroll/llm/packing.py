@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.llm.bpe import word_table
-from tillroll.llm.common import raw_texts, rows, stored
+from tillroll.llm.common import raw_texts, rows, slices, stored
 
 WINDOW = 2048
 END_ID = 1
@@ -42,7 +42,7 @@ def encoded_partitions(docs: DataFrame, path: str, end_id: int = END_ID) -> Data
         at, table = 0, word_table(path)
         narrow = "<u2" if max(len(table.pieces) - 1, end_id) < 1 << 16 else "<u4"
         end = np.array([end_id], dtype=narrow).tobytes()
-        for batch in batches:
+        for batch in slices(batches):
             first, count, ids = [], [], []
             for text in raw_texts(batch.column("text")):
                 code = table.encode(text)
@@ -68,7 +68,7 @@ def _cut(window: int):
     names = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset", "continues"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for doc_id, at, n, raw in rows(batch, "doc_id", "at", "n", "ids"):
                 width, lo = len(raw) // n, 0

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import components, raw_texts, stored
+from tillroll.llm.common import components, raw_texts, slices, stored
 
 BITS = 64
 SEED = 42
@@ -71,7 +71,7 @@ def fingerprints(docs: DataFrame, length: int = SHINGLE) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             marks = [fingerprint(t, length) for t in raw_texts(batch.column("text"))]
             signed = pa.array(np.array(marks, dtype=np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays(

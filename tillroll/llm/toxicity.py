@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import blocks, raw_texts, stored
+from tillroll.llm.common import blocks, raw_texts, slices, stored
 
 MOST_TOXIC = 2048
 MOST_OTHERS = 8192
@@ -195,7 +195,7 @@ def sample(
 def _term_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Examples that have a bucket, by label, of one task."""
     counts = np.zeros((2, 1 << _BITS), dtype=np.int32)
-    for batch in batches:
+    for batch in slices(batches):
         flags = batch.column("toxic").to_pylist()
         for flag, raw in zip(flags, raw_texts(batch.column("text")), strict=True):
             counts[int(flag), np.unique(term_hashes(raw))] += 1
@@ -212,7 +212,7 @@ def _document_frequencies(held):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, documents = held.value, 0
         counts = np.zeros(len(model.terms) + 1, dtype=np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             for raw in raw_texts(batch.column("text")):
                 counts[model.counts(raw)[0]] += 1
                 documents += 1
@@ -319,7 +319,7 @@ def learn(
     model.idf = np.log((df[-1] + 1) / (df[:-1] + 1)) + 1
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = [held.value.counts(raw) for raw in raw_texts(batch.column("text"))]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -357,7 +357,7 @@ def score(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, answers = held.value, {}
-        for batch in batches:
+        for batch in slices(batches):
             scores, evidence = [], []
             for raw in raw_texts(batch.column("text")):
                 terms, counts = known.counts(raw)
