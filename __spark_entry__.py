@@ -16,7 +16,7 @@ from tillroll.functions.money import normalise_numeric
 from tillroll.operators import extras, kpis, quality
 from tillroll.operators.enrich import enrich_sales
 from tillroll.plans.report import summary_report
-from tillroll.plans.run import run, stored_rollup
+from tillroll.plans.run import kpi_frames, run
 from tillroll.schema import canonical, headed
 from tillroll.sinks.tables import register_external, save_managed, write_enriched, write_summary
 from tillroll.sources.orders import read_orders_csv, read_orders_parquet
@@ -31,7 +31,13 @@ from tillroll.sources.star import (
 from tillroll.staging import new_folder
 from tillroll.streaming import events
 from tillroll.streaming import orders as order_stream
-from tillroll.streaming.session import drain_to_parquet, stream_session
+from tillroll.streaming.session import (
+    drain_table,
+    drain_to_parquet,
+    drain_unique,
+    read_unique,
+    stream_session,
+)
 
 try:  # the package `llm` may be left out
     from corpus_pipeline import ORACLE_SQL as PIPELINE_SQL
@@ -152,17 +158,15 @@ def summary_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def external_table_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "external")
     write_enriched(_enriched(spark, sf_dir), folder)
-    name = f"enriched_{folder[-32:]}"
-    register_external(spark, name, folder)
-    return canonical(spark.sql(f"SELECT * FROM {name}"))
+    register_external(spark, "enriched_external", folder)
+    return canonical(spark.sql("SELECT * FROM enriched_external"))
 
 
 def managed_table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = new_folder(spark, "managed")
-    database = f"retail_{folder[-32:]}"
-    spark.sql(f"CREATE DATABASE {database} LOCATION '{folder}'")
-    save_managed(_enriched(spark, sf_dir), f"{database}.enriched_sales")
-    return canonical(spark.table(f"{database}.enriched_sales"))
+    place = new_folder(spark, "managed").replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS retail LOCATION '{place}'")
+    save_managed(_enriched(spark, sf_dir), "retail.enriched_sales")
+    return canonical(spark.table("retail.enriched_sales"))
 
 
 def json_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -177,10 +181,13 @@ def _drained(spark: SparkSession, label: str, stream: DataFrame) -> DataFrame:
 
 
 def stream_json_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The named fields; the messages have no others and none is malformed."""
     inbox = new_folder(spark, "messages")
     order_stream.as_messages(sales_lines(spark, sf_dir)).write.text(inbox)
     stream = order_stream.read_orders_stream(stream_session(spark), "text", {"path": inbox})
-    return _drained(spark, "orders-stream", stream)
+    known = _drained(spark, "orders-stream", stream)
+    whole = known.filter("malformed IS NULL AND size(other_fields) = 0")
+    return whole.drop("malformed", "other_fields")
 
 
 def stream_ingest_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -190,27 +197,36 @@ def stream_ingest_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """KPIs over what the order stream has stored, as (kpi, grp, measure, value) rows."""
-    rollup = stored_rollup(stream_ingest_parquet(spark, sf_dir))
-    return kpis.as_measures({name: kpis.KPIS[name](rollup) for name in kpis.ROLLUP_KPIS})
+    """All KPIs over the orders that a stream has stored, as (kpi, grp, measure, value) rows."""
+    session, folder = stream_session(spark), new_folder(spark, "order-stream")
+    orders = flatten(session, sf_dir, table_stream(session, sf_dir, "lineitem"))
+    places = (f"{folder}/{part}" for part in ("orders", "results", "checkpoint"))
+    order_stream.serve_kpis(orders, *places)
+    return kpis.as_measures(kpi_frames(spark, f"{folder}/results"))
 
 
 def stream_daily_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     purchases = events.read_purchases(stream_session(spark), sf_dir)
-    return _drained(spark, "daily-revenue", events.daily_revenue(purchases))
+    folder = new_folder(spark, "daily-revenue")
+    drain_table(events.daily_revenue(purchases), f"{folder}/rows", f"{folder}/checkpoint")
+    return spark.read.parquet(f"{folder}/rows")
 
 
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every purchase is delivered twice and kept once."""
-    session = stream_session(spark)
+    session, folder = stream_session(spark), new_folder(spark, "purchases")
     twice = events.read_purchases(session, sf_dir).union(events.read_purchases(session, sf_dir))
-    kept = events.drop_repeats(twice, ["event_id"], salts=4)
-    return _drained(spark, "purchases", kept.withColumn("ts", F.col("ts").cast("timestamp_ntz")))
+    drain_unique(twice, f"{folder}/rows", f"{folder}/checkpoint", ["event_id"])
+    kept = read_unique(spark, f"{folder}/rows", twice.schema)
+    return kept.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
 def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions that the stream has closed, and those still open in what it has stored."""
     purchases = events.read_purchases(stream_session(spark), sf_dir)
-    return _drained(spark, "sessions", events.purchase_sessions(purchases))
+    stored = _drained(spark, "session-purchases", purchases)
+    closed = _drained(spark, "sessions", events.purchase_sessions(purchases))
+    return events.all_sessions(stored, closed)
 
 
 def entry(spark: SparkSession) -> DataFrame:

@@ -7,9 +7,9 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from tillroll.operators.enrich import MARGIN, PLATFORM_LABEL
+from tillroll.operators.enrich import MARGIN
 from tillroll.plans.run import Results, run
-from tillroll.sources.orders import read_orders_csv
+from tillroll.sources.orders import malformed_lines, read_orders_csv
 
 
 def main(argv: list[str]) -> Results:
@@ -17,12 +17,17 @@ def main(argv: list[str]) -> Results:
     parser.add_argument("input", help="CSV file, folder or pattern, on any filesystem of Spark")
     parser.add_argument("output", help="folder for enriched orders, KPIs and summary")
     parser.add_argument("--margin", type=float, default=MARGIN)
-    parser.add_argument("--platform-label", default=PLATFORM_LABEL)
+    parser.add_argument(
+        "--platform-label", required=True, help="value of fulfilled-by that is the platform itself"
+    )
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("order-analytics").getOrCreate()
     orders = read_orders_csv(spark, args.input)
-    return run(orders, args.output, margin=args.margin, platform_label=args.platform_label)
+    results = run(orders, args.output, margin=args.margin, platform_label=args.platform_label)
+    bad = malformed_lines(spark, args.input)
+    bad.write.mode("overwrite").text(f"{args.output}/malformed_lines")
+    return results
 
 
 if __name__ == "__main__":

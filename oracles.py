@@ -133,7 +133,6 @@ JOB_STAGES = (
     stages(f"{LINES}, {FIRST_BY_ALL}", "firsts")
     + ", valid AS (SELECT * FROM enriched WHERE is_valid_sale)"
 )
-LINE_STAGES = stages(LINES) + ", valid AS (SELECT * FROM enriched WHERE is_valid_sale)"
 ENRICHED_NAMES = f"""{NAMES}, is_valid_sale, cost, profit, profit_margin_pct, price_per_item,
     is_b2b, is_platform_fulfilled, has_promotion"""
 
@@ -228,7 +227,7 @@ def missing(name: str) -> str:
         {percent(f'({null} + {blank})', 'count(*)')} AS missing_pct FROM flat"""
 
 
-# ---- streams: windows that the watermark has passed ------------------------
+# ---- streams: sessions are open until the watermark has passed them ----------
 
 PURCHASES = "purchases AS (SELECT * FROM events WHERE event_type = 'purchase')"
 CLOSED = "(SELECT max(ts) - INTERVAL 1 HOUR FROM purchases)"
@@ -270,13 +269,11 @@ ORACLES = {
     "json_parse": "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",
     "stream_json_ingest": f"{LINES} SELECT {NAMES} FROM flat",
     "stream_ingest_parquet": f"{stages(LINES)} SELECT {ENRICHED_NAMES} FROM enriched",
-    "stream_kpis": f"{LINE_STAGES} "
-    + " UNION ALL ".join(kpi_measures(n) for n in KPIS if n not in ("aov", "top_products")),
+    "stream_kpis": f"{JOB_STAGES} " + " UNION ALL ".join(kpi_measures(n) for n in KPIS),
     "stream_daily_revenue": f"""WITH {PURCHASES}
         SELECT date_trunc('day', ts)::TIMESTAMP AS day, count(*) AS purchases,
             {money_sum('value')} AS revenue
-        FROM purchases GROUP BY 1
-        HAVING date_trunc('day', ts)::TIMESTAMP + INTERVAL 1 DAY <= {CLOSED}""",
+        FROM purchases GROUP BY 1""",
     "stream_dedup": f"WITH {PURCHASES} SELECT event_id, ts, user_id, value FROM purchases",
     "stream_sessions": f"""WITH {PURCHASES}, marked AS (
             SELECT *, coalesce(ts - lag(ts) OVER by_user >= INTERVAL 4 HOUR, true) AS opens
@@ -285,9 +282,9 @@ ORACLES = {
             SELECT *, count(*) FILTER (opens) OVER (PARTITION BY user_id ORDER BY ts) AS run
             FROM marked)
         SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 4 HOUR AS session_end,
-            count(*) AS purchases, {money_sum('value')} AS revenue
-        FROM numbered GROUP BY user_id, run
-        HAVING max(ts) + INTERVAL 4 HOUR <= {CLOSED}""",
+            count(*) AS purchases, {money_sum('value')} AS revenue,
+            max(ts) + INTERVAL 4 HOUR > {CLOSED} AS is_open
+        FROM numbered GROUP BY user_id, run""",
     "period_columns": f"{UNIQUE} SELECT order_id, order_date, year, month, month_name FROM flat",
     "distinct_buyers_by_month": f"""{ALL_STAGES}
         SELECT year, month, count(DISTINCT customer_id) AS buyers

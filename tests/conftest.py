@@ -23,6 +23,7 @@ def spark(tmp_path_factory):
         .config("spark.driver.memory", "6g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.maxMetadataStringLength", "2000")
         .config("spark.checkpoint.dir", str(shared))
         .config("spark.sql.warehouse.dir", str(shared / "warehouse"))
         .getOrCreate()

@@ -89,6 +89,28 @@ def test_a_hot_order_sends_one_row_per_task(spark):
     plan = kept._jdf.queryExecution().executedPlan().toString()
     before, after = plan.split("Exchange hashpartitioning(order_id")
     assert "partial_min" in after and "partial_min" not in before
+    ranked = dedup_orders(df)
+    assert ranked.filter("order_id = 'hot'").first().amount == 0
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert all("WindowGroupLimit" in part for part in plan.split("Exchange hashpartitioning(order_id"))
+
+
+def test_both_ways_keep_the_same_rows(spark, sf_dir):
+    from tillroll.sources.star import sales_lines
+
+    lines = sales_lines(spark, sf_dir)
+    counted = dedup_orders(lines, copies="n")
+    assert counted.drop("n").exceptAll(dedup_orders(lines)).count() == 0
+    assert counted.count() == dedup_orders(lines).count()
+    assert counted.filter("order_id IS NULL").first().n > 100
+
+
+def test_the_flat_table_has_something_to_clean(spark, sf_dir):
+    from tillroll.sources.star import sales_lines
+
+    found = {r.column_name: r for r in missing_profile(sales_lines(spark, sf_dir)).collect()}
+    assert found["ship_city"].blank_count > 0 and found["promotion_ids"].blank_count > 0
+    assert found["order_id"].null_count > 0
 
 
 def test_fill_leaves_other_columns_and_absent_ones(spark):

@@ -1,6 +1,7 @@
 """Streams against the same work in batch, late and repeated input, and restarts."""
 
 import json
+import os
 from datetime import datetime, timedelta
 
 import pytest
@@ -10,9 +11,19 @@ from rows import orders, values
 
 from tillroll.operators.enrich import enrich_sales
 from tillroll.operators.quality import settle
+from tillroll.plans.run import kpi_frames
+from tillroll.sources.star import table_stream
 from tillroll.streaming import events
 from tillroll.streaming import orders as order_stream
-from tillroll.streaming.session import STREAM_CONF, drain_to_parquet, stream_session
+from tillroll.streaming.session import (
+    STREAM_CONF,
+    LateRows,
+    drain_table,
+    drain_to_parquet,
+    drain_unique,
+    read_unique,
+    stream_session,
+)
 
 NOON = datetime(2024, 1, 1, 12)
 
@@ -36,7 +47,7 @@ def event_stream(spark, folder):
 
 def test_json_messages(spark):
     cells = [
-        json.dumps({"Order_ID": "A1", "Amount": 5.5, "ship_state": "GOA", "extra": 1}),
+        json.dumps({"Order_ID": "A1", "Amount": 5.5, "ship_state": "GOA", "extra": 1, "more": {"a": 2}}),
         json.dumps({"Order_ID": "A2", "Amount": "7.5"}),
         json.dumps({"Amount": 1}),
         "{broken",
@@ -50,6 +61,9 @@ def test_json_messages(spark):
         (None, None, None),
         (None, None, None),
     ]
+    assert df.first().other_fields == {"extra": "1", "more": '{"a":2}'}
+    # Whatever does not fit its type is kept as text.
+    assert [r.malformed for r in df.collect()] == [None, cells[1], None, "{broken", None]
 
 
 def test_message_bytes_are_text(spark):
@@ -60,7 +74,7 @@ def test_message_bytes_are_text(spark):
 def test_own_schema_as_documented(spark):
     df = spark.createDataFrame([('{"Order_ID": "A1", "Amount": 2.0}',)], "value string")
     parsed = order_stream.parse_orders(df, "Order_ID string, Amount double")
-    assert parsed.columns == ["order_id", "amount"]
+    assert parsed.columns == ["order_id", "amount", "other_fields", "malformed"]
 
 
 def test_order_stream_equals_batch(spark, tmp_path):
@@ -69,6 +83,7 @@ def test_order_stream_equals_batch(spark, tmp_path):
     order_stream.as_messages(df).write.text(inbox)
     stream = order_stream.read_orders_stream(stream_session(spark), "text", {"path": inbox})
     got = drained(spark, order_stream.enrich_stream(stream), str(tmp_path))
+    got = got.drop("other_fields", "malformed")
     assert_same(got.toPandas(), enrich_sales(settle(df)).toPandas())
 
 
@@ -106,6 +121,21 @@ def test_stream_settings_stay_in_their_session(spark):
     assert session.conf.get("spark.sql.shuffle.partitions") == "8"
 
 
+def test_settings_of_the_caller_hold_in_streams(spark):
+    changed = {"spark.sql.autoBroadcastJoinThreshold": "12345", "spark.sql.shuffle.partitions": "500000"}
+    before = {k: spark.conf.get(k) for k in changed}
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        session = stream_session(spark)
+        assert session.conf.get("spark.sql.autoBroadcastJoinThreshold") == "12345"
+        assert session.conf.get("spark.sql.shuffle.partitions") == "200"
+        assert stream_session(spark, 7).conf.get("spark.sql.shuffle.partitions") == "7"
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 @pytest.mark.parametrize("salts", [1, 4])
 def test_repeats_are_dropped_within_and_across_batches(spark, tmp_path, salts):
     def kept():
@@ -119,22 +149,106 @@ def test_repeats_are_dropped_within_and_across_batches(spark, tmp_path, salts):
     assert kept().columns == ["event_id", "ts", "user_id", "value"]
 
 
-def test_days_are_emitted_once_the_watermark_passed(spark, tmp_path):
+def test_every_day_is_there_and_stragglers_count(spark, tmp_path):
     inbox, day = str(tmp_path / "in"), 24 * 60
+
+    def days():
+        stream = events.daily_revenue(event_stream(spark, inbox))
+        drain_table(stream, f"{tmp_path}/days", f"{tmp_path}/checkpoint")
+        return sorted(values(spark.read.parquet(f"{tmp_path}/days"), "day", "purchases", "revenue"))
+
     put_events(spark, inbox, (1, 0, 7, 1.25), (2, 5, 8, 2.0), (3, day, 7, 5.0))
-    got = drained(spark, events.daily_revenue(event_stream(spark, inbox)), str(tmp_path))
-    first = (datetime(2024, 1, 1), 2, 3.25)
-    assert values(got, "day", "purchases", "revenue") == [first]
-
-    # The first day is closed by now: its straggler is too late, the second day goes on.
-    put_events(spark, inbox, (4, 10, 7, 100.0), (5, day + 60, 8, 1.0), (6, 3 * day, 8, 1.0))
-    got = drained(spark, events.daily_revenue(event_stream(spark, inbox)), str(tmp_path))
-    assert sorted(values(got, "day", "purchases", "revenue")) == [
-        first,
-        (datetime(2024, 1, 2), 2, 6.0),
+    assert days() == [(datetime(2024, 1, 1), 2, 3.25), (datetime(2024, 1, 2), 1, 5.0)]
+    put_events(spark, inbox, (4, 10, 7, 100.0), (5, 3 * day, 8, 1.0))
+    assert days() == [
+        (datetime(2024, 1, 1), 3, 103.25),
+        (datetime(2024, 1, 2), 1, 5.0),
+        (datetime(2024, 1, 4), 1, 1.0),
+    ]
+
+
+def test_late_rows_are_reported(spark, tmp_path):
+    inbox = str(tmp_path / "in")
+
+    def drain(**more):
+        sessions = events.purchase_sessions(event_stream(spark, inbox))
+        return drain_to_parquet(sessions, f"{tmp_path}/rows", f"{tmp_path}/checkpoint", **more)
+
+    put_events(spark, inbox, (1, 0, 7, 1.0), (2, 6000, 7, 1.0))
+    assert drain() == 0
+    put_events(spark, inbox, (3, 1, 8, 1.0), (4, 6001, 7, 1.0))
+    with pytest.raises(LateRows, match="1 row"):
+        drain()
+    put_events(spark, inbox, (5, 2, 8, 1.0), (6, 6002, 7, 1.0))
+    assert drain(allow_late=True) == 1
+
+
+def test_unique_rows_are_kept_however_late(spark, tmp_path):
+    inbox = str(tmp_path / "in")
+
+    def kept():
+        stream = event_stream(spark, inbox)
+        drain_unique(stream, f"{tmp_path}/rows", f"{tmp_path}/checkpoint", ["event_id"])
+        rows = read_unique(spark, f"{tmp_path}/rows", stream.schema)
+        assert rows.columns == stream.columns
+        return sorted(r.event_id for r in rows.collect())
+
+    put_events(spark, inbox, (1, 5000, 7, 1.0), (2, 9000, 7, 2.0), (1, 5000, 7, 1.0))
+    assert kept() == [1, 2]
+    put_events(spark, inbox, (3, 0, 7, 3.0), (4, 9100, 7, 4.0), (1, 5000, 7, 1.0))
+    assert kept() == [1, 2, 3, 4]
+
+
+def test_open_sessions_are_there(spark, tmp_path):
+    inbox = str(tmp_path / "in")
+    put_events(spark, inbox, (1, 0, 7, 1.0), (2, 30, 7, 1.0), (3, 900, 8, 9.0), (4, 910, 7, 2.0))
+    stored = drained(spark, event_stream(spark, inbox), f"{tmp_path}/a")
+    closed = drained(spark, events.purchase_sessions(event_stream(spark, inbox)), f"{tmp_path}/b")
+    found = events.all_sessions(stored, closed)
+    assert sorted(values(found, "user_id", "purchases", "is_open")) == [
+        (7, 1, True),
+        (7, 2, False),
+        (8, 1, True),
     ]
 
 
+def test_orders_are_deduplicated_across_micro_batches(spark, tmp_path):
+    inbox, out = str(tmp_path / "in"), str(tmp_path / "out")
+    schema = orders(spark, {}).schema
+
+    def refresh():
+        stream = (
+            stream_session(spark).readStream.schema(schema).option("maxFilesPerTrigger", 1)
+        ).parquet(inbox)
+        order_stream.serve_kpis(stream, f"{tmp_path}/orders", out, f"{tmp_path}/checkpoint")
+        rows = kpi_frames(spark, out)["b2b_analysis"]
+        return values(rows, "b2b", "order_count", "total_revenue")
+
+    for changes in ([{}, {"order_id": "O2"}], [{}, {"order_id": "O3", "amount": 50.0}]):
+        orders(spark, *changes).coalesce(1).write.mode("append").parquet(inbox)
+    assert refresh() == [("False", 3, 250.0)]
+    orders(spark, {"order_id": "O2"}, {"order_id": "O4"}).coalesce(1).write.mode("append").parquet(inbox)
+    assert refresh() == [("False", 4, 350.0)]
+    assert len(kpi_frames(spark, out)) == 10
+
+
+def test_a_backlog_is_worked_off_in_steps(spark, tmp_path):
+    os.makedirs(tmp_path / "events.parquet")
+    for n in range(5):
+        put_events(spark, str(tmp_path / "events.parquet"), (n, n, 7, 1.0))
+    session = stream_session(spark)
+    stream = table_stream(session, str(tmp_path), "events", files_per_batch=2)
+    sizes = []
+    query = (
+        stream.writeStream.foreachBatch(lambda df, _: sizes.append(df.count()))
+        .option("checkpointLocation", f"{tmp_path}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    assert sum(sizes) == 5 and max(sizes) == 2
+
+
 def test_sessions_join_across_batches_and_split_at_the_gap(spark, tmp_path):
     inbox = str(tmp_path / "in")
     put_events(spark, inbox, (1, 0, 7, 1.0), (2, 30, 7, 1.0), (3, 0, 8, 9.0))
@@ -165,13 +279,14 @@ def test_days_are_utc_days_in_any_session(spark, tmp_path):
     spark.conf.set(zone, "Asia/Kolkata")
     try:
         purchases = events.read_purchases(stream_session(spark), "/root/testdata/sf0.001")
-        days = drained(spark, events.daily_revenue(purchases), str(tmp_path))
+        drain_table(events.daily_revenue(purchases), f"{tmp_path}/days", f"{tmp_path}/checkpoint")
+        days = spark.read.parquet(f"{tmp_path}/days")
         wanted = spark.sql(
             "SELECT to_date(ts) AS day, count(*) AS purchases"
             " FROM parquet.`/root/testdata/sf0.001/events.parquet`"
             " WHERE event_type = 'purchase' GROUP BY 1"
         )
         got = days.selectExpr("to_date(day) AS day", "purchases")
-        assert got.count() == 29 and got.exceptAll(wanted).count() == 0
+        assert got.count() == 30 and got.exceptAll(wanted).count() == 0
     finally:
         spark.conf.set(zone, "UTC")

@@ -1,4 +1,4 @@
-"""Reports over enriched orders."""
+"""Reports over enriched orders or their rollup."""
 
 from __future__ import annotations
 
@@ -9,24 +9,25 @@ from tillroll.functions.money import two_places
 
 
 def summary_report(df: DataFrame) -> DataFrame:
-    """(metric, value) rows over enriched orders, all values double.
+    """(metric, value) rows over enriched orders or a rollup of them, all values double.
 
     The cancellation rate is the share of orders that are not valid sales, so
     orders without an amount count as cancelled too. Without orders it is null.
     """
-    orders, valid = F.count("*"), F.count_if("is_valid_sale")
-    lost = 1 - F.try_divide(valid.cast("double"), orders.cast("double"))
+    rows = F.col("fact_rows") if "fact_rows" in df.columns else F.lit(1)
+    orders = F.coalesce(F.sum(rows), F.lit(0)).cast("double")
+    valid = F.coalesce(F.sum(F.when(F.col("is_valid_sale"), rows)), F.lit(0)).cast("double")
     metrics = df.agg(
-        orders.cast("double").alias("Total_Orders"),
-        valid.cast("double").alias("Valid_Sales"),
-        two_places(lost * 100).alias("Cancellation_Rate_Pct"),
+        orders.alias("Total_Orders"),
+        valid.alias("Valid_Sales"),
+        two_places((1 - F.try_divide(valid, orders)) * 100).alias("Cancellation_Rate_Pct"),
     )
     return metrics.unpivot([], metrics.columns, "metric", "value")
 
 
-def ingest_report(enriched: DataFrame) -> DataFrame:
-    """One row: input rows, orders kept and duplicates removed, from stored orders."""
-    return enriched.agg(
-        F.coalesce(F.sum("source_rows"), F.lit(0)).alias("row_count"),
-        F.count("*").alias("order_rows"),
+def ingest_report(rollup: DataFrame) -> DataFrame:
+    """One row: input rows, orders kept and duplicates removed, from the stored rollup."""
+    return rollup.agg(
+        F.coalesce(F.sum("source_rows"), F.lit(0).cast("bigint")).alias("row_count"),
+        F.coalesce(F.sum("fact_rows"), F.lit(0).cast("bigint")).alias("order_rows"),
     ).withColumn("duplicates_removed", F.col("row_count") - F.col("order_rows"))

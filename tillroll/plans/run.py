@@ -5,15 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.operators.enrich import MARGIN, PLATFORM_LABEL, enrich_sales
+from tillroll.operators.extras import period_columns
 from tillroll.operators.kpis import KPIS, ROLLUP_KPIS, sales_rollup
 from tillroll.operators.quality import clean_sales
 from tillroll.plans.report import ingest_report, summary_report
 from tillroll.sinks.tables import write_enriched, write_kpis, write_summary
 from tillroll.sources.orders import read_orders_parquet
-from tillroll.staging import new_folder
 
 
 @dataclass(frozen=True)
@@ -26,12 +26,43 @@ class Results:
     ingest: DataFrame
 
 
-def stored_rollup(enriched: DataFrame) -> DataFrame:
-    """`sales_rollup`, written once so that no KPI goes back to the orders."""
-    spark = enriched.sparkSession
-    path = new_folder(spark, "sales-rollup")
-    sales_rollup(enriched).write.parquet(path)
-    return spark.read.parquet(path)
+# What the KPIs are made of.
+REQUIRED = (
+    "order_id",
+    "amount",
+    "qty",
+    "status",
+    "ship_state",
+    "category",
+    "style",
+    "asin",
+    "fulfilled_by",
+    "b2b",
+    "promotion_ids",
+)
+PERIOD = ("year", "month", "month_name")
+
+
+def with_period(orders: DataFrame, date: str = "order_date") -> DataFrame:
+    """`orders` with year, month and month name, made of `date` where one is missing."""
+    missing = [c for c in PERIOD if c not in orders.columns]
+    if not missing or date not in orders.columns:
+        return orders
+    derived = period_columns(orders.drop(*PERIOD), date)
+    return derived.select(*[c for c in orders.columns if c not in PERIOD], *PERIOD)
+
+
+def checked(orders: DataFrame) -> DataFrame:
+    """`orders`, if it has what the job needs."""
+    missing = [c for c in (*REQUIRED, *PERIOD) if c not in orders.columns]
+    if missing:
+        raise ValueError(f"the orders lack {', '.join(missing)}")
+    return orders
+
+
+def kpi_frames(spark: SparkSession, output: str) -> dict[str, DataFrame]:
+    """The KPIs that a job has stored below `output`."""
+    return {name: read_orders_parquet(spark, f"{output}/kpis/{name}") for name in KPIS}
 
 
 def run(
@@ -41,27 +72,34 @@ def run(
     order_by: Sequence[str] = (),
     margin: float = MARGIN,
     platform_label: str = PLATFORM_LABEL,
+    date: str = "order_date",
 ) -> Results:
     """Clean and enrich `orders` into `output`, then compute the KPIs from there.
 
-    `orders` is read once. The enriched rows keep how many input rows each one
-    stands for, so the input size needs neither a second read nor counters that
-    a retried task would advance twice. Eight KPIs come from one scan of the
-    stored rows; order values and products read the few columns they need.
+    Orders without year and month get them from `date`. A missing column is an
+    error before anything is written. `orders` is read once. The enriched rows
+    keep how many input rows each one stands for, so the input size needs neither
+    a second read nor counters that a retried task would advance twice. Eight
+    KPIs and both reports come from the rollup, one scan of the stored rows,
+    which is stored beside them; order values and products read the few columns
+    they need.
     """
     spark = orders.sparkSession
-    clean = clean_sales(orders, key, order_by, copies="source_rows")
+    whole = checked(with_period(orders, date))
+    clean = clean_sales(whole, key, order_by, copies="source_rows")
     enriched_path = f"{output}/enriched_sales_data"
     write_enriched(enrich_sales(clean, margin, platform_label), enriched_path)
     enriched = read_orders_parquet(spark, enriched_path)
 
-    rollup = stored_rollup(enriched)
+    rollup_path = f"{output}/sales_rollup"
+    sales_rollup(enriched).write.mode("overwrite").parquet(rollup_path)
+    rollup = spark.read.parquet(rollup_path)
     kpis = {n: kpi(rollup if n in ROLLUP_KPIS else enriched) for n, kpi in KPIS.items()}
-    paths = write_kpis(kpis, output)
-    summary_path = write_summary(summary_report(enriched), output)
+    write_kpis(kpis, output)
+    summary_path = write_summary(summary_report(rollup), output)
     return Results(
         enriched=enriched,
-        kpis={name: read_orders_parquet(spark, path) for name, path in paths.items()},
+        kpis=kpi_frames(spark, output),
         summary=read_orders_parquet(spark, summary_path),
-        ingest=ingest_report(enriched),
+        ingest=ingest_report(rollup),
     )

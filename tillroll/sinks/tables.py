@@ -63,7 +63,8 @@ def save_managed(df: DataFrame, table: str) -> None:
 
 
 def register_external(spark: SparkSession, table: str, path: str) -> None:
-    """A table over enriched orders that stay where they were written."""
-    spark.sql(f"CREATE TABLE {table} USING PARQUET LOCATION '{path}'")
+    """A table over enriched orders that stay where they were written; a former one gives way."""
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.catalog.createTable(table, path, source="parquet")
     if any(c.isPartition for c in spark.catalog.listColumns(table)):
-        spark.sql(f"MSCK REPAIR TABLE {table}")
+        spark.catalog.recoverPartitions(table)

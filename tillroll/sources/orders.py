@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll.schema import canonical
 
@@ -11,24 +12,42 @@ from tillroll.schema import canonical
 WHOLE_NUMBERS = ("year", "month")
 
 
+MALFORMED = "malformed"
+
+
+def _csv_lines(spark: SparkSession, path: str, **options: str) -> DataFrame:
+    """Cells as text, and the whole line as `malformed` if it has more or fewer than the header."""
+    reader = spark.read.options(header=True, inferSchema=False, enforceSchema=False, **options)
+    names = reader.csv(path).columns
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, MALFORMED)])
+    # Without pruning every cell of a line is looked at, whatever columns are asked for.
+    reader = reader.options(columnPruning=False, columnNameOfCorruptRecord=MALFORMED)
+    lines = reader.schema(schema).csv(path)
+    # Spark reads no malformed lines by themselves, so an empty part of a cell goes along.
+    cell = F.substring(F.coalesce(F.col(f"`{names[0]}`"), F.lit("")), 1, 0)
+    return canonical(lines.withColumn(MALFORMED, F.concat(MALFORMED, cell)))
+
+
 def read_orders_csv(spark: SparkSession, path: str, **options: str) -> DataFrame:
     """A CSV with header, from any path that Spark reads (local, HDFS, object store).
 
     Only the header line is looked at for the schema: every cell is read as
     text, so types do not depend on the data and no pass is spent on guessing
     them. Amount and quantity become numbers in cleaning, after the defaults.
-    A later file whose header differs is an error, not shifted columns.
+    A later file whose header differs is an error, not shifted columns. Lines
+    with more or fewer cells than the header are left to `malformed_lines`.
     """
-    raw = (
-        spark.read.options(header=True, inferSchema=False, enforceSchema=False, **options)
-        .csv(path)
-    )
-    df = canonical(raw)
+    df = _csv_lines(spark, path, **options).filter(F.col(MALFORMED).isNull()).drop(MALFORMED)
     return df.withColumns(
         {c: F.trim(c).try_cast("int") for c in WHOLE_NUMBERS if c in df.columns}
     )
 
 
+def malformed_lines(spark: SparkSession, path: str, **options: str) -> DataFrame:
+    """The lines (`malformed`) that `read_orders_csv` leaves out, to be counted and kept."""
+    return _csv_lines(spark, path, **options).select(MALFORMED).filter(F.col(MALFORMED).isNotNull())
+
+
 def read_orders_parquet(spark: SparkSession, path: str) -> DataFrame:
     """Enriched orders or a KPI as written by `tillroll.sinks`."""
     return canonical(spark.read.parquet(path))

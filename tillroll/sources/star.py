@@ -42,9 +42,6 @@ def _price_text() -> Column:
     )
 
 
-_PERCENT_OFF = F.round(F.col("l_discount") * 100).cast("int")
-
-
 def _columns() -> dict[str, tuple[str, Column, tuple[str, ...]]]:
     """Name -> (outermost table it needs, expression, columns of the lines it needs).
 
@@ -52,6 +49,7 @@ def _columns() -> dict[str, tuple[str, Column, tuple[str, ...]]]:
     garbled by rule, to give cleaning something to do.
     """
     city = F.col("c_nationkey") % 10
+    percent_off = F.round(F.col("l_discount") * 100).cast("int")
     edge = ("l_linenumber", "l_tax")
     return {
         "order_id": (
@@ -94,9 +92,9 @@ def _columns() -> dict[str, tuple[str, Column, tuple[str, ...]]]:
         ),
         "promotion_ids": (
             "lineitem",
-            F.when(_PERCENT_OFF == 2, " ").when(
+            F.when(percent_off == 2, " ").when(
                 F.col("l_discount") > 0,
-                F.concat(F.lit("PROMO-"), _PERCENT_OFF.cast("string")),
+                F.concat(F.lit("PROMO-"), percent_off.cast("string")),
             ),
             ("l_discount",),
         ),

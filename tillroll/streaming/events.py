@@ -1,7 +1,7 @@
 """Event-time operators over the purchase stream.
 
-`delay` is how late an event may arrive. Results are appended once their window
-lies `delay` before the latest event; windows still open then are not emitted.
+`delay` is how late an event may arrive for the operators that forget: what comes
+later is counted by `session.drain_to_parquet`, which raises unless told to go on.
 """
 
 from __future__ import annotations
@@ -16,33 +16,34 @@ from tillroll.sources.star import table_stream
 
 DELAY = "1 hour"
 SESSION_GAP = "4 hours"
+SALTS = 4
 
 
-def read_purchases(spark: SparkSession, data_dir: str) -> DataFrame:
+def read_purchases(spark: SparkSession, data_dir: str, files_per_batch: int = 1000) -> DataFrame:
     """Purchases as a stream, for a `stream_session`."""
     return (
-        table_stream(spark, data_dir, "events")
+        table_stream(spark, data_dir, "events", files_per_batch)
         .filter("event_type = 'purchase'")
         .select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "value")
     )
 
 
-def daily_revenue(purchases: DataFrame, delay: str = DELAY) -> DataFrame:
+def daily_revenue(purchases: DataFrame) -> DataFrame:
+    """Revenue of every day so far, for `session.drain_table`: the state is one row per day."""
     return (
-        purchases.withWatermark("ts", delay)
-        .groupBy(F.window("ts", "1 day").alias("day"))
+        purchases.groupBy(F.window("ts", "1 day").alias("day"))
         .agg(F.count("*").alias("purchases"), money_sum("value").alias("revenue"))
         .select(F.col("day.start").cast("timestamp_ntz").alias("day"), "purchases", "revenue")
     )
 
 
 def drop_repeats(
-    events: DataFrame, key: Sequence[str], delay: str = DELAY, salts: int = 1
+    events: DataFrame, key: Sequence[str], delay: str = DELAY, salts: int = SALTS
 ) -> DataFrame:
     """One row per key among those that arrive within `delay` of each other.
 
-    Keys are forgotten after `delay`, so the state does not grow with the stream.
-    With `salts` the copies of a key are first thinned out by that many tasks,
+    Keys are forgotten after `delay`, so the state does not grow with the stream;
+    where no row may be lost, use `session.drain_unique`. With `salts` the copies of a key are first thinned out by that many tasks,
     for streams where one key can be repeated without end; the second pass then
     sees at most `salts` rows of it. Which task a copy goes to does not matter.
     """
@@ -57,13 +58,9 @@ def drop_repeats(
     return timed.dropDuplicatesWithinWatermark(list(key))
 
 
-def purchase_sessions(
-    purchases: DataFrame, gap: str = SESSION_GAP, delay: str = DELAY
-) -> DataFrame:
-    """Runs of one user's purchases with less than `gap` between them."""
+def _sessions(purchases: DataFrame, gap: str) -> DataFrame:
     return (
-        purchases.withWatermark("ts", delay)
-        .groupBy("user_id", F.session_window("ts", gap).alias("session"))
+        purchases.groupBy("user_id", F.session_window("ts", gap).alias("session"))
         .agg(F.count("*").alias("purchases"), money_sum("value").alias("revenue"))
         .select(
             "user_id",
@@ -73,3 +70,23 @@ def purchase_sessions(
             "revenue",
         )
     )
+
+
+def purchase_sessions(
+    purchases: DataFrame, gap: str = SESSION_GAP, delay: str = DELAY
+) -> DataFrame:
+    """Runs of one user's purchases with less than `gap` between them, once they are closed."""
+    return _sessions(purchases.withWatermark("ts", delay), gap)
+
+
+def all_sessions(stored: DataFrame, closed: DataFrame, gap: str = SESSION_GAP) -> DataFrame:
+    """Closed sessions and, marked `is_open`, those of the stored purchases in none of them."""
+    seen = closed.select(F.col("user_id").alias("u"), "session_start", "session_end")
+    at = F.col("ts").cast("timestamp_ntz")
+    within = (
+        (F.col("user_id") == F.col("u")) & (at >= F.col("session_start")) & (at < F.col("session_end"))
+    )
+    still_open = _sessions(stored.join(seen, within, "left_anti"), gap)
+    return closed.withColumn("is_open", F.lit(False)).unionByName(
+        still_open.withColumn("is_open", F.lit(True))
+    )

@@ -8,7 +8,9 @@ from pyspark.sql import types as T
 
 from tillroll.operators.enrich import enrich_sales
 from tillroll.operators.quality import settle
+from tillroll.plans.run import run
 from tillroll.schema import INPUT_HEADERS, canonical
+from tillroll.streaming.session import batch_folder, finish
 
 # JSON field names are the extract's headers with underscores.
 JSON_NAMES = {name: h.replace(" ", "_").replace("-", "_") for name, h in INPUT_HEADERS.items()}
@@ -51,11 +53,23 @@ def read_from_kafka(
     return read_orders_stream(spark, "kafka", kafka_options(brokers, topic, **more), schema)
 
 
-def parse_orders(messages: DataFrame, schema: T.StructType = ORDER_JSON) -> DataFrame:
-    """Columns of the JSON in `value`; a malformed message is a row of nulls."""
-    order = F.from_json(F.col("value").cast("string"), schema).alias("data")
-    df = canonical(messages.select(order).select("data.*"))
-    return df.withColumnsRenamed({j: name for name, j in JSON_NAMES.items()})
+def parse_orders(messages: DataFrame, schema: T.StructType | str = ORDER_JSON) -> DataFrame:
+    """Columns of the JSON in `value`, and what does not fit in them.
+
+    `other_fields` maps the names of further JSON fields to their text, and
+    `malformed` is the text of a message that is no JSON object of the schema.
+    """
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    names = schema.fieldNames()
+    wide = T.StructType([*schema.fields, T.StructField("malformed", T.StringType())])
+    text = F.col("value").cast("string")
+    order = F.from_json(text, wide, {"columnNameOfCorruptRecord": "malformed"}).alias("data")
+    fields = F.from_json(text, "map<string,string>")
+    more = F.map_filter(fields, lambda k, _: ~k.isin(names)) if names else fields
+    df = messages.select(order, more.alias("other_fields"))
+    found = df.select(*[F.col(f"data.`{n}`") for n in names], "other_fields", "data.malformed")
+    return canonical(found).withColumnsRenamed({j: name for name, j in JSON_NAMES.items()})
 
 
 def as_messages(orders: DataFrame) -> DataFrame:
@@ -67,3 +81,29 @@ def as_messages(orders: DataFrame) -> DataFrame:
 def enrich_stream(orders: DataFrame) -> DataFrame:
     """The stages of the batch job that need no other rows; duplicates are left in."""
     return enrich_sales(settle(orders))
+
+
+def serve_kpis(
+    orders: DataFrame, store: str, output: str, checkpoint: str, **options
+) -> None:
+    """Stores raw orders exactly once and refreshes all results after each micro-batch.
+
+    The refresh is the batch job over all that is stored, so duplicates go across
+    micro-batches too; `options` are those of `plans.run.run`. How many files or
+    messages a micro-batch takes, and so how often results are made anew, is up
+    to the source.
+    """
+
+    def refresh(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(batch_folder(store, batch_id))
+        stored = batch.sparkSession.read.parquet(store)
+        known = stored.filter(F.col("stored_batch") <= batch_id).drop("stored_batch")
+        run(known, output, **options)
+
+    query = (
+        orders.writeStream.option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .foreachBatch(refresh)
+        .start()
+    )
+    finish(query, allow_late=False)

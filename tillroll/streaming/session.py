@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 STREAM_CONF = {
     # State grows with keys, so it lives on disk and in the checkpoint, not on the heap.
@@ -14,25 +17,62 @@ STREAM_CONF = {
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     # Event times are UTC, and so are the days that windows make of them.
     "spark.sql.session.timeZone": "UTC",
+    # Late rows are counted over all micro-batches of a run.
+    "spark.sql.streaming.numRecentProgressUpdates": "100000",
 }
 
+# Each partition of a stateful operator is a state store of its own, and their number stays as
+# it is for the life of a checkpoint, so it does not follow the batch setting upwards.
+STATE_PARTITIONS = 200
+_PARTITIONS = "spark.sql.shuffle.partitions"
 
-def stream_session(spark: SparkSession) -> SparkSession:
-    """A session on the same cluster with stream settings; the caller's stays as it is."""
+
+class LateRows(RuntimeError):
+    """Rows came after the watermark and are not in the result."""
+
+
+def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+    """A session on the same cluster with stream settings; the caller's stays as it is.
+
+    Settings that the caller has made at run time hold here too, apart from the
+    number of shuffle partitions, which is `state_partitions`, or the caller's if
+    that is less than `STATE_PARTITIONS`.
+    """
     session = spark.newSession()
-    partitions = "spark.sql.shuffle.partitions"  # may be set at run time, so not inherited
-    session.conf.set(partitions, spark.conf.get(partitions))
+    for name, value in spark.conf.getAll.items():
+        if session.conf.isModifiable(name):
+            session.conf.set(name, value)
+    few = min(int(spark.conf.get(_PARTITIONS)), STATE_PARTITIONS)
+    session.conf.set(_PARTITIONS, str(state_partitions or few))
     for name, value in STREAM_CONF.items():
         session.conf.set(name, value)
     return session
 
 
+def finish(query: StreamingQuery, allow_late: bool) -> int:
+    """Waits for the end; the number of rows that were too late for the watermark."""
+    query.awaitTermination()
+    late = sum(
+        operator.numRowsDroppedByWatermark
+        for progress in query.recentProgress
+        for operator in progress.stateOperators
+    )
+    if late and not allow_late:
+        raise LateRows(f"{late} rows came after the watermark")
+    return late
+
+
 def drain_to_parquet(
-    stream: DataFrame, path: str, checkpoint: str, partition_by: tuple[str, ...] = ()
-) -> None:
-    """Process all input that is there now, exactly once, and return.
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    partition_by: tuple[str, ...] = (),
+    allow_late: bool = False,
+) -> int:
+    """Process all input that is there now, exactly once; the number of rows that were too late.
 
     Run again with the same checkpoint it goes on with what has arrived since.
+    Late rows are an error unless `allow_late`; the other rows are stored then too.
     """
     query = (
         stream.writeStream.format("parquet")
@@ -42,4 +82,78 @@ def drain_to_parquet(
         .trigger(availableNow=True)
         .start(path)
     )
-    query.awaitTermination()
+    return finish(query, allow_late)
+
+
+def drain_table(stream: DataFrame, path: str, checkpoint: str) -> None:
+    """Like `drain_to_parquet`, for an aggregate that is stored whole after each micro-batch."""
+
+    def store(table: DataFrame, batch_id: int) -> None:
+        table.write.mode("overwrite").parquet(path)
+
+    query = (
+        stream.writeStream.outputMode("complete")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .foreachBatch(store)
+        .start()
+    )
+    finish(query, allow_late=False)
+
+
+def batch_folder(path: str, batch_id: int) -> str:
+    """Where a micro-batch is stored. A repeated one overwrites its own folder."""
+    return f"{path}/stored_batch={batch_id}"
+
+
+def _stored(schema: T.StructType) -> T.StructType:
+    places = [T.StructField("stored_batch", T.LongType()), T.StructField("stored_day", T.DateType())]
+    return T.StructType([*schema.fields, *places])
+
+
+def drain_unique(
+    stream: DataFrame, path: str, checkpoint: str, key: list[str], time: str = "ts"
+) -> None:
+    """Stores each row once per `key`, whenever and however often it arrives.
+
+    A repeat has the event time of its original, so a micro-batch is compared
+    with the stored keys of its own days only. No state is kept and no row is too
+    late. Of rows with one key in a micro-batch the smallest by all columns stays.
+    """
+    others = [c for c in stream.columns if c not in key]
+    first = Window.partitionBy(*key).orderBy(*(others or key))
+    stored_schema = _stored(stream.schema)
+    spark = stream.sparkSession
+    # So that there is a folder to read before the first micro-batch.
+    none = spark.createDataFrame([], T.StructType([*stream.schema.fields, stored_schema["stored_day"]]))
+    none.write.mode("overwrite").partitionBy("stored_day").parquet(batch_folder(path, -1))
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        dated = (
+            batch.withColumn("place", F.row_number().over(first))
+            .filter("place = 1")
+            .withColumn("stored_day", F.to_date(time))
+            .drop("place")
+        )
+        known = (
+            batch.sparkSession.read.schema(stored_schema)
+            .parquet(path)
+            .filter(F.col("stored_batch") < batch_id)
+            .join(dated.select("stored_day").distinct(), "stored_day", "left_semi")
+        )
+        fresh = dated.join(known.select(*key, "stored_day"), [*key, "stored_day"], "left_anti")
+        writer = fresh.select(*batch.columns, "stored_day").write.mode("overwrite")
+        writer.partitionBy("stored_day").parquet(batch_folder(path, batch_id))
+
+    query = (
+        stream.writeStream.option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .foreachBatch(store)
+        .start()
+    )
+    finish(query, allow_late=False)
+
+
+def read_unique(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """What `drain_unique` has stored, with the columns of the stream."""
+    return spark.read.schema(_stored(schema)).parquet(path).select(*schema.fieldNames())
