@@ -174,12 +174,14 @@ def test_staging_follows_the_session(spark, monkeypatch):
     one, two = (staging.new_folder(spark, "x") for _ in range(2))
     assert one != two and one.startswith(base + "/x-")
 
-    class Cluster:
-        class conf:  # noqa: N801
-            get = staticmethod(lambda name, default: {"spark.master": "yarn"}.get(name, default))
+    for master in ("yarn", "local-cluster[3,2,3000]"):
 
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        staging.new_folder(Cluster, "x")
+        class Cluster:
+            class conf:  # noqa: N801
+                get = staticmethod(lambda name, default, m=master: {"spark.master": m}.get(name, default))
+
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            staging.new_folder(Cluster, "x")
 
 
 def test_types_of_the_flat_table(spark, sf_dir):
