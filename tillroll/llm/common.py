@@ -95,7 +95,8 @@ def _symmetric(edges: DataFrame) -> DataFrame:
 def _large_star(edges: DataFrame) -> DataFrame:
     """Hangs every larger neighbour of a node on the node's smallest neighbour."""
     both = _symmetric(edges)
-    roots = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+    # Stored, so that the join has a shuffle of its own on this side and a hub can be split.
+    roots = stored(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "roots")
     return (
         both.join(roots, "a")
         .filter("b > a")
