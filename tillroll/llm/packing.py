@@ -33,7 +33,7 @@ def _kind(docs: DataFrame) -> str:
 
 
 def encoded_partitions(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
-    """(doc_id, part, first, n, ids): ids as 16- or 32-bit numbers, `first` their place in `part`."""
+    """(doc_id, part, first, n, ids): ids as 16- or 32-bit numbers, `first` the place in `part`."""
     texts = docs.select(
         "doc_id", F.col("text").cast("string").alias("text"), F.spark_partition_id().alias("part")
     )
@@ -61,7 +61,8 @@ def encoded_partitions(docs: DataFrame, path: str, end_id: int = END_ID) -> Data
                 names=["doc_id", "part", "first", "n", "ids"],
             )
 
-    return texts.mapInArrow(run, f"doc_id {_kind(docs)}, part int, first bigint, n bigint, ids binary")
+    schema = f"doc_id {_kind(docs)}, part int, first bigint, n bigint, ids binary"
+    return texts.mapInArrow(run, schema)
 
 
 def _cut(window: int):

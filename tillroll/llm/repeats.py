@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame
 
 from tillroll.llm.common import slices
 
-# Bits of the bitmap: four to eight for each expected hash, at most 64 MB. When it fills up, more hashes
-# seem repeated than are; none that is goes missing.
+# Bits of the bitmap: four to eight for each expected hash, at most 64 MB. When it fills up, more
+# hashes seem repeated than are; none that is goes missing.
 MOST_BITS = 29
 # A hash in more documents than this is reported apart.
 CROWDED = 50_000

@@ -183,7 +183,8 @@ _SPAN = (np.int64, np.int32, np.int64, np.int64)
 
 
 def _joined(parts: list[tuple]) -> list[np.ndarray]:
-    return [np.concatenate(x).astype(k, copy=False) for x, k in zip(zip(*parts, strict=True), _SPAN, strict=True)]
+    columns = zip(zip(*parts, strict=True), _SPAN, strict=True)
+    return [np.concatenate(x).astype(kind, copy=False) for x, kind in columns]
 
 
 def _take_segments(length: int, shards: int, held):
@@ -212,7 +213,8 @@ def _take_segments(length: int, shards: int, held):
         new[1:] = (v[1:] != v[:-1]) | (d[1:] != d[:-1])
         least = i[new][np.cumsum(new) - 1]
         later = order[i > least]
-        spans = _runs(doc[later], tag[later], place[later], place[later] + count[later] + length - 1)
+        stop = place[later] + count[later] + length - 1
+        spans = _runs(doc[later], tag[later], place[later], stop)
         if len(spans[0]):
             # They only pass through the shard.
             yield int(spans[0][0] % shards), _SETTLED, *_joined([spans]), b"", b""
@@ -228,7 +230,8 @@ def _take_segments(length: int, shards: int, held):
             by_doc = np.lexsort((~lead, digest[mine], value[mine], doc[mine]))
             mine, lead = mine[by_doc], lead[by_doc]
             text = b"".join([texts[j] for j in mine[lead].tolist()])
-            yield s, *_packed(value[mine], doc[mine], tag[mine], place[mine], count[mine], lead, text)
+            numbers = (x[mine] for x in (value, doc, tag, place, count))
+            yield s, *_packed(*numbers, lead, text)
 
     def _single(found, start, count, doc, tag, place, crowd):
         """Segments as their single strings, whose hash is their own."""
@@ -250,7 +253,8 @@ def _take_segments(length: int, shards: int, held):
         some_bits = ((value // np.uint64(shards)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
         flags = (count + _LEADS * lead).astype(np.uint8)
         numbers = (doc.astype(np.int64), tag.astype(np.int32), place.astype(np.int64), flags)
-        return _PENDING, some_bits, *[zlib.compress(x.tobytes(), 1) for x in numbers], zlib.compress(text, 1)
+        columns = [x.tobytes() for x in numbers] + [text]
+        return _PENDING, some_bits, *[zlib.compress(x, 1) for x in columns]
 
     return run
 
