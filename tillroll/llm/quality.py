@@ -273,6 +273,7 @@ def covariance_determinant(
             .groupBy(*keys)
             .agg(F.min("rank").alias("limit"))
         )
+        limits = small(stored(limits, "limits"))
         near = ranked.join(limits, list(keys)).filter(F.col("rank") <= F.col("limit"))
         now = _triangles(_estimates(near, *keys), *keys, factor=consistency(share))
     best = Window.partitionBy("grp").orderBy("size", "start")
