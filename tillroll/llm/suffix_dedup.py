@@ -54,6 +54,7 @@ _SHARD_BYTES = 1 << 24
 _BUCKET_BYTES = 1 << 22
 _SORT_BYTES = 1 << 20
 _AT_ONCE = 1 << 19
+_HELD_BYTES = 1 << 24
 _BASE = 1099511628211
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -187,16 +188,35 @@ def _joined(parts: list[tuple]) -> list[np.ndarray]:
     return [np.concatenate(x).astype(kind, copy=False) for x, kind in columns]
 
 
-def _take_segments(length: int, shards: int, held):
+def _compressed(held: dict[int, list[tuple]]) -> list[tuple]:
+    """One row per shard. What is gathered over many documents compresses better."""
+    rows = []
+    for shard, parts in held.items():
+        first, *others = (b"".join(column) for column in zip(*parts, strict=True))
+        rows.append((shard, _PENDING, first, *[zlib.compress(x, 1) for x in others]))
+    return rows
+
+
+def _take_segments(length: int, shards: int, repeats):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        repeated = held.value
+        repeated = repeats.value
+        ready, held, size = [], {}, 0
         for batch in slices(batches):
             ids = integer_ids(batch)
             tags = batch.column("tag").to_numpy(zero_copy_only=False)
             for parts in _parts(raw_texts(batch.column("text")), length):
                 found = Batch(parts, length)
                 some = np.flatnonzero(repeated(found.hash))
-                yield blobs(_SEGMENTS, list(_sort_out(found, some, ids, tags, repeated)))
+                for shard, kind, *row in _sort_out(found, some, ids, tags, repeated):
+                    if kind == _SETTLED:
+                        ready.append((shard, kind, *row))
+                    else:
+                        held.setdefault(shard, []).append(row)
+                        size += len(row[-1])
+                if size > _HELD_BYTES:
+                    yield blobs(_SEGMENTS, [*ready, *_compressed(held)])
+                    ready, held, size = [], {}, 0
+        yield blobs(_SEGMENTS, [*ready, *_compressed(held)])
 
     def _sort_out(found, some, ids, tags, repeated):
         start, count = found.start[some], found.count[some]
@@ -253,8 +273,7 @@ def _take_segments(length: int, shards: int, held):
         some_bits = ((value // np.uint64(shards)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
         flags = (count + _LEADS * lead).astype(np.uint8)
         numbers = (doc.astype(np.int64), tag.astype(np.int32), place.astype(np.int64), flags)
-        columns = [x.tobytes() for x in numbers] + [text]
-        return _PENDING, some_bits, *[zlib.compress(x, 1) for x in columns]
+        return _PENDING, some_bits.tobytes(), *[x.tobytes() for x in numbers], text
 
     return run
 
