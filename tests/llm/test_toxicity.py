@@ -123,6 +123,24 @@ def test_sample_is_bounded_and_repeatable(spark):
     assert got[0] == got[1] and len(got[0]) == 22
 
 
+def test_terms_come_from_all_labelled_rows(spark):
+    """Each slur is in 6 of 60 toxic rows; of 20 sampled ones, two or so have it."""
+    slurs = [f"qz{chr(97 + i)}x{chr(107 + i)}" for i in range(10)]
+    draw = np.random.default_rng(3)
+    common = ["table", "river", "window", "garden", "silver", "music", "paper", "yellow"]
+    rows = []
+    for i in range(600):
+        text = list(draw.choice(common, size=30))
+        if i % 10 == 0:
+            text[7] = slurs[i // 10 % 10]
+        rows.append((i, " ".join(text)))
+    labels = spark.createDataFrame([(d, int(d % 10 == 0)) for d, _ in rows], "doc_id bigint, toxic int")
+    model = T.learn(table(spark, rows), labels, most=(60, 20))
+    known = set(model.terms.tolist())
+    assert len(model.ids) <= 80
+    assert all(known & set(T.term_hashes(w.encode()).tolist()) for w in slurs)
+
+
 def test_monotone_fit():
     draw = np.random.default_rng(0)
     votes = draw.random(2000)

@@ -1,7 +1,7 @@
 """Toxicity from the nearest labelled examples by exact TF-IDF cosine.
 
-Terms are hashed five-byte runs of the lower-cased text, those that toxic
-examples have far more often than others. A text's vector has, for each term,
+Terms are hashed five-byte runs of the lower-cased text, those that toxic rows
+have far more often than others, counted over all labelled rows. A text's vector has, for each term,
 the root of its count times its inverse document frequency, at unit length.
 
 Examples lie in an inverted index whose postings are cut into blocks of
@@ -32,9 +32,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import blocks, raw_texts, slices, stored
+from tillroll.llm.common import blocks, raw_texts, slices, small, stored
 
-MOST_TOXIC = 2048
+MOST_TOXIC = 4096
 MOST_OTHERS = 8192
 MOST_TERMS = 2048
 NEIGHBOURS = 15
@@ -175,12 +175,20 @@ def monotone(values: np.ndarray, labels: np.ndarray, weights: np.ndarray, bins:
     )
 
 
+def by_document(labels: DataFrame) -> DataFrame:
+    """(doc_id, toxic) of every labelled document, stored."""
+    known = labels.filter("doc_id is not null and toxic is not null")
+    return stored(known.groupBy("doc_id").agg((F.max("toxic") > 0).alias("toxic")), "labels")
+
+
 def sample(
     docs: DataFrame, labels: DataFrame, most: tuple[int, int] = (MOST_OTHERS, MOST_TOXIC)
 ) -> tuple[DataFrame, dict]:
     """(doc_id, text, toxic) of the chosen examples, stored; labelled rows by label."""
-    known = labels.filter("doc_id is not null and toxic is not null")
-    each = stored(known.groupBy("doc_id").agg((F.max("toxic") > 0).alias("toxic")), "labels")
+    return _sample(docs, by_document(labels), most)
+
+
+def _sample(docs: DataFrame, each: DataFrame, most: tuple[int, int]) -> tuple[DataFrame, dict]:
     sizes = {r.toxic: r.n for r in each.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     some = [
         each.filter(F.col("toxic") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
@@ -193,12 +201,22 @@ def sample(
 
 
 def _term_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Examples that have a bucket, by label, of one task."""
+    """Labelled rows that have a bucket, by label, of one task; bucket -1 has all of them."""
+    total = [0, 0]
     counts = np.zeros((2, 1 << _BITS), dtype=np.int32)
     for batch in slices(batches):
         flags = batch.column("toxic").to_pylist()
         for flag, raw in zip(flags, raw_texts(batch.column("text")), strict=True):
             counts[int(flag), np.unique(term_hashes(raw))] += 1
+            total[int(flag)] += 1
+    yield pa.RecordBatch.from_arrays(
+        [
+            pa.array([-1], pa.int64()),
+            pa.array(total[:1], pa.int32()),
+            pa.array(total[1:], pa.int32()),
+        ],
+        names=["bucket", "clean", "toxic"],
+    )
     some = np.flatnonzero(counts.any(axis=0))
     for lo in range(0, len(some), 50_000):
         part = some[lo : lo + 50_000]
@@ -224,20 +242,29 @@ def _document_frequencies(held):
     return run
 
 
-def choose_terms(examples: DataFrame, sizes: dict, most_terms: int = MOST_TERMS) -> np.ndarray:
-    """Buckets that toxic examples have far more often than others, the strongest first."""
-    counts = (
-        examples.mapInArrow(_term_documents, "bucket bigint, clean int, toxic int")
+def choose_terms(
+    docs: DataFrame, each: DataFrame, most_terms: int = MOST_TERMS
+) -> np.ndarray:
+    """Buckets that toxic rows have far more often than others, the strongest first.
+
+    `each` (doc_id, toxic) is stored and has every labelled document.
+    """
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    labelled = texts.join(small(each), "doc_id").select("toxic", "text")
+    counts = stored(
+        labelled.mapInArrow(_term_documents, "bucket bigint, clean int, toxic int")
         .groupBy("bucket")
-        .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+        .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")),
+        "terms",
     )
-    n0, n1 = sizes
+    n0, n1 = counts.filter("bucket = -1").select("clean", "toxic").first()
     share = F.lit(n1 / (n0 + n1))
     expected = (F.col("clean") + F.col("toxic")) * share
     surplus = F.col("toxic") - expected
     chi = surplus * surplus / (expected * (1 - share))
     best = (
-        counts.filter((F.col("toxic") >= _LEAST_DOCS) & (surplus > 0) & (chi >= _LEAST_CHI))
+        counts.filter("bucket >= 0")
+        .filter((F.col("toxic") >= _LEAST_DOCS) & (surplus > 0) & (chi >= _LEAST_CHI))
         .orderBy(F.desc(chi), "bucket")
         .limit(most_terms)
     )
@@ -298,12 +325,13 @@ def learn(
 ) -> Model:
     """A model from `docs` (doc_id, text) and the rows of `labels` (doc_id, toxic)."""
     spark = docs.sparkSession
-    examples, sizes = sample(docs, labels, most)
+    each = by_document(labels)
+    examples, sizes = _sample(docs, each, most)
     found = {r.toxic: r.n for r in examples.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(found) < 2:
         only = float(next(iter(found))) if found else 0.0
         return Model(np.empty(0, np.int64), np.empty(0), only, without_terms=only)
-    terms = choose_terms(examples, (found[False], found[True]), most_terms)
+    terms = choose_terms(docs, each, most_terms)
     prior = sizes[True] / (sizes[False] + sizes[True])
     model = Model(terms, np.zeros(len(terms)), prior)
     held = spark.sparkContext.broadcast(model)
