@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from tillroll.llm import (
     bpe,
     exact_dedup,
+    filter_audit,
     language,
+    merkle,
     packing,
     passages,
     quality,
@@ -93,6 +95,19 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, digest, secret_scan.spelt(F.col("spans")).alias("spans"))
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return filter_audit.audit(documents(spark, sf_dir), labels)
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every second document, by the checksum of its id, loses its line breaks."""
+    even = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    flat = F.replace("text", F.lit("\n"), F.lit(""))
+    text = F.when(even, flat).otherwise(F.col("text"))
+    return merkle.Manifest(documents(spark, sf_dir), text).refold().drop("source")
+
+
 QUERIES = {
     "op1_passages": op1_passages,
     "op2_language": op2_language,
@@ -104,4 +119,6 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_toxicity": op9_toxicity,
     "op10_secret_scan": op10_secret_scan,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
