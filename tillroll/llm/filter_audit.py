@@ -205,11 +205,11 @@ def _steps() -> Column:
         before = 0
         for step, f in enumerate(order, 1):
             name = "".join(FILTERS[i] for i in order)
-            entries.append((name, step, f, before, before | 1 << f))
+            entries.append((name, step, f, 1 << f, before, before | 1 << f))
             before |= 1 << f
-    names = ("filter_order", "step", "filter", "before", "after")
+    names = ("filter_order", "step", "filter", "bit", "before", "after")
     spelt = json.dumps([dict(zip(names, e, strict=True)) for e in entries])
-    kind = "filter_order: string, step: int, filter: int, before: int, after: int"
+    kind = "filter_order: string, step: int, filter: int, bit: int, before: int, after: int"
     return F.from_json(F.lit(spelt), f"array<struct<{kind}>>")
 
 
@@ -229,7 +229,7 @@ def audit(docs: DataFrame, labels: DataFrame) -> DataFrame:
     counted = stored(survivors(docs, labels), "audit-survivors")
     worth = F.array(*[_shapley(f) for f in range(len(FILTERS))]).alias("worth")
     at = counted.select("*", worth, F.explode(_steps()).alias("s")).select("*", "s.*")
-    bit = F.shiftleft(F.lit(1), F.col("filter"))
+    bit, whole = F.col("bit"), F.lit(SUBSETS - 1)
 
     def of(kind: str, subset: str | Column) -> Column:
         return F.get(kind, subset)
@@ -237,7 +237,6 @@ def audit(docs: DataFrame, labels: DataFrame) -> DataFrame:
     def gone(kind: str) -> Column:
         return of(kind, "before") - of(kind, "after")
 
-    whole = SUBSETS - 1
     failing = of("all", F.lit(0)) - of("all", bit)
     return at.select(
         "part",
@@ -246,7 +245,7 @@ def audit(docs: DataFrame, labels: DataFrame) -> DataFrame:
         of("all", "after").alias("kept"),
         gone("all").alias("removed"),
         (failing - gone("all")).alias("redundant"),
-        (of("all", whole - bit) - of("all", F.lit(whole))).alias("unique_fails"),
+        (of("all", whole - bit) - of("all", whole)).alias("unique_fails"),
         gone("good").alias("good_lost"),
         gone("toxic").alias("toxic_lost"),
         F.get("worth", "filter").alias("shapley"),
