@@ -1,0 +1,140 @@
+import hashlib
+import re
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from plain import lower, sf_rows, table
+from pyspark.sql import functions as F
+
+from tillroll.llm import decontaminate
+from tillroll.llm.queries import QUERIES
+
+TEN = "one two three four five six seven eight nine ten"
+ODD_ITEMS = [
+    (1, TEN + " eleven"),
+    (2, "Short item, here"),
+    (20, TEN),
+    (3, None),
+    (4, " .,! "),
+    (5, "ÜBER straße naïve 12 34"),
+    (None, "no id at all"),
+    (6, "x"),
+    (7, "six of them make up this"),
+    (7, "another row of seven"),
+    (8, "a a a a a a a a a a a a"),
+]
+ODD = [
+    (1, None),
+    (2, ""),
+    (3, "..."),
+    (4, "Zero " + TEN.upper() + " ELEVEN twelve"),
+    (4, "Zero " + TEN.upper() + " ELEVEN twelve"),
+    (None, "short ITEM\nhere, short item here"),
+    (5, "ÜBER straße--naïve 12/34 über straße naïve 12 34"),
+    (6, "no id AT all but six of them make up this and another row of seven"),
+    (7, "one two three four five six seven eight nine"),
+    (8, "a " * 30 + "b " + "a " * 9),
+    (9, ("filler words go on " * 400_000) + TEN + (" and on" * 400_000) + " x"),
+    (10, "x"),
+    (11, "two three four five six seven eight nine ten eleven one two three"),
+]
+
+
+def words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(text))
+
+
+def wanted(docs, items):
+    of_window = defaultdict(set)
+    for i, t in items:
+        w = words(t)
+        n = min(10, len(w))
+        for k in range(len(w) - n + 1 if n else 0):
+            of_window[tuple(w[k : k + n])].add(i)
+    out, sizes = [], {len(w) for w in of_window}
+    for d, t in docs:
+        w, hit, found = words(t), set(), set()
+        for n in sizes:
+            for k in range(len(w) - n + 1):
+                if (gram := tuple(w[k : k + n])) in of_window:
+                    hit.update(range(k, k + n))
+                    found |= of_window[gram]
+        ids = sorted(str(i) for i in found if i is not None)
+        out.append((str(d), len(w), len(hit), ids))
+    return sorted(out)
+
+
+def told(frame):
+    rows = frame.collect()
+    assert all(sum(b - a for a, b in r.spans) == r.n_hit for r in rows)
+    return sorted((str(r.doc_id), r.n_words, r.n_hit, r["items"]) for r in rows)
+
+
+@pytest.fixture
+def bench(spark):
+    return lambda rows: spark.createDataFrame(rows, "item_id bigint, text string")
+
+
+@pytest.mark.parametrize("most_bits", [1, decontaminate.MOST_BITS])
+def test_equals_plain_search(spark, bench, most_bits):
+    docs = table(spark, ODD).repartition(3)
+    got = decontaminate.contamination(docs, bench(ODD_ITEMS), most_bits)
+    assert told(got) == wanted(ODD, ODD_ITEMS)
+
+
+def test_registered_query(spark, sf_dir):
+    items = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text").collect()]
+    got = QUERIES["op11_decontaminate"](spark, sf_dir).collect()
+    plain = wanted(sf_rows(spark, sf_dir), items)
+    digest = lambda ids: hashlib.sha256(",".join(ids).encode()).hexdigest()
+    assert sorted(
+        (str(r.doc_id), r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in got
+    ) == [(d, n, h, len(ids), digest(ids), h > 0) for d, n, h, ids in plain]
+    assert any(h for _, _, h, _ in plain)
+
+
+def test_empty_tables_and_clashing_columns(spark, bench):
+    none = [(str(d), n, 0, []) for d, n, *_ in wanted(ODD, ODD_ITEMS)]
+    assert told(decontaminate.contamination(table(spark, ODD), bench([]))) == none
+    assert told(decontaminate.contamination(table(spark, []), bench(ODD_ITEMS))) == []
+    clash = table(spark, ODD, {n: "c" for n in ("row", "hits", "mark", "digest", "item_id", "n", "key")})
+    items = bench(ODD_ITEMS).withColumn("doc_id", F.lit(1)).withColumn("mark", F.lit("m"))
+    assert told(decontaminate.contamination(clash, items)) == wanted(ODD, ODD_ITEMS)
+
+
+def test_removal_keeps_clean_rows_and_columns(spark, bench):
+    more = [*ODD, (4, "a clean text of the same id"), (None, "and one without")]
+    docs = table(spark, more, {"bad": "h", "row": "r", "sha": "s"})
+    left = decontaminate.remove_contaminated(docs, bench(ODD_ITEMS))
+    assert left.columns == docs.columns
+    clean = sorted(str(d) for d, t in more if not wanted([(d, t)], ODD_ITEMS)[0][2])
+    assert sorted(str(r.doc_id) for r in left.collect()) == clean
+    assert {"4", "None"} <= set(clean)
+
+
+@given(
+    st.lists(st.sampled_from("abcd"), min_size=0, max_size=40),
+    st.lists(st.sampled_from("abcd"), min_size=10, max_size=14),
+    st.lists(st.sampled_from("abcd"), min_size=0, max_size=40),
+)
+@settings(max_examples=150, deadline=None)
+def test_every_shared_window_has_a_shared_fingerprint(left, shared, right):
+    doc = decontaminate.Words([" ".join(left + shared + right).encode()])
+    item = decontaminate.Words([" ".join(shared).encode()])
+    for n in range(1, 11):
+        at, marks = doc.windows(n)
+        mine = dict(zip(at.tolist(), marks.tolist(), strict=True))
+        at, marks = item.windows(n)
+        for k, mark in zip(at.tolist(), marks.tolist(), strict=True):
+            assert mine[len(left) + k] == mark
+        assert len(mine) == max(0, len(left + shared + right) - n + 1)
+
+
+def test_equal_words_have_equal_hashes_anywhere():
+    w = decontaminate.Words([b"Abc, \xc3\x9c abc", b"", b"x-ABC"])
+    assert w.text.tolist() == [0, 0, 0, 2, 2] and w.count.tolist() == [3, 0, 2]
+    assert w.hashes[0] == w.hashes[2] == w.hashes[4] != w.hashes[1]
+    assert w.spelt(np.array([0, 1]), 2) == [b"abc \xc3\x9c", b"\xc3\x9c abc"]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tillroll.llm import (
     bpe,
+    decontaminate,
     exact_dedup,
     filter_audit,
     language,
@@ -95,6 +96,19 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, digest, secret_scan.spelt(F.col("spans")).alias("spans"))
 
 
+def op11_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontaminate.contamination(documents(spark, sf_dir), items)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return filter_audit.audit(documents(spark, sf_dir), labels)
@@ -119,6 +133,7 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_toxicity": op9_toxicity,
     "op10_secret_scan": op10_secret_scan,
+    "op11_decontaminate": op11_decontaminate,
     "op12_filter_audit": op12_filter_audit,
     "op13_merkle_manifest": op13_merkle_manifest,
 }

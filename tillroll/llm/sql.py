@@ -158,6 +158,43 @@ JOIN upper ON upper.row = placed.row AND upper.lvl = r.lvl
 """
 
 
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def decontaminate_sql() -> str:
+    """All windows of all documents, joined as text."""
+
+    def words(column: str) -> str:
+        low = f"translate(coalesce({column}, ''), '{UPPER}', '{UPPER.lower()}')"
+        return rf"regexp_extract_all({low}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+    return f"""
+WITH items AS (SELECT item_id, {words("text")} AS w FROM benchmark),
+item_windows AS (
+    SELECT DISTINCT item_id, n, array_to_string(w[k:k + n - 1], ' ') AS gram
+    FROM (
+        SELECT *, unnest(range(1, len(w) - n + 2)) AS k
+        FROM (SELECT *, least(len(w), 10) AS n FROM items WHERE len(w) > 0))),
+docs AS (SELECT row_number() OVER () AS row, doc_id, {words("text")} AS w FROM documents),
+doc_windows AS (
+    SELECT row, n, k, array_to_string(w[k:k + n - 1], ' ') AS gram
+    FROM (
+        SELECT row, w, n, unnest(range(1, len(w) - n + 2)) AS k
+        FROM docs, (SELECT DISTINCT n FROM item_windows) WHERE len(w) >= n)),
+hits AS (SELECT * FROM doc_windows JOIN item_windows USING (n, gram)),
+hit_words AS (
+    SELECT row, count(DISTINCT word) AS n_hit
+    FROM (SELECT row, unnest(range(k, k + n)) AS word FROM hits) GROUP BY row),
+found AS (
+    SELECT row, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+    FROM (SELECT DISTINCT row, CAST(item_id AS VARCHAR) AS item FROM hits WHERE item_id IS NOT NULL)
+    GROUP BY row)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit_words USING (row) LEFT JOIN found USING (row)
+"""
+
+
 def filter_audit_sql() -> str:
     """Every order played through on every document."""
     names = ", ".join(f"('{''.join(p)}')" for p in permutations("ABCDE"))
@@ -206,6 +243,7 @@ FROM counted
 ORACLES = {
     "op4_exact_dedup": OP4,
     "op10_secret_scan": secret_scan_sql(),
+    "op11_decontaminate": decontaminate_sql(),
     "op12_filter_audit": filter_audit_sql(),
     "op13_merkle_manifest": merkle_sql(),
 }
