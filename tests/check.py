@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import math
+from datetime import date, datetime
+from decimal import Decimal
+
 import duckdb
-import pandas as pd
+import pyarrow as pa
+from pyspark.sql import DataFrame
 
 TABLES = (
     "region nation customer supplier part orders lineitem events "
@@ -11,33 +16,48 @@ TABLES = (
 ).split()
 
 
-def expected(sql: str, data_dir: str) -> pd.DataFrame:
+def expected(sql: str, data_dir: str) -> pa.Table:
     with duckdb.connect() as con:
         con.sql("SET TimeZone = 'UTC'")
         for name in TABLES:
             con.sql(f"CREATE VIEW {name} AS SELECT * FROM '{data_dir}/{name}.parquet'")
-        return con.sql(sql).df()
-
-
-def cells(df: pd.DataFrame) -> list[tuple]:
-    """Rows in column-name order, sorted, with one spelling per value."""
-
-    def spell(value):
-        if pd.isna(value):
-            return ""
-        if isinstance(value, bool | str):
-            return str(value)
-        if isinstance(value, int | float):
-            return repr(float(value))
+        return con.sql(sql).to_arrow_table()
+
+
+def _kind(kind: pa.DataType) -> str:
+    """Types that count as the same: integers of any width, times of any unit."""
+    if pa.types.is_integer(kind):
+        return "integer"
+    if pa.types.is_floating(kind):
+        return "double"
+    if pa.types.is_string(kind) or pa.types.is_large_string(kind):
+        return "string"
+    if pa.types.is_timestamp(kind):
+        return "timestamp with zone" if kind.tz else "timestamp"
+    return str(kind)
+
+
+def _spelt(value) -> str:
+    """One spelling per value; null, an empty text and the text of a number all differ."""
+    if value is None:
+        return "null"
+    if isinstance(value, float):
+        return "NaN" if math.isnan(value) else repr(value + 0.0)
+    if isinstance(value, Decimal | datetime | date | bool | int):
         return str(value)
+    return repr(value)
+
 
-    names = sorted(df.columns)
-    columns = [df[n].astype(object) for n in names]
-    return sorted(tuple(spell(v) for v in row) for row in zip(*columns, strict=True))
+def cells(table: pa.Table) -> list[tuple]:
+    """Rows in column-name order, sorted."""
+    columns = [table.column(n).to_pylist() for n in sorted(table.column_names)]
+    return sorted(tuple(_spelt(v) for v in row) for row in zip(*columns, strict=True))
 
 
-def assert_same(actual: pd.DataFrame, wanted: pd.DataFrame) -> None:
-    assert sorted(actual.columns) == sorted(wanted.columns)
-    assert len(actual) == len(wanted)
-    for mine, theirs in zip(cells(actual), cells(wanted), strict=True):
-        assert mine == theirs
+def assert_same(actual: DataFrame | pa.Table, wanted: DataFrame | pa.Table) -> None:
+    mine, theirs = (t.toArrow() if isinstance(t, DataFrame) else t for t in (actual, wanted))
+    kinds = [{f.name: _kind(f.type) for f in t.schema} for t in (mine, theirs)]
+    assert kinds[0] == kinds[1]
+    assert mine.num_rows == theirs.num_rows
+    for left, right in zip(cells(mine), cells(theirs), strict=True):
+        assert left == right

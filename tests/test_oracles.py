@@ -8,8 +8,8 @@ from __spark_entry__ import LLM_QUERIES, entry, oracle_sql, queries
 
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_query_equals_sql(spark, sf_dir, name):
-    actual = queries()[name](spark, sf_dir).toPandas()
-    assert len(actual) > 0
+    actual = queries()[name](spark, sf_dir).toArrow()
+    assert actual.num_rows > 0
     assert_same(actual, expected(oracle_sql()[name], sf_dir))
 
 

@@ -84,7 +84,7 @@ def test_order_stream_equals_batch(spark, tmp_path):
     stream = order_stream.read_orders_stream(stream_session(spark), "text", {"path": inbox})
     got = drained(spark, order_stream.enrich_stream(stream), str(tmp_path))
     got = got.drop("other_fields", "malformed")
-    assert_same(got.toPandas(), enrich_sales(settle(df)).toPandas())
+    assert_same(got, enrich_sales(settle(df)))
 
 
 def test_restart_goes_on_where_it_stopped(spark, tmp_path):
