@@ -9,7 +9,8 @@ from pyspark.sql import SparkSession
 
 from tillroll.operators.enrich import MARGIN
 from tillroll.plans.run import Results, run
-from tillroll.sources.orders import malformed_lines, read_orders_csv
+from tillroll.sinks.versions import publish
+from tillroll.sources.orders import land_csv
 
 
 def main(argv: list[str]) -> Results:
@@ -23,11 +24,14 @@ def main(argv: list[str]) -> Results:
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("order-analytics").getOrCreate()
-    orders = read_orders_csv(spark, args.input)
-    results = run(orders, args.output, margin=args.margin, platform_label=args.platform_label)
-    bad = malformed_lines(spark, args.input)
-    bad.write.mode("overwrite").text(f"{args.output}/malformed_lines")
-    return results
+
+    def write(folder: str) -> Results:
+        orders, bad = land_csv(spark, args.input, f"{folder}/landed_lines")
+        results = run(orders, folder, margin=args.margin, platform_label=args.platform_label)
+        bad.write.text(f"{folder}/malformed_lines")
+        return results
+
+    return publish(spark, args.output, write)
 
 
 if __name__ == "__main__":

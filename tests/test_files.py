@@ -1,6 +1,8 @@
 """Sources, sinks, tables and the whole job."""
 
 import os
+import threading
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from check import assert_same
@@ -11,11 +13,12 @@ import job
 from tillroll import staging
 from tillroll.operators import kpis
 from tillroll.operators.enrich import enrich_sales
-from tillroll.operators.quality import clean_sales, dedup_orders, settle
-from tillroll.plans.run import run
+from tillroll.operators.quality import clean_sales, dedup_orders, missing_profile, settle
+from tillroll.plans.run import publish_run, published_kpis, run
 from tillroll.schema import INPUT_HEADERS, canonical, headed
 from tillroll.sinks.tables import register_external, save_managed, write_enriched
-from tillroll.sources.orders import malformed_lines, read_orders_csv, read_orders_parquet
+from tillroll.sinks.versions import current, publish
+from tillroll.sources.orders import land_csv, malformed_lines, read_orders_csv, read_orders_parquet
 from tillroll.sources.star import ORDER_COLUMNS, sales_lines, unique_orders
 
 CSV = """index,Order ID,Amount,Qty,Status,Courier Status,ship-city,ship-state,promotion-ids,B2B,fulfilled-by,Category,ASIN,Style,Year,Month,MonthName,currency
@@ -249,6 +252,85 @@ def test_lines_that_do_not_fit_the_header_are_kept_apart(spark, tmp_path):
     assert [r.malformed for r in malformed_lines(spark, path).collect()] == ["A2,1,200,Shipped", "A3"]
 
 
+def test_blank_and_missing_cells_differ(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('Order ID,Amount,Status\nA1,"",  \nA2,,""\n"",5,""\n')
+    rows = read_orders_csv(spark, str(tmp_path / "a.csv"))
+    assert values(rows, "order_id", "amount", "status") == [
+        ("A1", "", "  "), ("A2", None, ""), ("", "5", ""),
+    ]
+    profile = {r.column_name: (r.null_count, r.blank_count) for r in missing_profile(rows).collect()}
+    assert profile == {"order_id": (0, 1), "amount": (1, 1), "status": (0, 3)}
+
+
+def test_one_scan_feeds_orders_and_malformed_lines(spark, tmp_path):
+    lines = ["Order ID,Amount,Year", "A1,5,2022", "A2,1,200,2022", 'A3,"",', "A4"]
+    (tmp_path / "a.csv").write_text("\n".join(lines) + "\n")
+    good, bad = land_csv(spark, str(tmp_path / "a.csv"), str(tmp_path / "landed"))
+    (tmp_path / "a.csv").write_text("Order ID,Amount,Year\n")
+    assert values(good, "order_id", "amount", "year") == [("A1", "5", 2022), ("A3", "", None)]
+    assert sorted(r.malformed for r in bad.collect()) == ["A2,1,200,2022", "A4"]
+    for frame in (good, bad):
+        text = frame._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan csv" not in text and text.count("FileScan parquet") == 1
+        assert "PartitionFilters: [isnotnull(fits_header" in text
+
+
+def test_landing_an_input_without_lines(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Order ID,Amount\n")
+    good, bad = land_csv(spark, str(tmp_path / "a.csv"), str(tmp_path / "landed"))
+    assert good.columns == ["order_id", "amount"] and good.count() == bad.count() == 0
+
+
+def test_readers_see_whole_versions_only(spark, tmp_path):
+    out, seen, errors = str(tmp_path / "out"), [], []
+    assert current(spark, out) is None
+    done = threading.Event()
+
+    def write(mark):
+        def tables(folder):
+            for name in ("a", "b"):
+                spark.range(mark, mark + 1).write.parquet(f"{folder}/{name}")
+
+        publish(spark, out, tables, keep=3)
+
+    def read():
+        while not done.is_set():
+            folder = current(spark, out)
+            if folder:
+                pair = [spark.read.parquet(f"{folder}/{n}").first().id for n in ("a", "b")]
+                seen.append(pair[0])
+                errors.extend([pair] if pair[0] != pair[1] else [])
+
+    write(0)
+    with ThreadPoolExecutor(1) as pool:
+        reader = pool.submit(read)
+        for mark in range(1, 6):
+            write(mark)
+        done.set()
+        reader.result()
+    assert not errors and seen == sorted(seen)
+    assert spark.read.parquet(f"{current(spark, out)}/b").first().id == 5
+    assert len(os.listdir(f"{out}/versions")) == len(os.listdir(f"{out}/published")) == 3
+
+
+def test_a_job_that_ends_midway_leaves_the_former_version(spark, csv_dir, tmp_path):
+    out = str(tmp_path / "out")
+    publish_run(read_orders_csv(spark, csv_dir), out)
+    former = current(spark, out)
+
+    def broken(folder):
+        spark.range(3).write.parquet(f"{folder}/kpis/aov")
+        raise RuntimeError("killed")
+
+    with pytest.raises(RuntimeError, match="killed"):
+        publish(spark, out, broken)
+    assert current(spark, out) == former
+    assert published_kpis(spark, out)["profit_margin"].count() == 1
+    publish_run(read_orders_csv(spark, csv_dir), out)
+    # What the broken job has left goes with the next version.
+    assert former != current(spark, out) and len(os.listdir(f"{out}/versions")) == 2
+
+
 def test_paths_with_quotes(spark, tmp_path):
     path = str(tmp_path / "it's here")
     write_enriched(enrich_sales(settle(orders(spark, {}))), path)
@@ -275,6 +357,7 @@ def test_job_from_the_command_line(spark, csv_dir, tmp_path):
         (600.25, 50.0)
     ]
     assert done.enriched.agg(F.sum("is_platform_fulfilled")).first()[0] == 2
-    assert spark.read.text(str(tmp_path / "out" / "malformed_lines")).count() == 1
+    version = current(spark, str(tmp_path / "out"))
+    assert spark.read.text(f"{version}/malformed_lines").count() == 1
     with pytest.raises(SystemExit):
         job.main([csv_dir, str(tmp_path / "out")])

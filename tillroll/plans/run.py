@@ -13,6 +13,7 @@ from tillroll.operators.kpis import KPIS, ROLLUP_KPIS, sales_rollup
 from tillroll.operators.quality import clean_sales
 from tillroll.plans.report import ingest_report, summary_report
 from tillroll.sinks.tables import write_enriched, write_kpis, write_summary
+from tillroll.sinks.versions import current, publish
 from tillroll.sources.orders import read_orders_parquet
 
 
@@ -103,3 +104,16 @@ def run(
         summary=read_orders_parquet(spark, summary_path),
         ingest=ingest_report(rollup),
     )
+
+
+def publish_run(orders: DataFrame, output: str, **options) -> Results:
+    """`run` into a new version below `output`, which readers get as a whole when it is done."""
+    return publish(orders.sparkSession, output, lambda folder: run(orders, folder, **options))
+
+
+def published_kpis(spark: SparkSession, output: str) -> dict[str, DataFrame]:
+    """The KPIs of the current version below `output`."""
+    folder = current(spark, output)
+    if folder is None:
+        raise FileNotFoundError(f"nothing has been published in {output}")
+    return kpi_frames(spark, folder)

@@ -21,3 +21,16 @@ def new_folder(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="tillroll-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def names_in(spark: SparkSession, folder: str) -> list[str]:
+    """What lies in `folder`, on any filesystem that Spark reads; nothing if it is not there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in files.listStatus(path)] if files.exists(path) else []
+
+
+def delete(spark: SparkSession, folder: str) -> None:
+    """Removes a folder, if it is there, with all that is in it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
