@@ -1,6 +1,7 @@
 """KPI semantics, invariants and agreement of the one-scan form."""
 
 import math
+from decimal import Decimal
 
 import pytest
 from check import assert_same
@@ -266,3 +267,39 @@ def test_shares_come_from_one_total(spark):
     plan = kpis.status_distribution(df)._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan
     assert {r.percentage for r in kpis.status_distribution(df).collect()} == {14.29}
+
+
+def _spread_of(spark, amounts, parts):
+    rows = spark.createDataFrame([(f"O{i}", a, True) for i, a in enumerate(amounts)],
+                                 "order_id string, amount double, is_valid_sale boolean")
+    return kpis.aov(rows.repartition(parts)).first()
+
+
+@pytest.mark.parametrize(
+    "amounts",
+    [
+        [5.0],
+        [5.0, 7.25, 100.1],
+        [999_999_999.01 + i / 100 for i in range(50)],
+        [1e-7, 2e-7, 3.5e-7],
+        [1e12, 3e12, 2.0],
+        [0.3333333333, 100.0, 2e10, 7.77],
+    ],
+)
+def test_spread_from_moments(spark, amounts):
+    got = {_spread_of(spark, amounts, parts).std_dev for parts in (1, 3, 7)}
+    held = [Decimal(str(a)) for a in amounts]
+    if len(held) < 2:
+        assert got == {None}
+        return
+    mean = sum(held) / len(held)
+    exact = float((sum((a - mean) ** 2 for a in held) / (len(held) - 1)).sqrt())
+    assert len(got) == 1 and abs(got.pop() - exact) <= 0.0051 + exact * 1e-9
+
+
+def test_all_ten_but_products_come_from_the_rollup_in_any_partitioning(spark, sf_dir):
+    df = enrich_sales(settle(unique_orders(spark, sf_dir)))
+    alone = kpis.aov(df).collect()
+    assert "aov" in kpis.ROLLUP_KPIS
+    for parts in (1, 5):
+        assert kpis.aov(kpis.sales_rollup(df.repartition(parts))).collect() == alone

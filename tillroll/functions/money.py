@@ -32,9 +32,9 @@ def two_places(value: Column) -> Column:
     return F.coalesce(rounded, value.cast("double"))
 
 
-def exact_part(amount: Column) -> Column:
-    """`amount` as a decimal, null if it is not one that `MONEY` holds."""
-    held = amount.try_cast(MONEY)
+def exact_part(amount: Column, kind: str = MONEY) -> Column:
+    """`amount` as a decimal, null if it is not one that `kind` holds."""
+    held = amount.try_cast(kind)
     near = F.abs(held.cast("double") - amount) <= F.abs(amount) * _NEAR
     return F.when(near, held)
 

@@ -6,7 +6,8 @@ one best seller) costs one row per task. Rankings are whole; `top` cuts one.
 
 The measures are sums of a few facts per order, or quotients of such sums. So
 the same KPI comes out of the orders and out of `sales_rollup`, which has the
-facts summed up by all the small keys in one scan.
+facts summed up by all the small keys in one scan. That holds for the spread of
+order values too: it is a quotient of sums of amounts and of their squares.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from tillroll.functions.money import cents, exact_part, percent, rest_part, tota
 from tillroll.schema import DELIVERED
 
 TOP_K = 10
+# Squares of such amounts are exact, and so are the sums of a trillion of them.
+EVEN = "decimal(13,4)"
 
 
 @dataclass(frozen=True)
@@ -54,6 +57,15 @@ FACTS: dict[str, tuple[str, Callable[[DataFrame], Column]]] = {
     "fact_orders": ("order_id", lambda df: F.col("order_id").isNotNull().cast("bigint")),
     "fact_delivered": ("status", lambda df: F.when(_delivered(), 1).otherwise(0).cast("bigint")),
     "fact_rows": ("is_valid_sale", lambda df: F.lit(1).cast("bigint")),
+    # For the spread: amounts of at most four decimals, below a billion, and all others.
+    "fact_even": ("amount", lambda df: _even()),
+    "fact_even_square": ("amount", lambda df: _even() * _even()),
+    "fact_even_rows": ("amount", lambda df: _even().isNotNull().cast("bigint")),
+    "fact_odd": ("amount", lambda df: _odd()),
+    "fact_odd_square": ("amount", lambda df: _odd() * _odd()),
+    "fact_odd_rows": ("amount", lambda df: _odd().isNotNull().cast("bigint")),
+    "fact_highest": ("amount", lambda df: F.col("amount").cast("double")),
+    "fact_lowest": ("amount", lambda df: F.col("amount").cast("double")),
 }
 
 
@@ -70,6 +82,14 @@ def _units_rest(df: DataFrame) -> Column:
     return F.lit(None).cast("double") if _whole_units(df) else rest_part(F.col("qty"))
 
 
+def _even() -> Column:
+    return exact_part(F.col("amount"), EVEN)
+
+
+def _odd() -> Column:
+    return F.when(_even().isNull(), F.col("amount").cast("double"))
+
+
 def _delivered() -> Column:
     return F.col("status").contains(DELIVERED)
 
@@ -95,6 +115,32 @@ def _average(df: DataFrame) -> Column:
     return two_places(_sum_of("fact_revenue") / F.sum("fact_rows"))
 
 
+def _spread() -> Column:
+    """The sample standard deviation from first and second moments.
+
+    The squares are taken around `middle`, the mean to four decimals: their sum
+    is Sum x^2 - middle * (2 Sum x - n middle), exact in decimals, so nothing is
+    lost where the amounts are large and close together, and the result is the
+    same however the sums were made. What is left of the mean beside `middle` is
+    small. Amounts that are not even come in as doubles.
+    """
+    n, others = F.sum("fact_even_rows"), F.sum("fact_odd_rows")
+    rows = (n + others).cast("double")
+    evens = F.coalesce(F.try_sum("fact_even"), F.lit(0)).try_cast("decimal(23,4)")
+    squares = F.coalesce(F.try_sum("fact_even_square").try_cast("decimal(38,8)"), F.lit(0))
+    odds = F.coalesce(F.sum("fact_odd"), F.lit(0.0))
+    odd_squares = F.coalesce(F.sum("fact_odd_square"), F.lit(0.0))
+    middle = F.try_divide(evens.cast("double"), n.cast("double")).try_cast(EVEN)
+    middle = F.coalesce(middle, F.lit(0).cast(EVEN))
+    twice = (evens * 2 - n.cast("decimal(18,0)") * middle).try_cast("decimal(23,4)")
+    around = (squares - middle * twice).cast("double")
+    near = middle.cast("double")
+    around += odd_squares - near * (odds * 2 - others * near)
+    rest = F.try_divide(evens.cast("double") - n * near + odds - others * near, rows)
+    variance = F.try_divide(around - rows * rest * rest, rows - 1)
+    return F.sqrt(F.when(variance < 0, 0.0).otherwise(variance))
+
+
 MEASURES: dict[str, Callable[[DataFrame], Column]] = {
     "total_revenue": lambda df: cents(_sum_of("fact_revenue")),
     "total_profit": lambda df: cents(_sum_of("fact_profit")),
@@ -105,10 +151,9 @@ MEASURES: dict[str, Callable[[DataFrame], Column]] = {
     "avg_order_value": _average,
     "delivery_success_rate": lambda df: percent(F.sum("fact_delivered"), F.sum("fact_rows")),
     "average_order_value": _average,
-    # The last three need the orders themselves.
-    "max_order_value": lambda df: two_places(F.max("amount")),
-    "min_order_value": lambda df: two_places(F.min("amount")),
-    "std_dev": lambda df: two_places(F.stddev_samp("amount")),
+    "max_order_value": lambda df: two_places(F.max("fact_highest")),
+    "min_order_value": lambda df: two_places(F.min("fact_lowest")),
+    "std_dev": lambda df: two_places(_spread()),
 }
 
 VALID_SALE_KPIS = {
@@ -276,7 +321,7 @@ ROLLUP_KEYS = (
     "status",
     "is_valid_sale",
 )
-ROLLUP_KPIS = tuple(n for n in KPIS if n not in ("aov", "top_products"))
+ROLLUP_KPIS = tuple(n for n in KPIS if n != "top_products")
 
 
 def _summed(orders: DataFrame) -> list[Column]:
@@ -292,15 +337,19 @@ def _summed(orders: DataFrame) -> list[Column]:
         elif fact == "fact_units_rest":
             if _whole_units(orders, "fact_units"):
                 sums.append(F.lit(None).cast("double").alias(fact))
+        elif fact == "fact_highest":
+            sums.append(F.max(fact).alias(fact))
+        elif fact == "fact_lowest":
+            sums.append(F.min(fact).alias(fact))
         elif not fact.endswith("_rest"):
-            sums.append(F.sum(fact).alias(fact))
+            sums.append(F.try_sum(fact).alias(fact))
     return sums
 
 
 def sales_rollup(df: DataFrame) -> DataFrame:
     """Facts of all orders by `ROLLUP_KEYS`; the KPIs in `ROLLUP_KPIS` can be taken of it.
 
-    Each order is aggregated once, in its task, for eight KPIs together.
+    Each order is aggregated once, in its task, for nine KPIs together.
     """
     orders = with_facts(df)
     more = [F.sum("source_rows").alias("source_rows")] if "source_rows" in df.columns else []

@@ -80,10 +80,9 @@ def run(
     Orders without year and month get them from `date`. A missing column is an
     error before anything is written. `orders` is read once. The enriched rows
     keep how many input rows each one stands for, so the input size needs neither
-    a second read nor counters that a retried task would advance twice. Eight
+    a second read nor counters that a retried task would advance twice. Nine
     KPIs and both reports come from the rollup, one scan of the stored rows,
-    which is stored beside them; order values and products read the few columns
-    they need.
+    which is stored beside them; products read the few columns they need.
     """
     spark = orders.sparkSession
     whole = checked(with_period(orders, date))
