@@ -16,7 +16,7 @@ from tillroll.functions.money import normalise_numeric
 from tillroll.operators import extras, kpis, quality
 from tillroll.operators.enrich import enrich_sales
 from tillroll.plans.report import summary_report
-from tillroll.plans.run import kpi_frames, run
+from tillroll.plans.run import published_kpis, run
 from tillroll.schema import canonical, headed
 from tillroll.sinks.tables import register_external, save_managed, write_enriched, write_summary
 from tillroll.sources.orders import read_orders_csv, read_orders_parquet
@@ -30,6 +30,7 @@ from tillroll.sources.star import (
 )
 from tillroll.staging import new_folder
 from tillroll.streaming import events
+from tillroll.streaming import kpis as kpi_stream
 from tillroll.streaming import orders as order_stream
 from tillroll.streaming.session import (
     drain_table,
@@ -197,12 +198,12 @@ def stream_ingest_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All KPIs over the orders that a stream has stored, as (kpi, grp, measure, value) rows."""
+    """All KPIs, kept up to date by a stream of lines, as (kpi, grp, measure, value) rows."""
     session, folder = stream_session(spark), new_folder(spark, "order-stream")
     orders = flatten(session, sf_dir, table_stream(session, sf_dir, "lineitem"))
-    places = (f"{folder}/{part}" for part in ("orders", "results", "checkpoint"))
-    order_stream.serve_kpis(orders, *places)
-    return kpis.as_measures(kpi_frames(spark, f"{folder}/results"))
+    places = (f"{folder}/{part}" for part in ("store", "results", "checkpoint"))
+    kpi_stream.serve_kpis(orders, *places)
+    return kpis.as_measures(published_kpis(spark, f"{folder}/results"))
 
 
 def stream_daily_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,6 @@ from rows import orders, values
 
 from tillroll.operators.enrich import enrich_sales
 from tillroll.operators.quality import settle
-from tillroll.plans.run import kpi_frames
 from tillroll.sources.star import table_stream
 from tillroll.streaming import events
 from tillroll.streaming import orders as order_stream
@@ -212,26 +211,6 @@ def test_open_sessions_are_there(spark, tmp_path):
     ]
 
 
-def test_orders_are_deduplicated_across_micro_batches(spark, tmp_path):
-    inbox, out = str(tmp_path / "in"), str(tmp_path / "out")
-    schema = orders(spark, {}).schema
-
-    def refresh():
-        stream = (
-            stream_session(spark).readStream.schema(schema).option("maxFilesPerTrigger", 1)
-        ).parquet(inbox)
-        order_stream.serve_kpis(stream, f"{tmp_path}/orders", out, f"{tmp_path}/checkpoint")
-        rows = kpi_frames(spark, out)["b2b_analysis"]
-        return values(rows, "b2b", "order_count", "total_revenue")
-
-    for changes in ([{}, {"order_id": "O2"}], [{}, {"order_id": "O3", "amount": 50.0}]):
-        orders(spark, *changes).coalesce(1).write.mode("append").parquet(inbox)
-    assert refresh() == [("False", 3, 250.0)]
-    orders(spark, {"order_id": "O2"}, {"order_id": "O4"}).coalesce(1).write.mode("append").parquet(inbox)
-    assert refresh() == [("False", 4, 350.0)]
-    assert len(kpi_frames(spark, out)) == 10
-
-
 def test_a_backlog_is_worked_off_in_steps(spark, tmp_path):
     os.makedirs(tmp_path / "events.parquet")
     for n in range(5):

@@ -8,9 +8,7 @@ from pyspark.sql import types as T
 
 from tillroll.operators.enrich import enrich_sales
 from tillroll.operators.quality import settle
-from tillroll.plans.run import run
 from tillroll.schema import INPUT_HEADERS, canonical
-from tillroll.streaming.session import batch_folder, finish
 
 # JSON field names are the extract's headers with underscores.
 JSON_NAMES = {name: h.replace(" ", "_").replace("-", "_") for name, h in INPUT_HEADERS.items()}
@@ -81,29 +79,3 @@ def as_messages(orders: DataFrame) -> DataFrame:
 def enrich_stream(orders: DataFrame) -> DataFrame:
     """The stages of the batch job that need no other rows; duplicates are left in."""
     return enrich_sales(settle(orders))
-
-
-def serve_kpis(
-    orders: DataFrame, store: str, output: str, checkpoint: str, **options
-) -> None:
-    """Stores raw orders exactly once and refreshes all results after each micro-batch.
-
-    The refresh is the batch job over all that is stored, so duplicates go across
-    micro-batches too; `options` are those of `plans.run.run`. How many files or
-    messages a micro-batch takes, and so how often results are made anew, is up
-    to the source.
-    """
-
-    def refresh(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(batch_folder(store, batch_id))
-        stored = batch.sparkSession.read.parquet(store)
-        known = stored.filter(F.col("stored_batch") <= batch_id).drop("stored_batch")
-        run(known, output, **options)
-
-    query = (
-        orders.writeStream.option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .foreachBatch(refresh)
-        .start()
-    )
-    finish(query, allow_late=False)
