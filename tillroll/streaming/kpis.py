@@ -19,13 +19,19 @@ from tillroll.operators.enrich import MARGIN, PLATFORM_LABEL, enrich_sales
 from tillroll.operators.kpis import FACTS, KPIS, ROLLUP_KEYS, VALID_SALE_KPIS, with_facts
 from tillroll.operators.quality import settle
 from tillroll.plans.report import summary_report
-from tillroll.plans.run import Results, checked, kpi_frames, with_period
+from tillroll.plans.run import checked, with_period
 from tillroll.sinks.tables import write_kpis, write_summary
 from tillroll.sinks.versions import publish
 from tillroll.sources.orders import read_orders_parquet
 from tillroll.staging import delete
 from tillroll.streaming.session import batch_folder, finish
-from tillroll.streaming.survivors import COPIES, ORDER_KEY, SIGN, survivor_changes
+from tillroll.streaming.survivors import (
+    COPIES,
+    ORDER_KEY,
+    SIGN,
+    batch_survivors,
+    survivor_changes,
+)
 
 _EXTREMES = ("fact_highest", "fact_lowest")
 _SUMS = [f for f in FACTS if f not in _EXTREMES]
@@ -131,39 +137,54 @@ def serve_kpis(
     margin: float = MARGIN,
     platform_label: str = PLATFORM_LABEL,
     date: str = "order_date",
+    files_per_batch: int = 1000,
 ) -> None:
     """Follows a stream of order lines with the KPIs, which are published after each micro-batch.
 
-    `store` gets the changes and the sums, `output` the versions of KPIs, rollup
-    and summary; `sinks.versions.current` tells the last one. A micro-batch that
-    is repeated after a failure starts from the same sums and overwrites its own.
-    The orders go on in the state, so `checkpoint` belongs to `store`.
+    Two queries run one after the other. The first stores each micro-batch's
+    smallest lines; the second takes what has been stored since, and keeps the
+    sums. `store` gets lines, changes and sums, `output` the versions of KPIs,
+    rollup and summary; `sinks.versions.current` tells the last one. A
+    micro-batch that is repeated after a failure overwrites its own folders and
+    starts from the same sums. The orders go on in the state, so `checkpoint`
+    belongs to `store`.
     """
-    changes = survivor_changes(checked(with_period(orders, date)), key, order_by)
+    lines = checked(with_period(orders, date))
+    spark, landed = orders.sparkSession, f"{store}/lines"
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        smallest = batch_survivors(batch, key, order_by)
+        smallest.write.mode("overwrite").parquet(batch_folder(landed, batch_id))
 
     def follow(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+        session = batch.sparkSession
         folder = batch_folder(f"{store}/changes", batch_id)
         enrich_sales(settle(batch), margin, platform_label).write.mode("overwrite").parquet(folder)
         sums = _sums_folder(store, batch_id)
         before = _sums_folder(store, batch_id - 1) if batch_id else None
-        fold(spark.read.parquet(folder), before, sums)
-        delete(spark, _sums_folder(store, batch_id - 2))
+        fold(session.read.parquet(folder), before, sums)
+        delete(session, _sums_folder(store, batch_id - 2))
 
-        def write(version: str) -> Results:
-            kpis, rollup = kpis_of(spark, sums)
+        def write(version: str) -> None:
+            kpis, rollup = kpis_of(session, sums)
             write_kpis(kpis, version)
             rollup.write.parquet(f"{version}/sales_rollup")
             write_summary(summary_report(rollup), version)
-            return kpi_frames(spark, version)
-
-        publish(spark, output, write)
 
-    query = (
-        changes.writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .foreachBatch(follow)
-        .start()
-    )
-    finish(query, allow_late=False)
+        publish(session, output, write)
+
+    def drain(stream: DataFrame, mode: str, name: str, sink) -> None:
+        query = (
+            stream.writeStream.outputMode(mode)
+            .option("checkpointLocation", f"{checkpoint}/{name}")
+            .trigger(availableNow=True)
+            .foreachBatch(sink)
+            .start()
+        )
+        finish(query, allow_late=False)
+
+    drain(lines, "append", "land", land)
+    schema = batch_survivors(lines, key, order_by).schema
+    stored = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    smallest = stored.parquet(f"{landed}/stored_batch=*")
+    drain(survivor_changes(smallest), "update", "follow", follow)

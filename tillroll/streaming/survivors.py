@@ -1,150 +1,78 @@
 """The line that stays of each order, kept up to date while lines arrive.
 
 Of the lines with one order id the smallest by all columns stays, whenever it
-comes. The state holds that line for each order, so a new line is compared with
-one stored line and not with the store: a line that beats it takes it back and
-takes its place, one that does not only counts as a copy. What a micro-batch
-gives are these changes, and what it costs depends on its lines alone.
-
-Lines without an id are one order, as in the batch job. Before they are moved
-to their order's state, lines are thinned out where they were read: of an id
-that comes without end, each task sends one line per `_THIN` lines read.
+comes. A micro-batch is first reduced to its smallest line of each order, with
+partial minima before the shuffle, so an id that comes without end is one line
+per micro-batch. These lines are the state: a new one is compared with the
+earlier ones of its order alone. One that beats them takes back the line that
+stayed so far and takes its place, any other only counts as copies. What comes
+out are these changes, and what they cost depends on the new lines, not on those
+that are stored.
+
+Lines without an id are one order, as in the batch job.
 """
 
 from __future__ import annotations
 
-import math
-import pickle
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 ORDER_KEY = "order_key"
 SIGN = "sign"
 COPIES = "copies"
-_THIN = 8192
-
-
-def _rank(row: Sequence) -> tuple:
-    """`row` as Spark orders it: nulls first, NaN last, text by its bytes."""
-
-    def place(value):
-        if value is None:
-            return (0, 0)
-        if isinstance(value, float) and math.isnan(value):
-            return (2, 0)
-        return (1, value.encode() if isinstance(value, str) else value)
-
-    return tuple(place(v) for v in row)
-
-
-def _thinned(names: list[str], ranking: list[int]):
-    """The smallest line of each order among the lines of a batch, packed, and their number."""
-
-    def smallest(batch: pa.RecordBatch) -> pa.RecordBatch:
-        best = {}
-        columns = [batch.column(n).to_pylist() for n in (ORDER_KEY, *names)]
-        for key, *row in zip(*columns, strict=True):
-            rank = _rank([row[i] for i in ranking])
-            held = best.get(key)
-            if held is None:
-                best[key] = [rank, row, 1]
-            else:
-                held[2] += 1
-                if rank < held[0]:
-                    held[:2] = rank, row
-        packed = [pickle.dumps((rank, row)) for rank, row, _ in best.values()]
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(list(best), pa.string()),
-                pa.array(packed, pa.binary()),
-                pa.array([n for _, _, n in best.values()], pa.int64()),
-            ],
-            names=[ORDER_KEY, "line", COPIES],
-        )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for batch in batches:
-            held.append(batch)
-            size += batch.num_rows
-            if size >= _THIN:
-                yield smallest(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
-                held, size = [], 0
-        if size:
-            yield smallest(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
-
-    return run
-
 
-def _compared(
-    key: tuple[str], frames: Iterator[pd.DataFrame], state: GroupState
-) -> Iterator[pd.DataFrame]:
-    """The changes that an order's new lines make."""
-    stored, copies = state.get if state.exists else (None, 0)
-    best, added = stored, 0
-    rank = pickle.loads(stored)[0] if stored else None
-    for frame in frames:
-        for line, n in zip(frame["line"], frame[COPIES], strict=True):
-            other = pickle.loads(line)[0]
-            added += int(n)
-            if rank is None or other < rank:
-                best, rank = bytes(line), other
-    state.update((best, copies + added))
-    if stored is None:
-        changes = [(best, 1, added)]
-    elif best != stored:
-        changes = [(stored, -1, -copies), (best, 1, copies + added)]
-    else:
-        changes = [(stored, 0, added)]
-    lines, signs, counts = zip(*changes, strict=True)
-    yield pd.DataFrame({ORDER_KEY: key[0], "line": lines, SIGN: signs, COPIES: counts})
 
+def batch_survivors(
+    lines: DataFrame, key: str = "order_id", order_by: Sequence[str] = ()
+) -> DataFrame:
+    """(order_key, line, copies) of a micro-batch: the smallest line of each order, as a struct."""
+    others = [*order_by, *[c for c in lines.columns if c != key and c not in order_by]]
+    text = F.concat(F.lit("k"), F.col(f"`{key}`").cast("string"))
+    line = F.struct(*[F.col(f"`{c}`") for c in (*others, key)])
+    return lines.groupBy(F.coalesce(text, F.lit("")).alias(ORDER_KEY)).agg(
+        F.min(line).alias("line"), F.count("*").alias(COPIES)
+    )
 
-def _unpacked(names: list[str], schema: pa.Schema):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [pickle.loads(line)[1] for line in batch.column("line").to_pylist()]
-            columns = list(zip(*rows, strict=True)) or [[] for _ in names]
-            arrays = [pa.array(c, schema.field(n).type) for c, n in zip(columns, names, strict=True)]
-            more = [batch.column(c) for c in (ORDER_KEY, SIGN, COPIES)]
-            yield pa.RecordBatch.from_arrays(arrays + more, names=[*names, ORDER_KEY, SIGN, COPIES])
 
-    return run
+def _copies(lines: Column) -> Column:
+    return F.aggregate(lines, F.lit(0).cast("bigint"), lambda n, x: n + x[COPIES])
 
 
-def survivor_changes(
-    lines: DataFrame, key: str = "order_id", order_by: Sequence[str] = ()
-) -> DataFrame:
-    """The changes to the lines that stay, for a sink in update mode.
+def survivor_changes(smallest: DataFrame) -> DataFrame:
+    """The changes that a stream of `batch_survivors` makes, for a sink in update mode.
 
-    The columns of `lines` with `order_key`, `sign` (1 for a line that stays
+    The columns of the lines with `order_key`, `sign` (1 for a line that stays
     from now on, -1 for one that does so no more, 0 for one that goes on) and
     `copies`, the input lines that the change adds to it or, with it, takes away.
     """
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    names = lines.columns
-    others = [*order_by, *[c for c in names if c != key and c not in order_by]]
-    ranking = [names.index(c) for c in others]
-    text = F.concat(F.lit("k"), F.col(f"`{key}`").cast("string"))
-    keyed = lines.withColumn(ORDER_KEY, F.coalesce(text, F.lit("")))
-    thin = keyed.mapInArrow(
-        _thinned(names, ranking), f"{ORDER_KEY} string, line binary, {COPIES} bigint"
+    names = smallest.schema["line"].dataType.fieldNames()
+    # The time of the micro-batch, which a repeated one has again.
+    entry = F.struct("line", F.current_timestamp().alias("came"), COPIES)
+    seen = smallest.select(ORDER_KEY, entry.alias("entry")).groupBy(ORDER_KEY)
+    state = seen.agg(F.collect_list("entry").alias("all"), F.max("entry.came").alias("now"))
+    state = state.withColumn("before", F.filter("all", lambda x: x["came"] < F.col("now")))
+    state = state.select(
+        ORDER_KEY,
+        F.array_min("all")["line"].alias("best"),
+        F.array_min("before")["line"].alias("stayed"),
+        _copies(F.col("all")).alias("n"),
+        _copies(F.col("before")).alias("n_before"),
+        (F.size("before") > 0).alias("known"),
     )
-    changes = thin.groupBy(ORDER_KEY).applyInPandasWithState(
-        _compared,
-        f"{ORDER_KEY} string, line binary, {SIGN} int, {COPIES} bigint",
-        f"line binary, {COPIES} bigint",
-        "update",
-        GroupStateTimeout.NoTimeout,
+
+    def change(line: str, sign: int, copies: Column) -> Column:
+        return F.struct(F.col(line).alias("line"), F.lit(sign).alias(SIGN), copies.alias(COPIES))
+
+    came = change("best", 1, F.col("n"))
+    went = change("stayed", -1, -F.col("n_before"))
+    same = change("best", 0, F.col("n") - F.col("n_before"))
+    changes = (
+        F.when(~F.col("known"), F.array(came))
+        .when(F.col("best").eqNullSafe(F.col("stayed")), F.array(same))
+        .otherwise(F.array(went, came))
     )
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in lines.schema)
-    return changes.mapInArrow(
-        _unpacked(names, to_arrow_schema(lines.schema)),
-        f"{kinds}, {ORDER_KEY} string, {SIGN} int, {COPIES} bigint",
+    return state.select(ORDER_KEY, F.explode(changes).alias("c")).select(
+        *[F.col(f"c.line.`{n}`") for n in names], ORDER_KEY, f"c.{SIGN}", f"c.{COPIES}"
     )
