@@ -29,13 +29,14 @@ from tillroll.sources.star import (
     unique_orders,
 )
 from tillroll.staging import new_folder
-from tillroll.streaming import events
+from tillroll.streaming import events, late
 from tillroll.streaming import kpis as kpi_stream
 from tillroll.streaming import orders as order_stream
 from tillroll.streaming.session import (
     drain_table,
     drain_to_parquet,
     drain_unique,
+    drain_upserts,
     read_unique,
     stream_session,
 )
@@ -45,7 +46,10 @@ try:  # the package `llm` may be left out
     from corpus_pipeline import run as run_pipeline
     from tillroll.llm.queries import QUERIES as LLM_QUERIES
     from tillroll.llm.sql import ORACLES as LLM_ORACLES
-except ImportError:
+except ModuleNotFoundError as missing:
+    # Anything else that cannot be imported is an error, not a reason to go without.
+    if not (missing.name or "").startswith(("tillroll.llm", "corpus_pipeline")):
+        raise
     LLM_QUERIES, LLM_ORACLES = {}, {}
 else:
     LLM_QUERIES = {**LLM_QUERIES, "pipeline": run_pipeline}
@@ -227,7 +231,33 @@ def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     purchases = events.read_purchases(stream_session(spark), sf_dir)
     stored = _drained(spark, "session-purchases", purchases)
     closed = _drained(spark, "sessions", events.purchase_sessions(purchases))
-    return events.all_sessions(stored, closed)
+    return events.with_open(stored, closed)
+
+
+def stream_sliding_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    purchases = events.read_purchases(stream_session(spark), sf_dir)
+    folder, windows = new_folder(spark, "sliding-revenue"), events.sliding_revenue(purchases)
+    places = (f"{folder}/rows", f"{folder}/checkpoint")
+    drain_upserts(windows, *places, key=["window_start"], day="day")
+    return spark.read.parquet(places[0]).drop("day")
+
+
+def stream_late_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions of purchases that arrive shuffled, of which many are behind the watermark.
+
+    The events are delivered in four files, by the last digit of their id, and
+    each is a micro-batch; a repair run joins the late ones to the sessions.
+    """
+    inbox, session = new_folder(spark, "shuffled-events"), stream_session(spark)
+    for part in range(4):
+        arrived = table(spark, sf_dir, "events").filter(F.col("event_id") % 10 % 4 == part)
+        arrived.coalesce(1).write.mode("append").parquet(f"{inbox}/events.parquet")
+    purchases = events.read_purchases(session, inbox, files_per_batch=1)
+    folder = new_folder(spark, "split-purchases")
+    late.drain_split(purchases, f"{folder}/rows", f"{folder}/checkpoint")
+    punctual = late.on_time_stream(session, f"{folder}/rows", purchases.schema)
+    closed = _drained(spark, "punctual-sessions", events.purchase_sessions(punctual))
+    return late.repaired_sessions(spark, f"{folder}/rows", purchases.schema, closed)
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -275,6 +305,8 @@ def queries() -> dict[str, Query]:
         "stream_daily_revenue": stream_daily_revenue,
         "stream_dedup": stream_dedup,
         "stream_sessions": stream_sessions,
+        "stream_sliding_revenue": stream_sliding_revenue,
+        "stream_late_sessions": stream_late_sessions,
         **LLM_QUERIES,
     }
 

@@ -232,6 +232,17 @@ def missing(name: str) -> str:
 PURCHASES = "purchases AS (SELECT * FROM events WHERE event_type = 'purchase')"
 CLOSED = "(SELECT max(ts) - INTERVAL 1 HOUR FROM purchases)"
 
+SESSIONS = f"""WITH {PURCHASES}, marked AS (
+            SELECT *, coalesce(ts - lag(ts) OVER by_user >= INTERVAL 4 HOUR, true) AS opens
+            FROM purchases WINDOW by_user AS (PARTITION BY user_id ORDER BY ts)),
+        numbered AS (
+            SELECT *, count(*) FILTER (opens) OVER (PARTITION BY user_id ORDER BY ts) AS run
+            FROM marked)
+        SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 4 HOUR AS session_end,
+            count(*) AS purchases, {money_sum('value')} AS revenue,
+            max(ts) + INTERVAL 4 HOUR > {CLOSED} AS is_open
+        FROM numbered GROUP BY user_id, run"""
+
 ORACLES = {
     "ingest_profile": f"""{LINES}
         SELECT count(*) AS row_count, {len(FLAT_COLUMNS)} AS column_count FROM flat""",
@@ -275,16 +286,17 @@ ORACLES = {
             {money_sum('value')} AS revenue
         FROM purchases GROUP BY 1""",
     "stream_dedup": f"WITH {PURCHASES} SELECT event_id, ts, user_id, value FROM purchases",
-    "stream_sessions": f"""WITH {PURCHASES}, marked AS (
-            SELECT *, coalesce(ts - lag(ts) OVER by_user >= INTERVAL 4 HOUR, true) AS opens
-            FROM purchases WINDOW by_user AS (PARTITION BY user_id ORDER BY ts)),
-        numbered AS (
-            SELECT *, count(*) FILTER (opens) OVER (PARTITION BY user_id ORDER BY ts) AS run
-            FROM marked)
-        SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 4 HOUR AS session_end,
-            count(*) AS purchases, {money_sum('value')} AS revenue,
-            max(ts) + INTERVAL 4 HOUR > {CLOSED} AS is_open
-        FROM numbered GROUP BY user_id, run""",
+    "stream_sliding_revenue": f"""WITH {PURCHASES}, starts AS (
+            SELECT unnest(generate_series(
+                (SELECT date_trunc('day', min(ts)) - INTERVAL 1 DAY FROM purchases),
+                (SELECT max(ts) FROM purchases), INTERVAL 2 HOUR)) AS window_start)
+        SELECT window_start::TIMESTAMP AS window_start,
+            (window_start + INTERVAL 6 HOUR)::TIMESTAMP AS window_end,
+            count(*) AS purchases, {money_sum('value')} AS revenue
+        FROM starts JOIN purchases ON ts >= window_start AND ts < window_start + INTERVAL 6 HOUR
+        GROUP BY window_start""",
+    "stream_sessions": SESSIONS,
+    "stream_late_sessions": SESSIONS,
     "period_columns": f"{UNIQUE} SELECT order_id, order_date, year, month, month_name FROM flat",
     "distinct_buyers_by_month": f"""{ALL_STAGES}
         SELECT year, month, count(DISTINCT customer_id) AS buyers

@@ -7,12 +7,13 @@ from datetime import datetime, timedelta
 import pytest
 from check import assert_same
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 from rows import orders, values
 
 from tillroll.operators.enrich import enrich_sales
 from tillroll.operators.quality import settle
 from tillroll.sources.star import table_stream
-from tillroll.streaming import events
+from tillroll.streaming import events, late
 from tillroll.streaming import orders as order_stream
 from tillroll.streaming.session import (
     STREAM_CONF,
@@ -20,6 +21,7 @@ from tillroll.streaming.session import (
     drain_table,
     drain_to_parquet,
     drain_unique,
+    drain_upserts,
     read_unique,
     stream_session,
 )
@@ -27,6 +29,15 @@ from tillroll.streaming.session import (
 NOON = datetime(2024, 1, 1, 12)
 
 
+@pytest.fixture
+def no_broadcast(spark):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    yield
+    spark.conf.set(name, before)
+
+
 def drained(spark, stream, folder):
     drain_to_parquet(stream, f"{folder}/rows", f"{folder}/checkpoint")
     return spark.read.parquet(f"{folder}/rows")
@@ -198,12 +209,124 @@ def test_unique_rows_are_kept_however_late(spark, tmp_path):
     assert kept() == [1, 2, 3, 4]
 
 
+def test_rows_without_key_or_time_are_unique_too(spark, tmp_path):
+    inbox = str(tmp_path / "in")
+    schema = "event_id long, ts timestamp, user_id long, value double"
+    rows = [(None, NOON, 7, 1.0), (5, None, 7, 2.0), (None, None, 8, 3.0), (6, NOON, 9, 4.0)]
+
+    def kept():
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(inbox)
+        stream = event_stream(spark, inbox)
+        drain_unique(stream, f"{tmp_path}/rows", f"{tmp_path}/checkpoint", ["event_id"])
+        return read_unique(spark, f"{tmp_path}/rows", stream.schema).collect()
+
+    wanted = {(6, NOON), (5, None), (None, NOON)}
+    for _ in range(3):
+        got = kept()
+        # The two rows without a key are one by their key, at a time or without.
+        assert {(r.event_id, r.ts) for r in got} <= wanted | {(None, None)}
+        assert len(got) == 3
+
+
+def test_late_rows_lie_beside_the_others(spark, tmp_path):
+    inbox, path = str(tmp_path / "in"), str(tmp_path / "split")
+
+    def split():
+        stream = event_stream(spark, inbox)
+        late.drain_split(stream, path, f"{tmp_path}/c1")
+        closed = events.purchase_sessions(
+            late.on_time_stream(stream_session(spark), path, stream.schema)
+        )
+        return stream.schema, drained(spark, closed, f"{tmp_path}/closed")
+
+    put_events(spark, inbox, (1, 0, 7, 1.0), (2, 2000, 8, 1.0))
+    split()
+    # One of user 7 joins the session that is closed, one is the first of user 9; one is in time.
+    put_events(spark, inbox, (3, 100, 7, 2.0), (4, 5, 9, 4.0), (5, 1990, 8, 8.0), (6, 9000, 7, 1.0))
+    schema, closed = split()
+    ids = [
+        sorted(r.event_id for r in read(spark, path, schema).collect())
+        for read in (late.on_time, late.late)
+    ]
+    assert ids == [[1, 2, 5, 6], [3, 4]]
+    got = late.repaired_sessions(spark, path, schema, closed)
+    assert sorted(values(got, "user_id", "session_start", "purchases", "revenue", "is_open")) == [
+        (7, NOON, 2, 3.0, False),
+        (7, NOON + timedelta(minutes=9000), 1, 1.0, True),
+        (8, NOON + timedelta(minutes=1990), 2, 9.0, False),
+        (9, NOON + timedelta(minutes=5), 1, 4.0, False),
+    ]
+
+
+def test_only_changed_days_are_written(spark, tmp_path):
+    inbox, path, day = str(tmp_path / "in"), str(tmp_path / "windows"), 24 * 60
+
+    def files():
+        stream = events.sliding_revenue(event_stream(spark, inbox), "2 hours", "1 hour")
+        drain_upserts(stream, path, f"{tmp_path}/checkpoint", ["window_start"], "day")
+        return {
+            d: sorted(os.listdir(f"{path}/{d}")) for d in os.listdir(path) if d.startswith("day=")
+        }
+
+    put_events(spark, inbox, (1, 0, 7, 1.0), (2, day, 7, 2.0), (3, 2 * day, 7, 4.0))
+    before = files()
+    put_events(spark, inbox, (4, day + 30, 7, 8.0), (5, day + 200, 7, 16.0))
+    after = files()
+    changed = {d for d in after if after[d] != before.get(d)}
+    assert changed == {"day=2024-01-02"} and before.keys() == after.keys()
+    hour = timedelta(hours=1)
+    second = spark.read.parquet(path).filter("day = '2024-01-02'")
+    at = NOON + timedelta(days=1)
+    assert sorted(values(second, "window_start", "window_end", "purchases", "revenue")) == [
+        (at - hour, at + hour, 2, 10.0),
+        (at, at + 2 * hour, 2, 10.0),
+        (at + 2 * hour, at + 4 * hour, 1, 16.0),
+        (at + 3 * hour, at + 5 * hour, 1, 16.0),
+    ]
+
+
+def test_a_busy_user_is_spread_over_buckets(spark, no_broadcast):
+    """Half the rows are of one user; the interval join deals them out by user and day."""
+    rows = spark.range(20_000).select(
+        F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).alias("user_id"),
+        F.timestamp_seconds(F.col("id") * 600).alias("ts"),
+    )
+    spans = rows.filter("user_id = 7").select(
+        "user_id",
+        F.col("ts").alias("session_start"),
+        (F.col("ts") + F.expr("INTERVAL 10 MINUTES")).alias("session_end"),
+    )
+    left = events.outside(rows, spans, "ts", "user_id", "session_start", "session_end")
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    keys = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(keys) == 2 and all("/ 86400" in k or "_bucket" in k for k in keys)
+    # Line 7 is of user 7 as well.
+    assert left.count() == 9_999 and left.filter("user_id = 7").count() == 0
+
+
+def test_rows_outside_all_spans(spark):
+    def at(*minutes):
+        return [NOON + timedelta(minutes=m) for m in minutes]
+
+    rows = [(1, t) for t in at(0, 59, 60, 3000)] + [(None, NOON), (2, NOON), (1, None)]
+    spans = [(1, *at(0, 60)), (1, *at(2000, 2900)), (None, *at(-10_000, 1)), (2, *at(1, 2))]
+    got = events.outside(
+        spark.createDataFrame(rows, "k int, t timestamp"),
+        spark.createDataFrame(spans, "k int, a timestamp, b timestamp"),
+        "t", "k", "a", "b",
+    )
+    assert sorted(values(got, "k", "t"), key=str) == sorted(
+        [(1, None), (1, at(60)[0]), (1, at(3000)[0]), (2, NOON)], key=str
+    )
+
+
 def test_open_sessions_are_there(spark, tmp_path):
     inbox = str(tmp_path / "in")
     put_events(spark, inbox, (1, 0, 7, 1.0), (2, 30, 7, 1.0), (3, 900, 8, 9.0), (4, 910, 7, 2.0))
     stored = drained(spark, event_stream(spark, inbox), f"{tmp_path}/a")
     closed = drained(spark, events.purchase_sessions(event_stream(spark, inbox)), f"{tmp_path}/b")
-    found = events.all_sessions(stored, closed)
+    found = events.with_open(stored, closed)
     assert sorted(values(found, "user_id", "purchases", "is_open")) == [
         (7, 1, True),
         (7, 2, False),

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tillroll.staging import delete
+
 STREAM_CONF = {
     # State grows with keys, so it lives on disk and in the checkpoint, not on the heap.
     "spark.sql.streaming.stateStore.providerClass": (
@@ -106,11 +111,75 @@ def batch_folder(path: str, batch_id: int) -> str:
     return f"{path}/stored_batch={batch_id}"
 
 
+def drain_upserts(stream: DataFrame, path: str, checkpoint: str, key: list[str], day: str) -> None:
+    """Keeps an aggregate up to date, of which a micro-batch gives the rows that have changed.
+
+    The table is partitioned by `day`. Only the days of changed rows are written
+    anew: with the changed rows, and with what else lies there. A micro-batch
+    that is repeated writes the same days with the same rows.
+    """
+    spark = stream.sparkSession
+    schema = stream.schema
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        changed = batch.persist()
+        try:
+            before = batch.sparkSession.read.schema(schema).parquet(path)
+            days = changed.select(F.col(day).alias("_day")).distinct()
+            same_day = F.col(day).eqNullSafe(F.col("_day"))
+            new = [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in key]
+            keys = changed.select(*[F.col(k).alias(f"_new_{k}") for k in key])
+            rest = before.join(F.broadcast(days), same_day, "left_semi").join(
+                keys, reduce(and_, new), "left_anti"
+            )
+            # Written aside first, as these days are read and replaced.
+            aside = f"{path}-changes/{batch_id:09d}"
+            rest.unionByName(changed).write.mode("overwrite").parquet(aside)
+            merged = batch.sparkSession.read.schema(schema).parquet(aside)
+            writer = merged.hint("rebalance", day).write.mode("overwrite").partitionBy(day)
+            writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+            delete(spark, aside)
+        finally:
+            changed.unpersist()
+
+    # So that there is a folder to read before the first micro-batch.
+    none = spark.createDataFrame([], schema)
+    none.write.mode("append").partitionBy(day).parquet(path)
+    query = (
+        stream.writeStream.outputMode("update")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .foreachBatch(store)
+        .start()
+    )
+    finish(query, allow_late=False)
+
+
+_KEY, _DAY = "stored_key", "stored_day"
+# The day of rows without a time.
+_NO_DAY = "0001-01-01"
+
+
 def _stored(schema: T.StructType) -> T.StructType:
-    places = [T.StructField("stored_batch", T.LongType()), T.StructField("stored_day", T.DateType())]
+    places = [
+        T.StructField(_KEY, T.StringType()),
+        T.StructField("stored_batch", T.LongType()),
+        T.StructField(_DAY, T.DateType()),
+    ]
     return T.StructType([*schema.fields, *places])
 
 
+def key_digest(key: list[str]) -> Column:
+    """A digest of the key's cells in which null is a value of its own."""
+
+    def cell(name: str) -> Column:
+        text = F.col(f"`{name}`").cast("string")
+        size = F.octet_length(text).cast("string")
+        return F.coalesce(F.concat(size, F.lit(":"), text), F.lit("-"))
+
+    return F.sha2(F.concat(*[cell(k) for k in key]), 256)
+
+
 def drain_unique(
     stream: DataFrame, path: str, checkpoint: str, key: list[str], time: str = "ts"
 ) -> None:
@@ -118,32 +187,37 @@ def drain_unique(
 
     A repeat has the event time of its original, so a micro-batch is compared
     with the stored keys of its own days only. No state is kept and no row is too
-    late. Of rows with one key in a micro-batch the smallest by all columns stays.
+    late. Of rows with one key in a micro-batch the smallest by all columns
+    stays. Keys are compared by a digest in which nulls equal each other, and
+    rows without a time have a day of their own, so they too are stored once.
     """
     others = [c for c in stream.columns if c not in key]
-    first = Window.partitionBy(*key).orderBy(*(others or key))
+    first = Window.partitionBy(_KEY).orderBy(*(others or key))
     stored_schema = _stored(stream.schema)
     spark = stream.sparkSession
     # So that there is a folder to read before the first micro-batch.
-    none = spark.createDataFrame([], T.StructType([*stream.schema.fields, stored_schema["stored_day"]]))
-    none.write.mode("overwrite").partitionBy("stored_day").parquet(batch_folder(path, -1))
+    fields = [*stream.schema.fields, stored_schema[_KEY], stored_schema[_DAY]]
+    none = spark.createDataFrame([], T.StructType(fields))
+    none.write.mode("overwrite").partitionBy(_DAY).parquet(batch_folder(path, -1))
 
     def store(batch: DataFrame, batch_id: int) -> None:
+        day = F.coalesce(F.to_date(time), F.lit(_NO_DAY).cast("date"))
         dated = (
-            batch.withColumn("place", F.row_number().over(first))
-            .filter("place = 1")
-            .withColumn("stored_day", F.to_date(time))
-            .drop("place")
+            batch.withColumn(_KEY, key_digest(key))
+            .withColumn("_place", F.row_number().over(first))
+            .filter("_place = 1")
+            .withColumn(_DAY, day)
+            .drop("_place")
         )
         known = (
             batch.sparkSession.read.schema(stored_schema)
             .parquet(path)
             .filter(F.col("stored_batch") < batch_id)
-            .join(dated.select("stored_day").distinct(), "stored_day", "left_semi")
+            .join(dated.select(_DAY).distinct(), _DAY, "left_semi")
         )
-        fresh = dated.join(known.select(*key, "stored_day"), [*key, "stored_day"], "left_anti")
-        writer = fresh.select(*batch.columns, "stored_day").write.mode("overwrite")
-        writer.partitionBy("stored_day").parquet(batch_folder(path, batch_id))
+        fresh = dated.join(known.select(_KEY, _DAY), [_KEY, _DAY], "left_anti")
+        writer = fresh.select(*batch.columns, _KEY, _DAY).write.mode("overwrite")
+        writer.partitionBy(_DAY).parquet(batch_folder(path, batch_id))
 
     query = (
         stream.writeStream.option("checkpointLocation", checkpoint)
