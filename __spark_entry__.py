@@ -18,6 +18,7 @@ from tillroll.operators.enrich import enrich_sales
 from tillroll.plans.report import summary_report
 from tillroll.plans.run import published_kpis, run
 from tillroll.schema import canonical, headed
+from tillroll.sinks.tables import append_new_orders as store_orders
 from tillroll.sinks.tables import register_external, save_managed, write_enriched, write_summary
 from tillroll.sources.orders import read_orders_csv, read_orders_parquet
 from tillroll.sources.star import (
@@ -79,7 +80,8 @@ _KPI_COLUMNS = {
     "distinct_buyers_by_month": ("year", "month", "customer_id"),
     "ship_lag": ("year", "month", "order_date", "ship_date"),
     "aov_percentiles": (),
-    "approximate_aov_percentiles": (),
+    "approximate_aov_percentiles": ("year", "month", "category"),
+    "buyers_by_period": ("year", "month", "category", "customer_id"),
     "top_products_per_category": ("qty", "asin", "category", "style"),
     "revenue_mom_growth": ("qty", "year", "month", "month_name"),
 }
@@ -174,6 +176,18 @@ def managed_table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canonical(spark.table("retail.enriched_sales"))
 
 
+def append_new_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the orders are stored in buckets, then all lines are delivered again."""
+    place = new_folder(spark, "bucketed").replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS retail LOCATION '{place}'")
+    spark.sql("DROP TABLE IF EXISTS retail.stored_orders")
+    lines = sales_lines(spark, sf_dir).filter("order_id IS NOT NULL")
+    even = F.substring("order_id", -1, 1).isin("0", "2", "4", "6", "8")
+    for delivered in (lines.filter(even), lines):
+        store_orders(delivered, "retail.stored_orders", buckets=8)
+    return spark.table("retail.stored_orders")
+
+
 def json_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     props = F.from_json("props", "k BIGINT").alias("data")
     return table(spark, sf_dir, "events").select("event_id", props).select("event_id", "data.*")
@@ -273,9 +287,8 @@ def queries() -> dict[str, Query]:
         "distinct_buyers_by_month": extras.distinct_buyers_by_month,
         "ship_lag": extras.ship_lag,
         "aov_percentiles": lambda df: extras.aov_percentiles(df, SHARES),
-        "approximate_aov_percentiles": lambda df: extras.sketch_error(
-            df, extras.approximate_aov_percentiles(df, SHARES)
-        ),
+        "approximate_aov_percentiles": lambda df: extras.approximate_aov_percentiles(df, SHARES),
+        "buyers_by_period": extras.buyers_by_period,
         "top_products_per_category": extras.top_products_per_category,
         "revenue_mom_growth": extras.revenue_mom_growth,
     }
@@ -298,6 +311,7 @@ def queries() -> dict[str, Query]:
         "summary_roundtrip": summary_roundtrip,
         "external_table_query": external_table_query,
         "managed_table_roundtrip": managed_table_roundtrip,
+        "append_new_orders": append_new_orders,
         "json_parse": json_parse,
         "stream_json_ingest": stream_json_ingest,
         "stream_ingest_parquet": stream_ingest_parquet,

@@ -243,6 +243,12 @@ SESSIONS = f"""WITH {PURCHASES}, marked AS (
             max(ts) + INTERVAL 4 HOUR > {CLOSED} AS is_open
         FROM numbered GROUP BY user_id, run"""
 
+PERCENTILES = f"""{ALL_STAGES}, shares AS (
+        SELECT unnest([0.1, 0.25, 0.5, 0.75, 0.9, 0.99])::DOUBLE AS share),
+    placed AS (
+        SELECT amount, row_number() OVER (ORDER BY amount) AS place,
+            count(*) OVER () AS orders FROM valid)"""
+
 ORACLES = {
     "ingest_profile": f"""{LINES}
         SELECT count(*) AS row_count, {len(FLAT_COLUMNS)} AS column_count FROM flat""",
@@ -305,15 +311,18 @@ ORACLES = {
         SELECT year, month, count(*) AS orders,
             {two_places("avg(date_diff('day', order_date, ship_date))")} AS avg_ship_days
         FROM valid GROUP BY year, month""",
-    "aov_percentiles": f"""{ALL_STAGES}, shares AS (
-            SELECT unnest([0.1, 0.25, 0.5, 0.75, 0.9, 0.99])::DOUBLE AS share),
-        placed AS (
-            SELECT amount, row_number() OVER (ORDER BY amount) AS place,
-                count(*) OVER () AS orders FROM valid)
+    "aov_percentiles": f"""{PERCENTILES}
         SELECT share, min(amount) AS amount FROM shares, placed
         WHERE place >= share * orders GROUP BY share""",
-    "approximate_aov_percentiles": """
-        SELECT unnest([0.1, 0.25, 0.5, 0.75, 0.9, 0.99])::DOUBLE AS share, true AS within_bound""",
+    # On the tables of the driver's scale the sketches hold every value, so they are exact there.
+    "approximate_aov_percentiles": f"""{PERCENTILES}
+        SELECT share, min(amount) AS amount, true AS within_bound FROM shares, placed
+        WHERE place >= share * orders GROUP BY share""",
+    "buyers_by_period": f"""{ALL_STAGES}
+        SELECT year, month, count(DISTINCT customer_id) AS buyers,
+            count(DISTINCT customer_id) AS estimate, 0.0::DOUBLE AS error_pct
+        FROM valid GROUP BY ROLLUP (year, month)""",
+    "append_new_orders": f"{LINES}, {FIRST_BY_ALL} SELECT * FROM firsts WHERE order_id IS NOT NULL",
     "top_products_per_category": f"""{ALL_STAGES}, products AS ({kpi_select('top_products')}),
         ranked AS (
             SELECT category, row_number() OVER (

@@ -11,12 +11,18 @@ from rows import ORDER_TYPES, orders, values
 
 import job
 from tillroll import staging
+from tillroll.functions.bitmaps import may_be_among
 from tillroll.operators import kpis
 from tillroll.operators.enrich import enrich_sales
 from tillroll.operators.quality import clean_sales, dedup_orders, missing_profile, settle
 from tillroll.plans.run import publish_run, published_kpis, run
 from tillroll.schema import INPUT_HEADERS, canonical, headed
-from tillroll.sinks.tables import register_external, save_managed, write_enriched
+from tillroll.sinks.tables import (
+    append_new_orders,
+    register_external,
+    save_managed,
+    write_enriched,
+)
 from tillroll.sinks.versions import current, publish
 from tillroll.sources.orders import land_csv, malformed_lines, read_orders_csv, read_orders_parquet
 from tillroll.sources.star import ORDER_COLUMNS, sales_lines, unique_orders
@@ -331,6 +337,30 @@ def test_a_job_that_ends_midway_leaves_the_former_version(spark, csv_dir, tmp_pa
     assert former != current(spark, out) and len(os.listdir(f"{out}/versions")) == 2
 
 
+def test_new_orders_join_stored_ones_in_buckets(spark):
+    spark.sql("DROP TABLE IF EXISTS arrivals")
+    first = orders(spark, {"amount": 5.0}, {"amount": 3.0}, {"order_id": "O2"})
+    again = orders(
+        spark, {"amount": 1.0}, {"order_id": "O3"}, {"order_id": "O3"}, {"order_id": None},
+        {"order_id": None, "amount": 2.0},
+    )
+    for delivered in (first, again, again, first.filter("false")):
+        append_new_orders(delivered, "arrivals", buckets=4)
+    kept = sorted(values(spark.table("arrivals"), "order_id", "amount"), key=str)
+    assert kept == sorted([("O1", 3.0), ("O2", 100.0), ("O3", 100.0), (None, 2.0)], key=str)
+    spark.sql("DROP TABLE arrivals")
+
+
+@pytest.mark.parametrize("most_bits", [1 << 15, 1 << 29])
+def test_a_bitmap_holds_nothing_back(spark, most_bits):
+    stored = spark.range(0, 200_000).withColumnRenamed("id", "k")
+    wanted = spark.range(0, 400_000, 10).withColumnRenamed("id", "k")
+    passed = may_be_among(stored, wanted, "k", most_bits)
+    assert passed.join(wanted, "k", "left_semi").count() == 20_000
+    if most_bits > 1 << 15:
+        assert passed.count() < 20_000 + 180_000 * 0.08
+
+
 def test_paths_with_quotes(spark, tmp_path):
     path = str(tmp_path / "it's here")
     write_enriched(enrich_sales(settle(orders(spark, {}))), path)

@@ -255,10 +255,10 @@ def test_a_month_with_two_spellings_is_one_month(spark):
     ]
 
 
-def test_sketch_error_tells_right_from_wrong(spark):
+def test_ranks_tell_right_from_wrong(spark):
     df = enrich(spark, *[{"amount": float(a)} for a in range(1, 1001)])
     asked = spark.createDataFrame([(0.5, 500.0), (0.9, 930.0), (0.1, 101.5)], "share double, amount double")
-    got = dict(values(extras.sketch_error(df, asked, accuracy=100), "share", "within_bound"))
+    got = dict(values(extras.held_to_ranks(df, asked, error=0.01), "share", "within_bound"))
     assert got == {0.5: True, 0.9: False, 0.1: True}
 
 
@@ -303,3 +303,55 @@ def test_all_ten_but_products_come_from_the_rollup_in_any_partitioning(spark, sf
     assert "aov" in kpis.ROLLUP_KPIS
     for parts in (1, 5):
         assert kpis.aov(kpis.sales_rollup(df.repartition(parts))).collect() == alone
+
+
+def test_merged_sketches_are_as_good_as_direct_ones(spark):
+    """More values than the sketches hold, in groups of very different sizes."""
+    rows = spark.range(0, 300_000, 1, 8).select(
+        (F.pmod(F.xxhash64("id"), F.lit(100_003)) / 7).alias("amount"),
+        F.lit(True).alias("is_valid_sale"),
+        F.floor(F.sqrt(F.col("id") % 10)).cast("int").alias("year"),
+        (F.col("id") % 7).cast("int").alias("month"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 5).cast("string")).alias("category"),
+        F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(40_000)).alias("customer_id"),
+    )
+    shares = [0.0, 0.01, 0.5, 0.9, 0.999, 1.0]
+    sketches = extras.sketch_rollup(rows)
+    for made in (sketches, extras.sketch_rollup(rows, ())):
+        found = extras.held_to_ranks(rows, extras.sketched_quantiles(made, shares))
+        got = found.collect()
+        assert [r.share for r in got] == shares and all(r.within_bound for r in got)
+    off = extras.held_to_ranks(rows, spark.createDataFrame([(0.5, 1.0)], "share double, amount double"))
+    assert [r.within_bound for r in off.collect()] == [False]
+    by_year = extras.sketched_quantiles(sketches, [0.5], ["year"])
+    exact = dict(values(rows.groupBy("year").agg(F.median("amount").alias("m")), "year", "m"))
+    assert all(abs(r.amount - exact[r.year]) < 100_003 / 7 * 0.002 for r in by_year.collect())
+    buyers = dict(values(rows.groupBy("year").agg(F.count_distinct("customer_id").alias("n")), "year", "n"))
+    for r in extras.sketched_buyers(sketches, ["year"]).collect():
+        assert abs(r.estimate - buyers[r.year]) <= 4 * extras.BUYER_ERROR * buyers[r.year]
+
+
+def test_sketches_of_nothing(spark, enriched):
+    none = enriched.filter("false").withColumn("customer_id", F.lit(1))
+    assert extras.sketch_rollup(none).count() == 0
+    assert extras.buyers_by_period(none).collect() == []
+
+
+def test_buyers_by_period_rolls_up(spark):
+    rows = [(2024, 1, "a", 7), (2024, 2, "a", 7), (2024, 2, "b", 8), (2025, 1, "a", None), (None, None, "a", 9)]
+    df = spark.createDataFrame(rows, "year int, month int, category string, customer_id bigint")
+    df = df.withColumn("is_valid_sale", F.lit(True)).withColumn("amount", F.lit(1.0))
+    got = values(extras.buyers_by_period(df), "year", "month", "buyers", "estimate", "error_pct")
+    assert sorted(got, key=str) == sorted(
+        [
+            (2024, 1, 1, 1, 0.0),
+            (2024, 2, 2, 2, 0.0),
+            (2025, 1, 0, 0, None),
+            (2024, None, 2, 2, 0.0),
+            (2025, None, 0, 0, None),
+            (None, None, 1, 1, 0.0),
+            (None, None, 1, 1, 0.0),
+            (None, None, 3, 3, 0.0),
+        ],
+        key=str,
+    )

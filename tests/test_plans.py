@@ -5,17 +5,19 @@ import re
 import pytest
 
 from __spark_entry__ import LLM_QUERIES, queries
+from tillroll.operators.quality import unknown_orders
+from tillroll.sinks.tables import save_bucketed
 from tillroll.sources.star import flatten, sales_lines, table_stream, unique_orders
 from tillroll.streaming import events
 from tillroll.streaming.orders import enrich_stream
 from tillroll.streaming.session import stream_session
 
 TINY = "/root/testdata/sf0.001"
-WRITERS = {"external_table_query", *LLM_QUERIES} | {
+WRITERS = {"external_table_query", "append_new_orders", *LLM_QUERIES} | {
     n for n in queries() if n.endswith("_roundtrip") or n.startswith("stream_")
 }
 # One row is broadcast, or one per quantile that was asked for.
-BROADCASTS = {"aov_percentiles", "approximate_aov_percentiles", "status_distribution"}
+BROADCASTS = {"aov_percentiles", "status_distribution"}
 
 
 def plan(df):
@@ -144,3 +146,32 @@ def test_plans_of_streams(spark, capfd):
     assert "StateStore" not in orders and "CartesianProduct" not in orders
     kept = explained(events.drop_repeats(purchases, ["event_id"]), capfd)
     assert kept.count("StreamingDeduplicateWithinWatermark") == 2
+
+
+def above(text, mark):
+    """The operators over the one whose line has `mark`, up to the top."""
+    lines = text.splitlines()
+    at = next(i for i, line in enumerate(lines) if mark in line)
+    found, depth = [], len(re.match(r"[ :]*", lines[at])[0])
+    for line in reversed(lines[:at]):
+        mine = len(re.match(r"[ :]*", line)[0])
+        if mine < depth:
+            found.append(line.strip(" :+-"))
+            depth = mine
+    return found
+
+
+def test_the_stored_orders_are_not_moved(spark, no_broadcast):
+    lines = sales_lines(spark, TINY, ["order_id", "amount"]).filter("order_id IS NOT NULL")
+    spark.sql("DROP TABLE IF EXISTS bucketed_orders")
+    save_bucketed(lines, "bucketed_orders", buckets=8)
+    text = plan(unknown_orders(lines, spark.table("bucketed_orders")))
+    scan = "FileScan parquet spark_catalog.default.bucketed_orders"
+    path = above(text, scan)
+    join = next(i for i, op in enumerate(path) if op.startswith("SortMergeJoin"))
+    assert not any("Exchange" in op for op in path[:join])
+    assert any("bitmapBucketNumber" in op for op in path[:join])
+    assert "Bucketed: true" in next(line for line in text.splitlines() if scan in line)
+    # The new side alone is moved, to the stored one's buckets.
+    assert re.search(r"Exchange hashpartitioning\(order_id#\d+, 8\)", text)
+    spark.sql("DROP TABLE bucketed_orders")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from tillroll.functions.money import percent, two_places
 from tillroll.operators.kpis import MEASURES, TOP_K, kpi_groups, valid_sales, with_facts
 from tillroll.staging import new_folder
 
+
 def period_columns(df: DataFrame, date: str = "order_date") -> DataFrame:
     """Year, month and short month name, for input that has only a date."""
     return df.withColumns(
@@ -45,42 +47,116 @@ def ship_lag(df: DataFrame) -> DataFrame:
     )
 
 
-def approximate_aov_percentiles(
-    df: DataFrame, shares: Sequence[float], accuracy: int = 10_000
+# Sketches are kept by these, and merged for anything coarser.
+SKETCH_KEYS = ("year", "month", "category")
+# Size of the quantile sketches, and the part of all orders by which their ranks may be off.
+VALUE_K = 16_384
+RANK_ERROR = 2.296 / VALUE_K**0.9723
+# Two to this power are the registers of the buyer sketches, and their relative standard error.
+BUYER_BITS = 16
+BUYER_ERROR = 1.04 / 2 ** (BUYER_BITS / 2)
+
+
+def sketch_rollup(df: DataFrame, keys: Sequence[str] = SKETCH_KEYS) -> DataFrame:
+    """Valid sales by `keys`: their number, a sketch of order values and, if known, of buyers.
+
+    Quantiles and distinct buyers cannot be added up, their sketches can. The
+    table is meant to be stored; any coarser group comes from its few rows.
+    """
+    sums = [
+        F.count("*").alias("orders"),
+        F.kll_sketch_agg_double("amount", F.lit(VALUE_K)).alias("value_sketch"),
+    ]
+    if "customer_id" in df.columns:
+        sums.append(F.hll_sketch_agg("customer_id", BUYER_BITS).alias("buyer_sketch"))
+    return valid_sales(df).groupBy(*keys).agg(*sums)
+
+
+def sketched_quantiles(
+    sketches: DataFrame, shares: Sequence[float], by: Sequence[str] = ()
 ) -> DataFrame:
-    """Order-value quantiles from a mergeable sketch, ranks off by 1/`accuracy` at most."""
-    sketch = F.percentile_approx("amount", list(shares), accuracy)
-    return (
-        valid_sales(df)
-        .agg(F.array(*[F.lit(s) for s in shares]).alias("s"), sketch.alias("a"))
-        .select(F.inline(F.arrays_zip(F.col("s").alias("share"), F.col("a").alias("amount"))))
-    )
+    """(by..., share, amount): order-value quantiles of `by` from a stored `sketch_rollup`."""
+    asked = F.array(*[F.lit(float(s)) for s in dict.fromkeys(shares)])
+    merged = sketches.groupBy(*by).agg(F.kll_merge_agg_double("value_sketch").alias("_merged"))
+    amounts = F.kll_sketch_get_quantile_double("_merged", asked)
+    pairs = F.arrays_zip(asked.alias("share"), amounts.alias("amount"))
+    return merged.select(*by, F.inline(pairs)).toDF(*by, "share", "amount")
+
+
+def sketched_buyers(sketches: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """(by..., estimate): distinct buyers of `by` from a stored `sketch_rollup`."""
+    union = F.hll_sketch_estimate(F.hll_union_agg("buyer_sketch"))
+    return sketches.groupBy(*by).agg(union.alias("estimate"))
 
 
-def sketch_error(df: DataFrame, quantiles: DataFrame, accuracy: int = 10_000) -> DataFrame:
-    """(share, within_bound): whether each of `quantiles` (share, amount) keeps its bound.
+def held_to_ranks(df: DataFrame, quantiles: DataFrame, error: float = RANK_ERROR) -> DataFrame:
+    """`quantiles` (share, amount) with `within_bound`: whether exact ranks bear each out.
 
-    Exact counts: an amount has the ranks from the orders below it, plus one, to
-    those up to it. One of them must be within 1/`accuracy` of all orders from
-    the share's own.
+    An amount has the ranks from the orders below it, plus one, to those up to
+    it. One of them must be within `error` of all orders from the share's own.
+    One scan counts below each of the few amounts.
     """
-    # One row per quantile asked for.
-    asked = F.broadcast(quantiles.withColumnRenamed("amount", "quantile"))
-    ranks = (
-        valid_sales(df)
-        .groupBy("amount")
-        .agg(F.count("*").alias("n"))
-        .join(asked)
-        .groupBy("share")
-        .agg(
-            F.sum(F.when(F.col("amount") < F.col("quantile"), F.col("n")).otherwise(0)).alias("below"),
-            F.sum(F.when(F.col("amount") <= F.col("quantile"), F.col("n")).otherwise(0)).alias("upto"),
-            F.sum("n").alias("orders"),
+    asked = quantiles.collect()
+    amount = F.col("amount")
+    counts = [F.count("*").alias("orders")]
+    for i, q in enumerate(asked):
+        counts += [
+            F.count_if(amount < q.amount).alias(f"below_{i}"),
+            F.count_if(amount <= q.amount).alias(f"upto_{i}"),
+        ]
+    slack = F.col("orders") * error + 1
+    rows = [
+        F.struct(
+            F.lit(float(q.share)).alias("share"),
+            F.lit(q.amount).cast("double").alias("amount"),
+            (
+                (F.col(f"below_{i}") + 1 <= F.col("orders") * q.share + slack)
+                & (F.col(f"upto_{i}") >= F.col("orders") * q.share - slack)
+            ).alias("within_bound"),
         )
+        for i, q in enumerate(asked)
+    ]
+    return valid_sales(df).agg(*counts).select(F.inline(F.array(*rows)))
+
+
+def approximate_aov_percentiles(df: DataFrame, shares: Sequence[float]) -> DataFrame:
+    """Order-value quantiles merged from stored sketches by month and category, with the check."""
+    path = new_folder(df.sparkSession, "sketches")
+    sketch_rollup(df).write.parquet(path)
+    sketches = df.sparkSession.read.parquet(path)
+    return held_to_ranks(df, sketched_quantiles(sketches, shares))
+
+
+def buyers_by_period(df: DataFrame) -> DataFrame:
+    """Distinct buyers by month, by year (month null) and in all, exactly and from sketches.
+
+    The sketches of months and categories are stored once and merged for each
+    level; `error_pct` is how far the estimate is off.
+    """
+    path = new_folder(df.sparkSession, "sketches")
+    sketch_rollup(df).write.parquet(path)
+    sketches = df.sparkSession.read.parquet(path)
+    # By the columns that are rolled up, as `grouping_id` numbers them.
+    levels = [(("year", "month"), 0), (("year",), 1), ((), 3)]
+    estimates = [
+        sketched_buyers(sketches, by).withColumn("_of", F.lit(level)) for by, level in levels
+    ]
+    named = reduce(partial(DataFrame.unionByName, allowMissingColumns=True), estimates)
+    named = named.withColumnsRenamed({"year": "_year", "month": "_month"})
+    exact = (
+        valid_sales(df)
+        .rollup("year", "month")
+        .agg(F.count_distinct("customer_id").alias("buyers"), F.grouping_id().alias("_level"))
+    )
+    same = (
+        (F.col("_level") == F.col("_of"))
+        & F.col("year").eqNullSafe(F.col("_year"))
+        & F.col("month").eqNullSafe(F.col("_month"))
+    )
+    off = F.abs(F.col("estimate") - F.col("buyers"))
+    return exact.join(named, same).select(
+        "year", "month", "buyers", "estimate", percent(off, F.col("buyers")).alias("error_pct")
     )
-    own, slack = F.col("share") * F.col("orders"), F.col("orders") / accuracy + 1
-    within = (F.col("below") + 1 <= own + slack) & (F.col("upto") >= own - slack)
-    return ranks.select("share", within.alias("within_bound"))
 
 
 def aov_percentiles(df: DataFrame, shares: Sequence[float]) -> DataFrame:

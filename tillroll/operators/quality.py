@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillroll.functions.bitmaps import may_be_among
 from tillroll.functions.money import normalise_numeric, percent
 from tillroll.schema import CANCELLED, FILL_DEFAULTS, NUMERIC_TEXT
 
@@ -84,6 +85,23 @@ def dedup_report(df: DataFrame, key: str = "order_id") -> DataFrame:
     ).withColumn("duplicates_removed", F.col("row_count") - F.col("order_rows"))
 
 
+def unknown_orders(new: DataFrame, stored: DataFrame, key: str = "order_id") -> DataFrame:
+    """The rows of `new` whose `key` no row of `stored` has.
+
+    Only the new rows are moved, to where the stored table has its buckets. Of
+    the stored keys those alone are compared that a bitmap of the new ones lets
+    through. Rows without a key are one order: unknown if none is stored.
+    """
+    named = new.filter(F.col(key).isNotNull())
+    known = may_be_among(stored.select(key), named.select(key), key)
+    without = stored.filter(F.col(key).isNull()).select(F.lit(True).alias("_none")).limit(1)
+    missing = F.col(key).isNull()
+    keyless = new.filter(missing).join(
+        F.broadcast(without), missing == F.col("_none"), "left_anti"
+    )
+    return named.join(known, key, "left_anti").unionByName(keyless)
+
+
 def fill_defaults(df: DataFrame) -> DataFrame:
     """Defaults for nulls (and NaN amounts) in the columns that `df` has."""
     return df.fillna({c: v for c, v in FILL_DEFAULTS.items() if c in df.columns})

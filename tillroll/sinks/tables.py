@@ -10,7 +10,9 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tillroll.operators.quality import dedup_orders, unknown_orders
 from tillroll.schema import headed
+from tillroll.staging import new_folder
 
 PARTITIONS = ("Year", "Month")
 
@@ -68,3 +70,34 @@ def register_external(spark: SparkSession, table: str, path: str) -> None:
     spark.catalog.createTable(table, path, source="parquet")
     if any(c.isPartition for c in spark.catalog.listColumns(table)):
         spark.catalog.recoverPartitions(table)
+
+
+# A bucket of a table of stored orders should fit a task; their number is fixed with the table.
+BUCKETS = 200
+
+
+def save_bucketed(
+    df: DataFrame, table: str, key: str = "order_id", buckets: int = BUCKETS, mode: str = "overwrite"
+) -> None:
+    """Orders as a table in buckets by `key`, sorted within, so that joins by it leave it in place."""
+    rows = df.repartition(buckets, f"`{key}`")
+    writer = rows.write.mode(mode).bucketBy(buckets, key).sortBy(key)
+    writer.format("parquet").saveAsTable(table)
+
+
+def append_new_orders(
+    df: DataFrame, table: str, key: str = "order_id", buckets: int = BUCKETS
+) -> None:
+    """Appends the orders of `df` that the bucketed `table` does not have, one row for each id.
+
+    The new orders are stored once, as they are read for the bitmap and again;
+    `table` is neither moved nor written anew.
+    """
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(table):
+        save_bucketed(dedup_orders(df, key), table, key, buckets)
+        return
+    path = new_folder(spark, "new-orders")
+    dedup_orders(df, key).write.parquet(path)
+    fresh = unknown_orders(spark.read.schema(df.schema).parquet(path), spark.table(table), key)
+    save_bucketed(fresh, table, key, buckets, mode="append")
