@@ -25,7 +25,7 @@ def library():
 
 def mixed(n, seed=3):
     draw = random.Random(seed)
-    letters = "abcÉéß×'.,!<|> \t\n\x1c\xa012٣İΣσς́漢"
+    letters = "abcBZEeÉéß×'.,!<<|> \t\n\x1c\xa012٣İΣσς́漢"
     return ["".join(draw.choices(letters, k=draw.randint(1, 40))) for _ in range(n)]
 
 
@@ -54,6 +54,13 @@ def test_digests(spark, library):
         assert r.decoded_sha256 == hashlib.sha256(decoded.encode()).hexdigest()
 
 
+def test_words_that_could_hold_a_special_token(library):
+    draw, table = random.Random(11), bpe.WordTable(vocabulary())
+    for _ in range(30_000):
+        text = "".join(draw.choices("BZEaz <<|>.", k=draw.randint(1, 14)))
+        assert np.frombuffer(table.encode(text.encode()), "<u4").tolist() == ids_of(library, text)
+
+
 def test_a_full_table_is_emptied(library):
     small = bpe.WordTable(vocabulary(), most_words=5)
     for text in mixed(300, 4):

@@ -80,7 +80,7 @@ class WordTable(dict):
     def __missing__(self, word: bytes) -> bytes:
         if len(self) > self.most_words:
             self.clear()
-        letters = word.rstrip(_PUNCTUATION)
+        letters = word.rstrip(_PUNCTUATION).lower()
         if not letters.isascii():
             letters = letters.decode(errors="replace").lower().encode()
         if letters.isalpha() or _LETTERS.match(letters):
