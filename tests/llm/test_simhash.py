@@ -96,5 +96,23 @@ def test_one_of_each_keeps_columns(spark):
     docs = table(spark, rows, {"_first": "f", "component_id": "c"})
     got = simhash.one_of_each(docs)
     assert got.columns == docs.columns
-    assert sorted(str(r.doc_id) for r in got.collect()) == ["2", "9", "9", "None"]
+    assert sorted(str(r.doc_id) for r in got.collect()) == ["2", "9", "None"]
     assert simhash.one_of_each(table(spark, [])).count() == 0
+
+
+def test_one_row_of_each_component_stays(spark):
+    rows = [
+        (None, "x"), (None, "x"), (None, "x"), (0, "x"), (1, "x"), (1, "quite another text here"),
+        (2, "x"), (None, "alone and without id"), (None, "alone and without id"), (3, None), (4, ""),
+        (5, "two rows of one text and id"), (5, "two rows of one text and id"), (6, "kept"),
+    ]
+    docs = table(spark, rows, {"fp": "f", "_id": "i", "row": "r"}).repartition(3)
+    got = simhash.one_of_each(docs)
+    assert got.columns == docs.columns
+    wanted = [
+        (0, "x"), (1, "quite another text here"), (None, "alone and without id"), (3, None),
+        (5, "two rows of one text and id"), (6, "kept"),
+    ]
+    kept = sorted([(r.doc_id, r.text) for r in got.collect()], key=str)
+    assert kept == sorted(wanted, key=str)
+    assert simhash.one_of_each(docs.filter("false")).count() == 0

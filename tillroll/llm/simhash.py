@@ -25,8 +25,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tillroll.llm.common import components, raw_texts, slices, stored
+from tillroll.llm.common import components, raw_texts, set_aside, slices, small, stored
 
 BITS = 64
 SEED = 42
@@ -250,6 +251,15 @@ def fingerprint_links(
     return links.distinct()
 
 
+def _rooted(marked: DataFrame, radius: int, split_above: int) -> DataFrame:
+    """(fp, first, root): the smallest id of each fingerprint, and its component."""
+    nodes = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
+    tree = components(fingerprint_links(nodes, radius, split_above))
+    return nodes.join(tree, nodes.fp == tree.node, "left").select(
+        "fp", "first", F.coalesce("root", "fp").alias("root")
+    )
+
+
 def near_duplicates(
     docs: DataFrame, length: int = SHINGLE, radius: int = RADIUS, split_above: int = SPLIT_ABOVE
 ) -> DataFrame:
@@ -258,21 +268,47 @@ def near_duplicates(
     Rows of one fingerprint are one node, so copies are never paired.
     """
     marked = stored(fingerprints(docs, length), "fingerprints")
-    nodes = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
-    tree = components(fingerprint_links(nodes, radius, split_above))
-    rooted = nodes.join(tree, nodes.fp == tree.node, "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root")
-    )
+    rooted = _rooted(marked, radius, split_above)
     lowest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     named = rooted.join(lowest, "root").select("fp", "component_id")
     return marked.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
+def _with_fingerprint(length: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            text = batch.column("text").cast(pa.string())
+            marks = [fingerprint(t, length) for t in raw_texts(text)]
+            yield batch.append_column("fp", pa.array(np.array(marks, np.uint64).view(np.int64)))
+
+    return run
+
+
 def one_of_each(
     docs: DataFrame, length: int = SHINGLE, radius: int = RADIUS, split_above: int = SPLIT_ABOVE
 ) -> DataFrame:
-    """The rows of `docs` whose id is the smallest of their component."""
-    found = near_duplicates(docs, length, radius, split_above)
-    firsts = found.filter("doc_id <=> component_id").select(F.col("doc_id").alias("_first"))
-    keys = firsts.distinct()
-    return docs.join(keys, docs["doc_id"].eqNullSafe(keys["_first"]), "left_semi")
+    """One row of `docs` per component: the one with the smallest id, rows without id last.
+
+    Where ids are missing or repeated the fingerprint tells rows apart: of those
+    with the smallest id the one with the smallest fingerprint stays, and of
+    rows equal in both the one with the smallest text.
+    """
+    marked = stored(fingerprints(docs, length), "fingerprints")
+    order = F.struct(F.col("first").isNull(), "first", "fp")
+    best = _rooted(marked, radius, split_above).groupBy("root").agg(F.min(order).alias("b"))
+    chosen = stored(best.select(F.col("b.first").alias("_id"), F.col("b.fp").alias("_fp")), "chosen")
+    several = marked.groupBy("doc_id").agg(F.count("*").alias("n"))
+    several = several.filter("n > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("_id"))
+    several = stored(several, "unclear-ids")
+
+    named = set_aside(docs, "doc_id", "text")
+    same_id = F.col("doc_id").eqNullSafe(F.col("_id"))
+    clear = chosen.join(several, chosen["_id"].eqNullSafe(several["_id"]), "left_anti")
+    plain = named.join(clear, same_id, "left_semi")
+    whole = F.struct(*[F.col(c) for c in named.columns])
+    unclear = named.join(small(several), same_id, "left_semi")
+    schema = T.StructType([*named.schema.fields, T.StructField("fp", T.LongType())])
+    rest = unclear.mapInArrow(_with_fingerprint(length), schema)
+    one = rest.groupBy("doc_id", "fp").agg(F.min_by(whole, F.struct("text")).alias("row"))
+    kept = one.join(chosen, same_id & (F.col("fp") == F.col("_fp")), "left_semi").select("row.*")
+    return plain.unionByName(kept).toDF(*docs.columns)
