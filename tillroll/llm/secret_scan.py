@@ -1,11 +1,13 @@
 """Secrets in text: fixed forms, and strings whose characters look random.
 
 Fixed forms are found by pattern, leftmost and without overlap for each kind.
-Further candidates are runs of key characters with a digit. A window slides over
-each; the entropy of the characters in it follows from the counts of the one
-that leaves and the one that enters. A candidate in which some window is over
-the limit of its character class gives a span from its first such window to the
-end of its last, unless it is on the allow-list or within a span of a fixed form.
+Further candidates are all runs of sixteen key characters or more. A window
+slides over each, with a count for each character: one goes down and one up at
+every step, and the entropy follows from these two. A run in which some window
+is over the limit of the run's character class is a span from end to end, unless
+it is within a span of a fixed form. The allow-list takes out the windows that
+it covers: those of digits or of the alphabet alone, and all windows of a run
+that is a UUID or made of natural words and short numbers.
 
 Everything is a column expression. Entropy is kept as whole numbers, so that it
 is the same in any engine. Positions count code points, ends are exclusive.
@@ -59,22 +61,25 @@ KINDS = (
 )
 
 ENTROPY = "entropy"
-WINDOW = 20
-# A run of key characters with a digit in it.
-CANDIDATE = r"[A-Za-z+/_=-]*[0-9][A-Za-z0-9+/_=-]*"
+WINDOW = 16
+# A whole run of key characters.
+CANDIDATE = r"[A-Za-z0-9+/_-]{16,}={0,2}"
 # Character class -> what all characters are, and the bits per character that are too many.
 CLASSES = (
-    ("hex", r"^[0-9a-fA-F]+$", 3.0),
-    ("lower", r"^[0-9a-z_-]+$", 3.6),
-    ("base64", r"^[A-Za-z0-9+/_=-]+$", 3.8),
+    ("hex", r"^[0-9a-fA-F]+=*$", 2.8),
+    ("word", r"^([A-Z]?[a-z]+|[A-Z]+)=*$", 3.7),
+    ("letters", r"^[A-Za-z]+=*$", 3.5),
+    ("lower", r"^[0-9a-z_-]+=*$", 3.4),
+    ("base64", r"^[A-Za-z0-9+/_=-]+$", 3.5),
 )
-# What looks random and is none: numbers, UUIDs, dates and the like, runs through the alphabet.
+# Runs that look random and are not: UUIDs, and words and short numbers with separators.
 ALLOWED = (
-    r"^[0-9+/_=-]+$",
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
-    r"(?i)abcdefghijkl|0123456789ab",
-    r"^/?(([A-Za-z]+[0-9]{0,4}|[0-9]{1,4})[/_=-])+[A-Za-z]*[0-9]{0,4}$",
+    r"^/?((([A-Z]?[a-z]+|[A-Z]+)[0-9]{0,4}|[0-9]{1,4})[/_=-])+([A-Z]?[a-z]*|[A-Z]+)[0-9]{0,4}$",
 )
+# Windows that are not: numbers, and pieces of the alphabet in either case.
+ALLOWED_WINDOW = r"^[0-9+/_=-]+$"
+ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789"
 SCALE = 1 << 16
 
 
@@ -152,10 +157,10 @@ def base_spans(text: Column) -> Column:
     return in_order(F.concat(*found))
 
 
-def random_stretch(hit: Column, window: int = WINDOW) -> Column:
-    """(sum, first, last): starts of the first and last window of `hit` over its limit.
+def is_random(hit: Column, window: int = WINDOW) -> Column:
+    """Whether some window of `hit` is over its limit and not on the allow-list.
 
-    `hit` has at least `window` characters. The fields are null if no window is.
+    `hit` has at least `window` characters.
     """
     most = F.lit(-1)
     for _, form, bits in reversed(CLASSES):
@@ -163,41 +168,59 @@ def random_stretch(hit: Column, window: int = WINDOW) -> Column:
     weights = F.array(*[F.lit(weight(c)) for c in range(window + 1)])
     gains = F.array(*[F.lit(weight(c + 1) - weight(c)) for c in range(window)])
 
-    def stretch(x: Column) -> Column:
-        letters, bound = x["letters"], x["most"]
+    def over(total: Column, x: Column, at: Column) -> Column:
+        text = F.substring(x["hit"], at + 1, window)
+        covered = text.rlike(ALLOWED_WINDOW) | F.contains(F.lit(ALPHABET), F.lower(text))
+        return (total <= x["most"]) & ~covered
 
-        def count(letter: Column, start: Column, size: int) -> Column:
-            return F.size(F.filter(F.slice(letters, start, size), lambda c: c == letter))
+    def search(x: Column) -> Column:
+        letters, kinds = x["letters"], x["kinds"]
 
-        def entry(total: Column, first: Column, last: Column, at: Column) -> Column:
-            over = total <= bound
+        def slide(state: Column, at: Column) -> Column:
+            """From the window that starts at `at` to the next: one count less, one more."""
+            leaves = F.array_position(kinds, F.element_at(letters, at)).cast("int")
+            enters = F.array_position(kinds, F.element_at(letters, at + window)).cast("int")
+            moved = F.transform(
+                state["counts"],
+                lambda c, i: c - (i + 1 == leaves).cast("int") + (i + 1 == enters).cast("int"),
+            )
+
+            def next_state(counts: Column) -> Column:
+                lost = F.element_at(gains, F.element_at(state["counts"], leaves))
+                won = F.element_at(gains, F.element_at(counts, enters))
+                total = (state["sum"] - lost + won).cast("int")
+                found = state["found"] | over(total, x, at)
+                return F.struct(
+                    counts.alias("counts"), total.alias("sum"), found.alias("found")
+                )
+
+            return _let(moved, next_state)
+
+        def opening(counts: Column) -> Column:
+            total = F.aggregate(
+                counts, F.lit(0), lambda t, c: (t + F.element_at(weights, c + 1)).cast("int")
+            )
             return F.struct(
+                counts.alias("counts"),
                 total.alias("sum"),
-                F.coalesce(first, F.when(over, at)).alias("first"),
-                F.when(over, at).otherwise(last).alias("last"),
+                over(total, x, F.lit(0)).alias("found"),
             )
 
-        def slide(state: Column, at: Column) -> Column:
-            """From the window that starts at `at` to the next; the letters between stay."""
-            leaves, enters = F.element_at(letters, at), F.element_at(letters, at + window)
-            lost = F.element_at(gains, count(leaves, at + 1, window - 1) + 1)
-            won = F.element_at(gains, count(enters, at + 1, window - 1) + 1)
-            total = (state["sum"] - lost + won).cast("int")
-            return _let(total, lambda t: entry(t, state["first"], state["last"], at))
-
-        opening = F.slice(letters, 1, window)
-        total = F.aggregate(
-            F.array_distinct(opening),
-            F.lit(0),
-            lambda t, c: (t + F.element_at(weights, count(c, F.lit(1), window) + 1)).cast("int"),
-        )
-        nothing = F.lit(None).cast("int")
-        start = _let(total, lambda t: entry(t, nothing, nothing, F.lit(0)))
+        first = F.slice(letters, 1, window)
+        counts = F.transform(kinds, lambda k: F.size(F.filter(first, lambda c: c == k)))
         more = F.size(letters) > window
         steps = F.when(more, F.sequence(F.lit(1), F.size(letters) - window))
-        return F.aggregate(F.coalesce(steps, F.array().cast("array<int>")), start, slide)
+        none = F.array().cast("array<int>")
+        return F.aggregate(
+            F.coalesce(steps, none), _let(counts, opening), slide, lambda s: s["found"]
+        )
 
-    return _let(F.struct(F.split(hit, "").alias("letters"), most.alias("most")), stretch)
+    def spread(letters: Column) -> Column:
+        kinds = F.array_distinct(letters)
+        fields = {"letters": letters, "kinds": kinds, "hit": hit, "most": most}
+        return _let(F.struct(*[c.alias(n) for n, c in fields.items()]), search)
+
+    return _let(F.split(hit, ""), spread)
 
 
 def _allowed(hit: Column) -> Column:
@@ -211,23 +234,17 @@ def entropy_spans(text: Column, base: Column, window: int = WINDOW) -> Column:
     """Spans of random-looking strings that no span of `base` holds, by start."""
 
     def keep(hit: Column) -> Column:
-        return (F.length(hit) >= window) & ~_allowed(hit)
+        return ~_allowed(hit) & is_random(hit, window)
 
     def span(m: Column) -> Column:
-        return _let(
-            random_stretch(m["hit"], window),
-            lambda w: F.when(
-                w["first"].isNotNull(),
-                _span(ENTROPY, m["start"] + w["first"], m["start"] + w["last"] + window),
-            ),
-        )
+        return _span(ENTROPY, m["start"], m["start"] + F.length(m["hit"]))
 
     def known(e: Column) -> Column:
         return F.exists(base, lambda b: (b["start"] <= e["start"]) & (b["end"] >= e["end"]))
 
     spans = F.transform(_placed(text, CANDIDATE, 0, keep), span)
-    found = F.filter(spans, lambda e: e.isNotNull() & ~known(e))
-    return F.when(text.rlike("[0-9]"), found).otherwise(F.array().cast(_SPANS))
+    found = F.filter(spans, lambda e: ~known(e))
+    return F.when(text.rlike(CANDIDATE), found).otherwise(F.array().cast(_SPANS))
 
 
 def in_order(spans: Column) -> Column:

@@ -67,19 +67,22 @@ base AS ({base}),
 candidates AS (
     SELECT row, start, hit, CASE {limits} ELSE -1 END AS most
     FROM ({_matches(secret_scan.CANDIDATE, 0)})
-    WHERE length(hit) >= {window} AND NOT ({allowed})),
+    WHERE NOT ({allowed})),
 windows AS (
-    SELECT row, start, most, pos, string_split(substr(hit, pos + 1, {window}), '') AS letters
+    SELECT row, start, most, length(hit) AS size, substr(hit, pos + 1, {window}) AS part
     FROM (SELECT *, unnest(range(0, length(hit) - {window} + 1)) AS pos FROM candidates)),
 heavy AS (
-    SELECT row, start, most, pos,
-        list_sum(list_transform(list_distinct(letters),
-            lambda c: {weights}[len(list_filter(letters, lambda x: x = c)) + 1])) AS total
+    SELECT row, start, most, size, part,
+        list_sum(list_transform(list_distinct(string_split(part, '')),
+            lambda c: {weights}[len(list_filter(string_split(part, ''), lambda x: x = c)) + 1])
+        ) AS total
     FROM windows),
 stretches AS (
-    SELECT row, 'entropy' AS kind, {len(secret_scan.KINDS)} AS rank,
-        start + min(pos) AS start, start + max(pos) + {window} AS stop
-    FROM heavy WHERE total <= most GROUP BY row, heavy.start),
+    SELECT DISTINCT row, 'entropy' AS kind, {len(secret_scan.KINDS)} AS rank,
+        start, start + size AS stop
+    FROM heavy WHERE total <= most
+        AND NOT regexp_matches(part, {_quoted(secret_scan.ALLOWED_WINDOW)})
+        AND NOT contains({_quoted(secret_scan.ALPHABET)}, lower(part))),
 added AS (
     SELECT * FROM stretches s WHERE NOT EXISTS (
         SELECT 1 FROM base b WHERE b.row = s.row AND b.start <= s.start AND b.stop >= s.stop)),
