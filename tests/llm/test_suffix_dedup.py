@@ -4,6 +4,8 @@ import numpy as np
 import pytest
 from plain import removed, sf_rows, table
 
+from pyspark.sql import functions as F
+
 from tillroll.llm import suffix_dedup as S
 from tillroll.llm.suffix_sort import suffix_array
 
@@ -78,6 +80,25 @@ def test_odd_rows(spark):
     assert S.remove_repeats(table(spark, [])).count() == 0
 
 
+def test_rows_without_id_are_spread_by_their_texts(spark):
+    """100,000 rows without id, each with a passage that a document with an id has."""
+    passage = "".join(chr(97 + i * 7 % 26) + str(i) for i in range(30))
+    rows = spark.range(100_000).select(
+        F.lit(None).cast("bigint").alias("doc_id"),
+        F.concat(F.col("id").cast("string"), F.lit(" "), F.lit(passage)).alias("text"),
+    )
+    first = spark.createDataFrame([(7, passage)], "doc_id bigint, text string")
+    both = rows.unionByName(first)
+    doc = F.coalesce("doc_id", F.lit(S.LAST_ID))
+    spread = both.select(S.bucket_of(doc, F.xxhash64("text"), 101).alias("b")).groupBy("b").count()
+    assert spread.count() == 101 and spread.agg(F.max("count")).first()[0] < 1300
+    got = S.remove_repeats(both, bucket_bytes=100_000)
+    sizes = got.groupBy("doc_id").agg(F.count("*").alias("n"), F.sum(F.length("kept")).alias("kept"))
+    prefixes = sum(len(str(i)) + 1 for i in range(100_000))
+    # "N " before the passage stays, and at "N" alone no removed string starts.
+    assert {r.doc_id: (r.n, r.kept) for r in sizes.collect()} == {7: (1, len(passage)), None: (100_000, prefixes)}
+
+
 def test_long_texts_go_in_parts(monkeypatch):
     draw = random.Random(1)
     raw = "".join(draw.choices("abcd", k=9000)).encode()

@@ -180,7 +180,7 @@ def _runs(doc: np.ndarray, tag: np.ndarray, start: np.ndarray, end: np.ndarray):
     return doc[first], tag[first], start[first], reach[last]
 
 
-_SPAN = (np.int64, np.int32, np.int64, np.int64)
+_SPAN = (np.int64, np.int64, np.int64, np.int64)
 
 
 def _joined(parts: list[tuple]) -> list[np.ndarray]:
@@ -272,7 +272,7 @@ def _take_segments(length: int, shards: int, repeats):
         """Some bits of the hash are enough, as different segments are compared by their bytes."""
         some_bits = ((value // np.uint64(shards)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
         flags = (count + _LEADS * lead).astype(np.uint8)
-        numbers = (doc.astype(np.int64), tag.astype(np.int32), place.astype(np.int64), flags)
+        numbers = (doc.astype(np.int64), tag.astype(np.int64), place.astype(np.int64), flags)
         return _PENDING, some_bits.tobytes(), *[x.tobytes() for x in numbers], text
 
     return run
@@ -336,12 +336,12 @@ def _resolve(length: int, buckets: int, in_memory: int):
 
     def spread(parts):
         spans = _runs(*_joined(parts))
-        place = bucket_of(spans[0], buckets).astype(np.int32)
+        place = bucket_of(spans[0], spans[1], buckets).astype(np.int32)
         rows = [(s, *[x[g] for x in spans]) for s, g in by_value(place)]
         return blobs(_SPANS, rows)
 
     def settle(held: list[tuple[bytes, ...]]):
-        kinds = (np.int64, np.int32, np.int64, np.uint8)
+        kinds = (np.int64, np.int64, np.int64, np.uint8)
         value = np.frombuffer(b"".join([row[0] for row in held]), dtype=np.uint32)
         doc, tag, place, flags = (
             np.frombuffer(b"".join([zlib.decompress(row[i]) for row in held]), dtype=kind)
@@ -423,11 +423,15 @@ def _resolve(length: int, buckets: int, in_memory: int):
 _SPANS = ["bucket", "doc", "tag", "start", "end"]
 
 
-def bucket_of(doc, buckets: int):
-    """The bucket of an id, for arrays and for columns alike."""
+def bucket_of(doc, tag, buckets: int):
+    """The bucket of a row by id and tag, for arrays and for columns alike.
+
+    Rows without id, or of one id, are spread by their texts.
+    """
     if isinstance(doc, Column):
-        return F.pmod(doc.bitwiseXOR(F.shiftright(doc, 20)), F.lit(buckets))
-    return (doc ^ (doc >> 20)) % buckets
+        both = doc.bitwiseXOR(F.shiftright(doc, 20)).bitwiseXOR(tag)
+        return F.pmod(both, F.lit(buckets))
+    return (doc ^ (doc >> 20) ^ tag) % buckets
 
 
 def _remove(docs: pa.Table, found: pa.Table) -> pa.Table:
@@ -468,7 +472,7 @@ def remove_repeats(
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     # Rows of one id are told apart by a hash of their text.
-    rows = docs.select("doc_id", text.alias("text")).withColumn("tag", F.hash("text"))
+    rows = docs.select("doc_id", text.alias("text")).withColumn("tag", F.xxhash64("text"))
     total = rows.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
 
     expected = total // ((length - GRAM + 2) // 2)
@@ -487,7 +491,7 @@ def remove_repeats(
     )
     doc = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST_ID))
     placed = rows.withColumn("doc", doc)
-    placed = placed.withColumn("bucket", bucket_of(F.col("doc"), buckets).cast("int"))
+    placed = placed.withColumn("bucket", bucket_of(F.col("doc"), F.col("tag"), buckets).cast("int"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     return (
         placed.groupBy("bucket")
