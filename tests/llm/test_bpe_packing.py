@@ -33,27 +33,57 @@ def ids_of(library, text):
     return library.encode(text or "", add_special_tokens=False).ids
 
 
-def test_ids_equal_the_library(spark, sf_dir, library):
+@pytest.mark.parametrize("buckets, size", [(3, 1), (256, 20_000), (256, bpe.CHUNK)])
+def test_ids_equal_the_library(spark, sf_dir, library, buckets, size):
     texts = ODD + mixed(1500) + [t for _, t in sf_rows(spark, sf_dir)]
     docs = table(spark, list(enumerate(texts)), {"ids": "x", "n_tokens": "y"})
-    got = bpe.decode(bpe.encode(docs, vocabulary()), vocabulary()).collect()
+    got = bpe.decode(bpe.encode(docs.repartition(4), vocabulary(), buckets, size), vocabulary()).collect()
     assert len(got) == len(texts)
     for r in got:
         ids = ids_of(library, texts[r.doc_id])
-        assert np.frombuffer(r.ids, "<u4").tolist() == ids and r.n_tokens == len(ids)
+        assert r.ids == ids and r.n_tokens == len(ids)
         assert r.decoded == library.decode(ids, skip_special_tokens=False)
 
 
-def test_digests(spark, library):
-    got = bpe.roundtrip_digests(table(spark, [(1, "Hello, world"), (1, None)]), vocabulary())
-    for r, text in zip(sorted(got.collect(), key=lambda r: -r.n_tokens), ["Hello, world", ""], strict=True):
-        ids = ids_of(library, text)
+def test_registered_query(spark, sf_dir, library):
+    from tillroll.llm.queries import op5_bpe
+
+    texts = dict(sf_rows(spark, sf_dir))
+    got = op5_bpe(spark, sf_dir).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        ids = ids_of(library, texts[r.doc_id])
         spelt = " ".join(map(str, ids))
         decoded = library.decode(ids, skip_special_tokens=False)
+        assert r.n_tokens == len(ids)
         assert r.ids_sha256 == hashlib.sha256(spelt.encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(decoded.encode()).hexdigest()
 
 
+def test_a_word_is_encoded_once_for_all_chunks(spark):
+    rows = [(i, f"alpha beta gamma{i % 10}") for i in range(1000)]
+    chunks = bpe.distinct_words(table(spark, rows).repartition(4), buckets=16, size=200)
+    words = chunks.filter("bucket >= 0")
+    assert words.select("chunk").distinct().count() > 50
+    # All chunks have a word in the same bucket.
+    held = {}
+    for r in words.collect():
+        for word in zlib.decompress(r.blob).split(b"\n"):
+            held.setdefault(word, set()).add(r.bucket)
+    assert len(held) == 12 and all(len(b) == 1 for b in held.values())
+
+
+def test_odd_tables(spark):
+    rows = [(1, None), (1, ""), (None, " \n"), (None, "the end")]
+    got = bpe.decode(bpe.encode(table(spark, rows), vocabulary()), vocabulary()).collect()
+    assert sorted((str(r.doc_id), r.n_tokens, r.decoded) for r in got) == [
+        ("1", 0, ""), ("1", 0, ""), ("None", 0, ""), ("None", 2, "the</w> end</w>"),
+    ]
+    assert bpe.encode(table(spark, []), vocabulary()).count() == 0
+    none = spark.createDataFrame([(1, 0, None)], "doc_id int, n_tokens bigint, ids array<int>")
+    assert bpe.decode(none, vocabulary()).first().decoded == ""
+
+
 def test_words_that_could_hold_a_special_token(library):
     draw, table = random.Random(11), bpe.WordTable(vocabulary())
     for _ in range(30_000):

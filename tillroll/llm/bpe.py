@@ -1,20 +1,23 @@
-"""Byte-pair encoding by distinct words, and decoding by an id-to-piece table.
+"""Byte-pair encoding by a table of distinct words, and decoding by an id-to-piece table.
 
-A text is cut at ASCII white space, where the tokenizer always cuts. Each
-distinct word of a batch that is not yet in the worker's word table is encoded
-once by the tokenizers library; a text's ids are the ids of its words by
-position. Words of letters with punctuation behind them are encoded as the two
-pieces into which the tokenizer splits them, which makes far fewer words
-distinct. All other words (digits, special tokens, other scripts) go through the
-library as they are.
+A text is cut at ASCII white space, where the tokenizer always cuts.
+
+1. Texts are taken in chunks of some megabytes. A chunk is stored as its distinct
+   words, in buckets by their hash, and one number per word of its texts: the
+   place of that word in the chunk's list.
+2. A bucket brings together what all chunks have of its words. Each distinct
+   word is encoded there once, and every chunk gets the ids of its own back.
+3. A chunk's ids meet its numbers, and each word's ids go to the word's position.
 
-The table is local to a worker: a table for all documents would have to be
-joined to every word of every text, which moves several times the input. It is
-emptied when it is full, so its size does not depend on the data.
+What is moved are a chunk's distinct words and numbers, packed, not words by
+position. Words of letters with punctuation behind them are encoded as the two
+pieces into which the tokenizer splits them. All other words (digits, special
+tokens, other scripts) go through the library as they are.
 
 Null and empty texts have no ids and decode to the empty text. Texts of any
-length are taken in blocks. Each row gives one row, whatever its id. Columns
-besides doc_id and text are ignored.
+length are taken in blocks; a very long one is a chunk of its own. Each row gives
+one row, whatever its id. Columns besides doc_id and text are ignored. An empty
+table gives an empty one.
 
 The vocabulary file must be at the same path on every worker, as a package that
 is installed there or a file shipped with the job.
@@ -25,17 +28,25 @@ from __future__ import annotations
 import os
 import re
 import string
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from tillroll.llm.common import blocks, raw_texts, slices
+from tillroll.llm.common import blocks, raw_texts, rows, slices, stored
 
 TABLE_WORDS = 200_000
+# Bytes of text in a chunk, and buckets of the table of distinct words.
+CHUNK = 1 << 24
+BUCKETS = 256
 _PUNCTUATION = string.punctuation.encode()
 # Small Latin letters beyond ASCII too; C3 B7, left out, is the sign for division.
 _LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+\Z")
@@ -80,6 +91,11 @@ class WordTable(dict):
     def __missing__(self, word: bytes) -> bytes:
         if len(self) > self.most_words:
             self.clear()
+        ids = self[word] = self.spell(word)
+        return ids
+
+    def spell(self, word: bytes) -> bytes:
+        """The ids of a word that is not in the table."""
         letters = word.rstrip(_PUNCTUATION).lower()
         if not letters.isascii():
             letters = letters.decode(errors="replace").lower().encode()
@@ -93,7 +109,6 @@ class WordTable(dict):
             text = word.decode(errors="replace")
             code = self.tokenizer.encode(text, add_special_tokens=False)
             ids = b"".join(map(self.numbers.__getitem__, code.ids))
-        self[word] = ids
         return ids
 
     def _merged(self, piece: bytes) -> bytes:
@@ -105,11 +120,6 @@ class WordTable(dict):
         spell = self.__getitem__
         return b"".join([b"".join(map(spell, split_words(block))) for block in blocks(raw)])
 
-    def decode(self, ids: bytes) -> bytes:
-        """The pieces of the ids with a space between, as a vocabulary without decoder has it."""
-        numbers = np.frombuffer(ids, dtype="<u4").tolist()
-        return b" ".join(map(self.pieces.__getitem__, numbers))
-
 
 @lru_cache(maxsize=2)
 def word_table(path: str, most_words: int = TABLE_WORDS) -> WordTable:
@@ -122,73 +132,191 @@ def _texts(docs: DataFrame) -> tuple[DataFrame, str]:
     return docs.select("doc_id", F.col("text").cast("string").alias("text")), f"doc_id {kind}"
 
 
-def encode(docs: DataFrame, path: str) -> DataFrame:
-    """(doc_id, n_tokens, ids): ids as little-endian unsigned 32-bit numbers."""
-    texts, doc_id = _texts(docs)
+class _Numbers(dict):
+    """Words by the order in which they come first."""
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        return number
+
+
+class _Chunk:
+    """Texts as distinct words and a number per word."""
+
+    def __init__(self):
+        self.words, self.codes, self.ids, self.sizes, self.bytes = _Numbers(), [], [], [], 0
+
+    def add(self, doc_id, raw: bytes) -> None:
+        number, size = self.words.__getitem__, 0
+        for block in blocks(raw):
+            words = split_words(block)
+            self.codes.append(np.fromiter(map(number, words), dtype=np.int32, count=len(words)))
+            size += len(words)
+        self.ids.append(doc_id)
+        self.sizes.append(size)
+        self.bytes += len(raw)
+
+    def records(self, chunk: int, buckets: int) -> Iterator[tuple]:
+        """Its texts' numbers (bucket -1), and its words by bucket in the order of the numbers."""
+        words = list(self.words)
+        of = np.array([xxhash.xxh3_64_intdigest(w) % buckets for w in words], dtype=np.int64)
+        order = np.argsort(of, kind="stable")
+        place = np.empty(len(words), dtype=np.int32)
+        place[order] = np.arange(len(words), dtype=np.int32)
+        codes = np.concatenate(self.codes) if self.codes else np.empty(0, np.int32)
+        yield chunk, -1, self.ids, self.sizes, zlib.compress(place[codes].tobytes(), 1)
+        for bucket, mine in groupby(order.tolist(), key=of.__getitem__):
+            blob = b"\n".join([words[i] for i in mine])
+            yield chunk, int(bucket), None, None, zlib.compress(blob, 1)
+
+
+def _schemas(docs: DataFrame) -> tuple[pa.Schema, str]:
+    kind = docs.schema["doc_id"].dataType
+    ids = pa.list_(to_arrow_type(kind))
+    fields = [pa.int64(), pa.int32(), ids, pa.list_(pa.int64()), pa.binary()]
+    names = ["chunk", "bucket", "doc_ids", "sizes", "blob"]
+    ddl = f"chunk bigint, bucket int, doc_ids array<{kind.simpleString()}>, "
+    return pa.schema(list(zip(names, fields, strict=True))), ddl + "sizes array<bigint>, blob binary"
+
+
+def _batch(records: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = zip(*records, strict=True)
+    arrays = [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+
+def distinct_words(docs: DataFrame, buckets: int = BUCKETS, size: int = CHUNK) -> DataFrame:
+    """(chunk, bucket, doc_ids, sizes, blob): chunks as numbers, and their distinct words."""
+    schema, ddl = _schemas(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            ids = [word_table(path).encode(t) for t in raw_texts(batch.column("text"))]
-            counts = pa.array([len(i) // 4 for i in ids], pa.int64())
+        held, n, part = _Chunk(), 0, 0
+        for batch in slices(batches, 256):
+            texts = raw_texts(batch.column("text"))
+            part = batch.column("part")[0].as_py() if batch.num_rows else part
+            for doc_id, raw in zip(batch.column("doc_id").to_pylist(), texts, strict=True):
+                held.add(doc_id, raw)
+                if held.bytes >= size:
+                    yield _batch(list(held.records(part << 32 | n, buckets)), schema)
+                    held, n = _Chunk(), n + 1
+        if held.ids:
+            yield _batch(list(held.records(part << 32 | n, buckets)), schema)
+
+    texts = docs.select(
+        "doc_id", F.col("text").cast("string").alias("text"), F.spark_partition_id().alias("part")
+    )
+    return texts.mapInArrow(run, ddl)
+
+
+def _spelt_words(path: str):
+    """Ids of each chunk's words of a bucket. Rows come sorted by bucket; one bucket is held."""
+    schema = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("blob", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, bucket, known = word_table(path), None, {}
+        for batch in slices(batches, 64):
+            out = []
+            for chunk, b, blob in rows(batch, "chunk", "bucket", "blob"):
+                if b != bucket:
+                    bucket, known = b, {}
+                words = zlib.decompress(blob).split(b"\n")
+                for word in words:
+                    if word not in known:
+                        known[word] = table.spell(word)
+                spelt = [known[w] for w in words]
+                counts = np.array([len(s) // 4 for s in spelt], dtype="<u4").tobytes()
+                out.append((chunk, b, zlib.compress(counts + b"".join(spelt), 1)))
+            if out:
+                yield _batch(out, schema)
+
+    return run
+
+
+def _positioned(kind: pa.DataType):
+    """Ids by position. Rows come sorted by chunk, a chunk's numbers before its words' ids."""
+    schema = pa.schema(
+        [("doc_id", kind), ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32()))]
+    )
+
+    def texts(members: list[tuple]) -> Iterator[pa.RecordBatch]:
+        (_, _, doc_ids, sizes, numbers), *buckets = members
+        codes = np.frombuffer(zlib.decompress(numbers), dtype=np.int32)
+        counts, ids = [np.empty(0, "<u4")], [np.empty(0, "<u4")]
+        for *_, blob in buckets:
+            both = np.frombuffer(zlib.decompress(blob), dtype="<u4")
+            # As many counts as words, and behind them as many ids as these say.
+            n = int(np.searchsorted(np.arange(1, len(both) + 1) + np.cumsum(both), len(both))) + 1
+            counts.append(both[:n])
+            ids.append(both[n:])
+        counts, ids = np.concatenate(counts).astype(np.int64), np.concatenate(ids)
+        first = np.cumsum(counts) - counts
+        ends = np.cumsum(np.asarray(sizes, dtype=np.int64))
+        for lo in range(0, len(doc_ids), 1024):
+            some = slice(lo, lo + 1024)
+            begin = ends[lo - 1] if lo else 0
+            mine = codes[begin : ends[min(lo + 1024, len(ends)) - 1]]
+            each = counts[mine]
+            upto = np.cumsum(each)
+            spots = np.repeat(first[mine] - (upto - each), each) + np.arange(each.sum())
+            edges = np.concatenate([[0], upto])[np.concatenate([[begin], ends[some]]) - begin]
+            flat = pa.array(ids[spots].astype(np.int32))
+            lists = pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), flat)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), counts, pa.array(ids, pa.binary())],
-                names=["doc_id", "n_tokens", "ids"],
+                [pa.array(doc_ids[some], kind), pa.array(np.diff(edges)), lists], schema=schema
             )
 
-    return texts.mapInArrow(run, f"{doc_id}, n_tokens bigint, ids binary")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ("chunk", "bucket", "doc_ids", "sizes", "blob")
+        flat = (r for b in batches for part in slices(iter([b]), 64) for r in rows(part, *names))
+        for _, members in groupby(flat, key=lambda r: r[0]):
+            yield from texts(list(members))
+
+    return run
+
+
+def encode(
+    docs: DataFrame, path: str, buckets: int = BUCKETS, size: int = CHUNK
+) -> DataFrame:
+    """(doc_id, n_tokens, ids) of each row."""
+    chunks = stored(distinct_words(docs, buckets, size), "words")
+    spelt = (
+        chunks.filter("bucket >= 0")
+        .select("chunk", "bucket", "blob")
+        .repartition("bucket")
+        .sortWithinPartitions("bucket")
+        .mapInArrow(_spelt_words(path), "chunk bigint, bucket int, blob binary")
+    )
+    numbers = chunks.filter("bucket < 0")
+    both = numbers.unionByName(spelt, allowMissingColumns=True)
+    kind = docs.schema["doc_id"].dataType
+    return (
+        both.repartition("chunk")
+        .sortWithinPartitions("chunk", "bucket")
+        .mapInArrow(
+            _positioned(to_arrow_type(kind)),
+            f"doc_id {kind.simpleString()}, n_tokens bigint, ids array<int>",
+        )
+    )
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """`encoded` as `encode` returns it, with the text of its `ids` as `decoded`.
 
-    Null ids decode to the empty text.
+    The pieces of the vocabulary, whose number is fixed, are at every worker, and
+    each id is joined to its piece there. Null ids decode to the empty text.
     """
     kind = encoded.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = pa.array(word_table(path).pieces, pa.binary()).cast(pa.string())
         for batch in slices(batches):
-            table = word_table(path)
-            texts = [table.decode(i or b"") for i in batch.column("ids").to_pylist()]
-            decoded = pa.array(texts, pa.binary()).cast(pa.string())
-            yield batch.append_column("decoded", decoded)
+            ids = batch.column("ids")
+            met = pieces.take(ids.flatten())
+            sizes = ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            edges = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(edges), met), " ")
+            yield batch.append_column("decoded", texts)
 
     return encoded.select("doc_id", "n_tokens", "ids").mapInArrow(
-        run, f"doc_id {kind}, n_tokens bigint, ids binary, decoded string"
-    )
-
-
-def roundtrip_digests(docs: DataFrame, path: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256): `encode`, `decode` and hashes in one pass."""
-    import hashlib
-
-    texts, doc_id = _texts(docs)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            table = word_table(path)
-            decimals = [b"%d" % i for i in range(len(table.pieces))]
-            out = []
-            for text in raw_texts(batch.column("text")):
-                ids = table.encode(text)
-                numbers = np.frombuffer(ids, dtype="<u4").tolist()
-                spelt = b" ".join(map(decimals.__getitem__, numbers))
-                out.append(
-                    (
-                        len(numbers),
-                        hashlib.sha256(spelt).hexdigest(),
-                        hashlib.sha256(table.decode(ids)).hexdigest(),
-                    )
-                )
-            columns = list(zip(*out, strict=True)) or [[], [], []]
-            kinds = [pa.int64(), pa.string(), pa.string()]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    *[pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                ],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
-
-    return texts.mapInArrow(
-        run, f"{doc_id}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+        run, f"doc_id {kind}, n_tokens bigint, ids array<int>, decoded string"
     )

@@ -49,7 +49,14 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.roundtrip_digests(documents(spark, sf_dir), vocabulary())
+    both = bpe.decode(bpe.encode(documents(spark, sf_dir), vocabulary()), vocabulary())
+    spelt = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return both.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2(spelt, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
