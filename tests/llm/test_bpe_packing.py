@@ -62,8 +62,10 @@ def test_registered_query(spark, sf_dir, library):
 
 def test_a_word_is_encoded_once_for_all_chunks(spark):
     rows = [(i, f"alpha beta gamma{i % 10}") for i in range(1000)]
-    chunks = bpe.distinct_words(table(spark, rows).repartition(4), buckets=16, size=200)
-    words = chunks.filter("bucket >= 0")
+    docs = table(spark, rows).repartition(4)
+    words = bpe.chunks(docs, False, buckets=16, size=200)
+    assert words.filter("bucket < 0").count() == 0
+    assert bpe.chunks(docs, True, 16, 200).agg({"n_words": "sum"}).first()[0] > 200
     assert words.select("chunk").distinct().count() > 50
     # All chunks have a word in the same bucket.
     held = {}

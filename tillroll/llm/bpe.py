@@ -2,9 +2,10 @@
 
 A text is cut at ASCII white space, where the tokenizer always cuts.
 
-1. Texts are taken in chunks of some megabytes. A chunk is stored as its distinct
-   words, in buckets by their hash, and one number per word of its texts: the
-   place of that word in the chunk's list.
+1. Texts are taken in chunks of some megabytes. A chunk is its distinct words, in
+   buckets by their hash, and one number per word of its texts: the place of that
+   word in the chunk's list. Words and numbers are made by a pass each, which cut
+   the same chunks, as both read the same partitions in the same order.
 2. A bucket brings together what all chunks have of its words. Each distinct
    word is encoded there once, and every chunk gets the ids of its own back.
 3. A chunk's ids meet its numbers, and each word's ids go to the word's position.
@@ -41,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tillroll.llm.common import blocks, raw_texts, rows, slices, stored
+from tillroll.llm.common import blocks, raw_texts, rows, slices
 
 TABLE_WORDS = 200_000
 # Bytes of text in a chunk, and buckets of the table of distinct words.
@@ -156,27 +157,31 @@ class _Chunk:
         self.sizes.append(size)
         self.bytes += len(raw)
 
-    def records(self, chunk: int, buckets: int) -> Iterator[tuple]:
-        """Its texts' numbers (bucket -1), and its words by bucket in the order of the numbers."""
+    def records(self, chunk: int, buckets: int, numbers: bool) -> Iterator[tuple]:
+        """Its texts' numbers (bucket -1), or its words by bucket in the order of the numbers."""
         words = list(self.words)
         of = np.array([xxhash.xxh3_64_intdigest(w) % buckets for w in words], dtype=np.int64)
         order = np.argsort(of, kind="stable")
-        place = np.empty(len(words), dtype=np.int32)
-        place[order] = np.arange(len(words), dtype=np.int32)
-        codes = np.concatenate(self.codes) if self.codes else np.empty(0, np.int32)
-        yield chunk, -1, self.ids, self.sizes, zlib.compress(place[codes].tobytes(), 1)
+        if numbers:
+            place = np.empty(len(words), dtype=np.int32)
+            place[order] = np.arange(len(words), dtype=np.int32)
+            codes = np.concatenate(self.codes) if self.codes else np.empty(0, np.int32)
+            blob = zlib.compress(place[codes].tobytes(), 1)
+            yield chunk, -1, self.ids, self.sizes, len(words), blob
+            return
         for bucket, mine in groupby(order.tolist(), key=of.__getitem__):
             blob = b"\n".join([words[i] for i in mine])
-            yield chunk, int(bucket), None, None, zlib.compress(blob, 1)
+            yield chunk, int(bucket), None, None, None, zlib.compress(blob, 1)
 
 
 def _schemas(docs: DataFrame) -> tuple[pa.Schema, str]:
     kind = docs.schema["doc_id"].dataType
     ids = pa.list_(to_arrow_type(kind))
-    fields = [pa.int64(), pa.int32(), ids, pa.list_(pa.int64()), pa.binary()]
-    names = ["chunk", "bucket", "doc_ids", "sizes", "blob"]
+    fields = [pa.int64(), pa.int32(), ids, pa.list_(pa.int64()), pa.int64(), pa.binary()]
+    names = ["chunk", "bucket", "doc_ids", "sizes", "n_words", "blob"]
     ddl = f"chunk bigint, bucket int, doc_ids array<{kind.simpleString()}>, "
-    return pa.schema(list(zip(names, fields, strict=True))), ddl + "sizes array<bigint>, blob binary"
+    ddl += "sizes array<bigint>, n_words bigint, blob binary"
+    return pa.schema(list(zip(names, fields, strict=True))), ddl
 
 
 def _batch(records: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -185,8 +190,10 @@ def _batch(records: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
-def distinct_words(docs: DataFrame, buckets: int = BUCKETS, size: int = CHUNK) -> DataFrame:
-    """(chunk, bucket, doc_ids, sizes, blob): chunks as numbers, and their distinct words."""
+def chunks(
+    docs: DataFrame, numbers: bool, buckets: int = BUCKETS, size: int = CHUNK
+) -> DataFrame:
+    """(chunk, bucket, doc_ids, sizes, n_words, blob): chunks as numbers, or their distinct words."""
     schema, ddl = _schemas(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,10 +204,10 @@ def distinct_words(docs: DataFrame, buckets: int = BUCKETS, size: int = CHUNK) -
             for doc_id, raw in zip(batch.column("doc_id").to_pylist(), texts, strict=True):
                 held.add(doc_id, raw)
                 if held.bytes >= size:
-                    yield _batch(list(held.records(part << 32 | n, buckets)), schema)
+                    yield _batch(list(held.records(part << 32 | n, buckets, numbers)), schema)
                     held, n = _Chunk(), n + 1
         if held.ids:
-            yield _batch(list(held.records(part << 32 | n, buckets)), schema)
+            yield _batch(list(held.records(part << 32 | n, buckets, numbers)), schema)
 
     texts = docs.select(
         "doc_id", F.col("text").cast("string").alias("text"), F.spark_partition_id().alias("part")
@@ -239,7 +246,7 @@ def _positioned(kind: pa.DataType):
     )
 
     def texts(members: list[tuple]) -> Iterator[pa.RecordBatch]:
-        (_, _, doc_ids, sizes, numbers), *buckets = members
+        (_, _, doc_ids, sizes, n_words, numbers), *buckets = members
         codes = np.frombuffer(zlib.decompress(numbers), dtype=np.int32)
         counts, ids = [np.empty(0, "<u4")], [np.empty(0, "<u4")]
         for *_, blob in buckets:
@@ -249,6 +256,8 @@ def _positioned(kind: pa.DataType):
             counts.append(both[:n])
             ids.append(both[n:])
         counts, ids = np.concatenate(counts).astype(np.int64), np.concatenate(ids)
+        if len(counts) != n_words:
+            raise ValueError("the two passes over the documents have read different chunks")
         first = np.cumsum(counts) - counts
         ends = np.cumsum(np.asarray(sizes, dtype=np.int64))
         for lo in range(0, len(doc_ids), 1024):
@@ -266,7 +275,7 @@ def _positioned(kind: pa.DataType):
             )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ("chunk", "bucket", "doc_ids", "sizes", "blob")
+        names = ("chunk", "bucket", "doc_ids", "sizes", "n_words", "blob")
         flat = (r for b in batches for part in slices(iter([b]), 64) for r in rows(part, *names))
         for _, members in groupby(flat, key=lambda r: r[0]):
             yield from texts(list(members))
@@ -278,16 +287,14 @@ def encode(
     docs: DataFrame, path: str, buckets: int = BUCKETS, size: int = CHUNK
 ) -> DataFrame:
     """(doc_id, n_tokens, ids) of each row."""
-    chunks = stored(distinct_words(docs, buckets, size), "words")
     spelt = (
-        chunks.filter("bucket >= 0")
+        chunks(docs, False, buckets, size)
         .select("chunk", "bucket", "blob")
         .repartition("bucket")
         .sortWithinPartitions("bucket")
         .mapInArrow(_spelt_words(path), "chunk bigint, bucket int, blob binary")
     )
-    numbers = chunks.filter("bucket < 0")
-    both = numbers.unionByName(spelt, allowMissingColumns=True)
+    both = chunks(docs, True, buckets, size).unionByName(spelt, allowMissingColumns=True)
     kind = docs.schema["doc_id"].dataType
     return (
         both.repartition("chunk")
