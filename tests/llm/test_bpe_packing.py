@@ -75,6 +75,12 @@ def test_a_word_is_encoded_once_for_all_chunks(spark):
     assert len(held) == 12 and all(len(b) == 1 for b in held.values())
 
 
+def test_texts_that_are_shuffled_are_stored_first(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    assert bpe._reads_alike(docs) and bpe._reads_alike(docs.filter("doc_id > 3"))
+    assert not bpe._reads_alike(docs.repartition(3)) and not bpe._reads_alike(docs.distinct())
+
+
 def test_odd_tables(spark):
     rows = [(1, None), (1, ""), (None, " \n"), (None, "the end")]
     got = bpe.decode(bpe.encode(table(spark, rows), vocabulary()), vocabulary()).collect()

@@ -5,7 +5,8 @@ A text is cut at ASCII white space, where the tokenizer always cuts.
 1. Texts are taken in chunks of some megabytes. A chunk is its distinct words, in
    buckets by their hash, and one number per word of its texts: the place of that
    word in the chunk's list. Words and numbers are made by a pass each, which cut
-   the same chunks, as both read the same partitions in the same order.
+   the same chunks, as both read the same partitions in the same order; texts that
+   do not come straight from files are stored first, so that they do.
 2. A bucket brings together what all chunks have of its words. Each distinct
    word is encoded there once, and every chunk gets the ids of its own back.
 3. A chunk's ids meet its numbers, and each word's ids go to the word's position.
@@ -42,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tillroll.llm.common import blocks, raw_texts, rows, slices
+from tillroll.llm.common import blocks, raw_texts, rows, slices, stored
 
 TABLE_WORDS = 200_000
 # Bytes of text in a chunk, and buckets of the table of distinct words.
@@ -283,10 +284,23 @@ def _positioned(kind: pa.DataType):
     return run
 
 
+# Operators that give the same rows in the same order each time.
+_STEADY = {"AdaptiveSparkPlan", "ColumnarToRow", "FileScan", "Filter", "LocalTableScan", "Project"}
+
+
+def _reads_alike(docs: DataFrame) -> bool:
+    """Whether `docs` is read straight from files or the plan, with nothing shuffled before."""
+    plan = docs._jdf.queryExecution().executedPlan().toString()
+    found = (re.match(r"[^A-Za-z]*([A-Za-z]+)", line) for line in plan.splitlines())
+    return {m[1] for m in found if m} <= _STEADY
+
+
 def encode(
     docs: DataFrame, path: str, buckets: int = BUCKETS, size: int = CHUNK
 ) -> DataFrame:
     """(doc_id, n_tokens, ids) of each row."""
+    texts = docs.select("doc_id", "text")
+    docs = texts if _reads_alike(texts) else stored(texts, "texts")
     spelt = (
         chunks(docs, False, buckets, size)
         .select("chunk", "bucket", "blob")
