@@ -199,16 +199,22 @@ def chunks(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n, part = _Chunk(), 0, 0
+
+        def sent() -> Iterator[pa.RecordBatch]:
+            # A chunk of empty texts has no words.
+            if found := list(held.records(part << 32 | n, buckets, numbers)):
+                yield _batch(found, schema)
+
         for batch in slices(batches, 256):
             texts = raw_texts(batch.column("text"))
             part = batch.column("part")[0].as_py() if batch.num_rows else part
             for doc_id, raw in zip(batch.column("doc_id").to_pylist(), texts, strict=True):
                 held.add(doc_id, raw)
                 if held.bytes >= size:
-                    yield _batch(list(held.records(part << 32 | n, buckets, numbers)), schema)
+                    yield from sent()
                     held, n = _Chunk(), n + 1
         if held.ids:
-            yield _batch(list(held.records(part << 32 | n, buckets, numbers)), schema)
+            yield from sent()
 
     texts = docs.select(
         "doc_id", F.col("text").cast("string").alias("text"), F.spark_partition_id().alias("part")
