@@ -1,8 +1,9 @@
 """Toxicity from the nearest labelled examples by exact TF-IDF cosine.
 
-Terms are hashed five-byte runs of the lower-cased text, those that toxic rows
-have far more often than others, counted over all labelled rows. A text's vector has, for each term,
-the root of its count times its inverse document frequency, at unit length.
+Terms are hashed five-byte runs of the lower-cased text, all those that toxic rows
+have more often than others, by a least ratio and a least certainty, counted over
+all labelled rows. A text's vector has, for each term, the root of its count times
+its inverse document frequency, at unit length.
 
 Examples lie in an inverted index whose postings are cut into blocks of
 examples, with the largest weight of each term in each block. A search adds up
@@ -36,7 +37,6 @@ from tillroll.llm.common import blocks, raw_texts, slices, small, stored
 
 MOST_TOXIC = 4096
 MOST_OTHERS = 8192
-MOST_TERMS = 2048
 NEIGHBOURS = 15
 THRESHOLD = 0.3
 
@@ -46,8 +46,12 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BLOCK = 64
 _OPENING = 6
 _LEAST_DOCS = 4
-_LEAST_CHI = 24.0
+# A term's share of toxic rows against that of all rows, and how sure that must be.
+_LEAST_LIFT = 1.5
+_LEAST_CHI = 6.0
 _KNOWN_QUERIES = 20_000
+# Examples whose own votes one task finds.
+_FIT_ROWS = 512
 
 # ASCII letters and digits and all bytes of longer characters stay, in lower case.
 _PLAIN = bytes(
@@ -87,7 +91,7 @@ class Model:
     without_terms: float = 0.0
 
     def __post_init__(self):
-        self.place = np.full(1 << _BITS, -1, dtype=np.int16)
+        self.place = np.full(1 << _BITS, -1, dtype=np.int32)
         self.place[self.terms] = np.arange(len(self.terms))
 
     def __getstate__(self):
@@ -242,11 +246,11 @@ def _document_frequencies(held):
     return run
 
 
-def choose_terms(
-    docs: DataFrame, each: DataFrame, most_terms: int = MOST_TERMS
-) -> np.ndarray:
+def choose_terms(docs: DataFrame, each: DataFrame) -> np.ndarray:
     """Buckets that toxic rows have far more often than others, the strongest first.
 
+    All of them: their number is bounded by that of the buckets alone.
+
     `each` (doc_id, toxic) is stored and has every labelled document.
     """
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
@@ -264,15 +268,16 @@ def choose_terms(
     chi = surplus * surplus / (expected * (1 - share))
     best = (
         counts.filter("bucket >= 0")
-        .filter((F.col("toxic") >= _LEAST_DOCS) & (surplus > 0) & (chi >= _LEAST_CHI))
+        .filter((F.col("toxic") >= _LEAST_DOCS) & (chi >= _LEAST_CHI))
+        # Where most rows are toxic no share can be that much larger.
+        .filter(F.col("toxic") >= expected * min(_LEAST_LIFT, 0.5 + 0.5 * (n0 + n1) / n1))
         .orderBy(F.desc(chi), "bucket")
-        .limit(most_terms)
     )
     return np.array([r.bucket for r in best.select("bucket").collect()], dtype=np.int64)
 
 
-def _index(model: Model, examples: list, sizes: dict, k: int) -> Model:
-    """Fills the index with (id, toxic, terms, counts) and fits the votes."""
+def _index(model: Model, examples: list) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Fills the index with (id, toxic, terms, counts); terms and weights of each example in it."""
     with_terms = [e for e in examples if len(e[2])]
     # Examples that share their heaviest term lie together, which tightens the bounds.
     vectors = [model.vector(np.array(e[2]), np.array(e[3])) for e in with_terms]
@@ -294,25 +299,47 @@ def _index(model: Model, examples: list, sizes: dict, k: int) -> Model:
     model.ids = [e[0] for e in with_terms]
     model.toxic = np.array([e[1] for e in with_terms], dtype=bool)
 
+    return [np.array(e[2], dtype=np.int64) for e in with_terms], vectors
+
+
+def _votes(spark, model: Model, terms: list, vectors: list, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Examples that have a neighbour besides themselves, and its votes, found in tasks."""
+    held = spark.sparkContext.broadcast((model, terms, vectors))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, terms, vectors = held.value
+        for batch in batches:
+            out = []
+            for i in batch.column("id").to_pylist():
+                found, cosines = known.nearest(terms[i], vectors[i], k, without=i)
+                if len(found):
+                    out.append((i, known.vote(found, cosines)))
+            columns = [pa.array([o[c] for o in out], t) for c, t in ((0, "int64"), (1, "float64"))]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "vote"])
+
+    tasks = max(1, -(-len(terms) // _FIT_ROWS))
+    # One number for each of the bounded number of examples.
+    got = spark.range(0, len(terms), 1, tasks).mapInArrow(run, "id bigint, vote double").toPandas()
+    held.unpersist()
+    got = got.sort_values("id")
+    return got["id"].to_numpy(dtype=np.int64), got["vote"].to_numpy()
+
+
+def _fit(spark, model: Model, examples: list, sizes: dict, k: int) -> Model:
+    """Builds the index and turns the examples' own votes into chances."""
+    terms, vectors = _index(model, examples)
     taken = [sum(1 for e in examples if e[1] == flag) for flag in (False, True)]
     model.class_weight = tuple(sizes[f] / max(1, taken[int(f)]) for f in (False, True))
-    votes, labels = [], []
-    for i, e in enumerate(with_terms):
-        found, cosines = model.nearest(np.array(e[2]), vectors[i], k, without=i)
-        if len(found):
-            votes.append(model.vote(found, cosines))
-            labels.append(e[1])
     bare = [e[1] for e in examples if not len(e[2])]
     w0, w1 = model.class_weight
     toxic = sum(bare) * w1
     model.without_terms = (toxic + 0.5) / (toxic + (len(bare) - sum(bare)) * w0 + 1)
-    flags = np.array(labels, dtype=float)
-    if len(flags):
-        model.votes, model.chances = monotone(
-            np.array(votes), flags, np.where(flags > 0, w1, w0)
-        )
-    else:
-        model.votes, model.chances = np.array([0.0, 1.0]), np.array([0.0, 1.0])
+    model.votes, model.chances = np.array([0.0, 1.0]), np.array([0.0, 1.0])
+    if len(terms):
+        which, votes = _votes(spark, model, terms, vectors, k)
+        flags = model.toxic[which].astype(float)
+        if len(which):
+            model.votes, model.chances = monotone(votes, flags, np.where(flags > 0, w1, w0))
     return model
 
 
@@ -320,7 +347,6 @@ def learn(
     docs: DataFrame,
     labels: DataFrame,
     most: tuple[int, int] = (MOST_OTHERS, MOST_TOXIC),
-    most_terms: int = MOST_TERMS,
     neighbours: int = NEIGHBOURS,
 ) -> Model:
     """A model from `docs` (doc_id, text) and the rows of `labels` (doc_id, toxic)."""
@@ -331,7 +357,7 @@ def learn(
     if len(found) < 2:
         only = float(next(iter(found))) if found else 0.0
         return Model(np.empty(0, np.int64), np.empty(0), only, without_terms=only)
-    terms = choose_terms(docs, each, most_terms)
+    terms = choose_terms(docs, each)
     prior = sizes[True] / (sizes[False] + sizes[True])
     model = Model(terms, np.zeros(len(terms)), prior)
     held = spark.sparkContext.broadcast(model)
@@ -365,7 +391,7 @@ def learn(
         vectors, f"doc_id {kind}, toxic boolean, terms array<int>, counts array<int>"
     )
     got = sorted(tuple(r) for r in rows.collect())
-    return _index(model, got, sizes, neighbours)
+    return _fit(spark, model, got, sizes, neighbours)
 
 
 def score(
