@@ -1,3 +1,6 @@
+import math
+from collections import Counter
+
 import numpy as np
 import pytest
 from plain import sf_rows, table
@@ -102,3 +105,39 @@ def test_wrong_bits_are_corrected(model):
             margins = code.astype(float) * 2
             margins[bit] *= -1
             assert model.losses(margins[None, :])[0].argmin() == i
+
+
+def plain_counts(text):
+    """Buckets of the one, two and three byte runs, byte by byte."""
+    raw = b" " + b" ".join(text.encode().lower().split()) + b" "
+    counts = Counter()
+    for length, salt in zip((1, 2, 3), (0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35), strict=True):
+        for i in range(len(raw) - length + 1):
+            gram = int.from_bytes(raw[i : i + length], "little") + length
+            counts[gram * salt % (1 << 32) >> 18] += 1
+    return counts
+
+
+def test_decoding_against_a_plain_decoder(spark, sf_dir, model):
+    """Bits by sums of weights, losses over each codeword, the nearest one and its lead."""
+    rows = [(d, t) for d, t in sf_rows(spark, sf_dir)[:80] if t]
+    got = {r.doc_id: r for r in language.identify(table(spark, rows), model).collect()}
+    for d, text in rows:
+        counts = plain_counts(text)
+        margins = [
+            sum(n * float(model.weights[b, bit]) for b, n in counts.items()) / language.TEMPER
+            for bit in range(model.codes.shape[1])
+        ]
+        margins = [max(-30.0, min(30.0, m)) for m in margins]
+        losses = [
+            sum(t * math.log1p(math.exp(-m * c)) for t, m, c in zip(trust, margins, code, strict=True))
+            for trust, code in zip(model.trust, model.codes, strict=True)
+        ]
+        best, second = sorted(range(len(losses)), key=lambda i: (losses[i], i))[:2]
+        share = 1 / sum(math.exp(losses[best] - x) for x in losses)
+        lead = losses[second] - losses[best]
+        assert got[d].lang_pred == model.languages[best] and got[d].score == pytest.approx(share, abs=1e-3)
+        if lead > 1e-3:
+            assert got[d].second == model.languages[second]
+        if abs(lead - language.LEAD) > 1e-3:
+            assert got[d].ambiguous == (lead < language.LEAD)
