@@ -7,7 +7,8 @@ from plain import removed, sf_rows, table
 from pyspark.sql import functions as F
 
 from tillroll.llm import suffix_dedup as S
-from tillroll.llm.suffix_sort import suffix_array
+from tillroll.llm import suffix_sort
+from tillroll.llm.suffix_sort import suffix_array, suffixes
 
 
 def result(docs, **options):
@@ -39,7 +40,7 @@ def stitched(n=160, seed=2):
     return rows
 
 
-@pytest.mark.parametrize("options", [{}, {"crowded": 1}, {"in_memory": 7}, {"shard_bytes": 500, "bucket_bytes": 300}, {"most_bits": 12}])
+@pytest.mark.parametrize("options", [{}, {"crowded": 1}, {"in_memory": 7}, {"sort_bytes": 1 << 24, "in_memory": 64}, {"sort_bytes": 1}, {"shard_bytes": 500, "bucket_bytes": 300}, {"most_bits": 12}])
 def test_against_every_string(spark, options):
     rows = stitched()
     docs = table(spark, rows, {"key": "k", "bucket": "b", "shard": "s"}).repartition(5)
@@ -135,3 +136,63 @@ def test_queue_files_are_removed(tmp_path, monkeypatch):
     text = np.r_[np.random.default_rng(1).integers(1, 5, 3000), 300, 0].astype(np.int32)
     suffix_array(text, 256, in_memory=10)
     assert list(tmp_path.iterdir()) == []
+
+
+def separated(draw, parts, letters, longest):
+    """Random strings, each with an end of its own, and a last 0."""
+    made = [
+        np.r_[draw.integers(1, letters, size=int(draw.integers(1, longest))), 300 + i] for i in range(parts)
+    ]
+    return np.concatenate([*made, [0]]).astype(np.int32)
+
+
+@pytest.mark.parametrize("in_memory", [2, 30, 1 << 20])
+@pytest.mark.parametrize("cap", [1, 5, 50])
+def test_carried_prefixes(in_memory, cap, tmp_path):
+    """Order and common prefixes against plain comparison, also when queues spill and names recurse."""
+
+    def shared(a, b):
+        return next((i for i in range(min(cap, len(a), len(b))) if a[i] != b[i]), min(cap, len(a), len(b)))
+
+    draw = np.random.default_rng(cap)
+    for _ in range(60):
+        text = separated(draw, int(draw.integers(1, 6)), int(draw.integers(2, 5)), 40)
+        ends = [text[i:].tolist() for i in range(len(text))]
+        wanted = sorted(range(len(text)), key=ends.__getitem__)
+        order, common = suffixes(text, 256, cap, in_memory, tmp_path.as_uri())
+        assert order.tolist() == wanted
+        pairs = zip(wanted, wanted[1:], strict=False)
+        assert common.tolist() == [0, *[shared(ends[a], ends[b]) for a, b in pairs]]
+    assert list(tmp_path.iterdir()) == []
+
+
+def test_more_than_the_queues_hold(tmp_path, monkeypatch):
+    """A shard of many times what queues hold gives the order that it gives in memory."""
+    spills, names = [], []
+    spill, doubling = suffix_sort.SymbolQueue._spill, suffix_sort.ranks_by_doubling
+
+    def counted(queue):
+        spills.append(queue.held)
+        spill(queue)
+
+    def watched(short):
+        names.append(len(short))
+        return doubling(short)
+
+    draw = np.random.default_rng(5)
+    passages = [draw.integers(1, 27, size=80) for _ in range(30)]
+    parts = [np.r_[passages[int(draw.integers(30))], 300 + i] for i in range(500)]
+    text = np.concatenate([*parts, [0]]).astype(np.int32)
+    in_memory = suffixes(text, 256, 50)
+    monkeypatch.setattr(suffix_sort.SymbolQueue, "_spill", counted)
+    monkeypatch.setattr(suffix_sort, "ranks_by_doubling", watched)
+    on_disk = suffixes(text, 256, 50, 200, str(tmp_path))
+    assert all((a == b).all() for a, b in zip(in_memory, on_disk, strict=True))
+    assert len(spills) > 50 and max(names) <= 800 < len(text) // 10
+    assert list(tmp_path.iterdir()) == []
+
+
+def test_caps_beyond_a_tuple_are_refused():
+    text = np.array([1, 2, 0], dtype=np.int32)
+    with pytest.raises(ValueError, match="common prefixes"):
+        suffixes(text, 256, 256)

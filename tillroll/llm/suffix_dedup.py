@@ -14,8 +14,10 @@ occurrences of a string are in segments of the same hash and meet in one shard.
    their single strings, which spread over all shards.
 3. A shard settles equal segments, and compares different ones of the same hash
    by a suffix array over their bytes, made by external induced sorting
-   (`suffix_sort`): neighbours with a common prefix of `length` bytes or more
-   form groups, and every member's smallest id is known.
+   (`suffix_sort`), which carries what neighbours share along: those that share
+   `length` bytes or more form groups, and every member's smallest id is known.
+   Calls take `sort_bytes` of segments, more only for those of one hash; queues
+   of more than `in_memory` tuples go to files below `spark.checkpoint.dir`.
 4. The spans to remove meet their texts again in buckets of bounded size.
 
 Matches never cross documents, and are judged on the input. Texts shorter than
@@ -45,7 +47,8 @@ from tillroll.llm.repeats import (
     integer_ids,
     repeated_hashes,
 )
-from tillroll.llm.suffix_sort import IN_MEMORY, suffix_array
+from tillroll.llm.suffix_sort import IN_MEMORY, suffixes
+from tillroll.staging import new_folder
 
 LENGTH = 50
 GRAM = 16
@@ -281,11 +284,13 @@ def _take_segments(length: int, shards: int, repeats):
 # ---- shards -------------------------------------------------------------------
 
 
-def _together(groups: np.ndarray, hashes: np.ndarray, sizes: np.ndarray) -> Iterator[np.ndarray]:
+def _together(
+    groups: np.ndarray, hashes: np.ndarray, sizes: np.ndarray, most: int
+) -> Iterator[np.ndarray]:
     """Groups in parts of a bounded number of bytes; those of one hash stay together."""
     lo = 0
     while lo < len(groups):
-        hi = lo + max(1, int(np.searchsorted(np.cumsum(sizes[lo:]), _SORT_BYTES)))
+        hi = lo + max(1, int(np.searchsorted(np.cumsum(sizes[lo:]), most)))
         while hi < len(groups) and hashes[hi] == hashes[hi - 1]:
             hi += 1
         yield groups[lo:hi]
@@ -293,7 +298,12 @@ def _together(groups: np.ndarray, hashes: np.ndarray, sizes: np.ndarray) -> Iter
 
 
 def repeated_strings(
-    texts: list[bytes], docs: np.ndarray, counts: np.ndarray, length: int, in_memory: int
+    texts: list[bytes],
+    docs: np.ndarray,
+    counts: np.ndarray,
+    length: int,
+    in_memory: int,
+    folder: str | None = None,
 ) -> np.ndarray:
     """For each string of each segment, whether it also starts in a segment of a smaller id.
 
@@ -306,23 +316,19 @@ def repeated_strings(
     inside[ends - 1] = inside[-1] = False
     text[inside] = np.frombuffer(b"".join(texts), dtype=np.uint8).astype(np.int32) + 1
     text[ends - 1] = 257 + np.arange(len(texts))
-    order = suffix_array(text, 256, in_memory)
+    order, shared = suffixes(text, 256, length, in_memory, folder)
 
     starts = ends - sizes - 1
     owner = np.repeat(np.arange(len(texts)), sizes + 1)
-    order = order[order < ends[-1]]
-    segment = owner[order]
-    whole = order - starts[segment] < counts[segment]
+    segment = np.append(owner, 0)[order]
+    whole = (order < ends[-1]) & (order - starts[segment] < counts[segment])
     order, segment = order[whole], segment[whole]
-    # Eight bytes as one number; the last one of a string may overlap the one before.
-    packed = np.zeros(len(text), dtype=np.uint64)
-    for i in range(8):
-        packed[: len(text) - i] |= (text[i:].astype(np.uint64) & np.uint64(255)) << np.uint64(8 * i)
-    same = np.ones(len(order), dtype=bool)
-    same[:1] = False
-    for offset in [*range(0, length - 8, 8), length - 8]:
-        part = packed[order + offset]
-        same[1:] &= part[1:] == part[:-1]
+    # What a string shares with the last one before it is the least shared on the way.
+    same = np.zeros(len(order), dtype=bool)
+    if len(order):
+        at = np.flatnonzero(whole)
+        if len(at) > 1:
+            same[1:] = np.minimum.reduceat(shared[: at[-1] + 1], at[:-1] + 1) >= length
     first = np.flatnonzero(~same)
     least = np.minimum.reduceat(docs[segment], first) if len(first) else docs[:0]
     least = np.repeat(least, np.diff(np.r_[first, len(order)]))
@@ -331,7 +337,7 @@ def repeated_strings(
     return flags[np.repeat(starts - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())]
 
 
-def _resolve(length: int, buckets: int, in_memory: int):
+def _resolve(length: int, buckets: int, in_memory: int, sort_bytes: int, folder: str):
     """Spans to remove by bucket of texts. Rows come sorted by shard."""
 
     def spread(parts):
@@ -355,6 +361,8 @@ def _resolve(length: int, buckets: int, in_memory: int):
         texts = [data[a:b] for a, b in zip(at[leads].tolist(), ends, strict=True)]
         each = np.array([xxhash.xxh3_64_intdigest(t) for t in texts], dtype=np.uint64)
         digest = each[np.cumsum(leads) - 1]
+        held.clear()
+        del texts, ends
 
         order = np.lexsort((~leads, doc, digest, value))
         v, d, i = value[order], digest[order], doc[order]
@@ -374,11 +382,11 @@ def _resolve(length: int, buckets: int, in_memory: int):
         # The rows of the smallest id come first in their group.
         same_id = i == least[np.cumsum(new) - 1]
         members = np.add.reduceat(same_id, first, dtype=np.int64)
-        for part in _together(odd, hash_of[odd], size[lead[odd]]):
+        for part in _together(odd, hash_of[odd], size[lead[odd]], sort_bytes):
             mine = lead[part]
             parts = [bytes(data[a : a + n]) for a, n in zip(at[mine].tolist(), size[mine].tolist(), strict=True)]
             sizes = count[mine]
-            shared = repeated_strings(parts, least[part], sizes, length, in_memory)
+            shared = repeated_strings(parts, least[part], sizes, length, in_memory, folder)
             which = np.repeat(np.arange(len(part)), sizes)
             step = np.arange(len(which)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
             opens = shared & ~(np.r_[False, shared[:-1]] & (step > 0))
@@ -465,6 +473,7 @@ def remove_repeats(
     in_memory: int = IN_MEMORY,
     shard_bytes: int = _SHARD_BYTES,
     bucket_bytes: int = _BUCKET_BYTES,
+    sort_bytes: int = _SORT_BYTES,
 ) -> DataFrame:
     """(doc_id, n_bytes, spans, kept) of each row: the byte spans removed and the bytes left.
 
@@ -479,13 +488,14 @@ def remove_repeats(
     held = repeated_hashes(rows, _hashes(length), expected, most_bits, crowded)
     shards = max(1, -(-total // shard_bytes))
     buckets = max(1, -(-total // bucket_bytes)) | 1
+    folder = new_folder(docs.sparkSession, "suffixes")
     binary = ", ".join(f"`{n}` binary" for n in _SEGMENTS[2:])
     spans = (
         rows.mapInArrow(_take_segments(length, shards, held), f"shard int, kind int, {binary}")
         .repartition("shard")
         .sortWithinPartitions("shard")
         .mapInArrow(
-            _resolve(length, buckets, in_memory),
+            _resolve(length, buckets, in_memory, sort_bytes, folder),
             "bucket int, " + ", ".join(f"`{n}` binary" for n in _SPANS[1:]),
         )
     )
