@@ -392,3 +392,38 @@ def test_days_are_utc_days_in_any_session(spark, tmp_path):
         assert got.count() == 30 and got.exceptAll(wanted).count() == 0
     finally:
         spark.conf.set(zone, "UTC")
+
+
+def test_lines_of_an_order_end_up_together(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from tillroll.sources.star import flatten, table
+
+    names = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "false",
+    }
+    before = {n: spark.conf.get(n) for n in names}
+    try:
+        for name, value in names.items():
+            spark.conf.set(name, value)
+        flat = flatten(spark, sf_dir, table(spark, sf_dir, "lineitem"), ["order_id", "category", "status"])
+        placed = flat.filter("order_id is not null").withColumn("part", F.spark_partition_id())
+        places = placed.groupBy("order_id").agg(F.count_distinct("part").alias("n"))
+        assert places.agg(F.max("n")).first()[0] == 1
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def test_messages_are_stored_compressed(spark, sf_dir, tmp_path):
+    import __spark_entry__ as entry
+
+    before = spark.conf.get("spark.checkpoint.dir")
+    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
+    try:
+        entry.stream_json_ingest(spark, sf_dir)
+    finally:
+        spark.conf.set("spark.checkpoint.dir", before)
+    files = [f.name for f in tmp_path.glob("messages-*/part-*")]
+    assert files and all(f.endswith(".gz") for f in files)

@@ -168,16 +168,28 @@ def table_stream(
 
 
 def flatten(
-    spark: SparkSession, data_dir: str, lines: DataFrame, columns: Sequence[str] = ORDER_COLUMNS
+    spark: SparkSession,
+    data_dir: str,
+    lines: DataFrame,
+    columns: Sequence[str] = ORDER_COLUMNS,
+    by_order: bool = False,
 ) -> DataFrame:
     """`columns` for each row of `lines`, which may be a stream.
 
     Customers and nations join the orders before the lines do: orders are fewer
-    and narrower, and lines already spread by order key are not moved again.
+    and narrower, and lines already spread by order key (`by_order`) are not moved
+    again. Other lines get their parts first, so that they end up by order key, where
+    the lines of an order are reduced to one before they are moved once more.
     """
     known = _columns()
     needed = {known[c][0] for c in columns}
 
+    def with_parts(lines: DataFrame) -> DataFrame:
+        parts = table(spark, data_dir, "part")
+        return lines.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
+
+    if "part" in needed and not by_order:
+        lines = with_parts(lines)
     if needed & {"orders", "customer", "nation"}:
         orders = table(spark, data_dir, "orders")
         if needed & {"customer", "nation"}:
@@ -189,9 +201,8 @@ def flatten(
                 )
             orders = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
         lines = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
-    if "part" in needed:
-        parts = table(spark, data_dir, "part")
-        lines = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
+    if "part" in needed and by_order:
+        lines = with_parts(lines)
     return lines.select(*[known[c][1].alias(c) for c in columns])
 
 
@@ -213,4 +224,5 @@ def unique_orders(
     known = _columns()
     needed = {n for c in columns for n in known[c][2]} - {"l_orderkey", *LINE_ORDER}
     lines = table(spark, data_dir, "lineitem").select("l_orderkey", *LINE_ORDER, *sorted(needed))
-    return flatten(spark, data_dir, dedup_orders(lines, "l_orderkey", LINE_ORDER), columns)
+    one = dedup_orders(lines, "l_orderkey", LINE_ORDER)
+    return flatten(spark, data_dir, one, columns, by_order=True)
