@@ -99,6 +99,23 @@ def test_words_that_could_hold_a_special_token(library):
         assert np.frombuffer(table.encode(text.encode()), "<u4").tolist() == ids_of(library, text)
 
 
+def test_punctuation_behind_words_is_merged_once(library):
+    class Counted:
+        def __init__(self, model):
+            self.model, self.pieces = model, []
+
+        def tokenize(self, piece):
+            self.pieces.append(piece)
+            return self.model.tokenize(piece)
+
+    table = bpe.WordTable(vocabulary())
+    table.model = Counted(table.model)
+    letters = [f"{a}{b}" for a in "abcde" for b in "fghij"]
+    text = " ".join(f"{w}{p}" for w in [*letters, "été"] for p in ("", ",", '."', "?!..."))
+    assert np.frombuffer(table.encode(text.encode()), "<u4").tolist() == ids_of(library, text)
+    assert len(table.model.pieces) <= len(letters) + 1 + 3
+
+
 def test_a_full_table_is_emptied(library):
     small = bpe.WordTable(vocabulary(), most_words=5)
     for text in mixed(300, 4):

@@ -98,24 +98,28 @@ class WordTable(dict):
 
     def spell(self, word: bytes) -> bytes:
         """The ids of a word that is not in the table."""
-        letters = word.rstrip(_PUNCTUATION).lower()
+        if word.isalpha() and word.islower():
+            return self._merged(word.decode())
+        stripped = word.rstrip(_PUNCTUATION)
+        letters = stripped.lower()
         if not letters.isascii():
             letters = letters.decode(errors="replace").lower().encode()
         if letters.isalpha() or _LETTERS.match(letters):
-            punctuation = word[len(word.rstrip(_PUNCTUATION)) :]
             if letters != word:
-                ids = self[letters] + (self._merged(punctuation) if punctuation else b"")
+                punctuation = word[len(stripped) :]
+                ids = self[letters] + (self[punctuation] if punctuation else b"")
             else:
-                ids = self._merged(letters)
+                ids = self._merged(letters.decode("latin-1").translate(self.written))
         else:
             text = word.decode(errors="replace")
             code = self.tokenizer.encode(text, add_special_tokens=False)
             ids = b"".join(map(self.numbers.__getitem__, code.ids))
         return ids
 
-    def _merged(self, piece: bytes) -> bytes:
-        tokens = self.model.tokenize(piece.decode("latin-1").translate(self.written))
-        return b"".join([self.numbers[t.id] for t in tokens])
+    def _merged(self, piece: str) -> bytes:
+        """The ids of a piece in the characters by which the vocabulary writes its bytes."""
+        numbers = self.numbers
+        return b"".join([numbers[t.id] for t in self.model.tokenize(piece)])
 
     def encode(self, raw: bytes) -> bytes:
         """The ids of a text."""

@@ -26,6 +26,8 @@ from tillroll.llm.common import raw_texts, rows, slices, stored
 
 WINDOW = 2048
 END_ID = 1
+# Words in a worker's table: about 100 MB.
+TABLE_WORDS = 400_000
 
 
 def _kind(docs: DataFrame) -> str:
@@ -39,7 +41,7 @@ def encoded_partitions(docs: DataFrame, path: str, end_id: int = END_ID) -> Data
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, table = 0, word_table(path)
+        at, table = 0, word_table(path, TABLE_WORDS)
         narrow = "<u2" if max(len(table.pieces) - 1, end_id) < 1 << 16 else "<u4"
         end = np.array([end_id], dtype=narrow).tobytes()
         for batch in slices(batches):
