@@ -1,6 +1,8 @@
 import random
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from plain import removed, sf_rows, table
 
@@ -116,6 +118,107 @@ def test_long_texts_go_in_parts(monkeypatch):
     assert sorted(covered) == sorted(wanted) and len(covered) == 9000 - 49
 
 
+def phrases(n=300, seed=4):
+    """Texts of common phrases of 17 to 30 bytes with a word of their own after each."""
+    draw = random.Random(seed)
+    common = ["".join(draw.choices("abcdefgh", k=draw.randint(17, 30))) for _ in range(40)]
+    return [
+        (i, " ".join(f"{draw.choice(common)} {draw.getrandbits(48):x}" for _ in range(12))) for i in range(n)
+    ]
+
+
+@pytest.mark.parametrize("length", [32, 50, 75])
+def test_what_meets_shares_a_core(length):
+    """Only halves that share two thirds of a string's bytes have a hash in common."""
+    raws = [t.encode() for _, t in stitched(60)]
+    data = b"".join(t for t in raws if len(t) >= length)
+    got = S.Batch([(i, 0, t) for i, t in enumerate(raws) if len(t) >= length], length)
+    assert got.data == data
+    by_hash = {}
+    for start, count, value, anchor in zip(
+        got.start.tolist(), got.count.tolist(), got.hash.tolist(), got.anchor.tolist(), strict=True
+    ):
+        far = anchor - start >= S.half_width(length)
+        core = anchor - S.half_width(length) * far
+        # All strings of the half have the core.
+        assert start + count - 1 <= core and core + S.core_length(length) <= start + length
+        by_hash.setdefault(value, set()).add((far, data[core : core + S.core_length(length)]))
+    assert all(len(x) == 1 for x in by_hash.values()) and len(by_hash) > 100
+
+
+def test_common_phrases_do_not_meet():
+    """Strings that share a phrase with others, but not two thirds of their bytes, are not moved."""
+    found = [S.Batch([(0, 0, t.encode())], 50) for _, t in phrases()]
+    values, docs = np.unique(np.concatenate([np.unique(b.hash) for b in found]), return_counts=True)
+    assert len(values) > 4000 and (docs > 1).sum() < 50
+
+
+class Stub:
+    """Every hash is in several documents; those that `many` tells are in very many."""
+
+    def __init__(self, many):
+        self.in_very_many = many
+
+    def __call__(self, hashes):
+        return np.ones(len(hashes), dtype=bool)
+
+
+def shard_of_all(rows, many, sort_bytes=S._SORT_BYTES):
+    """What one shard of all segments removes: (id, bytes left) by row."""
+    batches = []
+    for lo in range(0, len(rows), 10):
+        ids, texts = zip(*rows[lo : lo + 10], strict=True)
+        batches.append(
+            pa.record_batch({"doc_id": pa.array(ids), "text": pa.array(texts), "tag": pa.array(ids)})
+        )
+    segments = []
+    for batch in batches:
+        segments += S._take_segments(50, 1, SimpleNamespace(value=Stub(many)))([batch])
+    spans = [[] for _ in range(4)]
+    for out in S._resolve(50, 1, 1 << 20, sort_bytes, None)(segments):
+        for column, name, kind in zip(spans, S._SPANS[1:], S._SPAN, strict=True):
+            column += np.frombuffer(b"".join(out.column(name).to_pylist()), dtype=kind).tolist()
+    own = {}
+    for doc, _, start, end in zip(*spans, strict=True):
+        own.setdefault(doc, set()).update(range(start, end))
+    return [
+        (doc, bytes(b for at, b in enumerate(text.encode()) if at not in own.get(doc, ())))
+        for doc, text in sorted(rows)
+    ]
+
+
+@pytest.mark.parametrize("sort_bytes", [1, 1 << 20])
+@pytest.mark.parametrize("apart", ["none", "smallest", "some", "all"])
+def test_halves_together_and_apart(apart, sort_bytes):
+    """The same bytes go whether halves travel together, by their cores or as single strings."""
+    rows = stitched(120, seed=9)
+    smallest = np.concatenate([S.Batch([(0, 0, t.encode())], 50).smallest for _, t in rows if len(t.encode()) >= 50])
+    many = {
+        "none": lambda x: np.zeros(len(x), dtype=bool),
+        "smallest": lambda x: np.isin(x ^ S._SMALLEST, smallest),
+        "some": lambda x: x % np.uint64(3) == 0,
+        "all": lambda x: np.ones(len(x), dtype=bool),
+    }[apart]
+    wanted = [(doc, kept) for doc, _, _, kept in removed(rows, 50)]
+    assert shard_of_all(rows, many, sort_bytes) == wanted
+
+
+def test_sorter_gets_no_common_phrases(monkeypatch):
+    """Texts of phrases that all have: what is compared by suffixes is no more than what shares cores."""
+    sorted_bytes = []
+    strings = S.repeated_strings
+
+    def watched(texts, *others):
+        sorted_bytes.append(sum(map(len, texts)))
+        return strings(texts, *others)
+
+    monkeypatch.setattr(S, "repeated_strings", watched)
+    rows = phrases()
+    wanted = [(doc, kept) for doc, _, _, kept in removed(rows, 50)]
+    assert shard_of_all(rows, lambda x: np.zeros(len(x), dtype=bool)) == wanted
+    assert sum(sorted_bytes) < sum(len(t) for _, t in rows) // 10
+
+
 @pytest.mark.parametrize("in_memory", [2, 1 << 20])
 def test_suffix_order(in_memory):
     draw = np.random.default_rng(0)
